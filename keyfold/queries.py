@@ -16,8 +16,13 @@ from keyfold.operators.agg import word_count
 from keyfold.operators.parse import parse_listings
 from keyfold.operators.running import latest_by, running_by
 from keyfold.plans.reports import run_report
-from keyfold.session import ensure_checkpoint_dir
-from keyfold.sources.fixtures import fixture_lines
+from keyfold.schema import keys_of
+from keyfold.session import ensure_checkpoint_dir, fresh_path
+from keyfold.sinks.files import FileTable, write_parquet
+from keyfold.sources.fixtures import fixture_lines, fixture_path, write_lines, ORDER_COLUMNS
+from keyfold.sources.synth import synth_listings
+from keyfold.sources.text import stream_lines
+from keyfold.streaming.upsert import run_report_stream
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,6 +95,73 @@ def p8_digits_or_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("event_id", digits_or_zero(F.col("props")).alias("k"))
 
 
+def _stream_into_table(spark: SparkSession, table: str, source: str, files_per_trigger: int,
+                       checkpoint: str, out: FileTable) -> None:
+    lines = stream_lines(spark, source, max_files_per_trigger=files_per_trigger)
+    q = run_report_stream(table, lines, out.as_batch_sink(), checkpoint, available_now=True)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"stream {table} failed: {q.exception()}")
+
+
+def _stream_report(table: str, kind: str) -> Callable[[SparkSession, str], DataFrame]:
+    """Report as a stream over the rendered files (one file per micro-batch),
+    upserted batch by batch into a versioned file table; returns the table."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_checkpoint_dir(spark)
+        src = fixture_path(spark, sf_dir.rstrip("/"), kind)
+        out = FileTable(spark, fresh_path(spark, "tables", table), keys_of(table))
+        _stream_into_table(spark, table, src, 1, fresh_path(spark, "streams", table), out)
+        return out.read()
+    run.__name__ = f"{table}_stream"
+    return run
+
+
+j2_stream = _stream_report("neighborhood_avg_price", "listing")
+j4_stream = _stream_report("orientation_focus_count", "listing")
+
+
+def j4_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4/T5: stream half of the lines, stop, add the rest, resume from the checkpoint."""
+    ensure_checkpoint_dir(spark)
+    table = "orientation_focus_count"
+    orders = _table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
+    src = fresh_path(spark, "stream-input", table)
+    ckpt = fresh_path(spark, "streams", table)
+    out = FileTable(spark, fresh_path(spark, "tables", table), keys_of(table))
+    half = F.pmod(F.col("o_orderkey"), F.lit(2)) == 0
+    write_lines(spark, orders, "listing", f"{src}/part=a", where=half)
+    _stream_into_table(spark, table, f"{src}/*", 2, ckpt, out)
+    write_lines(spark, orders, "listing", f"{src}/part=b", where=~half)
+    _stream_into_table(spark, table, f"{src}/*", 2, ckpt, out)
+    return out.read()
+
+
+def k4_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: J1's result written as parquet and read back."""
+    path = write_parquet(j1_district_stats(spark, sf_dir), fresh_path(spark, "results", "k4"))
+    return spark.read.parquet(path)
+
+
+def k5_upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: a file table holding early counts plus a retired key, upserted with full counts."""
+    ensure_checkpoint_dir(spark)
+    ev = _table(spark, sf_dir, "events")
+    early = (ev.filter(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))
+             .groupBy("event_type").agg(F.count(F.lit(1)).alias("n")))
+    retired = spark.createDataFrame([("retired", 9)], "event_type string, n long")
+    table = FileTable(spark, fresh_path(spark, "tables", "k5"), ["event_type"])
+    table.overwrite(early.unionByName(retired))
+    table.upsert(ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")))
+    return table.read()
+
+
+def s5_synth_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One synthetic listing per order key (deterministic for the seed)."""
+    ids = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
+    return synth_listings(ids)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "j1_district_stats": j1_district_stats,
     "j2_neighborhood_avg_price": j2_neighborhood_avg_price,
@@ -106,15 +178,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a10_latest_per_key": a10_latest_per_key,
     "p7_thousands_price": p7_thousands_price,
     "p8_digits_or_zero": p8_digits_or_zero,
+    "j2_stream": j2_stream,
+    "j4_stream": j4_stream,
+    "j4_stream_resume": j4_stream_resume,
+    "k4_parquet_roundtrip": k4_parquet_roundtrip,
+    "k5_upsert_merge": k5_upsert_merge,
+    "s5_synth_listings": s5_synth_listings,
 }
 
 _HOTEL = "CASE WHEN o_custkey % 2 = 0 THEN 'City Hotel' ELSE 'Resort Hotel' END"
 _MEAN2 = "CAST(printf('%.2f', {num} / count(*)) AS DOUBLE)"
 _MONEY_SUM = "CAST(sum(CAST({c} AS DECIMAL(18,2))) AS DOUBLE)"
 
+_J1 = "SELECT o_orderpriority AS district, count(*) AS house_count FROM orders GROUP BY 1"
+
 ORACLE_SQL: dict[str, str] = {
-    "j1_district_stats":
-        "SELECT o_orderpriority AS district, count(*) AS house_count FROM orders GROUP BY 1",
+    "j1_district_stats": _J1,
     "j2_neighborhood_avg_price":
         "SELECT 'N' || (o_custkey % 25) AS neighborhood, "
         + _MEAN2.format(num=_MONEY_SUM.format(c="o_totalprice")) + " AS avg_price, "
@@ -164,4 +243,11 @@ ORACLE_SQL: dict[str, str] = {
     "p8_digits_or_zero":
         "SELECT event_id, COALESCE(TRY_CAST(regexp_replace(props, '[^0-9]', '', 'g') AS INTEGER), 0) "
         "AS k FROM events",
+    "k4_parquet_roundtrip": _J1,
+    "k5_upsert_merge":
+        "SELECT event_type, count(*) AS n FROM events GROUP BY 1 "
+        "UNION ALL SELECT 'retired', CAST(9 AS BIGINT)",
 }
+ORACLE_SQL["j2_stream"] = ORACLE_SQL["j2_neighborhood_avg_price"]
+ORACLE_SQL["j4_stream"] = ORACLE_SQL["j4_orientation_focus"]
+ORACLE_SQL["j4_stream_resume"] = ORACLE_SQL["j4_orientation_focus"]

@@ -117,7 +117,12 @@ def write_lines(spark: SparkSession, orders: DataFrame, kind: str, path: str,
 
 
 def fixture_lines(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    """Rendered lines of ``sf_dir``'s orders, materialized once, read as text.
+    """Rendered lines of ``sf_dir``'s orders, materialized once, read as text."""
+    return spark.read.text(fixture_path(spark, sf_dir, kind))
+
+
+def fixture_path(spark: SparkSession, sf_dir: str, kind: str) -> str:
+    """Directory of rendered lines of ``sf_dir``'s orders (written once).
 
     The files live under the shared folder keyed by the input path and the
     render version; a half-written copy is never visible because each copy is
@@ -136,4 +141,4 @@ def fixture_lines(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
             hfs = src.getFileSystem(spark._jsc.hadoopConfiguration())
             hfs.rename(src, jvm.org.apache.hadoop.fs.Path(final))
         fs.delete(spark, aside)
-    return spark.read.text(final)
+    return final
