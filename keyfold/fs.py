@@ -29,6 +29,14 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the plain files directly under ``path``."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isFile()]
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small text file atomically (write aside, then rename)."""
     fs, p = _fs(spark, path)

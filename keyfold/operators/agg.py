@@ -15,6 +15,22 @@ from pyspark.sql import functions as F
 from keyfold.functions.text import ctl_trim, round2, split_words
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin an under-partitioned batch input before CPU-heavy row work.
+
+    A scan yields one task per file split; a few large row groups can leave
+    most cores idle while every row is tokenized in one task.  When the input
+    has fewer partitions than the cluster has cores, spread it; a large input
+    (many splits) is left untouched, so no shuffle is added at scale.
+    """
+    if df.isStreaming:
+        return df
+    target = int(min_partitions or df.sparkSession.sparkContext.defaultParallelism)
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
@@ -67,7 +83,7 @@ def mean_by(df: DataFrame, keys, value: Column, name: str, count: str | None = N
 
 
 def word_count(df: DataFrame, text: str | Column, word: str = "word", count: str = "count",
-               separators: str | None = None) -> DataFrame:
+               separators: str | None = None, spread_input: bool = True) -> DataFrame:
     """Word frequency (A11): split, explode, drop blank words, count per word.
 
     The explode runs inside the map stage and the partial aggregate folds
@@ -75,8 +91,11 @@ def word_count(df: DataFrame, text: str | Column, word: str = "word", count: str
     most one row per distinct word per partition.
     """
     t = F.col(text) if isinstance(text, str) else text
-    arr = split_words(t) if separators is None else F.split(t, separators)
-    words = df.select(F.explode(arr).alias(word))
+    src = df.select(t.alias("_text"))
+    if spread_input:
+        src = spread(src)
+    arr = split_words(F.col("_text")) if separators is None else F.split(F.col("_text"), separators)
+    words = src.select(F.explode(arr).alias(word))
     words = words.filter(ctl_trim(F.col(word)) != "")
     return words.groupBy(word).agg(F.count(F.lit(1)).alias(count))
 

@@ -16,6 +16,7 @@ from keyfold.operators.agg import word_count
 from keyfold.operators.parse import parse_listings
 from keyfold.operators.running import latest_by, running_by
 from keyfold.plans.reports import run_report
+from keyfold import fs
 from keyfold.schema import keys_of
 from keyfold.session import ensure_checkpoint_dir, fresh_path
 from keyfold.sinks.files import FileTable, write_parquet
@@ -111,7 +112,9 @@ def _stream_report(table: str, kind: str) -> Callable[[SparkSession, str], DataF
         ensure_checkpoint_dir(spark)
         src = fixture_path(spark, sf_dir.rstrip("/"), kind)
         out = FileTable(spark, fresh_path(spark, "tables", table), keys_of(table))
-        _stream_into_table(spark, table, src, 1, fresh_path(spark, "streams", table), out)
+        n_files = len([f for f in fs.list_files(spark, src) if not f.startswith(("_", "."))])
+        per_trigger = max(1, n_files // 2)  # two micro-batches: an insert, then an upsert
+        _stream_into_table(spark, table, src, per_trigger, fresh_path(spark, "streams", table), out)
         return out.read()
     run.__name__ = f"{table}_stream"
     return run
@@ -131,9 +134,10 @@ def j4_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = FileTable(spark, fresh_path(spark, "tables", table), keys_of(table))
     half = F.pmod(F.col("o_orderkey"), F.lit(2)) == 0
     write_lines(spark, orders, "listing", f"{src}/part=a", where=half)
-    _stream_into_table(spark, table, f"{src}/*", 2, ckpt, out)
+    per_trigger = max(1, spark.sparkContext.defaultParallelism // 2)
+    _stream_into_table(spark, table, f"{src}/*", per_trigger, ckpt, out)
     write_lines(spark, orders, "listing", f"{src}/part=b", where=~half)
-    _stream_into_table(spark, table, f"{src}/*", 2, ckpt, out)
+    _stream_into_table(spark, table, f"{src}/*", per_trigger, ckpt, out)
     return out.read()
 
 
