@@ -59,13 +59,19 @@ def _listing_typed(raw, strict: bool, strip_thousands: bool, price_type: str,
     }
 
 
+def _kept(col: str, keep_line: bool, keep: Sequence[str]) -> list[str]:
+    names = [col] if keep_line else []
+    return names + [k for k in keep if k not in names]
+
+
 def parse_listings(lines: DataFrame, on_bad: str = "fail", strip_thousands: bool = False,
                    price_type: str = "decimal(18,2)", col: str = "value",
-                   keep_line: bool = False) -> DataFrame:
+                   keep_line: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """Listing text lines -> typed listing rows.
 
     Columns: id, title, unit_price, focus, orientation, year_built, district,
-    neighborhood, elevator_ratio (and the raw ``value`` if ``keep_line``).
+    neighborhood, elevator_ratio (and the raw ``value`` if ``keep_line``, and
+    any input columns named in ``keep``, e.g. an arrival-order column).
     The title keeps the reference guard: a line with a single field has a null
     title (skipped by the word count) instead of failing.
     """
@@ -78,7 +84,7 @@ def parse_listings(lines: DataFrame, on_bad: str = "fail", strip_thousands: bool
 
     title = F.when(F.size(f) > 1, T.ctl_trim(T.strip_quotes(f.getItem(1))))
     typed = _listing_typed(raw, strict, strip_thousands, price_type, title)
-    keep = [F.col(col)] if keep_line else []
+    keep = _kept(col, keep_line, keep)
     return body.select(*keep, T.quote_split(F.col(col)).alias("_f")) \
         .select(*keep, *[c.alias(n) for n, c in typed.items()])
 
@@ -109,7 +115,7 @@ def parse_listing_rows(rows: DataFrame, on_bad: str = "fail", strip_thousands: b
 
 def parse_bookings(lines: DataFrame, on_bad: str = "fail", dialect: str = "plain",
                    price_type: str = "decimal(18,2)", col: str = "value",
-                   keep_line: bool = False) -> DataFrame:
+                   keep_line: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """Booking text lines -> typed booking rows.
 
     ``dialect="plain"`` is the reference rule: remove every quote, then split
@@ -137,7 +143,7 @@ def parse_bookings(lines: DataFrame, on_bad: str = "fail", dialect: str = "plain
         "booking_method": raw("booking_method"),
         "adr": T.to_number(raw("adr"), price_type, strict),
     }
-    keep = [F.col(col)] if keep_line else []
+    keep = _kept(col, keep_line, keep)
     return body.select(*keep, split.alias("_f")) \
         .select(*keep, *[c.alias(n) for n, c in typed.items()])
 

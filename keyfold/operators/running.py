@@ -7,13 +7,15 @@ keeps the last emitted row per key ends with the plain aggregate.
 ``sum(v) OVER (PARTITION BY keys ORDER BY order ROWS UNBOUNDED PRECEDING)``
 without ever putting a whole hot key into one task:
 
-1. per-key row counts and order ranges (one partial-aggregated pass);
+1. per-key row counts and order ranges (one partial-aggregated pass, kept
+   as a checkpoint: one row per key);
 2. keys with more rows than a threshold are *hot*; the threshold is chosen so
    that there are at most ``max_hot_keys`` of them (at most
    ``total / threshold`` keys can exceed it), which bounds the broadcast;
 3. a hot key's order range is cut into chunks of about ``rows_per_chunk``
    rows; every other key is one chunk;
-4. the window runs per (key, chunk) -- one shuffle of the data;
+4. the window runs per (key, chunk) -- one shuffle of the data (with no hot
+   key this is the plain per-key window);
 5. chunk totals of hot keys (bounded: about ``total / rows_per_chunk`` rows)
    give each chunk the sum of all earlier chunks, added back through a
    broadcast join.
@@ -27,6 +29,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keyfold.session import ensure_checkpoint_dir
+
 
 def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
@@ -47,13 +51,6 @@ def _position(df: DataFrame, order: str) -> Column:
     raise TypeError(f"running_by needs a numeric, date or timestamp order column, got {dt}")
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & left[c].eqNullSafe(right[c])
-    return cond
-
-
 def running_by(df: DataFrame, keys, order: str, sums: Mapping[str, Column] | None = None,
                count: str | None = "running_count", tiebreak: Sequence[str] = (),
                rows_per_chunk: int = 4_000_000, max_hot_keys: int = 100_000,
@@ -64,6 +61,10 @@ def running_by(df: DataFrame, keys, order: str, sums: Mapping[str, Column] | Non
     taken in an arbitrary order, as arrival order is in a stream.
     Returns ``df``'s columns plus one column per entry of ``sums`` and
     ``count``.
+
+    Passes over ``df``: one for the key statistics (checkpointed: one row per
+    key), one for the windowed output, and, only if some key is hot, one more
+    for the chunk totals of the hot keys.
     """
     keys = _keys(keys)
     sums = dict(sums or {})
@@ -71,38 +72,47 @@ def running_by(df: DataFrame, keys, order: str, sums: Mapping[str, Column] | Non
         raise ValueError("nothing to compute: give sums and/or count")
     cols = df.columns
     pos = _position(df, order)
+    ensure_checkpoint_dir(df.sparkSession)
 
-    # 1-2. Hot keys, with a proven bound on how many there can be.
-    total = df.count()
-    threshold = max(int(rows_per_chunk), -(-total // max(int(max_hot_keys), 1)))
+    # 1-2. Key statistics, the total, and the hot keys (at most max_hot_keys).
     stats = (df.select(*keys, pos.alias("_pos"))
              .groupBy(*keys)
              .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_lo"),
-                  F.max("_pos").alias("_hi")))
+                  F.max("_pos").alias("_hi"))
+             .checkpoint(eager=True))
+    total = stats.agg(F.sum("_n")).first()[0] or 0
+    threshold = max(int(rows_per_chunk), -(-total // max(int(max_hot_keys), 1)))
     n_chunks = F.ceil(F.col("_n") / F.lit(rows_per_chunk)) * F.lit(oversplit)
     hot = (stats.filter(F.col("_n") > threshold)
            .select(*keys, "_lo",
                    ((F.col("_hi") - F.col("_lo") + 1).cast("double") / n_chunks).alias("_w"),
                    n_chunks.cast("long").alias("_k")))
-    hot = F.broadcast(hot)  # at most max_hot_keys rows, see threshold
+    if hot.limit(1).count() == 0:
+        # No hot key: one window per key is balanced enough.
+        w = (Window.partitionBy(*keys).orderBy(order, *tiebreak)
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return df.select(*cols, *[F.sum(v).over(w).alias(n) for n, v in sums.items()],
+                         *([F.count(F.lit(1)).over(w).alias(count)] if count else []))
+    hk = {k: f"_hk_{i}" for i, k in enumerate(keys)}
+    hot = F.broadcast(hot.select(*[F.col(k).alias(hk[k]) for k in keys], "_lo", "_w", "_k"))
+    # ^ at most max_hot_keys rows, see threshold
 
     # 3. Chunk id per row (0 for every key that is not hot).
-    base = df.withColumn("_pos", pos)
-    tagged = base.join(hot, _null_safe_on(base, hot, keys), "left")
-    tagged = tagged.select(
-        *[base[c] for c in cols], base["_pos"],
-        F.when(hot["_w"].isNull(), F.lit(0).cast("long"))
-         .otherwise(F.least(F.floor((base["_pos"] - hot["_lo"]) / hot["_w"]).cast("long"),
-                            hot["_k"] - 1))
+    on_hot = _and([F.col(k).eqNullSafe(F.col(hk[k])) for k in keys])
+    tagged = df.withColumn("_pos", pos).join(hot, on_hot, "left").select(
+        *cols,
+        F.when(F.col("_w").isNull(), F.lit(0).cast("long"))
+         .otherwise(F.least(F.floor((F.col("_pos") - F.col("_lo")) / F.col("_w")).cast("long"),
+                            F.col("_k") - 1))
          .alias("_chunk"),
-        hot["_w"].isNotNull().alias("_hot"),
+        F.col("_w").isNotNull().alias("_hot"),
     )
 
     # 4. Local running values per (key, chunk): one shuffle, no hot task.
     w = (Window.partitionBy(*keys, "_chunk").orderBy(order, *tiebreak)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = tagged.select(
-        *cols, "_chunk", "_hot",
+        *cols, "_chunk",
         *[F.sum(v).over(w).alias(f"_ls_{n}") for n, v in sums.items()],
         *([F.count(F.lit(1)).over(w).alias("_lc")] if count else []),
     )
@@ -113,23 +123,33 @@ def running_by(df: DataFrame, keys, order: str, sums: Mapping[str, Column] | Non
                    F.count(F.lit(1)).alias("_tc")))
     before = (Window.partitionBy(*keys).orderBy("_chunk")
               .rowsBetween(Window.unboundedPreceding, -1))
+    ok = {k: f"_ok_{i}" for i, k in enumerate(keys)}
     offsets = totals.select(
-        *keys, "_chunk",
+        *[F.col(k).alias(ok[k]) for k in keys], F.col("_chunk").alias("_ochunk"),
         *[F.sum(f"_t_{n}").over(before).alias(f"_o_{n}") for n in sums],
         F.sum("_tc").over(before).alias("_oc"),
     )
     offsets = F.broadcast(offsets)  # one row per hot chunk: ~total/rows_per_chunk
-    joined = local.join(offsets, _null_safe_on(local, offsets, [*keys, "_chunk"]), "left")
-
-    out = [local[c] for c in cols]
-    for n, v in sums.items():
-        off = F.coalesce(offsets[f"_o_{n}"], F.lit(0).cast(local.schema[f"_ls_{n}"].dataType))
-        out.append((local[f"_ls_{n}"] + off).alias(n))
+    on_off = _and([F.col(k).eqNullSafe(F.col(ok[k])) for k in keys]
+                  + [F.col("_chunk") == F.col("_ochunk")])
+    joined = local.join(offsets, on_off, "left")
+
+    out = [F.col(c) for c in cols]
+    for n in sums:
+        zero = F.lit(0).cast(local.schema[f"_ls_{n}"].dataType)
+        out.append((F.col(f"_ls_{n}") + F.coalesce(F.col(f"_o_{n}"), zero)).alias(n))
     if count:
-        out.append((local["_lc"] + F.coalesce(offsets["_oc"], F.lit(0))).alias(count))
+        out.append((F.col("_lc") + F.coalesce(F.col("_oc"), F.lit(0))).alias(count))
     return joined.select(*out)
 
 
+def _and(conds: list[Column]) -> Column:
+    out = conds[0]
+    for c in conds[1:]:
+        out = out & c
+    return out
+
+
 def latest_by(df: DataFrame, keys, order: str, values: Sequence[str]) -> DataFrame:
     """Last row per key by ``order`` (A10): what repeated upserts leave behind.
 

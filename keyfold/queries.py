@@ -83,6 +83,25 @@ def a10_latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("running_count").alias("count"))
 
 
+def _running_listing(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    from keyfold.plans.running import running_report
+    rows = parse_listings(_lines(spark, sf_dir, "listing"))
+    rows = rows.withColumn("id", F.col("id").cast("bigint"))
+    return running_report(table, rows, "id")
+
+
+def a9_running_neighborhood_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A9 on J2: each listing line's neighborhood mean and count so far (by id)."""
+    return _running_listing(spark, sf_dir, "neighborhood_avg_price")
+
+
+def a10_latest_neighborhood_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10 on the running J2: the last running row per key is the batch J2."""
+    from keyfold.plans.running import latest_report
+    run = _running_listing(spark, sf_dir, "neighborhood_avg_price")
+    return latest_report(run, "neighborhood_avg_price", "id")
+
+
 def p7_thousands_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unit prices written with thousands separators, parsed back."""
     rows = parse_listings(_lines(spark, sf_dir, "listing_thousands"),
@@ -180,6 +199,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "j10_monthly_avg_adr": j10_monthly_avg_adr,
     "a9_running_mean": a9_running_mean,
     "a10_latest_per_key": a10_latest_per_key,
+    "a9_running_neighborhood_price": a9_running_neighborhood_price,
+    "a10_latest_neighborhood_price": a10_latest_neighborhood_price,
     "p7_thousands_price": p7_thousands_price,
     "p8_digits_or_zero": p8_digits_or_zero,
     "j2_stream": j2_stream,
@@ -242,6 +263,12 @@ ORACLE_SQL: dict[str, str] = {
     "a10_latest_per_key":
         "SELECT user_id, " + _MEAN2.format(num=_MONEY_SUM.format(c="value"))
         + " AS avg_value, count(*) AS \"count\" FROM events GROUP BY 1",
+    "a9_running_neighborhood_price":
+        "SELECT o_orderkey AS id, 'N' || (o_custkey % 25) AS neighborhood, "
+        "CAST(printf('%.2f', CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) OVER w AS DOUBLE) "
+        "/ count(*) OVER w) AS DOUBLE) AS avg_price, count(*) OVER w AS \"count\" FROM orders "
+        "WINDOW w AS (PARTITION BY o_custkey % 25 ORDER BY o_orderkey "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
     "p7_thousands_price":
         "SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS unit_price FROM orders",
     "p8_digits_or_zero":
@@ -253,5 +280,6 @@ ORACLE_SQL: dict[str, str] = {
         "UNION ALL SELECT 'retired', CAST(9 AS BIGINT)",
 }
 ORACLE_SQL["j2_stream"] = ORACLE_SQL["j2_neighborhood_avg_price"]
+ORACLE_SQL["a10_latest_neighborhood_price"] = ORACLE_SQL["j2_neighborhood_avg_price"]
 ORACLE_SQL["j4_stream"] = ORACLE_SQL["j4_orientation_focus"]
 ORACLE_SQL["j4_stream_resume"] = ORACLE_SQL["j4_orientation_focus"]

@@ -19,7 +19,7 @@ from keyfold import fs
 from keyfold.schema import BOOKING_COLUMNS, LISTING_COLUMNS
 from keyfold.session import shared_path
 
-RENDER_VERSION = "r1"
+RENDER_VERSION = "r3"
 
 # Fixed values of the rendering rules.
 ORIENTATIONS = ["南", "北", "东", "西", "东南", "西南", "东北", "西北"]
@@ -106,12 +106,12 @@ def write_lines(spark: SparkSession, orders: DataFrame, kind: str, path: str,
     """Write rendered lines (plus one header line per file) as text at ``path``."""
     n = int(n_files or spark.sparkContext.defaultParallelism)
     src = orders if where is None else orders.filter(where)
-    body = src.select(line_for(kind).alias("value"),
-                      F.pmod(F.xxhash64("o_orderkey"), F.lit(n)).alias("_pid"),
-                      F.lit(1).alias("_seq"))
-    heads = spark.range(n).select(F.lit(header_for(kind)).alias("value"),
-                                  F.col("id").alias("_pid"), F.lit(0).alias("_seq"))
-    (body.unionByName(heads).repartition(n, "_pid").sortWithinPartitions("_pid", "_seq")
+    body = src.select(line_for(kind).alias("value"), F.lit(1).alias("_seq"))
+    # n header rows from ONE partition: round-robin sends them to n distinct
+    # output partitions, so every file gets exactly one header, placed first.
+    heads = spark.range(0, n, 1, 1).select(F.lit(header_for(kind)).alias("value"),
+                                            F.lit(0).alias("_seq"))
+    (body.unionByName(heads).repartition(n).sortWithinPartitions("_seq")
      .select("value").write.mode("overwrite").text(path))
     return path
 
