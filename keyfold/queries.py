@@ -160,6 +160,36 @@ def j4_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.read()
 
 
+def a11_stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 on a high-cardinality key: word counts of whole documents as a stream.
+
+    Half of the documents arrive first, the rest later (two runs, one
+    checkpoint); changed words are upserted into a hash-bucketed file table,
+    so the second run rewrites only the buckets its words touch.
+    """
+    from keyfold.streaming.upsert import start_upsert_stream
+    ensure_checkpoint_dir(spark)
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    src = fresh_path(spark, "stream-input", "documents")
+    ckpt = fresh_path(spark, "streams", "word_count")
+    out = FileTable(spark, fresh_path(spark, "tables", "word_count"), ["word"], buckets=8)
+    half = F.pmod(F.col("doc_id"), F.lit(2)) == 0
+    for part, cond in (("a", half), ("b", ~half)):
+        docs.filter(cond).write.mode("overwrite").parquet(f"{src}/part={part}")
+        stream = spark.readStream.schema(docs.schema).parquet(f"{src}/*")
+        q = start_upsert_stream(word_count(stream, "text"), out.as_batch_sink(), ckpt,
+                                available_now=True)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(f"word count stream failed: {q.exception()}")
+    return out.read()
+
+
+def k5_upsert_merge_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 on a hash-bucketed file table (touched buckets rewritten only)."""
+    return _k5(spark, sf_dir, buckets=4)
+
+
 def k4_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4: J1's result written as parquet and read back."""
     path = write_parquet(j1_district_stats(spark, sf_dir), fresh_path(spark, "results", "k4"))
@@ -168,12 +198,16 @@ def k4_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def k5_upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5: a file table holding early counts plus a retired key, upserted with full counts."""
+    return _k5(spark, sf_dir, buckets=None)
+
+
+def _k5(spark: SparkSession, sf_dir: str, buckets: int | None) -> DataFrame:
     ensure_checkpoint_dir(spark)
     ev = _table(spark, sf_dir, "events")
     early = (ev.filter(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))
              .groupBy("event_type").agg(F.count(F.lit(1)).alias("n")))
     retired = spark.createDataFrame([("retired", 9)], "event_type string, n long")
-    table = FileTable(spark, fresh_path(spark, "tables", "k5"), ["event_type"])
+    table = FileTable(spark, fresh_path(spark, "tables", "k5"), ["event_type"], buckets=buckets)
     table.overwrite(early.unionByName(retired))
     table.upsert(ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")))
     return table.read()
@@ -208,6 +242,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "j4_stream_resume": j4_stream_resume,
     "k4_parquet_roundtrip": k4_parquet_roundtrip,
     "k5_upsert_merge": k5_upsert_merge,
+    "k5_upsert_merge_bucketed": k5_upsert_merge_bucketed,
+    "a11_stream_word_count": a11_stream_word_count,
     "s5_synth_listings": s5_synth_listings,
 }
 
@@ -280,6 +316,8 @@ ORACLE_SQL: dict[str, str] = {
         "UNION ALL SELECT 'retired', CAST(9 AS BIGINT)",
 }
 ORACLE_SQL["j2_stream"] = ORACLE_SQL["j2_neighborhood_avg_price"]
+ORACLE_SQL["k5_upsert_merge_bucketed"] = ORACLE_SQL["k5_upsert_merge"]
+ORACLE_SQL["a11_stream_word_count"] = ORACLE_SQL["a11_document_word_count"]
 ORACLE_SQL["a10_latest_neighborhood_price"] = ORACLE_SQL["j2_neighborhood_avg_price"]
 ORACLE_SQL["j4_stream"] = ORACLE_SQL["j4_orientation_focus"]
 ORACLE_SQL["j4_stream_resume"] = ORACLE_SQL["j4_orientation_focus"]

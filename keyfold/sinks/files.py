@@ -11,10 +11,18 @@ so replaying the same batch id after a crash rewrites the same version from
 the same input: the sink is idempotent per batch id, which is what makes
 ``foreachBatch`` exactly-once here.  The anti join is a regular Spark join;
 AQE turns it into a broadcast join when the batch is measured to be small.
+
+With ``buckets=N`` the table is hash-bucketed by key: a version holds only
+the buckets its batch touched, plus a small manifest naming, for every
+bucket, the version that holds its current data.  An upsert then reads and
+rewrites only the touched buckets, so its cost follows the batch, not the
+table (large key sets such as word counts).  A version is committed when its
+manifest exists.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,12 +50,37 @@ def _null_safe_anti(target: DataFrame, batch: DataFrame, keys: Sequence[str]) ->
     return target.join(batch, cond, "left_anti")
 
 
+_BUCKET = "_bucket"
+_MANIFEST = "_manifest.json"
+
+
 class FileTable:
     """Versioned parquet table with a declared key (the K1 rule without a database)."""
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], retain: int | None = 3):
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], retain: int | None = 3,
+                 buckets: int | None = None):
         self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
         self.retain = retain
+        self.buckets = int(buckets) if buckets else None
+
+    def _bucket_of(self) -> "F.Column":
+        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets))
+
+    def _committed(self, v: int) -> bool:
+        marker = _MANIFEST if self.buckets else "_SUCCESS"
+        return fs.exists(self.spark, f"{self._dir(v)}/{marker}")
+
+    def manifest(self, version: int | None = None) -> dict[int, int]:
+        """Bucketed tables: bucket -> version holding its data."""
+        v = self.current_version() if version is None else version
+        if v is None:
+            return {}
+        text = fs.read_text(self.spark, f"{self._dir(v)}/{_MANIFEST}")
+        return {int(b): int(x) for b, x in json.loads(text or "{}").items()}
+
+    def _bucket_paths(self, manifest: dict[int, int], only=None) -> list[str]:
+        return [f"{self._dir(v)}/{_BUCKET}={b}" for b, v in sorted(manifest.items())
+                if only is None or b in only]
 
     # -- versions -----------------------------------------------------------
     def _dir(self, version: int) -> str:
@@ -58,7 +91,7 @@ class FileTable:
         for name in fs.list_dirs(self.spark, self.path):
             if name.startswith(_PREFIX) and name[len(_PREFIX):].isdigit():
                 v = int(name[len(_PREFIX):])
-                if fs.exists(self.spark, self._dir(v) + "/_SUCCESS"):
+                if self._committed(v):
                     out.append(v)
         return sorted(out)
 
@@ -70,6 +103,11 @@ class FileTable:
         v = self.current_version() if version is None else version
         if v is None:
             raise FileNotFoundError(f"no committed version under {self.path}")
+        if self.buckets:
+            paths = self._bucket_paths(self.manifest(v))
+            if not paths:
+                raise FileNotFoundError(f"version {v} of {self.path} is empty")
+            return self.spark.read.parquet(*paths)
         return self.spark.read.parquet(self._dir(v))
 
     # -- writes -------------------------------------------------------------
@@ -77,10 +115,27 @@ class FileTable:
         """Replace the whole table (a new version)."""
         cur = self.current_version()
         v = (0 if cur is None else cur + 1) if version is None else version
-        df.write.mode("overwrite").parquet(self._dir(v))
+        if self.buckets:
+            self._write_buckets(df, v, {})
+        else:
+            df.write.mode("overwrite").parquet(self._dir(v))
         self._prune()
         return v
 
+    def _write_buckets(self, df: DataFrame, version: int, base: dict[int, int]) -> None:
+        """Write ``df`` as the buckets it covers, then the manifest (the commit)."""
+        # rebalance: rows of a bucket go to few tasks (few files per bucket), and
+        # AQE still splits an oversized bucket across tasks.
+        (df.withColumn(_BUCKET, self._bucket_of())
+         .hint("rebalance", _BUCKET).write.mode("overwrite").partitionBy(_BUCKET)
+         .parquet(self._dir(version)))
+        written = {int(name.split("=", 1)[1]) for name in fs.list_dirs(self.spark, self._dir(version))
+                   if name.startswith(_BUCKET + "=")}
+        manifest = dict(base)
+        manifest.update({b: version for b in written})
+        fs.write_text(self.spark, f"{self._dir(version)}/{_MANIFEST}",
+                      json.dumps({str(b): v for b, v in sorted(manifest.items())}))
+
     def upsert(self, batch: DataFrame, version: int | None = None) -> int:
         """Insert or replace the batch's rows by key (batch keys must be unique).
 
@@ -91,21 +146,47 @@ class FileTable:
         if version is None:
             version = (committed[-1] + 1) if committed else 0
         base = [v for v in committed if v < version]
-        if base:
-            target = self.spark.read.parquet(self._dir(base[-1]))
+        batch = batch.persist()  # read twice below; recomputable from lineage if lost
+        try:
+            if self.buckets:
+                self._upsert_buckets(batch, version, base[-1] if base else None)
+            else:
+                if base:
+                    target = self.spark.read.parquet(self._dir(base[-1]))
+                    merged = _null_safe_anti(target, batch, self.keys) \
+                        .unionByName(batch.select(*target.columns))
+                else:
+                    merged = batch
+                merged.write.mode("overwrite").parquet(self._dir(version))
+        finally:
+            batch.unpersist()
+        self._prune()
+        return version
+
+    def _upsert_buckets(self, batch: DataFrame, version: int, base_version: int | None) -> None:
+        base = self.manifest(base_version) if base_version is not None else {}
+        # The touched bucket ids: at most `buckets` small integers.
+        touched = {r[0] for r in batch.select(self._bucket_of().alias("b")).distinct().collect()}
+        old_paths = self._bucket_paths(base, only=touched)
+        if old_paths:
+            target = self.spark.read.parquet(*old_paths)
             merged = _null_safe_anti(target, batch, self.keys) \
                 .unionByName(batch.select(*target.columns))
         else:
             merged = batch
-        merged.write.mode("overwrite").parquet(self._dir(version))
-        self._prune()
-        return version
+        self._write_buckets(merged, version, base)
 
     def _prune(self) -> None:
         if not self.retain:
             return
-        for v in self.versions()[:-self.retain]:
-            fs.delete(self.spark, self._dir(v))
+        keep_versions = self.versions()[-self.retain:]
+        live = set(keep_versions)
+        if self.buckets:
+            for v in keep_versions:
+                live |= set(self.manifest(v).values())
+        for v in self.versions():
+            if v not in live:
+                fs.delete(self.spark, self._dir(v))
 
     def as_batch_sink(self):
         """``foreachBatch`` callback: batch ``b`` becomes version ``b + 1``."""
