@@ -83,12 +83,13 @@ def mean_by(df: DataFrame, keys, value: Column, name: str, count: str | None = N
 
 
 def word_count(df: DataFrame, text: str | Column, word: str = "word", count: str = "count",
-               separators: str | None = None, spread_input: bool = True) -> DataFrame:
+               separators: str | None = None, spread_input: bool = False) -> DataFrame:
     """Word frequency (A11): split, explode, drop blank words, count per word.
 
     The explode runs inside the map stage and the partial aggregate folds
     repeated words per partition before the shuffle, so the shuffle carries at
-    most one row per distinct word per partition.
+    most one row per distinct word per partition.  ``spread_input`` spreads an
+    input with fewer partitions than cores first (see :func:`spread`).
     """
     t = F.col(text) if isinstance(text, str) else text
     src = df.select(t.alias("_text"))
