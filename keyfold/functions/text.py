@@ -23,6 +23,7 @@ QUOTED_FIELD = '(?:^|(?<=,))((?:[^",]++|"[^"]*+")*+)'
 # Title words are separated by runs of full-width commas and ASCII whitespace;
 # the ASCII comma is not a separator.
 TITLE_WORD_SEPARATORS = "[，\\s]+"
+TITLE_WORD = "[^，\\s]+"
 # Unit suffix of the listing unit price, and the "<lifts>梯<households>户" ratio.
 UNIT_PRICE_SUFFIX = "元/平"
 ELEVATOR_RATIO_PATTERN = "^([0-9]+)梯([0-9]+)户\\z"
@@ -53,6 +54,27 @@ def quote_count(col) -> Column:
     return F.octet_length(_c(col)) - F.octet_length(strip_quotes(col))
 
 
+def _occurrences(col, s: str) -> Column:
+    """Non-overlapping occurrences of ``s`` (byte lengths: no decoding)."""
+    c = _c(col)
+    return (F.octet_length(c) - F.octet_length(F.replace(c, F.lit(s), F.lit("")))) / len(s)
+
+
+def simple_quoted(col, min_fields: int = 1) -> Column:
+    """True for ``"f0","f1",...,"fn"`` lines whose fields hold no quote.
+
+    Every quote is then a field boundary: the first and the last character,
+    and the two quotes of each ``","`` delimiter.  On such lines the split
+    rule, the quote removal and a standard CSV parser all agree, so a CSV
+    parser may be used.  ``min_fields`` also requires that many fields.
+    Purely byte-level checks, no regex.
+    """
+    c = _c(col)
+    quotes, delims = _occurrences(c, '"'), _occurrences(c, '","')
+    return (c.startswith('"') & c.endswith('"') & ~c.startswith('","') & ~c.endswith('","')
+            & (quotes == 2 * delims + 2) & (delims + 1 >= min_fields))
+
+
 def quote_split(col) -> Column:
     """Split a line on commas outside double quotes (quotes are kept).
 
@@ -129,8 +151,13 @@ def round2(col) -> Column:
 
 
 def split_words(col) -> Column:
-    """Array of title words: split on full-width commas / whitespace runs."""
-    return F.split(_c(col), TITLE_WORD_SEPARATORS)
+    """Array of the non-empty title words between full-width comma /
+    whitespace runs (the non-empty parts of a split on the separators).
+
+    Matched as runs of non-separators with a pattern compiled once per task;
+    ``split`` would compile its regex again for every row.
+    """
+    return F.regexp_extract_all(_c(col), F.lit(TITLE_WORD), 0)
 
 
 def hotel_key(hotel, method) -> Column:

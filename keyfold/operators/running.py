@@ -54,7 +54,7 @@ def _position(df: DataFrame, order: str) -> Column:
 def running_by(df: DataFrame, keys, order: str, sums: Mapping[str, Column] | None = None,
                count: str | None = "running_count", tiebreak: Sequence[str] = (),
                rows_per_chunk: int = 4_000_000, max_hot_keys: int = 100_000,
-               oversplit: int = 2) -> DataFrame:
+               oversplit: int = 2, checkpoint_input: bool = False) -> DataFrame:
     """Append running sums (and a running row count) per key, in ``order``.
 
     ``order`` (plus ``tiebreak``) should be unique within a key; ties are
@@ -64,15 +64,20 @@ def running_by(df: DataFrame, keys, order: str, sums: Mapping[str, Column] | Non
 
     Passes over ``df``: one for the key statistics (checkpointed: one row per
     key), one for the windowed output, and, only if some key is hot, one more
-    for the chunk totals of the hot keys.
+    for the chunk totals of the hot keys.  ``checkpoint_input`` first writes
+    the (narrow) input to the checkpoint folder, so an expensive input (parsed
+    text) is computed once and the later passes read it back; it also cuts the
+    lineage, so a lost executor does not re-run the parse.
     """
     keys = _keys(keys)
     sums = dict(sums or {})
     if not sums and not count:
         raise ValueError("nothing to compute: give sums and/or count")
+    ensure_checkpoint_dir(df.sparkSession)
+    if checkpoint_input:
+        df = df.checkpoint(eager=True)
     cols = df.columns
     pos = _position(df, order)
-    ensure_checkpoint_dir(df.sparkSession)
 
     # 1-2. Key statistics, the total, and the hot keys (at most max_hot_keys).
     stats = (df.select(*keys, pos.alias("_pos"))

@@ -81,6 +81,12 @@ def running_report(table: str, rows: DataFrame, order: str, **running_opts) -> D
             order, F.posexplode(split_words(F.col("title"))).alias("_pos", "word"))
         src = words.filter(ctl_trim(F.col("word")) != "")
         tiebreak = ["_pos"]
+    # Narrow the rows to what the running values need, then let running_by
+    # compute them once (checkpointed) instead of re-parsing per pass.
+    src = src.select(*dict.fromkeys([order, *keys, *tiebreak]),
+                     *[v.alias(f"_v{i}") for i, v in enumerate(sums.values())])
+    sums = {n: F.col(f"_v{i}") for i, n in enumerate(sums)}
+    running_opts.setdefault("checkpoint_input", True)
     run = running_by(src, keys, order, sums=sums, count=count, tiebreak=tiebreak, **running_opts)
     for name, c in finish.items():
         run = run.withColumn(name, c)

@@ -101,21 +101,27 @@ def header_for(kind: str) -> str:
     return header_line(BOOKING_COLUMNS if kind == "booking" else LISTING_COLUMNS)
 
 
-def write_lines(spark: SparkSession, orders: DataFrame, kind: str, path: str,
-                n_files: int | None = None, where: Column | None = None) -> str:
-    """Write rendered lines (plus one header line per file) as text at ``path``."""
+def write_with_headers(spark: SparkSession, lines: DataFrame, header: str, path: str,
+                       n_files: int | None = None) -> str:
+    """Write ``value`` lines as ``n_files`` text files, each starting with ``header``."""
     n = int(n_files or spark.sparkContext.defaultParallelism)
-    src = orders if where is None else orders.filter(where)
-    body = src.select(line_for(kind).alias("value"), F.lit(1).alias("_seq"))
+    body = lines.select("value", F.lit(1).alias("_seq"))
     # n header rows from ONE partition: round-robin sends them to n distinct
     # output partitions, so every file gets exactly one header, placed first.
-    heads = spark.range(0, n, 1, 1).select(F.lit(header_for(kind)).alias("value"),
-                                            F.lit(0).alias("_seq"))
+    heads = spark.range(0, n, 1, 1).select(F.lit(header).alias("value"), F.lit(0).alias("_seq"))
     (body.unionByName(heads).repartition(n).sortWithinPartitions("_seq")
      .select("value").write.mode("overwrite").text(path))
     return path
 
 
+def write_lines(spark: SparkSession, orders: DataFrame, kind: str, path: str,
+                n_files: int | None = None, where: Column | None = None) -> str:
+    """Write rendered lines (plus one header line per file) as text at ``path``."""
+    src = orders if where is None else orders.filter(where)
+    return write_with_headers(spark, src.select(line_for(kind).alias("value")), header_for(kind),
+                              path, n_files)
+
+
 def fixture_lines(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """Rendered lines of ``sf_dir``'s orders, materialized once, read as text."""
     return spark.read.text(fixture_path(spark, sf_dir, kind))
