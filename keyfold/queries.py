@@ -116,10 +116,17 @@ def p8_digits_or_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("event_id", digits_or_zero(F.col("props")).alias("k"))
 
 
+def _state_partitions(spark: SparkSession) -> int:
+    # Result tables here have at most a few hundred thousand keys: one state
+    # store per core is plenty; a cluster deployment sizes this to its state.
+    return spark.sparkContext.defaultParallelism
+
+
 def _stream_into_table(spark: SparkSession, table: str, source: str, files_per_trigger: int,
                        checkpoint: str, out: FileTable) -> None:
     lines = stream_lines(spark, source, max_files_per_trigger=files_per_trigger)
-    q = run_report_stream(table, lines, out.as_batch_sink(), checkpoint, available_now=True)
+    q = run_report_stream(table, lines, out.as_batch_sink(), checkpoint, available_now=True,
+                          state_partitions=_state_partitions(spark))
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"stream {table} failed: {q.exception()}")
@@ -154,7 +161,7 @@ def j4_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = FileTable(spark, fresh_path(spark, "tables", table), keys_of(table))
     half = F.pmod(F.col("o_orderkey"), F.lit(2)) == 0
     write_lines(spark, orders, "listing", f"{src}/part=a", where=half)
-    per_trigger = max(1, spark.sparkContext.defaultParallelism // 2)
+    per_trigger = 10_000  # one micro-batch per run; the second run resumes the first
     _stream_into_table(spark, table, f"{src}/*", per_trigger, ckpt, out)
     write_lines(spark, orders, "listing", f"{src}/part=b", where=~half)
     _stream_into_table(spark, table, f"{src}/*", per_trigger, ckpt, out)
@@ -179,7 +186,7 @@ def a11_stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs.filter(cond).write.mode("overwrite").parquet(f"{src}/part={part}")
         stream = spark.readStream.schema(docs.schema).parquet(f"{src}/*")
         q = start_upsert_stream(word_count(stream, "text"), out.as_batch_sink(), ckpt,
-                                available_now=True)
+                                available_now=True, state_partitions=_state_partitions(spark))
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(f"word count stream failed: {q.exception()}")

@@ -58,10 +58,15 @@ def _num(seed: int, id_col: Column, salt: int, n: int, base: int = 0) -> Column:
 
 
 def synth_listings(ids: DataFrame, id_col: str = "id", seed: int = 42,
-                   date: str = "2024-12-01", url_base: str = "https://example.com/listing/") -> DataFrame:
-    """One synthetic listing per row of ``ids`` (columns as the listing layout)."""
+                   date: str | None = "2024-12-01",
+                   url_base: str = "https://example.com/listing/") -> DataFrame:
+    """One synthetic listing per row of ``ids`` (columns as the listing layout).
+
+    ``date`` fills both date columns; ``None`` renders today's date as
+    ``yyyy-MM-dd`` (P19), at the price of run-to-run determinism.
+    """
     i = F.col(id_col).cast("long")
-    d = F.lit(date)
+    d = F.lit(date) if date is not None else F.date_format(F.current_date(), "yyyy-MM-dd")
     level = _pick(seed, i, 7, FLOOR_LEVELS)
     cols = {
         "id": i,

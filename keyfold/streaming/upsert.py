@@ -32,8 +32,28 @@ def use_rocksdb_state(spark: SparkSession) -> None:
 def start_upsert_stream(result: DataFrame, sink: Callable[[DataFrame, int], None],
                         checkpoint: str, available_now: bool = False,
                         processing_time: str | None = None,
-                        query_name: str | None = None) -> StreamingQuery:
-    """Start ``result`` (a streaming aggregate) in update mode into ``sink``."""
+                        query_name: str | None = None,
+                        state_partitions: int | None = None) -> StreamingQuery:
+    """Start ``result`` (a streaming aggregate) in update mode into ``sink``.
+
+    ``state_partitions`` sizes the aggregation state (one state store per
+    partition, fixed for the life of the checkpoint); it applies to this
+    query only, the session setting is restored once the query has started.
+    A resumed query keeps the count recorded in its checkpoint.
+    """
+    spark = result.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key) if state_partitions else None
+    if state_partitions:
+        spark.conf.set(key, str(int(state_partitions)))
+    try:
+        return _start(result, sink, checkpoint, available_now, processing_time, query_name)
+    finally:
+        if state_partitions:
+            spark.conf.set(key, before)
+
+
+def _start(result, sink, checkpoint, available_now, processing_time, query_name) -> StreamingQuery:
     w = (result.writeStream.outputMode("update")
          .option("checkpointLocation", checkpoint)
          .foreachBatch(sink))
@@ -48,7 +68,7 @@ def start_upsert_stream(result: DataFrame, sink: Callable[[DataFrame, int], None
 
 def run_report_stream(table: str, lines: DataFrame, sink: Callable[[DataFrame, int], None],
                       checkpoint: str, available_now: bool = True, on_bad: str = "fail",
-                      **parse_opts) -> StreamingQuery:
+                      state_partitions: int | None = None, **parse_opts) -> StreamingQuery:
     """Report ``table`` over streaming ``lines``; bounded input with availableNow."""
     return start_upsert_stream(run_report(table, lines, on_bad, **parse_opts), sink, checkpoint,
-                               available_now=available_now, query_name=None)
+                               available_now=available_now, state_partitions=state_partitions)

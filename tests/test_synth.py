@@ -35,3 +35,10 @@ def test_synthetic_lines_feed_the_reports(spark):
     got = run_report("district_stats", lines)
     want = df.groupBy("district").agg(F.count(F.lit(1)).alias("house_count"))
     assert got.exceptAll(want).count() == 0
+
+
+def test_today_date_rendering(spark):
+    import datetime
+    row = synth_listings_range(spark, 1, date=None).first()
+    assert row.post_date == row.update_date
+    assert abs((datetime.date.fromisoformat(row.post_date) - datetime.date.today()).days) <= 1
