@@ -16,9 +16,10 @@ without ever putting a whole hot key into one task:
    rows; every other key is one chunk;
 4. the window runs per (key, chunk) -- one shuffle of the data (with no hot
    key this is the plain per-key window);
-5. chunk totals of hot keys (bounded: about ``total / rows_per_chunk`` rows)
-   give each chunk the sum of all earlier chunks, added back through a
-   broadcast join.
+5. chunk totals of hot keys give each chunk the sum of all earlier chunks,
+   added back through a broadcast join.  Chunks hold at least
+   ``total / max_chunks`` rows, so there are at most about
+   ``oversplit * (max_chunks + max_hot_keys)`` of them whatever the input size.
 """
 
 from __future__ import annotations
@@ -54,7 +55,8 @@ def _position(df: DataFrame, order: str) -> Column:
 def running_by(df: DataFrame, keys, order: str, sums: Mapping[str, Column] | None = None,
                count: str | None = "running_count", tiebreak: Sequence[str] = (),
                rows_per_chunk: int = 4_000_000, max_hot_keys: int = 100_000,
-               oversplit: int = 2, checkpoint_input: bool = False) -> DataFrame:
+               oversplit: int = 2, checkpoint_input: bool = False,
+               max_chunks: int = 200_000) -> DataFrame:
     """Append running sums (and a running row count) per key, in ``order``.
 
     ``order`` (plus ``tiebreak``) should be unique within a key; ties are
@@ -86,7 +88,11 @@ def running_by(df: DataFrame, keys, order: str, sums: Mapping[str, Column] | Non
                   F.max("_pos").alias("_hi"))
              .checkpoint(eager=True))
     total = stats.agg(F.sum("_n")).first()[0] or 0
-    threshold = max(int(rows_per_chunk), -(-total // max(int(max_hot_keys), 1)))
+    # Chunks grow with the data so that there are at most about
+    # oversplit * (max_chunks + max_hot_keys) of them: a constant bound on the
+    # offsets broadcast below.
+    rows_per_chunk = max(int(rows_per_chunk), -(-total // max(int(max_chunks), 1)))
+    threshold = max(rows_per_chunk, -(-total // max(int(max_hot_keys), 1)))
     n_chunks = F.ceil(F.col("_n") / F.lit(rows_per_chunk)) * F.lit(oversplit)
     hot = (stats.filter(F.col("_n") > threshold)
            .select(*keys, "_lo",
@@ -134,7 +140,7 @@ def running_by(df: DataFrame, keys, order: str, sums: Mapping[str, Column] | Non
         *[F.sum(f"_t_{n}").over(before).alias(f"_o_{n}") for n in sums],
         F.sum("_tc").over(before).alias("_oc"),
     )
-    offsets = F.broadcast(offsets)  # one row per hot chunk: ~total/rows_per_chunk
+    offsets = F.broadcast(offsets)  # one row per hot chunk, see max_chunks
     on_off = _and([F.col(k).eqNullSafe(F.col(ok[k])) for k in keys]
                   + [F.col("_chunk") == F.col("_ochunk")])
     joined = local.join(offsets, on_off, "left")

@@ -60,3 +60,11 @@ def test_null_keys_and_timestamp_order(spark):
         "k string, ts string, v int").withColumn("ts", F.col("ts").cast("timestamp"))
     got = running_by(df, "k", "ts", sums={"s": F.col("v")}, count=None, rows_per_chunk=1)
     assert sorted((r.k, r.s) for r in got.collect() if r.k is None) == [(None, 1), (None, 3)]
+
+
+def test_max_chunks_bounds_offsets(spark, skewed):
+    # rows_per_chunk=1 would make one chunk per row; max_chunks=10 raises the
+    # chunk size to total/10 rows, results stay exact.
+    got = running_by(skewed, "k", "seq", sums={"s": F.col("v")}, count="c",
+                     rows_per_chunk=1, max_chunks=10)
+    assert got.exceptAll(_plain(skewed)).count() == 0
