@@ -119,10 +119,6 @@ def to_number(col, type_: str = "double", strict: bool = True) -> Column:
     return c.cast(type_) if strict else c.try_cast(type_)
 
 
-def to_int(col, strict: bool = True) -> Column:
-    return to_number(ctl_trim(col), "int", strict)
-
-
 def unit_price(col, strip_thousands: bool = False, type_: str = "decimal(18,2)",
                strict: bool = True) -> Column:
     """``12345元/平`` -> number.  ``strip_thousands`` also drops ``,``."""

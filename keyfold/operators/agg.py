@@ -7,7 +7,7 @@ row per input partition, never all of its rows in one task.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -100,6 +100,3 @@ def word_count(df: DataFrame, text: str | Column, word: str = "word", count: str
     words = words.filter(ctl_trim(F.col(word)) != "")
     return words.groupBy(word).agg(F.count(F.lit(1)).alias(count))
 
-
-def grouping_columns(keys: Sequence[str]) -> list[Column]:
-    return [F.col(k) for k in keys]

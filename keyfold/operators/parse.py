@@ -33,10 +33,6 @@ _CSV_OPTS = {"sep": ",", "quote": '"', "escape": '"', "nullValue": "\u0000",
              "emptyValue": "", "ignoreLeadingWhiteSpace": "false",
              "ignoreTrailingWhiteSpace": "false", "mode": "PERMISSIVE"}
 
-LISTING_FIELDS = ("id", "title", "unit_price", "focus", "orientation", "year_built",
-                  "district", "neighborhood", "elevator_ratio")
-BOOKING_FIELDS = ("hotel", "is_canceled", "arrival_date_month", "nights",
-                  "country", "booking_method", "adr")
 
 
 def _check(on_bad: str) -> bool:

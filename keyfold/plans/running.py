@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from keyfold.functions.text import ctl_trim, round2, split_words
 from keyfold.operators.running import latest_by, running_by
-from keyfold.plans.reports import REPORTS
 
 
 def _ind(c: Column) -> Column:
@@ -98,6 +97,3 @@ def latest_report(running: DataFrame, table: str, order: str) -> DataFrame:
     keys = _spec(table)[0]
     return latest_by(running, keys, order, _value_columns(table))
 
-
-def report_needed(table: str) -> tuple[str, ...]:
-    return REPORTS[table].needed

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyfold.schema import LISTING_COLUMNS
-from keyfold.sources.fixtures import header_line
 
 # Fixed values of the listing generator (choices and weighted slot lists).
 TITLES = [
@@ -105,5 +104,3 @@ def to_listing_lines(listings: DataFrame) -> DataFrame:
     q = [F.concat(F.lit('"'), F.col(c).cast("string"), F.lit('"')) for c in LISTING_COLUMNS]
     return listings.select(F.concat_ws(",", *q).alias("value"))
 
-
-LISTING_HEADER = header_line(LISTING_COLUMNS)
