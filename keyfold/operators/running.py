@@ -7,8 +7,7 @@ keeps the last emitted row per key ends with the plain aggregate.
 ``sum(v) OVER (PARTITION BY keys ORDER BY order ROWS UNBOUNDED PRECEDING)``
 without ever putting a whole hot key into one task:
 
-1. per-key row counts and order ranges (one partial-aggregated pass, kept
-   as a checkpoint: one row per key);
+1. per-key row counts and order ranges (one partial-aggregated pass);
 2. keys with more rows than a threshold are *hot*; the threshold is chosen so
    that there are at most ``max_hot_keys`` of them (at most
    ``total / threshold`` keys can exceed it), which bounds the broadcast;
@@ -64,8 +63,8 @@ def running_by(df: DataFrame, keys, order: str, sums: Mapping[str, Column] | Non
     Returns ``df``'s columns plus one column per entry of ``sums`` and
     ``count``.
 
-    Passes over ``df``: one for the key statistics (checkpointed: one row per
-    key), one for the windowed output, and, only if some key is hot, one more
+    Passes over ``df``: one for the key statistics and one for the windowed
+    output; only if some key is hot, one more for the hot-key table and one
     for the chunk totals of the hot keys.  ``checkpoint_input`` first writes
     the (narrow) input to the checkpoint folder, so an expensive input (parsed
     text) is computed once and the later passes read it back; it also cuts the
@@ -85,25 +84,27 @@ def running_by(df: DataFrame, keys, order: str, sums: Mapping[str, Column] | Non
     stats = (df.select(*keys, pos.alias("_pos"))
              .groupBy(*keys)
              .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_lo"),
-                  F.max("_pos").alias("_hi"))
-             .checkpoint(eager=True))
-    total = stats.agg(F.sum("_n")).first()[0] or 0
+                  F.max("_pos").alias("_hi")))
+    total, largest = stats.agg(F.sum("_n"), F.max("_n")).first()
+    total, largest = total or 0, largest or 0
     # Chunks grow with the data so that there are at most about
     # oversplit * (max_chunks + max_hot_keys) of them: a constant bound on the
     # offsets broadcast below.
     rows_per_chunk = max(int(rows_per_chunk), -(-total // max(int(max_chunks), 1)))
     threshold = max(rows_per_chunk, -(-total // max(int(max_hot_keys), 1)))
-    n_chunks = F.ceil(F.col("_n") / F.lit(rows_per_chunk)) * F.lit(oversplit)
-    hot = (stats.filter(F.col("_n") > threshold)
-           .select(*keys, "_lo",
-                   ((F.col("_hi") - F.col("_lo") + 1).cast("double") / n_chunks).alias("_w"),
-                   n_chunks.cast("long").alias("_k")))
-    if hot.limit(1).count() == 0:
+    if largest <= threshold:
         # No hot key: one window per key is balanced enough.
         w = (Window.partitionBy(*keys).orderBy(order, *tiebreak)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return df.select(*cols, *[F.sum(v).over(w).alias(n) for n, v in sums.items()],
                          *([F.count(F.lit(1)).over(w).alias(count)] if count else []))
+    n_chunks = F.ceil(F.col("_n") / F.lit(rows_per_chunk)) * F.lit(oversplit)
+    # The hot keys, kept as a checkpoint (at most max_hot_keys rows).
+    hot = (stats.filter(F.col("_n") > threshold)
+           .select(*keys, "_lo",
+                   ((F.col("_hi") - F.col("_lo") + 1).cast("double") / n_chunks).alias("_w"),
+                   n_chunks.cast("long").alias("_k"))
+           .checkpoint(eager=True))
     hk = {k: f"_hk_{i}" for i, k in enumerate(keys)}
     hot = F.broadcast(hot.select(*[F.col(k).alias(hk[k]) for k in keys], "_lo", "_w", "_k"))
     # ^ at most max_hot_keys rows, see threshold

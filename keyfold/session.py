@@ -51,6 +51,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(_CKPT_KEY, None) or sc.getConf().get(_CKPT_KEY, None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # A driver-local folder is invisible to executors on a cluster.
+            raise RuntimeError(f"set {_CKPT_KEY} to a folder shared by the cluster "
+                               "(e.g. an hdfs:// or object-store path)")
         configured = tempfile.mkdtemp(prefix="keyfold-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
