@@ -183,7 +183,9 @@ def a11_stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = FileTable(spark, fresh_path(spark, "tables", "word_count"), ["word"], buckets=8)
     half = F.pmod(F.col("doc_id"), F.lit(2)) == 0
     for part, cond in (("a", half), ("b", ~half)):
-        docs.filter(cond).write.mode("overwrite").parquet(f"{src}/part={part}")
+        # Several files per arrival, as a topic has several partitions.
+        (docs.filter(cond).repartition(spark.sparkContext.defaultParallelism)
+         .write.mode("overwrite").parquet(f"{src}/part={part}"))
         stream = spark.readStream.schema(docs.schema).parquet(f"{src}/*")
         q = start_upsert_stream(word_count(stream, "text"), out.as_batch_sink(), ckpt,
                                 available_now=True, state_partitions=_state_partitions(spark))
