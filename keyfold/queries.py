@@ -103,6 +103,17 @@ def a10_latest_neighborhood_price(spark: SparkSession, sf_dir: str) -> DataFrame
     return latest_report(run, "neighborhood_avg_price", "id")
 
 
+def j11_rows_neighborhood_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J11's path: J2 over named listing rows (a database table's shape) whose
+    unit prices carry thousands separators; read here from Spark-derived rows
+    instead of a database (none may be started in this environment)."""
+    from keyfold.operators.parse import parse_listing_rows
+    from keyfold.plans.reports import neighborhood_avg_price
+    from keyfold.sources.fixtures import listing_rows
+    orders = _table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
+    return neighborhood_avg_price(parse_listing_rows(listing_rows(orders)))
+
+
 def p7_thousands_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unit prices written with thousands separators, parsed back."""
     rows = parse_listings(_lines(spark, sf_dir, "listing_thousands"),
@@ -245,6 +256,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a10_latest_per_key": a10_latest_per_key,
     "a9_running_neighborhood_price": a9_running_neighborhood_price,
     "a10_latest_neighborhood_price": a10_latest_neighborhood_price,
+    "j11_rows_neighborhood_price": j11_rows_neighborhood_price,
     "p7_thousands_price": p7_thousands_price,
     "p8_digits_or_zero": p8_digits_or_zero,
     "j2_stream": j2_stream,
@@ -326,6 +338,7 @@ ORACLE_SQL: dict[str, str] = {
         "UNION ALL SELECT 'retired', CAST(9 AS BIGINT)",
 }
 ORACLE_SQL["j2_stream"] = ORACLE_SQL["j2_neighborhood_avg_price"]
+ORACLE_SQL["j11_rows_neighborhood_price"] = ORACLE_SQL["j2_neighborhood_avg_price"]
 ORACLE_SQL["k5_upsert_merge_bucketed"] = ORACLE_SQL["k5_upsert_merge"]
 ORACLE_SQL["a11_stream_word_count"] = ORACLE_SQL["a11_document_word_count"]
 ORACLE_SQL["a10_latest_neighborhood_price"] = ORACLE_SQL["j2_neighborhood_avg_price"]

@@ -40,8 +40,8 @@ def header_line(columns: list[str]) -> str:
     return ",".join(f'"{c}"' for c in columns)
 
 
-def listing_line(thousands: bool = False) -> Column:
-    """One listing line per order; every field quoted, unnamed fields ``x``."""
+def listing_values(thousands: bool = False) -> dict[str, Column]:
+    """The rendered listing fields (unquoted) by column name, from ``orders``."""
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     money = F.col("o_totalprice").cast("decimal(18,2)")
     price_text = F.format_number(money, 2) if thousands else money.cast("string")
@@ -60,7 +60,19 @@ def listing_line(thousands: bool = False) -> Column:
             F.concat((cust % 2 + 1).cast("string"), F.lit("梯"),
                      (key % 6 + 1).cast("string"), F.lit("户"))),
     }
-    return F.concat_ws(",", *[_q(values.get(c, F.lit("x"))) for c in LISTING_COLUMNS])
+    return {c: values.get(c, F.lit("x")) for c in LISTING_COLUMNS}
+
+
+def listing_line(thousands: bool = False) -> Column:
+    """One listing line per order; every field quoted, unnamed fields ``x``."""
+    return F.concat_ws(",", *[_q(v) for v in listing_values(thousands).values()])
+
+
+def listing_rows(orders: DataFrame, thousands: bool = True) -> DataFrame:
+    """Orders as named listing columns without ``id``, as a database table
+    of listings returns them (the JDBC report's input shape)."""
+    vals = listing_values(thousands)
+    return orders.select(*[vals[c].alias(c) for c in LISTING_COLUMNS if c != "id"])
 
 
 def booking_line() -> Column:

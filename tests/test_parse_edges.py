@@ -147,3 +147,36 @@ def test_parse_plan_reads_each_line_once(spark):
     plan = parse_listings(df).select("neighborhood", "unit_price")._jdf.queryExecution() \
         .executedPlan().toString()
     assert plan.count("from_csv(") == 1 and plan.count("regexp_extract_all(") == 1
+
+
+def test_exclude_canceled_flags(spark):
+    from keyfold.operators.parse import parse_bookings
+    from keyfold.plans import country_statistics, hotel_statistics
+    df = lines(spark, booking_line(country='"C1"', is_canceled=1, nights=5),
+               booking_line(country='"C1"', is_canceled=0, nights=2))
+    rows = parse_bookings(df)
+    assert hotel_statistics(rows).first()["actual_stay_count"] == 7          # reference rule
+    assert hotel_statistics(rows, exclude_canceled=True).first()["actual_stay_count"] == 2
+    assert country_statistics(rows).first()["visitor_count"] == 2
+    assert country_statistics(rows, exclude_canceled=True).first()["visitor_count"] == 1
+
+
+def test_booking_quarantine_and_bad_rows(spark):
+    good = booking_line(arrival_date_month=5, adr="10.00")
+    bad = booking_line(arrival_date_month="May", adr="10.00")
+    df = lines(spark, good, bad)
+    with pytest.raises(PySparkException):
+        run_report("monthly_avg_adr", df).collect()
+    out = run_report("monthly_avg_adr", df, on_bad="quarantine").collect()
+    assert [(r.month, r.avg_adr) for r in out] == [(5, 10.0)]
+    assert [r.value for r in bad_rows(df, "booking", ["arrival_date_month", "adr"]).collect()] == [bad]
+
+
+def test_named_rows_strict_and_lenient(spark):
+    from keyfold.operators.parse import parse_listing_rows
+    rows = spark.createDataFrame([("N1", "1,234.50元/平"), (None, "10元/平")],
+                                 "neighborhood string, unit_price string")
+    with pytest.raises(PySparkException):
+        parse_listing_rows(rows).collect()
+    got = parse_listing_rows(rows, on_bad="null").select("neighborhood", "unit_price").collect()
+    assert [(r.neighborhood, float(r.unit_price)) for r in got] == [("N1", 1234.5), (None, 10.0)]
