@@ -20,9 +20,10 @@ from pyspark.sql import DataFrame
 
 
 def append_jdbc(df: DataFrame, url: str, table: str, batchsize: int = 1000,
-                num_partitions: int | None = None, column_types: str | None = None,
+                num_partitions: int | None = 32, column_types: str | None = None,
                 properties: dict | None = None, mode: str = "append") -> None:
-    """K2: batched append (``batchsize`` rows per batch, a commit per partition)."""
+    """K2: batched append (``batchsize`` rows per batch, a commit per partition,
+    at most ``num_partitions`` concurrent connections)."""
     w = (df.write.format("jdbc").mode(mode)
          .option("url", url).option("dbtable", table).option("batchsize", int(batchsize)))
     if num_partitions:
@@ -95,12 +96,18 @@ def execute_sql(spark, url: str, statements: Sequence[str], properties: dict | N
 
 def upsert_jdbc(df: DataFrame, url: str, table: str, keys: Sequence[str], dialect: str = "mysql",
                 staging: str | None = None, batchsize: int = 1000, column_types: str | None = None,
-                properties: dict | None = None) -> None:
-    """K1: insert-or-replace ``df``'s rows into ``table`` by ``keys``."""
+                properties: dict | None = None, max_connections: int = 32) -> None:
+    """K1: insert-or-replace ``df``'s rows into ``table`` by ``keys``.
+
+    ``max_connections`` caps how many tasks write the staging table at once
+    (Spark coalesces to that many partitions), so a wide DataFrame does not
+    open thousands of database connections.
+    """
     staging = staging or f"{table}_staging"
     props = dict(properties or {})
-    append_jdbc(df, url, staging, batchsize=batchsize, column_types=column_types,
-                properties={**props, "truncate": "true"}, mode="overwrite")
+    append_jdbc(df, url, staging, batchsize=batchsize, num_partitions=max_connections,
+                column_types=column_types, properties={**props, "truncate": "true"},
+                mode="overwrite")
     execute_sql(df.sparkSession, url, [merge_sql(dialect, table, staging, keys, df.columns)],
                 props)
 
