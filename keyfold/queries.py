@@ -11,19 +11,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keyfold import fs
 from keyfold.functions.text import digits_or_zero, round2
 from keyfold.operators.agg import word_count
-from keyfold.operators.parse import parse_listings
+from keyfold.operators.parse import parse_listing_rows, parse_listings
 from keyfold.operators.running import latest_by, running_by
-from keyfold.plans.reports import run_report
-from keyfold import fs
+from keyfold.plans.reports import neighborhood_avg_price, run_report
+from keyfold.plans.running import latest_report, running_report
 from keyfold.schema import keys_of
 from keyfold.session import ensure_checkpoint_dir, fresh_path
 from keyfold.sinks.files import FileTable, write_parquet
-from keyfold.sources.fixtures import fixture_lines, fixture_path, write_lines, ORDER_COLUMNS
+from keyfold.sources.fixtures import (
+    ORDER_COLUMNS, fixture_lines, fixture_path, listing_rows, write_lines,
+)
 from keyfold.sources.synth import synth_listings
 from keyfold.sources.text import stream_lines
-from keyfold.streaming.upsert import run_report_stream
+from keyfold.streaming.upsert import run_report_stream, start_upsert_stream
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,7 +88,6 @@ def a10_latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _running_listing(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    from keyfold.plans.running import running_report
     rows = parse_listings(_lines(spark, sf_dir, "listing"))
     rows = rows.withColumn("id", F.col("id").cast("bigint"))
     return running_report(table, rows, "id")
@@ -98,7 +100,6 @@ def a9_running_neighborhood_price(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def a10_latest_neighborhood_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A10 on the running J2: the last running row per key is the batch J2."""
-    from keyfold.plans.running import latest_report
     run = _running_listing(spark, sf_dir, "neighborhood_avg_price")
     return latest_report(run, "neighborhood_avg_price", "id")
 
@@ -107,9 +108,6 @@ def j11_rows_neighborhood_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J11's path: J2 over named listing rows (a database table's shape) whose
     unit prices carry thousands separators; read here from Spark-derived rows
     instead of a database (none may be started in this environment)."""
-    from keyfold.operators.parse import parse_listing_rows
-    from keyfold.plans.reports import neighborhood_avg_price
-    from keyfold.sources.fixtures import listing_rows
     orders = _table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
     return neighborhood_avg_price(parse_listing_rows(listing_rows(orders)))
 
@@ -186,7 +184,6 @@ def a11_stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     checkpoint); changed words are upserted into a hash-bucketed file table,
     so the second run rewrites only the buckets its words touch.
     """
-    from keyfold.streaming.upsert import start_upsert_stream
     ensure_checkpoint_dir(spark)
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     src = fresh_path(spark, "stream-input", "documents")
