@@ -28,6 +28,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.storagelevel import StorageLevel
 
 from keyfold.session import ensure_checkpoint_dir
 
@@ -64,8 +65,8 @@ def running_by(df: DataFrame, keys, order: str, sums: Mapping[str, Column] | Non
     ``count``.
 
     Passes over ``df``: one for the key statistics and one for the windowed
-    output; only if some key is hot, one more for the hot-key table and one
-    for the chunk totals of the hot keys.  ``checkpoint_input`` first writes
+    output; only if some key is hot, one more for the chunk totals of the hot
+    keys.  ``checkpoint_input`` first writes
     the (narrow) input to the checkpoint folder, so an expensive input (parsed
     text) is computed once and the later passes read it back; it also cuts the
     lineage, so a lost executor does not re-run the parse.
@@ -81,30 +82,39 @@ def running_by(df: DataFrame, keys, order: str, sums: Mapping[str, Column] | Non
     pos = _position(df, order)
 
     # 1-2. Key statistics, the total, and the hot keys (at most max_hot_keys).
+    # The per-key statistics are kept (memory, spilling to disk) only for the
+    # two small jobs below; lost blocks are recomputed from lineage.
     stats = (df.select(*keys, pos.alias("_pos"))
              .groupBy(*keys)
              .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_lo"),
-                  F.max("_pos").alias("_hi")))
-    total, largest = stats.agg(F.sum("_n"), F.max("_n")).first()
-    total, largest = total or 0, largest or 0
-    # Chunks grow with the data so that there are at most about
-    # oversplit * (max_chunks + max_hot_keys) of them: a constant bound on the
-    # offsets broadcast below.
-    rows_per_chunk = max(int(rows_per_chunk), -(-total // max(int(max_chunks), 1)))
-    threshold = max(rows_per_chunk, -(-total // max(int(max_hot_keys), 1)))
-    if largest <= threshold:
+                  F.max("_pos").alias("_hi"))
+             .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        total, largest = stats.agg(F.sum("_n"), F.max("_n")).first()
+        total, largest = total or 0, largest or 0
+        # Chunks grow with the data so that there are at most about
+        # oversplit * (max_chunks + max_hot_keys) of them: a constant bound on
+        # the offsets broadcast below.
+        rows_per_chunk = max(int(rows_per_chunk), -(-total // max(int(max_chunks), 1)))
+        threshold = max(rows_per_chunk, -(-total // max(int(max_hot_keys), 1)))
+        hot = None
+        if largest > threshold:
+            n_chunks = F.ceil(F.col("_n") / F.lit(rows_per_chunk)) * F.lit(oversplit)
+            # The hot keys, kept as a checkpoint (at most max_hot_keys rows).
+            hot = (stats.filter(F.col("_n") > threshold)
+                   .select(*keys, "_lo",
+                           ((F.col("_hi") - F.col("_lo") + 1).cast("double") / n_chunks)
+                           .alias("_w"),
+                           n_chunks.cast("long").alias("_k"))
+                   .checkpoint(eager=True))
+    finally:
+        stats.unpersist()
+    if hot is None:
         # No hot key: one window per key is balanced enough.
         w = (Window.partitionBy(*keys).orderBy(order, *tiebreak)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return df.select(*cols, *[F.sum(v).over(w).alias(n) for n, v in sums.items()],
                          *([F.count(F.lit(1)).over(w).alias(count)] if count else []))
-    n_chunks = F.ceil(F.col("_n") / F.lit(rows_per_chunk)) * F.lit(oversplit)
-    # The hot keys, kept as a checkpoint (at most max_hot_keys rows).
-    hot = (stats.filter(F.col("_n") > threshold)
-           .select(*keys, "_lo",
-                   ((F.col("_hi") - F.col("_lo") + 1).cast("double") / n_chunks).alias("_w"),
-                   n_chunks.cast("long").alias("_k"))
-           .checkpoint(eager=True))
     hk = {k: f"_hk_{i}" for i, k in enumerate(keys)}
     hot = F.broadcast(hot.select(*[F.col(k).alias(hk[k]) for k in keys], "_lo", "_w", "_k"))
     # ^ at most max_hot_keys rows, see threshold
