@@ -1,6 +1,6 @@
 """Job runner: one command per report, source and sink (spark-submit friendly).
 
-    spark-submit -m keyfold.jobs report --report district_stats \
+    spark-submit --py-files keyfold.zip keyfold/jobs.py report --report district_stats \
         --source text --path hdfs:///in/listings --sink filetable --target hdfs:///out/district_stats
     python -m keyfold.jobs report --report orientation_focus_count --stream \
         --source kafka --bootstrap broker:9092 --topic listings \
@@ -20,7 +20,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keyfold.operators.parse import parse_listing_rows
+from keyfold.operators.parse import apply_on_bad, parse_listing_rows
 from keyfold.plans.reports import REPORTS, run_report
 from keyfold.schema import LISTING_COLUMNS, keys_of
 from keyfold.session import ensure_checkpoint_dir
@@ -70,7 +70,8 @@ def _result(args, src: DataFrame) -> DataFrame:
     if args.source == "jdbc":
         if report.kind != "listing":
             raise SystemExit("the JDBC source holds listings")
-        return report.build(src)
+        cols = list(report.needed) or ["title"]
+        return report.build(apply_on_bad(src.select(*cols), report.needed, args.on_bad))
     opts = {"dialect": args.dialect} if report.kind == "booking" else {
         "strip_thousands": args.strip_thousands}
     return run_report(args.report, src, args.on_bad, **opts)
@@ -119,7 +120,7 @@ def generate_job(spark: SparkSession, args) -> None:
     """S5 + K2: synthetic listings as text lines, or appended to a JDBC table."""
     rows = synth_listings_range(spark, args.rows, seed=args.seed, date=args.date)
     if args.url:
-        append_jdbc(rows.drop("id"), args.url, args.table or "ershoufang", batchsize=1000,
+        append_jdbc(rows.drop("id"), args.url, args.table or "listings", batchsize=1000,
                     properties=_jdbc_props(args))
     else:
         write_with_headers(spark, to_listing_lines(rows), header_for("listing"), args.path,
@@ -142,7 +143,7 @@ def build_parser() -> argparse.ArgumentParser:
     r.add_argument("--bootstrap")
     r.add_argument("--topic")
     r.add_argument("--url")
-    r.add_argument("--source-table", default="ershoufang")
+    r.add_argument("--source-table", default="listings")
     r.add_argument("--sink", required=True, choices=["parquet", "filetable", "jdbc"])
     r.add_argument("--target", help="output path (parquet / filetable)")
     r.add_argument("--table", help="JDBC result table (default: the report name)")
