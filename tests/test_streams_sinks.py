@@ -82,7 +82,7 @@ def test_source_and_sink_options():
     o = kafka_source_options("h:9092", "listings", min_partitions=64)
     assert o["subscribe"] == "listings" and o["startingOffsets"] == "earliest" and o["minPartitions"] == "64"
     assert kafka_sink_options("h:9092", "t")["topic"] == "t"
-    j = jdbc_options("jdbc:x", table="ershoufang", partition_column="id", lower_bound=0,
+    j = jdbc_options("jdbc:x", table="listings", partition_column="id", lower_bound=0,
                      upper_bound=100, num_partitions=8, user="u")
     assert j["partitionColumn"] == "id" and j["numPartitions"] == "8" and j["user"] == "u"
     with pytest.raises(ValueError):
