@@ -160,3 +160,22 @@ def test_crash_after_sink_write_replays_to_same_table(spark, orders):
     assert q2.exception() is None
     assert same(out.read(), run_report(table, read_lines(spark, src)))
     assert out.current_version() == 3
+
+
+def test_bad_rows_as_a_side_stream(spark):
+    """The quarantine view is a plain transform, so it runs on a stream too."""
+    from keyfold.operators.parse import bad_rows
+    from tests.conftest import listing_line
+    src = fresh_path(spark, "test-bad-src")
+    good = listing_line(neighborhood="N", unit_price="10元/平")
+    bad = listing_line(neighborhood="N", unit_price="n/a元/平")
+    spark.createDataFrame([(good,), (bad,)], "value string").coalesce(1).write.text(src)
+    out = fresh_path(spark, "test-bad-out")
+    q = (bad_rows(stream_lines(spark, src), "listing", ["neighborhood", "unit_price"])
+         .writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", fresh_path(spark, "test-bad-ckpt"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert [r.value for r in spark.read.parquet(out).collect()] == [bad]
+    good_only = run_report("neighborhood_avg_price", read_lines(spark, src), on_bad="quarantine")
+    assert [(r.avg_price, r["count"]) for r in good_only.collect()] == [(10.0, 1)]
