@@ -60,19 +60,20 @@ def _occurrences(col, s: str) -> Column:
     return (F.octet_length(c) - F.octet_length(F.replace(c, F.lit(s), F.lit("")))) / len(s)
 
 
-def simple_quoted(col, min_fields: int = 1) -> Column:
+def simple_quoted(col, min_fields: int = 1, max_fields: int = 20_000) -> Column:
     """True for ``"f0","f1",...,"fn"`` lines whose fields hold no quote.
 
     Every quote is then a field boundary: the first and the last character,
     and the two quotes of each ``","`` delimiter.  On such lines the split
     rule, the quote removal and a standard CSV parser all agree, so a CSV
-    parser may be used.  ``min_fields`` also requires that many fields.
-    Purely byte-level checks, no regex.
+    parser may be used.  ``min_fields`` / ``max_fields`` bound the field
+    count (the CSV parser has a column limit).  Purely byte-level checks.
     """
     c = _c(col)
     quotes, delims = _occurrences(c, '"'), _occurrences(c, '","')
     return (c.startswith('"') & c.endswith('"') & ~c.startswith('","') & ~c.endswith('","')
-            & (quotes == 2 * delims + 2) & (delims + 1 >= min_fields))
+            & (quotes == 2 * delims + 2) & (delims + 1 >= min_fields)
+            & (delims + 1 <= max_fields))
 
 
 def quote_split(col) -> Column:

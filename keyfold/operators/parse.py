@@ -28,8 +28,9 @@ from keyfold.schema import (
 ON_BAD = ("fail", "null", "quarantine")
 
 _LISTING_DDL = ", ".join(f"`{c}` STRING" for c in LISTING_COLUMNS)
-# Quoted empty fields stay empty strings; no value is read as null.
-_CSV_OPTS = {"sep": ",", "quote": '"', "escape": '"', "nullValue": "\u0000",
+# Quoted empty fields stay empty strings; no value is read as null (the
+# fast path only sees fields without quotes, so a quote never equals one).
+_CSV_OPTS = {"sep": ",", "quote": '"', "escape": '"', "nullValue": '"',
              "emptyValue": "", "ignoreLeadingWhiteSpace": "false",
              "ignoreTrailingWhiteSpace": "false", "mode": "PERMISSIVE"}
 

@@ -180,3 +180,12 @@ def test_named_rows_strict_and_lenient(spark):
         parse_listing_rows(rows).collect()
     got = parse_listing_rows(rows, on_bad="null").select("neighborhood", "unit_price").collect()
     assert [(r.neighborhood, float(r.unit_price)) for r in got] == [("N1", 1234.5), (None, 10.0)]
+
+
+def test_csv_fast_path_keeps_nul_and_empty_fields(spark):
+    df = lines(spark, listing_line(district="\x00", neighborhood=""),
+               ",".join(['"x"'] * 25000))  # more fields than the CSV parser allows
+    fast = parse_listings(df, on_bad="null").select("district", "neighborhood").collect()
+    exact = parse_listings(df, on_bad="null", csv_fast_path=False) \
+        .select("district", "neighborhood").collect()
+    assert fast == exact and fast[0] == ("\x00", "")
