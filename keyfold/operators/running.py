@@ -123,7 +123,8 @@ def running_by(df: DataFrame, keys, order: str, sums: Mapping[str, Column] | Non
     on_hot = _and([F.col(k).eqNullSafe(F.col(hk[k])) for k in keys])
     tagged = df.withColumn("_pos", pos).join(hot, on_hot, "left").select(
         *cols,
-        F.when(F.col("_w").isNull(), F.lit(0).cast("long"))
+        # Rows without a position sort first in the window: chunk 0.
+        F.when(F.col("_w").isNull() | F.col("_pos").isNull(), F.lit(0).cast("long"))
          .otherwise(F.least(F.floor((F.col("_pos") - F.col("_lo")) / F.col("_w")).cast("long"),
                             F.col("_k") - 1))
          .alias("_chunk"),
@@ -158,8 +159,10 @@ def running_by(df: DataFrame, keys, order: str, sums: Mapping[str, Column] | Non
 
     out = [F.col(c) for c in cols]
     for n in sums:
-        zero = F.lit(0).cast(local.schema[f"_ls_{n}"].dataType)
-        out.append((F.col(f"_ls_{n}") + F.coalesce(F.col(f"_o_{n}"), zero)).alias(n))
+        # Same type as the plain window's running sum, whichever path ran.
+        typ = local.schema[f"_ls_{n}"].dataType
+        zero = F.lit(0).cast(typ)
+        out.append((F.col(f"_ls_{n}") + F.coalesce(F.col(f"_o_{n}"), zero)).cast(typ).alias(n))
     if count:
         out.append((F.col("_lc") + F.coalesce(F.col("_oc"), F.lit(0))).alias(count))
     return joined.select(*out)

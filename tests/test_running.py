@@ -68,3 +68,15 @@ def test_max_chunks_bounds_offsets(spark, skewed):
     got = running_by(skewed, "k", "seq", sums={"s": F.col("v")}, count="c",
                      rows_per_chunk=1, max_chunks=10)
     assert got.exceptAll(_plain(skewed)).count() == 0
+
+
+def test_split_path_keeps_plain_schema_and_null_order_first(spark):
+    rows = [("h", None, 5)] + [("h", i, 1) for i in range(40)] + [("c", i, 2) for i in range(3)]
+    df = spark.createDataFrame(rows, "k string, seq long, v int") \
+        .withColumn("d", F.col("v").cast("decimal(18,2)"))
+    split = running_by(df, "k", "seq", sums={"s": F.col("d")}, count="c", rows_per_chunk=5)
+    plain = running_by(df, "k", "seq", sums={"s": F.col("d")}, count="c")
+    assert split.schema == plain.schema
+    assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
+    first = split.filter(F.col("seq").isNull()).first()
+    assert (first.c, float(first.s)) == (1, 5.0)
