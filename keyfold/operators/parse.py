@@ -1,8 +1,10 @@
 """Line -> typed row parsing for listings and bookings.
 
-One split per line, then one typed column per field the reports read.  Unused
-columns are pruned by Catalyst, so a report that needs two fields only pays for
-the split and those two conversions.
+Each line is split into fields once -- by Spark's CSV parser when its only
+quotes are field boundaries, else by the exact quote-aware split -- and then
+converted to one typed column per field the reports read.  Unused columns are
+pruned by Catalyst, so a report that needs two fields only pays for the split
+and those two conversions.
 
 Bad-row policy (``on_bad``):
 
@@ -35,7 +37,6 @@ _CSV_OPTS = {"sep": ",", "quote": '"', "escape": '"', "nullValue": '"',
              "ignoreTrailingWhiteSpace": "false", "mode": "PERMISSIVE"}
 
 
-
 def _check(on_bad: str) -> bool:
     if on_bad not in ON_BAD:
         raise ValueError(f"on_bad must be one of {ON_BAD}, got {on_bad!r}")
