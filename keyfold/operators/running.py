@@ -11,14 +11,17 @@ without ever putting a whole hot key into one task:
 2. keys with more rows than a threshold are *hot*; the threshold is chosen so
    that there are at most ``max_hot_keys`` of them (at most
    ``total / threshold`` keys can exceed it), which bounds the broadcast;
-3. a hot key's order range is cut into chunks of about ``rows_per_chunk``
-   rows; every other key is one chunk;
+3. a hot key's order range is cut into fine equal-width buckets and a
+   histogram (rows and sums per bucket; one more pass) assigns consecutive
+   buckets to chunks of about ``rows_per_chunk`` rows, however unevenly the
+   order values are spread; every other key is one chunk;
 4. the window runs per (key, chunk) -- one shuffle of the data (with no hot
    key this is the plain per-key window);
-5. chunk totals of hot keys give each chunk the sum of all earlier chunks,
-   added back through a broadcast join.  Chunks hold at least
-   ``total / max_chunks`` rows, so there are at most about
-   ``oversplit * (max_chunks + max_hot_keys)`` of them whatever the input size.
+5. the histogram also gives each chunk's total, so each chunk's offset (the
+   sum of all earlier chunks) is added back through a broadcast join.
+   Chunks hold at least ``total / max_chunks`` rows, so the chunk table has at
+   most ``max_chunks + max_hot_keys`` rows and the bucket lookup at most
+   ``fine`` times that, whatever the input size.
 """
 
 from __future__ import annotations
@@ -54,9 +57,9 @@ def _position(df: DataFrame, order: str) -> Column:
 
 def running_by(df: DataFrame, keys, order: str, sums: Mapping[str, Column] | None = None,
                count: str | None = "running_count", tiebreak: Sequence[str] = (),
-               rows_per_chunk: int = 4_000_000, max_hot_keys: int = 100_000,
-               oversplit: int = 2, checkpoint_input: bool = False,
-               max_chunks: int = 200_000) -> DataFrame:
+               rows_per_chunk: int = 4_000_000, max_hot_keys: int = 10_000,
+               max_chunks: int = 20_000, fine: int = 16,
+               checkpoint_input: bool = False) -> DataFrame:
     """Append running sums (and a running row count) per key, in ``order``.
 
     ``order`` (plus ``tiebreak``) should be unique within a key; ties are
@@ -65,11 +68,11 @@ def running_by(df: DataFrame, keys, order: str, sums: Mapping[str, Column] | Non
     ``count``.
 
     Passes over ``df``: one for the key statistics and one for the windowed
-    output; only if some key is hot, one more for the chunk totals of the hot
-    keys.  ``checkpoint_input`` first writes
-    the (narrow) input to the checkpoint folder, so an expensive input (parsed
-    text) is computed once and the later passes read it back; it also cuts the
-    lineage, so a lost executor does not re-run the parse.
+    output; only if some key is hot, one more for the hot keys' histograms.
+    ``checkpoint_input`` first writes the (narrow) input to the checkpoint
+    folder, so an expensive input (parsed text) is computed once and the later
+    passes read it back; it also cuts the lineage, so a lost executor does not
+    re-run the parse.
     """
     keys = _keys(keys)
     sums = dict(sums or {})
@@ -93,19 +96,19 @@ def running_by(df: DataFrame, keys, order: str, sums: Mapping[str, Column] | Non
         total, largest = stats.agg(F.sum("_n"), F.max("_n")).first()
         total, largest = total or 0, largest or 0
         # Chunks grow with the data so that there are at most about
-        # oversplit * (max_chunks + max_hot_keys) of them: a constant bound on
-        # the offsets broadcast below.
+        # max_chunks + max_hot_keys of them whatever the input size.
         rows_per_chunk = max(int(rows_per_chunk), -(-total // max(int(max_chunks), 1)))
         threshold = max(rows_per_chunk, -(-total // max(int(max_hot_keys), 1)))
         hot = None
         if largest > threshold:
-            n_chunks = F.ceil(F.col("_n") / F.lit(rows_per_chunk)) * F.lit(oversplit)
-            # The hot keys, kept as a checkpoint (at most max_hot_keys rows).
+            # Each hot key's order range is cut into `fine` x (its chunk count)
+            # equal-width buckets; the table is kept as a checkpoint.
+            n_fine = F.ceil(F.col("_n") / F.lit(rows_per_chunk)) * F.lit(int(fine))
             hot = (stats.filter(F.col("_n") > threshold)
                    .select(*keys, "_lo",
-                           ((F.col("_hi") - F.col("_lo") + 1).cast("double") / n_chunks)
+                           ((F.col("_hi") - F.col("_lo") + 1).cast("double") / n_fine)
                            .alias("_w"),
-                           n_chunks.cast("long").alias("_k"))
+                           n_fine.cast("long").alias("_k"))
                    .checkpoint(eager=True))
     finally:
         stats.unpersist()
@@ -119,40 +122,57 @@ def running_by(df: DataFrame, keys, order: str, sums: Mapping[str, Column] | Non
     hot = F.broadcast(hot.select(*[F.col(k).alias(hk[k]) for k in keys], "_lo", "_w", "_k"))
     # ^ at most max_hot_keys rows, see threshold
 
-    # 3. Chunk id per row (0 for every key that is not hot).
+    # 3. Fine bucket per row of a hot key (-1: no position, sorts first; rows
+    #    of other keys get null).
     on_hot = _and([F.col(k).eqNullSafe(F.col(hk[k])) for k in keys])
-    tagged = df.withColumn("_pos", pos).join(hot, on_hot, "left").select(
-        *cols,
-        # Rows without a position sort first in the window: chunk 0.
-        F.when(F.col("_w").isNull() | F.col("_pos").isNull(), F.lit(0).cast("long"))
-         .otherwise(F.least(F.floor((F.col("_pos") - F.col("_lo")) / F.col("_w")).cast("long"),
-                            F.col("_k") - 1))
-         .alias("_chunk"),
-        F.col("_w").isNotNull().alias("_hot"),
-    )
-
-    # 4. Local running values per (key, chunk): one shuffle, no hot task.
-    w = (Window.partitionBy(*keys, "_chunk").orderBy(order, *tiebreak)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = tagged.select(
-        *cols, "_chunk",
-        *[F.sum(v).over(w).alias(f"_ls_{n}") for n, v in sums.items()],
-        *([F.count(F.lit(1)).over(w).alias("_lc")] if count else []),
-    )
-
-    # 5. Offsets of hot chunks = totals of all earlier chunks of the same key.
-    totals = (tagged.filter("_hot").groupBy(*keys, "_chunk")
-              .agg(*[F.sum(v).alias(f"_t_{n}") for n, v in sums.items()],
-                   F.count(F.lit(1)).alias("_tc")))
+    fb = (F.when(F.col("_w").isNull(), F.lit(None).cast("long"))
+           .when(F.col("_pos").isNull(), F.lit(-1).cast("long"))
+           .otherwise(F.least(F.floor((F.col("_pos") - F.col("_lo")) / F.col("_w")).cast("long"),
+                              F.col("_k") - 1)))
+    tagged = df.withColumn("_pos", pos).join(hot, on_hot, "left").select(*cols, fb.alias("_fb"))
+
+    # 4. Histogram of the hot keys (one pass): rows and sums per fine bucket.
+    #    A bucket goes to chunk floor(rows before it / rows_per_chunk), so
+    #    chunks hold about rows_per_chunk rows however the order values are
+    #    spread, and chunk ids grow with the order.  The histogram has at most
+    #    fine * (max_chunks + max_hot_keys) rows; the chunk table at most
+    #    max_chunks + max_hot_keys: both broadcasts are bounded.
+    hist = (tagged.filter(F.col("_fb").isNotNull()).groupBy(*keys, "_fb")
+            .agg(*[F.sum(v).alias(f"_t_{n}") for n, v in sums.items()],
+                 F.count(F.lit(1)).alias("_tc")))
+    by_key = Window.partitionBy(*keys).orderBy("_fb")
+    rows_before = F.coalesce(
+        F.sum("_tc").over(by_key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    hist = hist.withColumn("_chunk", F.floor(rows_before / F.lit(rows_per_chunk)).cast("long")) \
+        .checkpoint(eager=True)
+    lk = {k: f"_lk_{i}" for i, k in enumerate(keys)}
+    lookup = F.broadcast(hist.select(*[F.col(k).alias(lk[k]) for k in keys],
+                                     F.col("_fb").alias("_lfb"), F.col("_chunk").alias("_lchunk")))
+    totals = (hist.groupBy(*keys, "_chunk")
+              .agg(*[F.sum(f"_t_{n}").alias(f"_t_{n}") for n in sums],
+                   F.sum("_tc").alias("_tc")))
     before = (Window.partitionBy(*keys).orderBy("_chunk")
               .rowsBetween(Window.unboundedPreceding, -1))
     ok = {k: f"_ok_{i}" for i, k in enumerate(keys)}
-    offsets = totals.select(
+    offsets = F.broadcast(totals.select(
         *[F.col(k).alias(ok[k]) for k in keys], F.col("_chunk").alias("_ochunk"),
         *[F.sum(f"_t_{n}").over(before).alias(f"_o_{n}") for n in sums],
         F.sum("_tc").over(before).alias("_oc"),
+    ))
+
+    # 5. Chunk per row, local running values per (key, chunk): one shuffle,
+    #    no hot task; then each chunk's offset from the earlier chunks.
+    on_lookup = _and([F.col(k).eqNullSafe(F.col(lk[k])) for k in keys]
+                     + [F.col("_fb") == F.col("_lfb")])
+    chunked = tagged.join(lookup, on_lookup, "left").select(
+        *cols, F.coalesce(F.col("_lchunk"), F.lit(0).cast("long")).alias("_chunk"))
+    w = (Window.partitionBy(*keys, "_chunk").orderBy(order, *tiebreak)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = chunked.select(
+        *cols, "_chunk",
+        *[F.sum(v).over(w).alias(f"_ls_{n}") for n, v in sums.items()],
+        *([F.count(F.lit(1)).over(w).alias("_lc")] if count else []),
     )
-    offsets = F.broadcast(offsets)  # one row per hot chunk, see max_chunks
     on_off = _and([F.col(k).eqNullSafe(F.col(ok[k])) for k in keys]
                   + [F.col("_chunk") == F.col("_ochunk")])
     joined = local.join(offsets, on_off, "left")
