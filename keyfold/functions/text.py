@@ -51,13 +51,13 @@ def strip_quotes(col) -> Column:
 
 def quote_count(col) -> Column:
     """Number of double quotes (one byte each in UTF-8, so byte lengths do)."""
-    return F.octet_length(_c(col)) - F.octet_length(strip_quotes(col))
+    return _removed_bytes(col, '"')
 
 
-def _occurrences(col, s: str) -> Column:
-    """Non-overlapping occurrences of ``s`` (byte lengths: no decoding)."""
+def _removed_bytes(col, s: str) -> Column:
+    """Bytes taken by the non-overlapping occurrences of ``s`` (no decoding)."""
     c = _c(col)
-    return (F.octet_length(c) - F.octet_length(F.replace(c, F.lit(s), F.lit("")))) / len(s)
+    return F.octet_length(c) - F.octet_length(F.replace(c, F.lit(s), F.lit("")))
 
 
 def simple_quoted(col, min_fields: int = 1, max_fields: int = 20_000) -> Column:
@@ -67,13 +67,14 @@ def simple_quoted(col, min_fields: int = 1, max_fields: int = 20_000) -> Column:
     and the two quotes of each ``","`` delimiter.  On such lines the split
     rule, the quote removal and a standard CSV parser all agree, so a CSV
     parser may be used.  ``min_fields`` / ``max_fields`` bound the field
-    count (the CSV parser has a column limit).  Purely byte-level checks.
+    count (the CSV parser has a column limit).  Integer byte arithmetic only:
+    with q quotes and d delimiters (3 bytes each), the test is q = 2d + 2.
     """
     c = _c(col)
-    quotes, delims = _occurrences(c, '"'), _occurrences(c, '","')
+    quotes, delim_bytes = _removed_bytes(c, '"'), _removed_bytes(c, '","')
     return (c.startswith('"') & c.endswith('"') & ~c.startswith('","') & ~c.endswith('","')
-            & (quotes == 2 * delims + 2) & (delims + 1 >= min_fields)
-            & (delims + 1 <= max_fields))
+            & (quotes * 3 == delim_bytes * 2 + 6)
+            & (delim_bytes >= 3 * (min_fields - 1)) & (delim_bytes <= 3 * (max_fields - 1)))
 
 
 def quote_split(col) -> Column:
