@@ -10,6 +10,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from keyfold.session import ensure_checkpoint_dir
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str], line_sep: str | None = None) -> DataFrame:
@@ -34,3 +37,16 @@ def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | No
     if latest_first:
         reader = reader.option("latestFirst", "true")
     return reader.load(path)
+
+
+def with_arrival_order(lines: DataFrame, col: str = "seq") -> DataFrame:
+    """Number lines in scan order (split by split, line by line) as ``col``.
+
+    A file read in parallel has no single arrival order; this one follows
+    the scan: ids increase along each split and between the splits of one
+    task.  The ids are not reproducible across different splittings, so the
+    numbered lines are written to the checkpoint folder once, and every later
+    pass (a running report makes two or three) reads the same numbers.
+    """
+    ensure_checkpoint_dir(lines.sparkSession)
+    return lines.withColumn(col, F.monotonically_increasing_id()).checkpoint(eager=True)

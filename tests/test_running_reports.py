@@ -74,3 +74,22 @@ def test_stream_with_rocksdb_state(spark, sf_small):
             spark.conf.unset(key)
         else:
             spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("rows_per_chunk", [4_000_000, 200])
+def test_booking_running_report_in_arrival_order(spark, sf_small, rows_per_chunk):
+    from keyfold.session import fresh_path
+    from keyfold.sources.fixtures import write_lines
+    from keyfold.sources.text import read_lines, with_arrival_order
+    orders = spark.read.parquet(f"{sf_small}/orders.parquet").select(*ORDER_COLUMNS)
+    src = fresh_path(spark, "test-arrival")
+    write_lines(spark, orders, "booking", src, n_files=3)
+    lines = with_arrival_order(read_lines(spark, src))
+    rows = parse_bookings(lines, keep=["seq"])
+    run = running_report("monthly_booking_counts", rows, "seq", rows_per_chunk=rows_per_chunk)
+    last = latest_report(run, "monthly_booking_counts", "seq")
+    batch = run_report("monthly_booking_counts", read_lines(spark, src))
+    last = last.select(*batch.columns)
+    assert last.exceptAll(batch).count() == 0 and batch.exceptAll(last).count() == 0
+    # one running row per booking line, counts step by at most one
+    assert run.count() == orders.count()
