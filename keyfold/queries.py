@@ -158,6 +158,7 @@ def _stream_report(table: str, kind: str) -> Callable[[SparkSession, str], DataF
 
 j2_stream = _stream_report("neighborhood_avg_price", "listing")
 j4_stream = _stream_report("orientation_focus_count", "listing")
+j7_stream = _stream_report("monthly_booking_counts", "booking")
 
 
 def j4_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,6 +259,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p8_digits_or_zero": p8_digits_or_zero,
     "j2_stream": j2_stream,
     "j4_stream": j4_stream,
+    "j7_stream": j7_stream,
     "j4_stream_resume": j4_stream_resume,
     "k4_parquet_roundtrip": k4_parquet_roundtrip,
     "k5_upsert_merge": k5_upsert_merge,
@@ -340,4 +342,5 @@ ORACLE_SQL["k5_upsert_merge_bucketed"] = ORACLE_SQL["k5_upsert_merge"]
 ORACLE_SQL["a11_stream_word_count"] = ORACLE_SQL["a11_document_word_count"]
 ORACLE_SQL["a10_latest_neighborhood_price"] = ORACLE_SQL["j2_neighborhood_avg_price"]
 ORACLE_SQL["j4_stream"] = ORACLE_SQL["j4_orientation_focus"]
+ORACLE_SQL["j7_stream"] = ORACLE_SQL["j7_monthly_booking_counts"]
 ORACLE_SQL["j4_stream_resume"] = ORACLE_SQL["j4_orientation_focus"]
