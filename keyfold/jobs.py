@@ -94,6 +94,11 @@ def _batch_sink(spark: SparkSession, args):
 def run_report_job(spark: SparkSession, args) -> object:
     """Run one report; returns the streaming query (``--stream``) or None."""
     ensure_checkpoint_dir(spark)
+    # Refuse impossible combinations before touching any source.
+    if args.source == "jdbc" and REPORTS[args.report].kind != "listing":
+        raise SystemExit("the JDBC source holds listings")
+    if args.stream and args.sink == "parquet":
+        raise SystemExit("a stream upserts: use --sink filetable or jdbc")
     result = _result(args, _source(spark, args, args.stream))
     if args.stream:
         if args.sink == "parquet":

@@ -46,3 +46,18 @@ def test_booking_job_with_quoted_dialect(spark):
           "--dialect", "quoted", "--sink", "parquet", "--target", out], spark)
     r = spark.read.parquet(out).first()
     assert (r.hotel_type, r.booking_count, r.actual_stay_count) == ("City, Hotel", 1, 2)
+
+
+def test_invalid_job_combinations_are_refused(spark):
+    import pytest
+    with pytest.raises(SystemExit):
+        main(["report", "--report", "district_stats", "--source", "jdbc", "--url", "jdbc:x",
+              "--sink", "parquet", "--target", "/nonexistent", "--stream"], spark)
+    src = fresh_path(spark, "job-invalid")
+    spark.createDataFrame([('"id"',)], "value string").write.text(src)
+    with pytest.raises(SystemExit):
+        main(["report", "--report", "district_stats", "--source", "text", "--path", src,
+              "--sink", "parquet", "--target", fresh_path(spark, "x"), "--stream"], spark)
+    with pytest.raises(SystemExit):
+        main(["report", "--report", "hotel_statistics", "--source", "jdbc", "--url", "jdbc:x",
+              "--sink", "parquet", "--target", "/nonexistent"], spark)
