@@ -5,6 +5,11 @@ from column functions (``keyfold.functions``) and keyed aggregations
 (``keyfold.operators``); the same function serves batch reads
 (``keyfold.sources``) and Structured Streaming (``keyfold.streaming``), and its
 result is upserted by key into JDBC or file tables (``keyfold.sinks``).
+
+Entry points: ``keyfold.plans.run_report`` (lines -> result table),
+``keyfold.plans.running.running_report`` (per-row running form),
+``keyfold.streaming.run_report_stream`` (continuous upsert), and the job
+runner ``python -m keyfold`` (report / generate / lines-to-kafka).
 """
 
 __version__ = "0.1.0"
