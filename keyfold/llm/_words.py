@@ -90,9 +90,11 @@ def _segments(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray) -> I
         lo = hi
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, text number, first byte, byte after the last) of each word, in order."""
-    found = [[], [], [], []]
+def word_hashes(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SPACE, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
+    """(hash, text number, first byte, byte after the last) of each word, in
+    order; then, for each of ``prefixes``, the hash of the word's first so many
+    bytes, 0 where it has no more than those."""
+    found = [[] for _ in range(4 + len(prefixes))]
     for lo, hi in _segments(data, offsets, separator):
         part = data[lo:hi]
         word = ~separator[part]
@@ -111,13 +113,17 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = S
         with np.errstate(over="ignore"):
             sums = np.zeros(len(part) + 1, np.uint64)
             np.cumsum(_BYTE[part] * _power(_BASE, len(part))[:len(part)], out=sums[1:])
-            h = mix((sums[e] - sums[s]) * _power(_INVERSE, len(part))[s] + (e - s).astype(np.uint64))
+            back = _power(_INVERSE, len(part))[s]
+            h = mix((sums[e] - sums[s]) * back + (e - s).astype(np.uint64))
+            for k, n in enumerate(prefixes):
+                short = mix((sums[np.minimum(s + n, e)] - sums[s]) * back + np.uint64(n << 32))
+                found[4 + k].append(np.where(e - s > n, short, np.uint64(0)))
         s += lo
         found[0].append(h)
         found[1].append(np.searchsorted(offsets, s, "right") - 1)
         found[2].append(s)
         found[3].append(e + lo)
-    kinds = (np.uint64, np.int64, np.int64, np.int64)
+    kinds = (np.uint64, np.int64, np.int64, np.int64, *[np.uint64] * len(prefixes))
     return tuple(np.concatenate(x).astype(k, copy=False) if x else np.zeros(0, k) for x, k in zip(found, kinds, strict=True))
 
 

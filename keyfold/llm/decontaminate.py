@@ -155,7 +155,8 @@ def proximity_matches(docs: DataFrame, phrases: DataFrame, slop: int, id_col: st
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-                  item_text: str = "text", size: int = 13, share: int = 20) -> DataFrame:
+                  item_text: str = "text", size: int = 13, share: int = 20,
+                  with_version: bool = False) -> DataFrame:
     """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``, a row per input row.
 
     A null or wordless text has no words and is clean; so are all texts when
@@ -180,6 +181,12 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     rows = _keyed(docs, id_col, text_col).select("doc_id", "version", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(_WORD)).cast("long").alias("n_words"))
     out = rows.join(marks, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("version") == F.col("v")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
+    return out.select("doc_id", *["version"] * with_version, "n_words", n_hit.alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
                       F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")).cast("binary"), 256).alias("items_sha256"),
                       ((n_hit > 0) & (share * n_hit >= F.col("n_words"))).alias("contaminated"))
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """``docs`` (with ``doc_id`` and ``text``), all columns, without contaminated rows."""
+    bad = contamination(docs, items, with_version=True).filter("contaminated").select(F.col("doc_id").alias("d"), F.col("version").alias("v")).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("d")) & (F.xxhash64(F.col("text").cast("string")) == F.col("v")), "left_anti")

@@ -198,3 +198,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id"))
     return (linked.select("doc_id", "n_shingles", component.alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """``docs``, all columns, with one document of each group of near-duplicates.
+
+    Rows with a null id stay (one of those with the same text), and so does one
+    of the rows that repeat an id and its text.
+    """
+    near = stored(near_duplicates(docs, **options), "near")
+    ids = near.groupBy("doc_id").agg(F.count("*").alias("rows"), F.bool_or("kept").alias("any")).withColumnRenamed("doc_id", "id")
+    same = F.col("doc_id").eqNullSafe(F.col("id"))
+    once = docs.join(ids.filter("rows > 1 or not any"), same, "left_anti")
+    return once.unionByName(docs.join(ids.filter("rows > 1 and any"), same, "left_semi").dropDuplicates(["doc_id", "text"]))
