@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from keyfold.llm._spark import stored
 
-_WORD = r"[^\x20\x09-\x0D]+"
+_SPACES = r"[\x20\x09-\x0D]+"
 
 
 def targets(sizes: Sequence[int], weights: Sequence[float], limit: float = 3.0) -> np.ndarray:
@@ -89,7 +89,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     columns of ``docs`` to carry on; others are ignored.
     """
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                       F.regexp_count(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(_WORD)).cast("long").alias("size"),
+                       F.size(F.array_remove(F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), _SPACES), "")).cast("long").alias("size"),
                        F.xxhash64(F.lit(seed), id_col, text_col).alias("order"), *[F.col(c).alias(f"kept_{c}") for c in keep])
     base = stored(base, "sizes")
 
