@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keyfold.llm import decontaminate, mixing, near_dedup, pii, toxicity
+from keyfold.llm import chat, decontaminate, lang_id, lm, mixing, near_dedup, pii, quality, simhash, toxicity
 from keyfold.llm._spark import table
 from keyfold.llm.decontaminate_sql import CONTAMINATION
 
@@ -15,18 +15,38 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.document_prints(table(spark, sf_dir, "documents"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op6_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.perspectives(table(spark, sf_dir, "conversations"))
+
+
+def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.languages(table(spark, sf_dir, "documents"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pii.find(docs, pii.fit(docs))
@@ -34,12 +54,19 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_fingerprints": op2_fingerprints,
     "op3_decontamination": op3_decontamination,
+    "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
+    "op6_chat_perspectives": op6_chat_perspectives,
+    "op7_lm_scores": op7_lm_scores,
     "op8_near_dedup": op8_near_dedup,
+    "op9_language": op9_language,
     "op10_pii": op10_pii,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_fingerprints": simhash.PRINTS_SQL,
     "op3_decontamination": CONTAMINATION,
+    "op6_chat_perspectives": chat.CHAT_SQL,
 }
