@@ -95,7 +95,7 @@ def _followers(ids: DataFrame) -> DataFrame:
 
 def document_prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 3) -> DataFrame:
     """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next, n_within``, a row per distinct (id, text).
+    near_edited, near_next, n_within, next_id``, a row per distinct (id, text).
 
     A null text is the empty one.  Rows that repeat an id and its text give one
     row; different texts of an id stand next to each other in a fixed order; a
@@ -108,13 +108,15 @@ def document_prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     order = _followers(base.select("doc_id", "k", F.char_length("text").cast("long").alias("n")).distinct())
     order = stored(order, "order")
     quarter = F.floor(F.col("n") / 4).cast("int")
-    heads = base.select("doc_id", "k", "text").join(order.select(F.col("next_k").alias("k"), F.col("k").alias("for_k"), quarter.alias("q")), "k").select(F.col("for_k").alias("k"), F.left("text", F.col("q")).alias("head"))
+    # Both joins need the same columns of base, so they share its one exchange.
+    heads = (base.join(order.select(F.col("next_k").alias("k"), F.col("k").alias("for_k"), quarter.alias("q")), "k")
+             .select(F.col("for_k").alias("k"), F.col("doc_id").alias("next_id"), F.left("text", F.col("q")).alias("head")))
     both = (base.join(order, "k").join(heads, "k")
             .withColumn("edited", F.concat(F.left("text", (F.col("n") - quarter).cast("int")), F.col("head"))))
-    rows = both.select("k", "doc_id", "n", "next_k", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+    rows = both.select("k", "doc_id", "n", "next_k", "next_id", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
                        F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("t")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("t")))).alias("x"))
-    rows = rows.select("k", "doc_id", "n", "next_k", "edited_sha256", "x.which", F.col("x.t").alias("text"))
-    own = ["k", "doc_id", "n", "next_k", "edited_sha256"]
+    rows = rows.select("k", "doc_id", "n", "next_k", "next_id", "edited_sha256", "x.which", F.col("x.t").alias("text"))
+    own = ["k", "doc_id", "n", "next_k", "next_id", "edited_sha256"]
     prints = (fingerprints(rows, [*own, "which"]).groupBy(*own)
               .agg(F.max(F.when(F.col("which") == 0, F.col("bits"))).alias("bits"), F.max(F.when(F.col("which") == 1, F.col("bits"))).alias("edited_bits")))
     prints = stored(prints, "prints")
@@ -125,7 +127,7 @@ def document_prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = out.join(counted.withColumnRenamed("query", "bits"), "bits", "left")
     return out.select("doc_id", F.col("n").alias("n_chars"), "edited_sha256", as_text(F.col("bits")).alias("fingerprint"), as_text(F.col("edited_bits")).alias("edited_fingerprint"),
                       likeness(F.col("bits"), F.col("edited_bits")).alias("near_edited"), likeness(F.col("bits"), F.col("next_bits")).alias("near_next"),
-                      F.when(F.expr("doc_id % 100 = 0"), F.col("near")).alias("n_within"))
+                      F.when(F.expr("doc_id % 100 = 0"), F.col("near")).alias("n_within"), "next_id")
 
 
 #: DuckDB SQL for the same rows.
@@ -152,6 +154,6 @@ near AS (
 SELECT p.doc_id, CAST(p.n AS BIGINT) AS n_chars, sha256(p.edited) AS edited_sha256, lpad(lower(to_hex(p.bits)), 16, '0') AS fingerprint,
        lpad(lower(to_hex(p.edited_bits)), 16, '0') AS edited_fingerprint,
        1 - bit_count(xor(p.bits, p.edited_bits)) / 64.0::DOUBLE AS near_edited, 1 - bit_count(xor(p.bits, x.bits)) / 64.0::DOUBLE AS near_next,
-       CAST(near.near AS BIGINT) AS n_within
+       CAST(near.near AS BIGINT) AS n_within, p.next_id
 FROM prints p JOIN prints x ON x.doc_id = p.next_id LEFT JOIN near ON near.doc_id = p.doc_id
 """
