@@ -22,14 +22,13 @@ from keyfold.llm._spark import ascii_lower, stored
 
 #: A run of separators: whatever isn't a digit, an ASCII letter or a non-ASCII character.
 _SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Phrase tables of at most so many rows are broadcast (some 200 bytes each).
 BROADCAST_ROWS = 200_000
 
 
 def _words(text: Column) -> Column:
     """Words in order, capitals kept; a null text has none."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), _SEPARATORS), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), _SEPARATORS), "")
 
 
 def _bounded(small: DataFrame, rows: int) -> DataFrame:
@@ -178,7 +177,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
              .groupBy("doc_id", "version").agg(F.array_sort(F.collect_set("item")).alias("items")))
     marks = (hit.withColumnsRenamed({"doc_id": "d", "version": "v"})
              .join(named, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("v") == F.col("version")), "left").select("d", "v", "n_hit", "items"))
-    rows = _keyed(docs, id_col, text_col).select("doc_id", "version", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(_WORD)).cast("long").alias("n_words"))
+    rows = _keyed(docs, id_col, text_col).select("doc_id", "version", F.size(_words(F.col("text"))).cast("long").alias("n_words"))
     out = rows.join(marks, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("version") == F.col("v")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return out.select("doc_id", *["version"] * with_version, "n_words", n_hit.alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
