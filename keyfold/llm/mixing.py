@@ -73,7 +73,7 @@ def sainte_lague(votes: Sequence[float], seats: int, most: Sequence[int]) -> np.
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *, weights: Sequence[float] = (1, 2, 3),
-        limit: int = 3, seed: int = 7, shard_words: int = 4_000_000, max_shards: int = 4096, max_block: int = 1024,
+        limit: int = 3, seed: int = 7, shard_words: int = 500_000, max_shards: int = 4096, max_block: int = 1024,
         max_sources: int = 100_000, keep: Sequence[str] = ()) -> DataFrame:
     """``doc_id, size, source_size, target, taken, passes, first, words``, a row per input row.
 
@@ -88,10 +88,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     their own.  Null ids are kept.  No rows give no rows.  ``keep`` names
     columns of ``docs`` to carry on; others are ignored.
     """
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                       F.size(F.array_remove(F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), _SPACES), "")).cast("long").alias("size"),
-                       F.xxhash64(F.lit(seed), id_col, text_col).alias("order"), *[F.col(c).alias(f"kept_{c}") for c in keep])
-    base = stored(base, "sizes")
+    own = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
+                      F.size(F.array_remove(F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), _SPACES), "")).cast("long").alias("size"),
+                      F.xxhash64(F.lit(seed), id_col, text_col).alias("order"), *[F.col(c).alias(f"kept_{c}") for c in keep])
+    base = stored(own.select("doc_id", "source", "size", "order"), "sizes")
 
     sums = base.groupBy("source").agg(F.sum("size").alias("source_size")).limit(max_sources + 1).toPandas()
     if len(sums) > max_sources:
@@ -113,8 +113,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     spark = docs.sparkSession
     # At most max_sources rows, as checked above.
     plan = F.broadcast(spark.createDataFrame(plan, schema) if len(plan) else spark.createDataFrame([], schema))
-    rows = (base.join(plan.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-            .withColumn("shard", F.pmod(F.col("order"), F.col("shards"))))
+
+    def sharded(rows: DataFrame) -> DataFrame:
+        return (rows.join(plan.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+                .withColumn("shard", F.pmod(F.col("order"), F.col("shards"))))
 
     def deal(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         """The blocks of one source, at most ``max_shards`` rows, by shard."""
@@ -122,12 +124,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         got = sainte_lague(part["words"], int(part["quota"].iloc[0]), limit * part["blocks"])
         return part[["rank", "shard", "words", "blocks"]].assign(got=got)
 
-    sized = (rows.groupBy("rank", "shard", "quota").agg(F.sum("size").alias("words"))
+    sized = (sharded(base).groupBy("rank", "shard", "quota").agg(F.sum("size").alias("words"))
              .withColumn("blocks", F.ceil(F.col("words") / block).cast("long")))
     dealt = stored(sized.groupBy("rank").applyInPandas(deal, "rank long, shard long, words long, blocks long, got long"), "shards")
 
     line = Window.partitionBy("rank", "shard").orderBy("order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = (rows.withColumn("start", F.coalesce(F.sum("size").over(line), F.lit(0)))
+    # Kept columns (texts, say) are read again rather than stored twice.
+    placed = (sharded(own if keep else base).withColumn("start", F.coalesce(F.sum("size").over(line), F.lit(0)))
               .join(dealt, ["rank", "shard"]).withColumn("passes", F.when(F.col("blocks") > 0, F.floor(F.col("got") / F.col("blocks"))).otherwise(0).cast("long"))
               .withColumn("run", F.when(F.col("blocks") > 0, F.col("got") % F.col("blocks")).otherwise(0)))
     # The run: blocks first .. first + run - 1 round the shard's line, as up to two word ranges [a, b) and [0, c).
