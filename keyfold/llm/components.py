@@ -8,15 +8,20 @@ counts a round.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyfold.llm._spark import stored
 
 
 def _least(links: DataFrame) -> DataFrame:
-    """Each link with the least id that its ``u`` is linked with."""
-    return links.withColumn("m", F.least("u", F.min("v").over(Window.partitionBy("u"))))
+    """Each link with the least id that its ``u`` is linked with.
+
+    The least of a hub is combined before the shuffle, and a join, unlike a
+    window, can have a hub's links split over several tasks.
+    """
+    least = links.groupBy("u").agg(F.min("v").alias("m"))
+    return links.join(least, "u").withColumn("m", F.least("u", "m"))
 
 
 def _large_star(links: DataFrame) -> DataFrame:
