@@ -187,5 +187,5 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` (with ``doc_id`` and ``text``), all columns, without contaminated rows."""
-    bad = contamination(docs, items, with_version=True).filter("contaminated").select(F.col("doc_id").alias("d"), F.col("version").alias("v")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("d")) & (F.xxhash64(F.col("text").cast("string")) == F.col("v")), "left_anti")
+    bad = contamination(docs, items, with_version=True).filter("contaminated").select(F.col("doc_id").alias("_bad_id"), F.col("version").alias("_bad_version")).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_bad_version")), "left_anti")

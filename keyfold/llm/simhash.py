@@ -101,7 +101,7 @@ def document_prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     row; different texts of an id stand next to each other in a fixed order; a
     null id comes first.  A single document is followed by itself.
     ``n_within``: documents within ``radius`` of those whose id is divisible by
-    100 (itself left out), null for others.  Other columns are ignored.
+    100 (itself left out), -1 for others.  Other columns are ignored.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     base = docs.select(F.col(id_col).alias("doc_id"), F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), F.xxhash64(text)).alias("k"), text.alias("text"))
@@ -127,7 +127,7 @@ def document_prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = out.join(counted.withColumnRenamed("query", "bits"), "bits", "left")
     return out.select("doc_id", F.col("n").alias("n_chars"), "edited_sha256", as_text(F.col("bits")).alias("fingerprint"), as_text(F.col("edited_bits")).alias("edited_fingerprint"),
                       likeness(F.col("bits"), F.col("edited_bits")).alias("near_edited"), likeness(F.col("bits"), F.col("next_bits")).alias("near_next"),
-                      F.when(F.expr("doc_id % 100 = 0"), F.col("near")).alias("n_within"), "next_id")
+                      F.coalesce(F.when(F.expr("doc_id % 100 = 0"), F.col("near")), F.lit(-1)).cast("long").alias("n_within"), "next_id")
 
 
 #: DuckDB SQL for the same rows.
@@ -154,6 +154,6 @@ near AS (
 SELECT p.doc_id, CAST(p.n AS BIGINT) AS n_chars, sha256(p.edited) AS edited_sha256, lpad(lower(to_hex(p.bits)), 16, '0') AS fingerprint,
        lpad(lower(to_hex(p.edited_bits)), 16, '0') AS edited_fingerprint,
        1 - bit_count(xor(p.bits, p.edited_bits)) / 64.0::DOUBLE AS near_edited, 1 - bit_count(xor(p.bits, x.bits)) / 64.0::DOUBLE AS near_next,
-       CAST(near.near AS BIGINT) AS n_within, p.next_id
+       CAST(coalesce(near.near, -1) AS BIGINT) AS n_within, p.next_id
 FROM prints p JOIN prints x ON x.doc_id = p.next_id LEFT JOIN near ON near.doc_id = p.doc_id
 """

@@ -88,8 +88,9 @@ def _lexicon(toxic: np.ndarray, clean: np.ndarray, prior: float, z_min: float) -
     n1, n0 = toxic.sum(), clean.sum()
     alpha = prior * (toxic + clean)
     prior = alpha.sum()
-    odds = (np.log((toxic + alpha) / (n1 + prior - toxic - alpha)) - np.log((clean + alpha) / (n0 + prior - clean - alpha)))
-    z = odds / np.sqrt(1 / (toxic + alpha) + 1 / (clean + alpha))
+    with np.errstate(divide="ignore", invalid="ignore"):  # tokens that nothing has
+        odds = (np.log((toxic + alpha) / (n1 + prior - toxic - alpha)) - np.log((clean + alpha) / (n0 + prior - clean - alpha)))
+        z = odds / np.sqrt(1 / (toxic + alpha) + 1 / (clean + alpha))
     return z >= z_min, odds
 
 
