@@ -77,10 +77,10 @@ def _result(args, src: DataFrame) -> DataFrame:
     return run_report(args.report, src, args.on_bad, **opts)
 
 
-def _batch_sink(spark: SparkSession, args):
+def _batch_sink(spark: SparkSession, args, checkpoint: str):
     keys = keys_of(args.report)
     if args.sink == "filetable":
-        return FileTable(spark, args.target, keys, buckets=args.buckets).as_batch_sink()
+        return FileTable(spark, args.target, keys, buckets=args.buckets).as_batch_sink(checkpoint)
     if args.sink == "jdbc":
         return jdbc_batch_sink(args.url, args.table or args.report, keys, dialect=args.dialect_sql,
                                properties=_jdbc_props(args))
@@ -99,12 +99,14 @@ def run_report_job(spark: SparkSession, args) -> object:
         raise SystemExit("the JDBC source holds listings")
     if args.stream and args.sink == "parquet":
         raise SystemExit("a stream upserts: use --sink filetable or jdbc")
+    if args.stream and not (args.checkpoint or args.target):
+        raise SystemExit("a stream without --target needs --checkpoint")
     result = _result(args, _source(spark, args, args.stream))
     if args.stream:
         if args.sink == "parquet":
             raise SystemExit("a stream upserts: use --sink filetable or jdbc")
-        checkpoint = args.checkpoint or f"{args.target or args.table}/_checkpoint"
-        q = start_upsert_stream(result, _batch_sink(spark, args), checkpoint,
+        checkpoint = args.checkpoint or f"{args.target}/_checkpoint"
+        q = start_upsert_stream(result, _batch_sink(spark, args, checkpoint), checkpoint,
                                 available_now=args.available_now,
                                 processing_time=None if args.available_now else args.trigger,
                                 state_partitions=args.state_partitions)

@@ -134,7 +134,7 @@ def _state_partitions(spark: SparkSession) -> int:
 def _stream_into_table(spark: SparkSession, table: str, source: str, files_per_trigger: int,
                        checkpoint: str, out: FileTable) -> None:
     lines = stream_lines(spark, source, max_files_per_trigger=files_per_trigger)
-    q = run_report_stream(table, lines, out.as_batch_sink(), checkpoint, available_now=True,
+    q = run_report_stream(table, lines, out.as_batch_sink(checkpoint), checkpoint, available_now=True,
                           state_partitions=_state_partitions(spark))
     q.awaitTermination()
     if q.exception() is not None:
@@ -178,6 +178,27 @@ def j4_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.read()
 
 
+def k5_stream_into_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A new stream into a table that batch jobs have upserted before;
+    all its batches land, whatever the table's version."""
+    ensure_checkpoint_dir(spark)
+    table = "orientation_focus_count"
+    out = FileTable(spark, fresh_path(spark, "tables", table), keys_of(table))
+    stale = run_report(table, _lines(spark, sf_dir, "listing")).withColumn("total_focus", F.lit(-1).cast("long"))
+    for _ in range(4):
+        out.upsert(stale)
+    _stream_into_table(spark, table, fixture_path(spark, sf_dir.rstrip("/"), "listing"), 1_000,
+                       fresh_path(spark, "streams", table), out)
+    return out.read()
+
+
+def j2_fine_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 over unit prices with five decimals: summed as written, rounded once."""
+    rows = listing_rows(_table(spark, sf_dir, "orders").select(*ORDER_COLUMNS))
+    rows = rows.withColumn("unit_price", F.regexp_replace("unit_price", "(?=元)", "125"))
+    return neighborhood_avg_price(parse_listing_rows(rows))
+
+
 def a11_stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T1 on a high-cardinality key: word counts of whole documents as a stream.
 
@@ -196,7 +217,7 @@ def a11_stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
         (docs.filter(cond).repartition(spark.sparkContext.defaultParallelism)
          .write.mode("overwrite").parquet(f"{src}/part={part}"))
         stream = spark.readStream.schema(docs.schema).parquet(f"{src}/*")
-        q = start_upsert_stream(word_count(stream, "text"), out.as_batch_sink(), ckpt,
+        q = start_upsert_stream(word_count(stream, "text"), out.as_batch_sink(ckpt), ckpt,
                                 available_now=True, state_partitions=_state_partitions(spark))
         q.awaitTermination()
         if q.exception() is not None:
@@ -262,6 +283,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "j7_stream": j7_stream,
     "j4_stream_resume": j4_stream_resume,
     "k4_parquet_roundtrip": k4_parquet_roundtrip,
+    "k5_stream_into_existing": k5_stream_into_existing,
+    "j2_fine_prices": j2_fine_prices,
     "k5_upsert_merge": k5_upsert_merge,
     "k5_upsert_merge_bucketed": k5_upsert_merge_bucketed,
     "a11_stream_word_count": a11_stream_word_count,
@@ -344,3 +367,8 @@ ORACLE_SQL["a10_latest_neighborhood_price"] = ORACLE_SQL["j2_neighborhood_avg_pr
 ORACLE_SQL["j4_stream"] = ORACLE_SQL["j4_orientation_focus"]
 ORACLE_SQL["j7_stream"] = ORACLE_SQL["j7_monthly_booking_counts"]
 ORACLE_SQL["j4_stream_resume"] = ORACLE_SQL["j4_orientation_focus"]
+ORACLE_SQL["k5_stream_into_existing"] = ORACLE_SQL["j4_orientation_focus"]
+ORACLE_SQL["j2_fine_prices"] = (
+    "SELECT 'N' || (o_custkey % 25) AS neighborhood, "
+    + _MEAN2.format(num="CAST(sum(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(18,6)) + 0.00125) AS DOUBLE)")
+    + " AS avg_price, count(*) AS \"count\" FROM orders GROUP BY 1")

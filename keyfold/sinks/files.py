@@ -1,23 +1,23 @@
 """K4: result tables as parquet; K5: a file table upserted by key.
 
 A :class:`FileTable` is a directory of immutable versions ``v=<n>``; a version
-is committed once Spark's committer has written its ``_SUCCESS`` marker, and
-readers always take the highest committed version.  ``upsert`` builds version
-``n`` from the last committed version before ``n`` plus the batch:
+is committed once its ``_manifest.json`` is there, and readers always take the
+highest committed version.  ``upsert`` always builds the next version:
 
     new = target LEFT ANTI JOIN batch ON keys  UNION ALL  batch
 
-so replaying the same batch id after a crash rewrites the same version from
-the same input: the sink is idempotent per batch id, which is what makes
-``foreachBatch`` exactly-once here.  The anti join is a regular Spark join;
-AQE turns it into a broadcast join when the batch is measured to be small.
+so batch jobs and any number of streams can share a table.  The manifest
+carries the last batch number of every stream: a batch that is replayed after
+a crash is skipped, which is what makes ``foreachBatch`` exactly-once here.
+The anti join is a regular Spark join; AQE turns it into a broadcast join when
+the batch is measured to be small.
 
 With ``buckets=N`` the table is hash-bucketed by key: a version holds only
-the buckets its batch touched, plus a small manifest naming, for every
-bucket, the version that holds its current data.  An upsert then reads and
-rewrites only the touched buckets, so its cost follows the batch, not the
-table (large key sets such as word counts).  A version is committed when its
-manifest exists.
+the buckets its batch touched, and its manifest names, for every bucket, the
+version that holds its current data.  An upsert then reads and rewrites only
+the touched buckets, so its cost follows the batch, not the table (large key
+sets such as word counts).  Keys and bucket count are stored with the table;
+opening it with others is refused.
 """
 
 from __future__ import annotations
@@ -52,6 +52,7 @@ def _null_safe_anti(target: DataFrame, batch: DataFrame, keys: Sequence[str]) ->
 
 _BUCKET = "_bucket"
 _MANIFEST = "_manifest.json"
+_TABLE = "_table.json"
 
 
 class FileTable:
@@ -62,21 +63,39 @@ class FileTable:
         self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
         self.retain = retain
         self.buckets = int(buckets) if buckets else None
+        stored = fs.read_text(spark, f"{self.path}/{_TABLE}")
+        if stored:
+            kept = json.loads(stored)
+            if kept["keys"] != self.keys or self.buckets not in (None, kept["buckets"]):
+                raise ValueError(f"{self.path} has keys {kept['keys']} and buckets {kept['buckets']}")
+            self.buckets = kept["buckets"]
+        self._described = bool(stored)
+
+    def _describe(self) -> None:
+        if not self._described:
+            fs.write_text(self.spark, f"{self.path}/{_TABLE}",
+                          json.dumps({"keys": self.keys, "buckets": self.buckets}))
+            self._described = True
 
     def _bucket_of(self) -> "F.Column":
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets))
 
     def _committed(self, v: int) -> bool:
-        marker = _MANIFEST if self.buckets else "_SUCCESS"
-        return fs.exists(self.spark, f"{self._dir(v)}/{marker}")
+        return fs.exists(self.spark, f"{self._dir(v)}/{_MANIFEST}")
+
+    def _commit_record(self, version: int | None) -> dict:
+        if version is None:
+            return {"buckets": {}, "streams": {}}
+        return json.loads(fs.read_text(self.spark, f"{self._dir(version)}/{_MANIFEST}"))
 
     def manifest(self, version: int | None = None) -> dict[int, int]:
         """Bucketed tables: bucket -> version holding its data."""
         v = self.current_version() if version is None else version
-        if v is None:
-            return {}
-        text = fs.read_text(self.spark, f"{self._dir(v)}/{_MANIFEST}")
-        return {int(b): int(x) for b, x in json.loads(text or "{}").items()}
+        return {int(b): int(x) for b, x in self._commit_record(v)["buckets"].items()}
+
+    def _commit(self, version: int, buckets: dict[int, int], streams: dict[str, int]) -> None:
+        record = {"buckets": {str(b): v for b, v in sorted(buckets.items())}, "streams": streams}
+        fs.write_text(self.spark, f"{self._dir(version)}/{_MANIFEST}", json.dumps(record))
 
     def _bucket_paths(self, manifest: dict[int, int], only=None) -> list[str]:
         return [f"{self._dir(v)}/{_BUCKET}={b}" for b, v in sorted(manifest.items())
@@ -111,19 +130,22 @@ class FileTable:
         return self.spark.read.parquet(self._dir(v))
 
     # -- writes -------------------------------------------------------------
-    def overwrite(self, df: DataFrame, version: int | None = None) -> int:
+    def overwrite(self, df: DataFrame) -> int:
         """Replace the whole table (a new version)."""
+        self._describe()
         cur = self.current_version()
-        v = (0 if cur is None else cur + 1) if version is None else version
+        v = 0 if cur is None else cur + 1
+        streams = self._commit_record(cur)["streams"]
         if self.buckets:
-            self._write_buckets(df, v, {})
+            self._commit(v, self._write_buckets(df, v, {}), streams)
         else:
             df.write.mode("overwrite").parquet(self._dir(v))
+            self._commit(v, {}, streams)
         self._prune()
         return v
 
-    def _write_buckets(self, df: DataFrame, version: int, base: dict[int, int]) -> None:
-        """Write ``df`` as the buckets it covers, then the manifest (the commit)."""
+    def _write_buckets(self, df: DataFrame, version: int, base: dict[int, int]) -> dict[int, int]:
+        """Write ``df`` as the buckets it covers; returns where every bucket is now."""
         # rebalance: rows of a bucket go to few tasks (few files per bucket), and
         # AQE still splits an oversized bucket across tasks.
         (df.withColumn(_BUCKET, self._bucket_of())
@@ -131,39 +153,46 @@ class FileTable:
          .parquet(self._dir(version)))
         written = {int(name.split("=", 1)[1]) for name in fs.list_dirs(self.spark, self._dir(version))
                    if name.startswith(_BUCKET + "=")}
-        manifest = dict(base)
-        manifest.update({b: version for b in written})
-        fs.write_text(self.spark, f"{self._dir(version)}/{_MANIFEST}",
-                      json.dumps({str(b): v for b, v in sorted(manifest.items())}))
+        return {**base, **{b: version for b in written}}
 
-    def upsert(self, batch: DataFrame, version: int | None = None) -> int:
-        """Insert or replace the batch's rows by key (batch keys must be unique).
+    def upsert(self, batch: DataFrame, version: int | None = None, stream: str = "") -> int:
+        """Insert or replace the batch's rows by key, as the next version.
 
-        ``version`` (e.g. ``batch_id + 1`` in a stream) makes the call
-        idempotent: the base is always the last committed version below it.
+        ``version`` is the batch's number within ``stream`` (its checkpoint
+        folder, say): a number that the table has seen from that stream, or a
+        lower one, is a replay and changes nothing.  Without it the batch is
+        always applied.  Two rows of one key in a batch are refused.
         """
-        committed = self.versions()
-        if version is None:
-            version = (committed[-1] + 1) if committed else 0
-        base = [v for v in committed if v < version]
+        current = self.current_version()
+        record = self._commit_record(current)
+        if version is not None and record["streams"].get(stream, -1) >= version:
+            # A stream's replayed batch still has to run: that commits its state.
+            batch.write.format("noop").mode("overwrite").save()
+            return current
+        streams = record["streams"] if version is None else {**record["streams"], stream: version}
+        new = 1 if current is None else current + 1
         batch = batch.persist()  # read twice below; recomputable from lineage if lost
         try:
+            twice = batch.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").first()
+            if twice is not None:
+                raise ValueError(f"key {tuple(twice)[:-1]} occurs {twice['n']} times in a batch for {self.path}")
+            self._describe()
             if self.buckets:
-                self._upsert_buckets(batch, version, base[-1] if base else None)
+                self._commit(new, self._upsert_buckets(batch, new, current), streams)
             else:
-                if base:
-                    target = self.spark.read.parquet(self._dir(base[-1]))
+                merged = batch
+                if current is not None:
+                    target = self.spark.read.parquet(self._dir(current))
                     merged = _null_safe_anti(target, batch, self.keys) \
                         .unionByName(batch.select(*target.columns))
-                else:
-                    merged = batch
-                merged.write.mode("overwrite").parquet(self._dir(version))
+                merged.write.mode("overwrite").parquet(self._dir(new))
+                self._commit(new, {}, streams)
         finally:
             batch.unpersist()
         self._prune()
-        return version
+        return new
 
-    def _upsert_buckets(self, batch: DataFrame, version: int, base_version: int | None) -> None:
+    def _upsert_buckets(self, batch: DataFrame, version: int, base_version: int | None) -> dict[int, int]:
         base = self.manifest(base_version) if base_version is not None else {}
         # The touched bucket ids: at most `buckets` small integers.
         touched = {r[0] for r in batch.select(self._bucket_of().alias("b")).distinct().collect()}
@@ -174,7 +203,7 @@ class FileTable:
                 .unionByName(batch.select(*target.columns))
         else:
             merged = batch
-        self._write_buckets(merged, version, base)
+        return self._write_buckets(merged, version, base)
 
     def _prune(self) -> None:
         if not self.retain:
@@ -188,8 +217,9 @@ class FileTable:
             if v not in live:
                 fs.delete(self.spark, self._dir(v))
 
-    def as_batch_sink(self):
-        """``foreachBatch`` callback: batch ``b`` becomes version ``b + 1``."""
+    def as_batch_sink(self, stream: str = ""):
+        """``foreachBatch`` callback; ``stream`` names the stream, best by its
+        checkpoint folder, and must differ between streams into one table."""
         def sink(batch: DataFrame, batch_id: int) -> None:
-            self.upsert(batch, version=int(batch_id) + 1)
+            self.upsert(batch, version=int(batch_id), stream=stream)
         return sink

@@ -179,3 +179,33 @@ def test_bad_rows_as_a_side_stream(spark):
     assert [r.value for r in spark.read.parquet(out).collect()] == [bad]
     good_only = run_report("neighborhood_avg_price", read_lines(spark, src), on_bad="quarantine")
     assert [(r.avg_price, r["count"]) for r in good_only.collect()] == [(10.0, 1)]
+
+
+def test_batches_and_streams_share_a_table(spark):
+    t = FileTable(spark, fresh_path(spark, "test-shared"), ["k"])
+    one = lambda *rows: spark.createDataFrame(rows, "k string, n long")
+    for i in range(5):
+        t.upsert(one(("a", i)))
+    t.as_batch_sink("s1")(one(("a", 100), ("new", 1)), 0)
+    t.upsert(one(("b", 2)))
+    t.as_batch_sink("s1")(one(("a", -1)), 0)  # a replay
+    t.as_batch_sink("s2")(one(("c", 3)), 0)  # another stream's first batch
+    for i in range(4):
+        t.upsert(one(("d", i)))  # older versions are pruned, the record stays
+    t.as_batch_sink("s1")(one(("a", -1)), 0)
+    assert {r.k: r.n for r in t.read().collect()} == {"a": 100, "new": 1, "b": 2, "c": 3, "d": 3}
+
+
+def test_table_keeps_its_buckets_and_refuses_repeated_keys(spark):
+    path = fresh_path(spark, "test-kept")
+    rows = [(f"k{i}", i) for i in range(200)]
+    FileTable(spark, path, ["k"], buckets=4).overwrite(spark.createDataFrame(rows, "k string, n long"))
+    again = FileTable(spark, path, ["k"])
+    again.upsert(spark.createDataFrame([("k1", -1)], "k string, n long"))
+    assert again.buckets == 4 and again.read().count() == 200
+    for other in ({"buckets": 8}, {"buckets": 4, "keys": ["n"]}):
+        with pytest.raises(ValueError):
+            FileTable(spark, path, other.get("keys", ["k"]), buckets=other["buckets"])
+    with pytest.raises(ValueError):
+        again.upsert(spark.createDataFrame([("a", 1), ("a", 2)], "k string, n long"))
+    assert again.read().count() == 200
