@@ -8,6 +8,8 @@ indexing raise); ``strict=False`` turns the same failures into nulls with the
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -116,12 +118,24 @@ def digits_or_zero(col) -> Column:
     return F.coalesce(digits_only(col).try_cast("int"), F.lit(0))
 
 
+#: Prices keep six decimals: sums are exact and rounding comes once, at the end.
+PRICE_TYPE = "decimal(18,6)"
+
+
 def to_number(col, type_: str = "double", strict: bool = True) -> Column:
+    """A number as written.  A decimal type that can't hold all its decimals
+    raises (``strict``) or gives null, as text that is no number does."""
     c = _c(col)
-    return c.cast(type_) if strict else c.try_cast(type_)
+    number = c.cast(type_) if strict else c.try_cast(type_)
+    scale = re.fullmatch(r"decimal\(\d+, ?(\d+)\)", type_)
+    if not scale:
+        return number
+    too_fine = c.rlike(rf"\.\d{{{scale[1]}}}0*[1-9]")
+    refused = F.raise_error(F.concat(F.lit(f"more decimals than {type_} holds: "), c)) if strict else F.lit(None)
+    return F.when(too_fine, refused.cast(type_)).otherwise(number)
 
 
-def unit_price(col, strip_thousands: bool = False, type_: str = "decimal(18,2)",
+def unit_price(col, strip_thousands: bool = False, type_: str = PRICE_TYPE,
                strict: bool = True) -> Column:
     """``12345元/平`` -> number.  ``strip_thousands`` also drops ``,``."""
     c = F.replace(_c(col), F.lit(UNIT_PRICE_SUFFIX), F.lit(""))

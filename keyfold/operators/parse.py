@@ -69,7 +69,7 @@ def _kept(col: str, keep_line: bool, keep: Sequence[str]) -> list[str]:
 
 
 def parse_listings(lines: DataFrame, on_bad: str = "fail", strip_thousands: bool = False,
-                   price_type: str = "decimal(18,2)", col: str = "value",
+                   price_type: str = T.PRICE_TYPE, col: str = "value",
                    keep_line: bool = False, keep: Sequence[str] = (),
                    csv_fast_path: bool = True) -> DataFrame:
     """Listing text lines -> typed listing rows.
@@ -108,7 +108,7 @@ def parse_listings(lines: DataFrame, on_bad: str = "fail", strip_thousands: bool
 
 
 def parse_listing_rows(rows: DataFrame, on_bad: str = "fail", strip_thousands: bool = True,
-                       price_type: str = "decimal(18,2)") -> DataFrame:
+                       price_type: str = T.PRICE_TYPE) -> DataFrame:
     """Named listing columns (e.g. a JDBC table without ``id``) -> typed rows.
 
     Same typed columns as :func:`parse_listings`; thousands separators in the
@@ -132,7 +132,7 @@ def parse_listing_rows(rows: DataFrame, on_bad: str = "fail", strip_thousands: b
 
 
 def parse_bookings(lines: DataFrame, on_bad: str = "fail", dialect: str = "plain",
-                   price_type: str = "decimal(18,2)", col: str = "value",
+                   price_type: str = T.PRICE_TYPE, col: str = "value",
                    keep_line: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """Booking text lines -> typed booking rows.
 
