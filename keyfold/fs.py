@@ -74,3 +74,9 @@ def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     if fs.exists(p):
         fs.delete(p, True)
+
+
+def fingerprint(spark: SparkSession, path: str) -> str:
+    """Names, sizes and times of the file, or of the files directly under the folder."""
+    fs, p = _fs(spark, path)
+    return ";".join(sorted(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}" for st in fs.listStatus(p)))

@@ -142,11 +142,12 @@ def fixture_lines(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
 def fixture_path(spark: SparkSession, sf_dir: str, kind: str) -> str:
     """Directory of rendered lines of ``sf_dir``'s orders (written once).
 
-    The files live under the shared folder keyed by the input path and the
-    render version; a half-written copy is never visible because each copy is
+    The files live under the shared folder keyed by the input path, its
+    files' names, sizes and times, and the render version; a half-written copy is never visible because each copy is
     written aside and renamed into place.
     """
-    tag = hashlib.sha1(f"{sf_dir.rstrip('/')}|{RENDER_VERSION}".encode()).hexdigest()[:16]
+    source = fs.fingerprint(spark, f"{sf_dir.rstrip('/')}/orders.parquet")
+    tag = hashlib.sha1(f"{sf_dir.rstrip('/')}|{source}|{RENDER_VERSION}".encode()).hexdigest()[:16]
     final = shared_path(spark, "fixtures", tag, kind)
     if not fs.exists(spark, final + "/_SUCCESS"):
         aside = final + f".tmp-{uuid.uuid4().hex[:8]}"
