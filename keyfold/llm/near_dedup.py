@@ -211,3 +211,20 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     same = F.col("doc_id").eqNullSafe(F.col("_near_id"))
     once = docs.join(ids.filter("_near_rows > 1 or not _near_any"), same, "left_anti")
     return once.unionByName(docs.join(ids.filter("_near_rows > 1 and _near_any"), same, "left_semi").dropDuplicates(["doc_id", "text"]))
+
+
+#: DuckDB SQL for the rows of ``near_duplicates`` on documents with unique ids.
+NEAR_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 85 * (p.n + q.n - c)),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, w.y FROM reach r JOIN ways w ON w.x = r.other)
+SELECT doc_id, CAST(coalesce(max(n), 0) AS BIGINT) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""

@@ -69,4 +69,5 @@ ORACLE_SQL: dict[str, str] = {
     "op2_fingerprints": simhash.PRINTS_SQL,
     "op3_decontamination": CONTAMINATION,
     "op6_chat_perspectives": chat.CHAT_SQL,
+    "op8_near_dedup": near_dedup.NEAR_SQL,
 }

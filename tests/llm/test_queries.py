@@ -3,6 +3,7 @@
 import duckdb
 import pytest
 
+import __spark_entry__
 import corpus_pipeline
 from keyfold.llm import decontaminate, near_dedup, pii, toxicity
 from keyfold.llm.queries import ORACLE_SQL, QUERIES
@@ -23,6 +24,12 @@ def test_same_rows_as_sql(spark, name):
     assert rows(got) == rows(want)
 
 
+def test_queries_without_sql_are_these():
+    assert set(QUERIES) - set(ORACLE_SQL) == {"op1_toxicity", "op4_quality", "op5_mixing", "op7_lm_scores", "op9_language", "op10_pii"}
+    assert corpus_pipeline.ORACLE_SQL is None
+    assert {"pipeline", *QUERIES} <= set(__spark_entry__.queries())
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("labels", "benchmark"))
