@@ -70,12 +70,14 @@ def sum_count_by(df: DataFrame, keys, value: Column, total: str, count: str = "c
 
 def mean_by(df: DataFrame, keys, value: Column, name: str, count: str | None = None,
             rounded: bool = True) -> DataFrame:
-    """Mean per key, as sum / row count, rounded to two decimals.
+    """Mean per key, rounded to two decimals (A6, A7), and the row count.
 
     Exact-decimal inputs are summed exactly and converted to double once,
-    before the division; every row is in the divisor, whatever its value.
+    before the division.  Every row that has a value is in the divisor,
+    whatever the value; a null (a field that ``on_bad="null"`` could not
+    parse) is not, and a key with nulls alone has a null mean.
     """
-    mean = F.sum(value).cast("double") / F.count(F.lit(1))
+    mean = F.try_divide(F.sum(value).cast("double"), F.count(value))
     aggs = [(round2(mean) if rounded else mean).alias(name)]
     if count:
         aggs.append(F.count(F.lit(1)).alias(count))

@@ -117,8 +117,8 @@ def parse_listing_rows(rows: DataFrame, on_bad: str = "fail", strip_thousands: b
     strict = _check(on_bad)
 
     def raw(name: str) -> Column:
-        if name not in rows.columns:
-            return F.lit(None).cast("string")
+        if name not in rows.columns:  # raises where a report uses it, whatever on_bad says
+            return F.raise_error(F.lit(f"no column {name} in the listing rows")).cast("string")
         return F.col(name).cast("string")
 
     typed = _listing_typed(raw, strict, strip_thousands, price_type, T.ctl_trim(raw("title")))

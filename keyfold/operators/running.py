@@ -195,12 +195,14 @@ def _and(conds: list[Column]) -> Column:
     return out
 
 
-def latest_by(df: DataFrame, keys, order: str, values: Sequence[str]) -> DataFrame:
-    """Last row per key by ``order`` (A10): what repeated upserts leave behind.
+def latest_by(df: DataFrame, keys, order: str | Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Last row per key by ``order``, a column or several (A10): what repeated
+    upserts leave behind.
 
     ``max_by`` is partially aggregated, so a hot key costs one struct per
     input partition before the shuffle.
     """
     keys = _keys(keys)
-    packed = F.max_by(F.struct(*[F.col(v) for v in values]), F.col(order)).alias("_last")
+    last = F.col(order) if isinstance(order, str) else F.struct(*order)
+    packed = F.max_by(F.struct(*[F.col(v) for v in values]), last).alias("_last")
     return df.groupBy(*keys).agg(packed).select(*keys, *[F.col(f"_last.{v}").alias(v) for v in values])

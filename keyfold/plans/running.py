@@ -93,7 +93,12 @@ def running_report(table: str, rows: DataFrame, order: str, **running_opts) -> D
 
 
 def latest_report(running: DataFrame, table: str, order: str) -> DataFrame:
-    """Last running row per key: what a key-upserted sink holds at the end."""
+    """Last running row per key: what a key-upserted sink holds at the end.
+
+    A title may hold a word twice, so the running word count has rows of one
+    word and order; its count grows by row and tells them apart.
+    """
     keys = _spec(table)[0]
-    return latest_by(running, keys, order, _value_columns(table))
+    by = [order, "count"] if table == "word_count" else order
+    return latest_by(running, keys, by, _value_columns(table))
 
