@@ -104,6 +104,17 @@ def a10_latest_neighborhood_price(spark: SparkSession, sf_dir: str) -> DataFrame
     return latest_report(run, "neighborhood_avg_price", "id")
 
 
+def a10_latest_title_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10 on the running J5, stored and read back: the batch word count."""
+    path = write_parquet(_running_listing(spark, sf_dir, "word_count"), fresh_path(spark, "results", "a10-words"))
+    return latest_report(spark.read.parquet(path), "word_count", "id")
+
+
+def a9_running_focus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A9 on J4: followers and listings of each line's orientation so far (by id)."""
+    return _running_listing(spark, sf_dir, "orientation_focus_count")
+
+
 def j11_rows_neighborhood_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J11's path: J2 over named listing rows (a database table's shape) whose
     unit prices carry thousands separators; read here from Spark-derived rows
@@ -275,6 +286,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a10_latest_per_key": a10_latest_per_key,
     "a9_running_neighborhood_price": a9_running_neighborhood_price,
     "a10_latest_neighborhood_price": a10_latest_neighborhood_price,
+    "a10_latest_title_words": a10_latest_title_words,
+    "a9_running_focus": a9_running_focus,
     "j11_rows_neighborhood_price": j11_rows_neighborhood_price,
     "p7_thousands_price": p7_thousands_price,
     "p8_digits_or_zero": p8_digits_or_zero,
@@ -372,3 +385,10 @@ ORACLE_SQL["j2_fine_prices"] = (
     "SELECT 'N' || (o_custkey % 25) AS neighborhood, "
     + _MEAN2.format(num="CAST(sum(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(18,6)) + 0.00125) AS DOUBLE)")
     + " AS avg_price, count(*) AS \"count\" FROM orders GROUP BY 1")
+ORACLE_SQL["a10_latest_title_words"] = ORACLE_SQL["j5_title_word_count"]
+ORACLE_SQL["a9_running_focus"] = (
+    "SELECT o_orderkey AS id, (['南','北','东','西','东南','西南','东北','西北'])[CAST(o_custkey % 8 + 1 AS INTEGER)] "
+    "AS orientation, CAST(sum(CASE WHEN o_orderkey % 10 = 0 THEN 0 ELSE o_orderkey % 1000 END) OVER w "
+    "AS BIGINT) AS total_focus, count(*) OVER w AS \"count\" FROM orders "
+    "WINDOW w AS (PARTITION BY o_custkey % 8 ORDER BY o_orderkey "
+    "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
