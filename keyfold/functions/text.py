@@ -144,17 +144,21 @@ def unit_price(col, strip_thousands: bool = False, type_: str = PRICE_TYPE,
     return to_number(ctl_trim(c), type_, strict)
 
 
+#: Ratios keep 18 decimals, so that their sums don't depend on the order of rows.
+RATIO_TYPE = "decimal(28,18)"
+
+
 def elevator_ratio(col) -> Column:
-    """``a梯b户`` (whole string) -> a / b as double; anything else -> 0.0.
+    """``a梯b户`` (whole string) -> a / b; anything else -> 0.
 
-    Zero households or numbers too large for an int also give 0.0.  The
+    Zero households or numbers too large for an int also give 0.  The
     anchored pattern yields empty groups on no match, so two extractions
     replace the match test.
     """
     c = _c(col)
-    lifts = F.regexp_extract(c, ELEVATOR_RATIO_PATTERN, 1).try_cast("int").cast("double")
-    homes = F.regexp_extract(c, ELEVATOR_RATIO_PATTERN, 2).try_cast("int").cast("double")
-    return F.coalesce(F.try_divide(lifts, homes), F.lit(0.0))
+    lifts, homes = (F.regexp_extract(c, ELEVATOR_RATIO_PATTERN, i).try_cast("int").cast("decimal(18,0)")
+                    for i in (1, 2))
+    return F.coalesce(F.try_divide(lifts, homes), F.lit(0)).cast(RATIO_TYPE)
 
 
 def round2(col) -> Column:

@@ -5,23 +5,16 @@ keeps the last emitted row per key ends with the plain aggregate.
 
 ``running_by`` computes the same thing as
 ``sum(v) OVER (PARTITION BY keys ORDER BY order ROWS UNBOUNDED PRECEDING)``
-without ever putting a whole hot key into one task:
-
-1. per-key row counts and order ranges (one partial-aggregated pass);
-2. keys with more rows than a threshold are *hot*; the threshold is chosen so
-   that there are at most ``max_hot_keys`` of them (at most
-   ``total / threshold`` keys can exceed it), which bounds the broadcast;
-3. a hot key's order range is cut into fine equal-width buckets and a
-   histogram (rows and sums per bucket; one more pass) assigns consecutive
-   buckets to chunks of about ``rows_per_chunk`` rows, however unevenly the
-   order values are spread; every other key is one chunk;
-4. the window runs per (key, chunk) -- one shuffle of the data (with no hot
-   key this is the plain per-key window);
-5. the histogram also gives each chunk's total, so each chunk's offset (the
-   sum of all earlier chunks) is added back through a broadcast join.
-   Chunks hold at least ``total / max_chunks`` rows, so the chunk table has at
-   most ``max_chunks + max_hot_keys`` rows and the bucket lookup at most
-   ``fine`` times that, whatever the input size.
+without ever putting a whole hot key into one task, and in one way for all
+sizes:
+
+1. rows are range-partitioned by (keys, order, tiebreak, row hash), so ranges
+   hold about equal numbers of rows however keys and orders are spread, and
+   the range's number is written with the rows into a checkpoint;
+2. the window runs per (range, key);
+3. only the first key of a range can have rows in earlier ranges, so at most
+   one offset per range (the key's totals in earlier ranges) is added back,
+   through a broadcast of at most as many rows as there are ranges.
 """
 
 from __future__ import annotations
@@ -31,7 +24,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.storagelevel import StorageLevel
 
 from keyfold.session import ensure_checkpoint_dir
 
@@ -40,39 +32,48 @@ def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def _position(df: DataFrame, order: str) -> Column:
-    """The order column as a long, for cutting key ranges into chunks."""
-    dt = df.schema[order].dataType
-    c = F.col(order)
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp"))
-    if isinstance(dt, T.DateType):
-        return F.unix_date(c)
-    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return c.cast("long")
-    if isinstance(dt, (T.FloatType, T.DoubleType, T.DecimalType)):
-        return F.floor(c).cast("long")
-    raise TypeError(f"running_by needs a numeric, date or timestamp order column, got {dt}")
+def _row_hash(df: DataFrame) -> Column:
+    """A hash of the row's plain columns: orders and splits tied rows."""
+    nested = (T.MapType, T.ArrayType, T.StructType, T.VariantType)
+    return F.xxhash64(*[F.col(f.name) for f in df.schema if not isinstance(f.dataType, nested)])
+
+
+def in_ranges(df: DataFrame, by: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """``df`` cut into ranges of about equal size by ``by``, numbered in that
+    order in ``_range`` and written to the checkpoint folder."""
+    ranged = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
+    return ranged.withColumn("_range", F.spark_partition_id()).checkpoint(eager=True)
+
+
+def _plus(local: Column, earlier: Column, typ: T.DataType) -> Column:
+    """A null-skipping sum of two partial sums, in their own type."""
+    earlier = earlier.cast(typ)
+    if isinstance(typ, T.DecimalType):
+        # At full precision Spark's decimal addition gives up a decimal place.
+        exact = T.DecimalType(min(typ.precision, 37), typ.scale)
+        both = local.cast(exact) + earlier.cast(exact)
+    else:
+        both = local + earlier
+    return F.coalesce(both.cast(typ), local, earlier)
 
 
 def running_by(df: DataFrame, keys, order: str, sums: Mapping[str, Column] | None = None,
                count: str | None = "running_count", tiebreak: Sequence[str] = (),
-               rows_per_chunk: int = 4_000_000, max_hot_keys: int = 10_000,
-               max_chunks: int = 20_000, fine: int = 16,
-               checkpoint_input: bool = False) -> DataFrame:
+               partitions: int | None = None, checkpoint_input: bool = False) -> DataFrame:
     """Append running sums (and a running row count) per key, in ``order``.
 
-    ``order`` (plus ``tiebreak``) should be unique within a key; ties are
-    taken in an arbitrary order, as arrival order is in a stream.
-    Returns ``df``'s columns plus one column per entry of ``sums`` and
-    ``count``.
-
-    Passes over ``df``: one for the key statistics and one for the windowed
-    output; only if some key is hot, one more for the hot keys' histograms.
-    ``checkpoint_input`` first writes the (narrow) input to the checkpoint
-    folder, so an expensive input (parsed text) is computed once and the later
-    passes read it back; it also cuts the lineage, so a lost executor does not
-    re-run the parse.
+    ``order`` may have any sortable type; nulls come first.  It (plus
+    ``tiebreak``) should be unique within a key: tied rows are taken in the
+    order of a hash of the row.  Integer and decimal sums are exact; the last
+    bits of a double sum depend on where the ranges are cut, so give decimals
+    where they matter.  Returns ``df``'s columns plus one column per entry of
+    ``sums`` and ``count``.
+
+    ``partitions`` is the number of ranges; left out, it is the session's
+    shuffle partitions, merged by adaptive execution when they are small.
+    Ranges are cut after a sampling pass over ``df``; ``checkpoint_input``
+    first writes the (narrow) input to the checkpoint folder, so an expensive
+    input (parsed text) is computed once, not once per pass.
     """
     keys = _keys(keys)
     sums = dict(sums or {})
@@ -82,117 +83,35 @@ def running_by(df: DataFrame, keys, order: str, sums: Mapping[str, Column] | Non
     if checkpoint_input:
         df = df.checkpoint(eager=True)
     cols = df.columns
-    pos = _position(df, order)
-
-    # 1-2. Key statistics, the total, and the hot keys (at most max_hot_keys).
-    # The per-key statistics are kept (memory, spilling to disk) only for the
-    # two small jobs below; lost blocks are recomputed from lineage.
-    stats = (df.select(*keys, pos.alias("_pos"))
-             .groupBy(*keys)
-             .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_lo"),
-                  F.max("_pos").alias("_hi"))
-             .persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        total, largest = stats.agg(F.sum("_n"), F.max("_n")).first()
-        total, largest = total or 0, largest or 0
-        # Chunks grow with the data so that there are at most about
-        # max_chunks + max_hot_keys of them whatever the input size.
-        rows_per_chunk = max(int(rows_per_chunk), -(-total // max(int(max_chunks), 1)))
-        threshold = max(rows_per_chunk, -(-total // max(int(max_hot_keys), 1)))
-        hot = None
-        if largest > threshold:
-            # Each hot key's order range is cut into `fine` x (its chunk count)
-            # equal-width buckets; the table is kept as a checkpoint.
-            n_fine = F.ceil(F.col("_n") / F.lit(rows_per_chunk)) * F.lit(int(fine))
-            hot = (stats.filter(F.col("_n") > threshold)
-                   .select(*keys, "_lo",
-                           ((F.col("_hi") - F.col("_lo") + 1).cast("double") / n_fine)
-                           .alias("_w"),
-                           n_fine.cast("long").alias("_k"))
-                   .checkpoint(eager=True))
-    finally:
-        stats.unpersist()
-    if hot is None:
-        # No hot key: one window per key is balanced enough.
-        w = (Window.partitionBy(*keys).orderBy(order, *tiebreak)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return df.select(*cols, *[F.sum(v).over(w).alias(n) for n, v in sums.items()],
-                         *([F.count(F.lit(1)).over(w).alias(count)] if count else []))
-    hk = {k: f"_hk_{i}" for i, k in enumerate(keys)}
-    hot = F.broadcast(hot.select(*[F.col(k).alias(hk[k]) for k in keys], "_lo", "_w", "_k"))
-    # ^ at most max_hot_keys rows, see threshold
-
-    # 3. Fine bucket per row of a hot key (-1: no position, sorts first; rows
-    #    of other keys get null).
-    on_hot = _and([F.col(k).eqNullSafe(F.col(hk[k])) for k in keys])
-    fb = (F.when(F.col("_w").isNull(), F.lit(None).cast("long"))
-           .when(F.col("_pos").isNull(), F.lit(-1).cast("long"))
-           .otherwise(F.least(F.floor((F.col("_pos") - F.col("_lo")) / F.col("_w")).cast("long"),
-                              F.col("_k") - 1)))
-    tagged = df.withColumn("_pos", pos).join(hot, on_hot, "left").select(*cols, fb.alias("_fb"))
-
-    # 4. Histogram of the hot keys (one pass): rows and sums per fine bucket.
-    #    A bucket goes to chunk floor(rows before it / rows_per_chunk), so
-    #    chunks hold about rows_per_chunk rows however the order values are
-    #    spread, and chunk ids grow with the order.  The histogram has at most
-    #    fine * (max_chunks + max_hot_keys) rows; the chunk table at most
-    #    max_chunks + max_hot_keys: both broadcasts are bounded.
-    hist = (tagged.filter(F.col("_fb").isNotNull()).groupBy(*keys, "_fb")
-            .agg(*[F.sum(v).alias(f"_t_{n}") for n, v in sums.items()],
-                 F.count(F.lit(1)).alias("_tc")))
-    by_key = Window.partitionBy(*keys).orderBy("_fb")
-    rows_before = F.coalesce(
-        F.sum("_tc").over(by_key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    hist = hist.withColumn("_chunk", F.floor(rows_before / F.lit(rows_per_chunk)).cast("long")) \
-        .checkpoint(eager=True)
-    lk = {k: f"_lk_{i}" for i, k in enumerate(keys)}
-    lookup = F.broadcast(hist.select(*[F.col(k).alias(lk[k]) for k in keys],
-                                     F.col("_fb").alias("_lfb"), F.col("_chunk").alias("_lchunk")))
-    totals = (hist.groupBy(*keys, "_chunk")
-              .agg(*[F.sum(f"_t_{n}").alias(f"_t_{n}") for n in sums],
-                   F.sum("_tc").alias("_tc")))
-    before = (Window.partitionBy(*keys).orderBy("_chunk")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    ok = {k: f"_ok_{i}" for i, k in enumerate(keys)}
-    offsets = F.broadcast(totals.select(
-        *[F.col(k).alias(ok[k]) for k in keys], F.col("_chunk").alias("_ochunk"),
-        *[F.sum(f"_t_{n}").over(before).alias(f"_o_{n}") for n in sums],
-        F.sum("_tc").over(before).alias("_oc"),
-    ))
-
-    # 5. Chunk per row, local running values per (key, chunk): one shuffle,
-    #    no hot task; then each chunk's offset from the earlier chunks.
-    on_lookup = _and([F.col(k).eqNullSafe(F.col(lk[k])) for k in keys]
-                     + [F.col("_fb") == F.col("_lfb")])
-    chunked = tagged.join(lookup, on_lookup, "left").select(
-        *cols, F.coalesce(F.col("_lchunk"), F.lit(0).cast("long")).alias("_chunk"))
-    w = (Window.partitionBy(*keys, "_chunk").orderBy(order, *tiebreak)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = chunked.select(
-        *cols, "_chunk",
-        *[F.sum(v).over(w).alias(f"_ls_{n}") for n, v in sums.items()],
-        *([F.count(F.lit(1)).over(w).alias("_lc")] if count else []),
-    )
-    on_off = _and([F.col(k).eqNullSafe(F.col(ok[k])) for k in keys]
-                  + [F.col("_chunk") == F.col("_ochunk")])
-    joined = local.join(offsets, on_off, "left")
-
-    out = [F.col(c) for c in cols]
-    for n in sums:
-        # Same type as the plain window's running sum, whichever path ran.
-        typ = local.schema[f"_ls_{n}"].dataType
-        zero = F.lit(0).cast(typ)
-        out.append((F.col(f"_ls_{n}") + F.coalesce(F.col(f"_o_{n}"), zero)).cast(typ).alias(n))
+    value = {n: f"_v_{n}" for n in sums}
+    ranged = in_ranges(df.select(*cols, *[v.alias(value[n]) for n, v in sums.items()], _row_hash(df).alias("_tie")),
+                       [*keys, order, *tiebreak, "_tie"], partitions)
+
+    upto = (Window.partitionBy("_range", *keys).orderBy(order, *tiebreak, "_tie")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = ranged.select(*cols, "_range", *[F.sum(value[n]).over(upto).alias(f"_s_{n}") for n in sums],
+                          F.count(F.lit(1)).over(upto).alias("_n"))
+
+    # A key's totals in earlier ranges: one row for each range that goes on
+    # with the key of the range before.
+    earlier = (Window.partitionBy(*keys).orderBy("_range")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    okey = {k: f"_k_{k}" for k in keys}
+    offsets = (ranged.groupBy("_range", *keys)
+               .agg(*[F.sum(value[n]).alias(value[n]) for n in sums], F.count(F.lit(1)).alias("_rows"))
+               .select(F.col("_range").alias("_orange"), *[F.col(k).alias(okey[k]) for k in keys],
+                       *[F.sum(value[n]).over(earlier).alias(f"_o_{n}") for n in sums],
+                       F.sum("_rows").over(earlier).alias("_before"))
+               .filter(F.col("_before").isNotNull()))
+    same = F.col("_range") == F.col("_orange")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(okey[k]))
+    joined = local.join(F.broadcast(offsets), same, "left")  # at most one row per range
+
+    out = [_plus(F.col(f"_s_{n}"), F.col(f"_o_{n}"), local.schema[f"_s_{n}"].dataType).alias(n) for n in sums]
     if count:
-        out.append((F.col("_lc") + F.coalesce(F.col("_oc"), F.lit(0))).alias(count))
-    return joined.select(*out)
-
-
-def _and(conds: list[Column]) -> Column:
-    out = conds[0]
-    for c in conds[1:]:
-        out = out & c
-    return out
+        out.append((F.col("_n") + F.coalesce(F.col("_before"), F.lit(0))).alias(count))
+    return joined.select(*cols, *out)
 
 
 def latest_by(df: DataFrame, keys, order: str | Sequence[str], values: Sequence[str]) -> DataFrame:

@@ -6,8 +6,8 @@ input row (per word for the word count), in ``order``, carrying the key's
 values so far.  Keeping the last row per key (``latest_report``) gives the
 batch report, which is the D1 property the tests check.
 
-All of it runs on :func:`keyfold.operators.running.running_by`, which splits
-hot keys (a district holding a third of all listings) across tasks.
+All of it runs on :func:`keyfold.operators.running.running_by`, which spreads
+a hot key (a district holding a third of all listings) over many tasks.
 """
 
 from __future__ import annotations
@@ -23,8 +23,10 @@ def _ind(c: Column) -> Column:
     return F.when(c, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
 
 
-def _mean(sum_col: str, count_col: str) -> Column:
-    return round2(F.col(sum_col).cast("double") / F.col(count_col))
+def _mean_of(value: str, name: str) -> tuple[dict, dict]:
+    """The sums and the finishing column of a mean over the rows with a value."""
+    sums = {"_s": F.col(value), "_m": F.col(value).isNotNull().cast("bigint")}
+    return sums, {name: round2(F.try_divide(F.col("_s").cast("double"), F.col("_m")))}
 
 
 # table -> (key columns after renaming, renames, sums, count name, finishing columns)
@@ -32,11 +34,11 @@ def _spec(table: str):
     if table == "district_stats":
         return ["district"], {}, {}, "house_count", {}
     if table == "neighborhood_avg_price":
-        return (["neighborhood"], {}, {"_s": F.col("unit_price")}, "count",
-                {"avg_price": _mean("_s", "count")})
+        sums, finish = _mean_of("unit_price", "avg_price")
+        return ["neighborhood"], {}, sums, "count", finish
     if table == "year_avg_elevator_ratio":
-        return (["year_built"], {}, {"_s": F.col("elevator_ratio")}, "count",
-                {"avg_elevator_ratio": _mean("_s", "count")})
+        sums, finish = _mean_of("elevator_ratio", "avg_elevator_ratio")
+        return ["year_built"], {}, sums, "count", finish
     if table == "orientation_focus_count":
         return (["orientation"], {}, {"total_focus": F.col("focus").cast("bigint")}, "count", {})
     if table == "hotel_statistics":
@@ -51,8 +53,8 @@ def _spec(table: str):
     if table == "booking_method_statistics":
         return ["hotel_type", "booking_method"], {"hotel": "hotel_type"}, {}, "booking_count", {}
     if table == "monthly_avg_adr":
-        return (["month"], {"arrival_date_month": "month"}, {"_s": F.col("adr")}, "_n",
-                {"avg_adr": _mean("_s", "_n")})
+        sums, finish = _mean_of("adr", "avg_adr")
+        return ["month"], {"arrival_date_month": "month"}, sums, None, finish
     if table == "word_count":
         return ["word"], {}, {}, "count", {}
     raise KeyError(table)
@@ -81,7 +83,7 @@ def running_report(table: str, rows: DataFrame, order: str, **running_opts) -> D
         src = words.filter(ctl_trim(F.col("word")) != "")
         tiebreak = ["_pos"]
     # Narrow the rows to what the running values need, then let running_by
-    # compute them once (checkpointed) instead of re-parsing per pass.
+    # compute them once (checkpointed): sampling and cutting are two passes.
     src = src.select(*dict.fromkeys([order, *keys, *tiebreak]),
                      *[v.alias(f"_v{i}") for i, v in enumerate(sums.values())])
     sums = {n: F.col(f"_v{i}") for i, n in enumerate(sums)}

@@ -47,19 +47,11 @@ def main() -> None:
         t = time.time()
         run_report(table, lines).write.format("noop").mode("overwrite").save()
         times[table] = round(time.time() - t, 3)
-    # Running district count: the largest district holds 30% of the rows, so
-    # with chunks of n/50 rows it is split across many window tasks.
+    # Running district count: the largest district holds 30% of the rows.
     t = time.time()
     rows = parse_listings(lines).select(F.col("id").cast("bigint").alias("id"), "district")
-    running_report("district_stats", rows, "id", rows_per_chunk=max(1, n // 50)) \
-        .write.format("noop").mode("overwrite").save()
+    running_report("district_stats", rows, "id").write.format("noop").mode("overwrite").save()
     times["running_district_stats"] = round(time.time() - t, 3)
-    # Same report with splitting disabled: the plain per-key window, where the
-    # largest district's rows all land in one task.
-    t = time.time()
-    running_report("district_stats", rows, "id", rows_per_chunk=n * 10) \
-        .write.format("noop").mode("overwrite").save()
-    times["running_district_stats_unsplit"] = round(time.time() - t, 3)
     print(json.dumps({"metric": "synthetic_listing_report_seconds", "rows": n, "cpus": cpus,
                       "render_sec": round(render, 3), "queries": times,
                       "rows_per_sec_j1": round(n / times["district_stats"])

@@ -19,13 +19,13 @@ def rendered(spark, sf_small):
 
 
 @pytest.mark.parametrize("table", sorted(REPORTS))
-@pytest.mark.parametrize("rows_per_chunk", [4_000_000, 100])
-def test_last_running_row_is_batch_result(spark, rendered, table, rows_per_chunk):
+@pytest.mark.parametrize("partitions", [None, 15])
+def test_last_running_row_is_batch_result(spark, rendered, table, partitions):
     kind = REPORTS[table].kind
     lines = rendered[kind]
     parse = parse_listings if kind == "listing" else parse_bookings
     rows = parse(lines, keep=["seq"])
-    run = running_report(table, rows, "seq", rows_per_chunk=rows_per_chunk)
+    run = running_report(table, rows, "seq", partitions=partitions)
     assert run.count() >= lines.count() if table != "word_count" else True
     last = latest_report(run, table, "seq")
     batch = run_report(table, lines.select("value"))
@@ -76,8 +76,8 @@ def test_stream_with_rocksdb_state(spark, sf_small):
             spark.conf.set(key, before)
 
 
-@pytest.mark.parametrize("rows_per_chunk", [4_000_000, 200])
-def test_booking_running_report_in_arrival_order(spark, sf_small, rows_per_chunk):
+@pytest.mark.parametrize("partitions", [None, 8])
+def test_booking_running_report_in_arrival_order(spark, sf_small, partitions):
     from keyfold.session import fresh_path
     from keyfold.sources.fixtures import write_lines
     from keyfold.sources.text import read_lines, with_arrival_order
@@ -86,7 +86,7 @@ def test_booking_running_report_in_arrival_order(spark, sf_small, rows_per_chunk
     write_lines(spark, orders, "booking", src, n_files=3)
     lines = with_arrival_order(read_lines(spark, src))
     rows = parse_bookings(lines, keep=["seq"])
-    run = running_report("monthly_booking_counts", rows, "seq", rows_per_chunk=rows_per_chunk)
+    run = running_report("monthly_booking_counts", rows, "seq", partitions=partitions)
     last = latest_report(run, "monthly_booking_counts", "seq")
     batch = run_report("monthly_booking_counts", read_lines(spark, src))
     last = last.select(*batch.columns)
