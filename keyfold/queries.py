@@ -14,18 +14,19 @@ from pyspark.sql import functions as F
 from keyfold import fs
 from keyfold.functions.text import digits_or_zero, round2
 from keyfold.operators.agg import word_count
-from keyfold.operators.parse import parse_listing_rows, parse_listings
+from keyfold.operators.parse import bad_rows, parse_bookings, parse_listing_rows, parse_listings
 from keyfold.operators.running import latest_by, running_by
 from keyfold.plans.reports import neighborhood_avg_price, run_report
 from keyfold.plans.running import latest_report, running_report
-from keyfold.schema import keys_of
+from keyfold.schema import LISTING_COLUMNS, keys_of
 from keyfold.session import ensure_checkpoint_dir, fresh_path
 from keyfold.sinks.files import FileTable, write_parquet
 from keyfold.sources.fixtures import (
-    ORDER_COLUMNS, fixture_lines, fixture_path, listing_rows, write_lines,
+    ORDER_COLUMNS, fixture_lines, fixture_path, header_for, line_for, listing_rows, write_lines, write_with_headers,
 )
+from keyfold.sources import synth
 from keyfold.sources.synth import synth_listings
-from keyfold.sources.text import stream_lines
+from keyfold.sources.text import read_lines, stream_lines
 from keyfold.streaming.upsert import run_report_stream, start_upsert_stream
 
 
@@ -115,6 +116,74 @@ def a9_running_focus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _running_listing(spark, sf_dir, "orientation_focus_count")
 
 
+def a9_running_year_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A9 on J3: mean ratio and listings of each line's year so far (by id)."""
+    return _running_listing(spark, sf_dir, "year_avg_elevator_ratio")
+
+
+def a9_running_title_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A9 on J5: how often each title word has been seen so far (by id)."""
+    return _running_listing(spark, sf_dir, "word_count")
+
+
+def _running_booking(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    # Booking lines hold no id; the order's key numbers them.
+    orders = _table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
+    lines = orders.select(line_for("booking").alias("value"), F.col("o_orderkey").alias("seq"))
+    ensure_checkpoint_dir(spark)
+    return running_report(table, parse_bookings(lines, keep=["seq"]), "seq")
+
+
+def a9_running_hotel_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A9 on J6: bookings, cancellations and nights of each line's hotel type so far."""
+    return _running_booking(spark, sf_dir, "hotel_statistics")
+
+
+def a9_running_monthly_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A9 on J7: kept bookings of each line's month and hotel type so far."""
+    return _running_booking(spark, sf_dir, "monthly_booking_counts")
+
+
+def a9_running_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A9 over few keys in many ranges: every key goes on from range to range.
+
+    The order column is a timestamp that several events may share.
+    """
+    ev = _table(spark, sf_dir, "events").select(
+        "event_id", "event_type", "ts", F.col("value").cast("decimal(18,2)").alias("v"))
+    run = running_by(ev, "event_type", "ts", sums={"running_sum": F.col("v")}, count="running_count",
+                     tiebreak=["event_id"], partitions=64)
+    return run.select("event_id", "event_type", F.col("running_sum").cast("double").alias("running_sum"),
+                      "running_count")
+
+
+def _unclean_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing lines, every eleventh with a price that is no number."""
+    orders = _table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
+    price = F.when(F.col("o_orderkey") % 11 == 0, F.lit("\"面议\"")).otherwise(F.lit("$0"))
+    lines = orders.select(F.regexp_replace(line_for("listing"), F.lit('"[0-9.]+元/平"'), price).alias("value"))
+    ensure_checkpoint_dir(spark)
+    return read_lines(spark, write_with_headers(spark, lines, header_for("listing"),
+                                                fresh_path(spark, "unclean", "listing")))
+
+
+def p15_quarantined_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 with lines left out whose price can't be read."""
+    return run_report("neighborhood_avg_price", _unclean_lines(spark, sf_dir), on_bad="quarantine")
+
+
+def p15_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines that the quarantine leaves out, as written."""
+    return bad_rows(_unclean_lines(spark, sf_dir), "listing", ["neighborhood", "unit_price"])
+
+
+def j6_quoted_hotels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J6 over booking lines whose hotel names hold a comma, ``quoted`` dialect."""
+    orders = _table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
+    lines = orders.select(F.regexp_replace(line_for("booking"), " Hotel", ", Hotel").alias("value"))
+    return run_report("hotel_statistics", lines, dialect="quoted")
+
+
 def j11_rows_neighborhood_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J11's path: J2 over named listing rows (a database table's shape) whose
     unit prices carry thousands separators; read here from Spark-derived rows
@@ -288,6 +357,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a10_latest_neighborhood_price": a10_latest_neighborhood_price,
     "a10_latest_title_words": a10_latest_title_words,
     "a9_running_focus": a9_running_focus,
+    "a9_running_year_ratio": a9_running_year_ratio,
+    "a9_running_title_words": a9_running_title_words,
+    "a9_running_hotel_statistics": a9_running_hotel_statistics,
+    "a9_running_monthly_bookings": a9_running_monthly_bookings,
+    "a9_running_split": a9_running_split,
+    "p15_quarantined_prices": p15_quarantined_prices,
+    "p15_bad_rows": p15_bad_rows,
+    "j6_quoted_hotels": j6_quoted_hotels,
     "j11_rows_neighborhood_price": j11_rows_neighborhood_price,
     "p7_thousands_price": p7_thousands_price,
     "p8_digits_or_zero": p8_digits_or_zero,
@@ -392,3 +469,82 @@ ORACLE_SQL["a9_running_focus"] = (
     "AS BIGINT) AS total_focus, count(*) OVER w AS \"count\" FROM orders "
     "WINDOW w AS (PARTITION BY o_custkey % 8 ORDER BY o_orderkey "
     "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+_SO_FAR = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+# Ratios as sixtieths: households are 1 to 6, so the sums are whole numbers.
+ORACLE_SQL["a9_running_year_ratio"] = (
+    "SELECT id, year_built, CAST(printf('%.2f', CAST(sum(sixtieths) OVER w AS DOUBLE) / 60 / count(*) OVER w) "
+    "AS DOUBLE) AS avg_elevator_ratio, count(*) OVER w AS \"count\" FROM (SELECT o_orderkey AS id, "
+    "CAST(year(o_orderdate) AS VARCHAR) AS year_built, CASE WHEN o_orderkey % 7 = 0 THEN 0 "
+    "ELSE (o_custkey % 2 + 1) * 60 // (o_orderkey % 6 + 1) END AS sixtieths FROM orders) "
+    f"WINDOW w AS (PARTITION BY year_built ORDER BY id {_SO_FAR})")
+# No title holds a word twice.
+ORACLE_SQL["a9_running_title_words"] = (
+    "SELECT id, word, count(*) OVER w AS \"count\" FROM (SELECT o_orderkey AS id, unnest(regexp_split_to_array("
+    "o_orderpriority || '，st,' || o_orderstatus, '[，\\s]+')) AS word FROM orders) WHERE word <> '' "
+    f"WINDOW w AS (PARTITION BY word ORDER BY id {_SO_FAR})")
+ORACLE_SQL["a9_running_hotel_statistics"] = (
+    "SELECT o_orderkey AS seq, hotel_type, count(*) OVER w AS booking_count, "
+    "CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) OVER w AS BIGINT) AS canceled_count, "
+    "CAST(sum(o_orderkey % 14) OVER w AS BIGINT) AS actual_stay_count "
+    f"FROM (SELECT *, {_HOTEL} AS hotel_type FROM orders) "
+    f"WINDOW w AS (PARTITION BY hotel_type ORDER BY o_orderkey {_SO_FAR})")
+ORACLE_SQL["a9_running_monthly_bookings"] = (
+    "SELECT o_orderkey AS seq, \"month\", hotel_type, "
+    "CAST(sum(CASE WHEN o_orderstatus <> 'F' THEN 1 ELSE 0 END) OVER w AS BIGINT) AS booking_count "
+    f"FROM (SELECT *, CAST(month(o_orderdate) AS INTEGER) AS \"month\", {_HOTEL} AS hotel_type FROM orders) "
+    f"WINDOW w AS (PARTITION BY \"month\", hotel_type ORDER BY o_orderkey {_SO_FAR})")
+ORACLE_SQL["a9_running_split"] = (
+    "SELECT event_id, event_type, CAST(sum(CAST(value AS DECIMAL(18,2))) OVER w AS DOUBLE) AS running_sum, "
+    "count(*) OVER w AS running_count FROM events "
+    f"WINDOW w AS (PARTITION BY event_type ORDER BY ts NULLS FIRST, event_id {_SO_FAR})")
+ORACLE_SQL["p15_quarantined_prices"] = ORACLE_SQL["j2_neighborhood_avg_price"].replace(
+    "FROM orders", "FROM orders WHERE o_orderkey % 11 <> 0")
+_UNCLEAN = {
+    "id": "o_orderkey", "title": "o_orderpriority || '，st,' || o_orderstatus", "unit_price": "'面议'",
+    "focus": "CASE WHEN o_orderkey % 10 = 0 THEN '暂无' ELSE (o_orderkey % 1000) || '人关注' END",
+    "orientation": "(['南','北','东','西','东南','西南','东北','西北'])[CAST(o_custkey % 8 + 1 AS INTEGER)]",
+    "year_built": "year(o_orderdate) || '年建'", "district": "o_orderpriority",
+    "neighborhood": "'N' || (o_custkey % 25)",
+    "elevator_ratio": "CASE WHEN o_orderkey % 7 = 0 THEN '暂无数据' "
+                      "ELSE (o_custkey % 2 + 1) || '梯' || (o_orderkey % 6 + 1) || '户' END",
+}
+ORACLE_SQL["p15_bad_rows"] = (
+    "SELECT " + " || ',' || ".join(f"'\"' || ({_UNCLEAN.get(c, chr(39) + 'x' + chr(39))}) || '\"'"
+                                   for c in LISTING_COLUMNS)
+    + " AS \"value\" FROM orders WHERE o_orderkey % 11 = 0")
+ORACLE_SQL["j6_quoted_hotels"] = ORACLE_SQL["j6_hotel_statistics"].replace(" Hotel'", ", Hotel'")
+
+
+def _synth_sql(seed: int = 42, date: str = "2024-12-01") -> str:
+    """The S5 listings of ``orders`` in SQL: the same md5 draws and value lists."""
+    def draw(salt: int, n: int, base: int = 0) -> str:
+        return f"(('0x' || substr(md5('{seed}:' || o_orderkey || ':{salt}'), 1, 12))::BIGINT % {n} + {base})"
+
+    def pick(salt: int, values: list[str]) -> str:
+        return "([" + ", ".join(f"'{v}'" for v in values) + f"])[{draw(salt, len(values), 1)}]"
+
+    columns = {
+        "id": "o_orderkey",
+        "title": pick(1, synth.TITLES),
+        "url": f"'https://example.com/listing/' || {draw(2, 1_000_000, 1_000_000_000)}",
+        "price": f"{draw(3, 50, 50)} || '万元'",
+        "unit_price": f"{draw(4, 30_000)} || '元/平'",
+        "focus": f"{draw(5, 1000)}::INTEGER",
+        "layout": f"{draw(6, 5, 1)} || '室' || {draw(61, 3, 1)} || '厅'",
+        "floor": f"{pick(7, synth.FLOOR_LEVELS)} || '/共' || {draw(71, 20, 10)} || '层'",
+        "orientation": pick(8, synth.ORIENTATIONS),
+        "decoration": pick(9, synth.DECORATIONS),
+        "area": f"{draw(10, 80, 50)} || '平米'",
+        "year_built": f"'20' || {draw(11, 10, 10)} || '年建'",
+        "community": pick(12, synth.COMMUNITY_SLOTS),
+        "district": pick(13, synth.DISTRICT_SLOTS),
+        "neighborhood": pick(14, synth.NEIGHBORHOOD_SLOTS),
+        "elevator": pick(15, synth.ELEVATOR),
+        "elevator_ratio": f"{draw(16, 2, 1)} || '梯' || {draw(161, 6, 1)} || '户'",
+        "post_date": f"'{date}'",
+        "update_date": f"'{date}'",
+    }
+    return "SELECT " + ", ".join(f'{c} AS "{n}"' for n, c in columns.items()) + " FROM orders"
+
+
+ORACLE_SQL["s5_synth_listings"] = _synth_sql()

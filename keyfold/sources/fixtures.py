@@ -18,11 +18,11 @@ from pyspark.sql import functions as F
 from keyfold import fs
 from keyfold.schema import BOOKING_COLUMNS, LISTING_COLUMNS
 from keyfold.session import shared_path
+from keyfold.sources.synth import ORIENTATIONS
 
-RENDER_VERSION = "r3"
+RENDER_VERSION = "r4"
 
 # Fixed values of the rendering rules.
-ORIENTATIONS = ["南", "北", "东", "西", "东南", "西南", "东北", "西北"]
 NO_FOCUS = "暂无"
 NO_RATIO = "暂无数据"
 FOCUS_SUFFIX = "人关注"
@@ -113,22 +113,33 @@ def header_for(kind: str) -> str:
     return header_line(BOOKING_COLUMNS if kind == "booking" else LISTING_COLUMNS)
 
 
+def with_headers(lines: DataFrame, header: str) -> DataFrame:
+    """``value`` lines with ``header`` before the first line of every task.
+
+    Row numbers count from 0 within a task, so its first row is known
+    without a shuffle or a sort; a task without lines has no header.
+    """
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    first = F.array(F.lit(header), F.col("value"))
+    return lines.select("value", row.alias("_row")).select(
+        F.explode(F.when(F.col("_row") == 0, first).otherwise(F.array("value"))).alias("value"))
+
+
 def write_with_headers(spark: SparkSession, lines: DataFrame, header: str, path: str,
                        n_files: int | None = None) -> str:
-    """Write ``value`` lines as ``n_files`` text files, each starting with ``header``."""
-    n = int(n_files or spark.sparkContext.defaultParallelism)
-    body = lines.select("value", F.lit(1).alias("_seq"))
-    # n header rows from ONE partition: round-robin sends them to n distinct
-    # output partitions, so every file gets exactly one header, placed first.
-    heads = spark.range(0, n, 1, 1).select(F.lit(header).alias("value"), F.lit(0).alias("_seq"))
-    (body.unionByName(heads).repartition(n).sortWithinPartitions("_seq")
-     .select("value").write.mode("overwrite").text(path))
+    """Write ``value`` lines as text files, each starting with ``header``: one
+    per task, or ``n_files`` at the price of a shuffle."""
+    lines = lines.select("value")
+    if n_files:
+        lines = lines.repartition(int(n_files))
+    with_headers(lines, header).write.mode("overwrite").text(path)
     return path
 
 
 def write_lines(spark: SparkSession, orders: DataFrame, kind: str, path: str,
                 n_files: int | None = None, where: Column | None = None) -> str:
-    """Write rendered lines (plus one header line per file) as text at ``path``."""
+    """Write rendered lines (plus one header line per file) as text at ``path``,
+    one file per task or ``n_files``."""
     src = orders if where is None else orders.filter(where)
     return write_with_headers(spark, src.select(line_for(kind).alias("value")), header_for(kind),
                               path, n_files)
@@ -152,7 +163,8 @@ def fixture_path(spark: SparkSession, sf_dir: str, kind: str) -> str:
     if not fs.exists(spark, final + "/_SUCCESS"):
         aside = final + f".tmp-{uuid.uuid4().hex[:8]}"
         orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(*ORDER_COLUMNS)
-        write_lines(spark, orders, kind, aside)
+        # Several files of a small table, as a stream's input arrives.
+        write_lines(spark, orders, kind, aside, spark.sparkContext.defaultParallelism)
         if not fs.exists(spark, final + "/_SUCCESS"):
             fs.delete(spark, final)
             jvm = spark._jvm

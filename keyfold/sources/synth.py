@@ -1,9 +1,9 @@
 """Synthetic listings, one per input id, deterministic for a seed.
 
-Every random choice is ``pmod(xxhash64(seed, id, column), n)``, a pure
-function of the row's id, so the output does not depend on partitioning or
-task retries (unlike a stateful random generator), and generation runs fully
-in parallel.  Categorical columns draw uniformly from weighted slot lists, so
+Every random choice is the md5 of ``seed:id:column`` (its first twelve hex
+digits modulo n), a pure function of the row's id that other engines have too,
+so the output does not depend on partitioning or task retries (unlike a
+stateful random generator), and generation runs fully in parallel.  Categorical columns draw uniformly from weighted slot lists, so
 a value listed k times is k times as likely.
 """
 
@@ -44,7 +44,8 @@ DEFAULT_ROWS = (200 * 1024 * 1024) // (2 * 1024)
 
 
 def _draw(seed: int, id_col: Column, salt: int, n: int) -> Column:
-    return F.pmod(F.xxhash64(F.lit(seed), id_col, F.lit(salt)), F.lit(n))
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), id_col.cast("string"), F.lit(str(salt))))
+    return F.conv(F.substring(digest, 1, 12), 16, 10).cast("long") % F.lit(n)
 
 
 def _pick(seed: int, id_col: Column, salt: int, values: list[str]) -> Column:
