@@ -4,6 +4,7 @@
         --source text --path hdfs:///in/listings --sink filetable --target hdfs:///out/district_stats
     python -m keyfold.jobs report --report orientation_focus_count --stream \
         --source kafka --bootstrap broker:9092 --topic listings \
+        --max-offsets-per-trigger 1000000 --rocksdb --checkpoint hdfs:///streams/focus \
         --sink jdbc --url jdbc:mysql://db/rollups --table orientation_focus_count
     python -m keyfold.jobs generate --rows 102400 --path hdfs:///in/listings
     python -m keyfold.jobs lines-to-kafka --path hdfs:///in/listings --bootstrap b:9092 --topic t
@@ -32,7 +33,7 @@ from keyfold.sources.jdbc import read_jdbc
 from keyfold.sources.kafka import read_kafka_lines
 from keyfold.sources.synth import synth_listings_range, to_listing_lines
 from keyfold.sources.text import read_lines, stream_lines
-from keyfold.streaming.upsert import start_upsert_stream
+from keyfold.streaming.upsert import start_upsert_stream, use_rocksdb_state
 
 
 def _jdbc_props(args) -> dict:
@@ -47,6 +48,20 @@ def _jdbc_props(args) -> dict:
     return props
 
 
+def _jdbc_read(args) -> dict:
+    """How a listing table is read: by ranges of ``--partition-column``, one
+    connection each, or as one query over one connection."""
+    cols = [c for c in LISTING_COLUMNS if c != "id"]
+    props = _jdbc_props(args)
+    if not args.partition_column:
+        return {"query": f"SELECT {', '.join(cols)} FROM {args.source_table}", **props}
+    if args.partition_column not in cols:
+        cols.append(args.partition_column)
+    return {"table": f"(SELECT {', '.join(cols)} FROM {args.source_table}) listing_rows",
+            "partition_column": args.partition_column, "lower_bound": args.lower_bound,
+            "upper_bound": args.upper_bound, "num_partitions": args.num_partitions, **props}
+
+
 def _source(spark: SparkSession, args, stream: bool) -> DataFrame:
     """Raw lines (``value``) or, for a JDBC listing table, typed listing rows."""
     if args.source == "text":
@@ -54,14 +69,13 @@ def _source(spark: SparkSession, args, stream: bool) -> DataFrame:
             return stream_lines(spark, args.path, args.max_files_per_trigger)
         return read_lines(spark, args.path)
     if args.source == "kafka":
-        return read_kafka_lines(spark, args.bootstrap, args.topic, stream=stream)
+        limits = {"maxOffsetsPerTrigger": args.max_offsets_per_trigger} if stream and args.max_offsets_per_trigger else {}
+        return read_kafka_lines(spark, args.bootstrap, args.topic, stream=stream,
+                                min_partitions=args.min_partitions, extra=limits)
     if args.source == "jdbc":
         if stream:
             raise SystemExit("a JDBC table is a bounded source: drop --stream")
-        cols = ", ".join(c for c in LISTING_COLUMNS if c != "id")
-        df = read_jdbc(spark, args.url, query=f"SELECT {cols} FROM {args.source_table}",
-                       **_jdbc_props(args))
-        return parse_listing_rows(df, on_bad=args.on_bad)
+        return parse_listing_rows(read_jdbc(spark, args.url, **_jdbc_read(args)), on_bad=args.on_bad)
     raise SystemExit(f"unknown source {args.source}")
 
 
@@ -93,7 +107,6 @@ def _batch_sink(spark: SparkSession, args, checkpoint: str):
 
 def run_report_job(spark: SparkSession, args) -> object:
     """Run one report; returns the streaming query (``--stream``) or None."""
-    ensure_checkpoint_dir(spark)
     # Refuse impossible combinations before touching any source.
     if args.source == "jdbc" and REPORTS[args.report].kind != "listing":
         raise SystemExit("the JDBC source holds listings")
@@ -101,6 +114,11 @@ def run_report_job(spark: SparkSession, args) -> object:
         raise SystemExit("a stream upserts: use --sink filetable or jdbc")
     if args.stream and not (args.checkpoint or args.target):
         raise SystemExit("a stream without --target needs --checkpoint")
+    if args.partition_column and None in (args.lower_bound, args.upper_bound, args.num_partitions):
+        raise SystemExit("--partition-column needs --lower-bound, --upper-bound and --num-partitions")
+    ensure_checkpoint_dir(spark)
+    if args.stream and args.rocksdb:
+        use_rocksdb_state(spark)
     result = _result(args, _source(spark, args, args.stream))
     if args.stream:
         if args.sink == "parquet":
@@ -151,6 +169,13 @@ def build_parser() -> argparse.ArgumentParser:
     r.add_argument("--topic")
     r.add_argument("--url")
     r.add_argument("--source-table", default="listings")
+    r.add_argument("--partition-column", help="JDBC: read the table in ranges of this column")
+    r.add_argument("--lower-bound", type=int)
+    r.add_argument("--upper-bound", type=int)
+    r.add_argument("--num-partitions", type=int, help="JDBC: number of ranges, one connection each")
+    r.add_argument("--min-partitions", type=int, help="Kafka: at least so many tasks a batch")
+    r.add_argument("--max-offsets-per-trigger", type=int, help="Kafka: most records a micro-batch takes")
+    r.add_argument("--rocksdb", action="store_true", help="stream: keep state in RocksDB, not on the heap")
     r.add_argument("--sink", required=True, choices=["parquet", "filetable", "jdbc"])
     r.add_argument("--target", help="output path (parquet / filetable)")
     r.add_argument("--table", help="JDBC result table (default: the report name)")

@@ -14,6 +14,8 @@ statement depends on the database dialect.
 
 from __future__ import annotations
 
+import uuid
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -23,7 +25,14 @@ def append_jdbc(df: DataFrame, url: str, table: str, batchsize: int = 1000,
                 num_partitions: int | None = 32, column_types: str | None = None,
                 properties: dict | None = None, mode: str = "append") -> None:
     """K2: batched append (``batchsize`` rows per batch, a commit per partition,
-    at most ``num_partitions`` concurrent connections)."""
+    at most ``num_partitions`` concurrent connections).
+
+    The rows are shuffled into that many partitions: Spark's own way to keep
+    to ``numPartitions`` is to coalesce, which would run all that computes the
+    rows in so few tasks.
+    """
+    if num_partitions:
+        df = df.repartition(int(num_partitions))
     w = (df.write.format("jdbc").mode(mode)
          .option("url", url).option("dbtable", table).option("batchsize", int(batchsize)))
     if num_partitions:
@@ -99,17 +108,39 @@ def upsert_jdbc(df: DataFrame, url: str, table: str, keys: Sequence[str], dialec
                 properties: dict | None = None, max_connections: int = 32) -> None:
     """K1: insert-or-replace ``df``'s rows into ``table`` by ``keys``.
 
-    ``max_connections`` caps how many tasks write the staging table at once
-    (Spark coalesces to that many partitions), so a wide DataFrame does not
-    open thousands of database connections.
+    ``max_connections`` caps how many tasks write the staging table at once,
+    so a wide DataFrame does not open thousands of database connections.
+
+    The staging table belongs to this call, so jobs on one target don't meet
+    in it, and is dropped at the end.  A ``staging`` name of the caller's is
+    truncated before and kept after.
     """
-    staging = staging or f"{table}_staging"
+    own = staging is None
+    staging = staging_name(table) if own else staging
     props = dict(properties or {})
-    append_jdbc(df, url, staging, batchsize=batchsize, num_partitions=max_connections,
-                column_types=column_types, properties={**props, "truncate": "true"},
-                mode="overwrite")
-    execute_sql(df.sparkSession, url, [merge_sql(dialect, table, staging, keys, df.columns)],
-                props)
+    try:
+        append_jdbc(df, url, staging, batchsize=batchsize, num_partitions=max_connections,
+                    column_types=column_types, properties={**props, "truncate": "true"},
+                    mode="overwrite")
+        execute_sql(df.sparkSession, url, [merge_sql(dialect, table, staging, keys, df.columns)],
+                    props)
+    finally:
+        if own:
+            drop_table(df.sparkSession, url, staging, props)
+
+
+def staging_name(table: str) -> str:
+    """A staging table name of its own for every call."""
+    return f"{table}_staging_{uuid.uuid4().hex[:12]}"
+
+
+def drop_table(spark, url: str, table: str, properties: dict | None = None) -> None:
+    """Drop a staging table; one that was never made, or that can't be dropped
+    now, is left with a warning, so the error that led here stays the one seen."""
+    try:
+        execute_sql(spark, url, [f"DROP TABLE {table}"], properties)
+    except Exception as error:
+        warnings.warn(f"staging table {table} not dropped: {error}", stacklevel=2)
 
 
 def jdbc_batch_sink(url: str, table: str, keys: Sequence[str], **kw):

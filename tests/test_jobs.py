@@ -61,3 +61,50 @@ def test_invalid_job_combinations_are_refused(spark):
     with pytest.raises(SystemExit):
         main(["report", "--report", "hotel_statistics", "--source", "jdbc", "--url", "jdbc:x",
               "--sink", "parquet", "--target", "/nonexistent"], spark)
+
+
+def _args(*more):
+    from keyfold.jobs import build_parser
+    return build_parser().parse_args(["report", "--report", "neighborhood_avg_price", "--sink", "jdbc", *more])
+
+
+def test_jdbc_reads_in_ranges_when_asked():
+    import pytest
+
+    from keyfold.jobs import _jdbc_read
+    from keyfold.sources.jdbc import jdbc_options
+    base = ("--source", "jdbc", "--url", "jdbc:x", "--source-table", "houses")
+    assert jdbc_options("jdbc:x", **_jdbc_read(_args(*base)))["query"].endswith("FROM houses")
+    ranged = _args(*base, "--partition-column", "id", "--lower-bound", "0", "--upper-bound", "100", "--num-partitions", "8")
+    opts = jdbc_options("jdbc:x", **_jdbc_read(ranged))
+    assert opts["numPartitions"] == "8" and opts["partitionColumn"] == "id"
+    assert opts["dbtable"].endswith("id FROM houses) listing_rows")
+    with pytest.raises(SystemExit):
+        main(["report", "--report", "neighborhood_avg_price", "--sink", "jdbc", *base, "--partition-column", "id"], object())
+
+
+def test_kafka_limits_reach_the_source(spark, monkeypatch):
+    from keyfold import jobs
+    seen = {}
+    monkeypatch.setattr(jobs, "read_kafka_lines", lambda *a, **kw: seen.update(kw))
+    args = _args("--source", "kafka", "--bootstrap", "b:1", "--topic", "t", "--min-partitions", "64",
+                 "--max-offsets-per-trigger", "1000")
+    jobs._source(spark, args, stream=True)
+    assert seen["min_partitions"] == 64 and seen["extra"] == {"maxOffsetsPerTrigger": 1000}
+    jobs._source(spark, args, stream=False)  # a bounded read takes all
+    assert seen["extra"] == {}
+
+
+def test_every_upsert_has_a_staging_table_of_its_own(spark, monkeypatch):
+    from keyfold.sinks import jdbc
+    calls = []
+    monkeypatch.setattr(jdbc, "append_jdbc", lambda df, url, table, **kw: calls.append(("write", table)))
+    monkeypatch.setattr(jdbc, "execute_sql", lambda spark, url, statements, props=None: calls.extend(("sql", s) for s in statements))
+    df = spark.createDataFrame([("a", 1)], "k string, n int")
+    for _ in range(2):
+        jdbc.upsert_jdbc(df, "jdbc:x", "t", ["k"])
+    first, second = calls[0][1], calls[3][1]
+    assert first != second and first.startswith("t_staging_")
+    assert first in calls[1][1] and calls[2][1] == f"DROP TABLE {first}"
+    jdbc.upsert_jdbc(df, "jdbc:x", "t", ["k"], staging="mine")
+    assert calls[6] == ("write", "mine") and len(calls) == 8
