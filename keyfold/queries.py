@@ -518,7 +518,8 @@ ORACLE_SQL["j6_quoted_hotels"] = ORACLE_SQL["j6_hotel_statistics"].replace(" Hot
 def _synth_sql(seed: int = 42, date: str = "2024-12-01") -> str:
     """The S5 listings of ``orders`` in SQL: the same md5 draws and value lists."""
     def draw(salt: int, n: int, base: int = 0) -> str:
-        return f"(('0x' || substr(md5('{seed}:' || o_orderkey || ':{salt}'), 1, 12))::BIGINT % {n} + {base})"
+        digits = f"substr(md5('{seed}:' || o_orderkey || ':{salt // 4}'), {1 + 8 * (salt % 4)}, 8)"
+        return f"(('0x' || {digits})::BIGINT % {n} + {base})"
 
     def pick(salt: int, values: list[str]) -> str:
         return "([" + ", ".join(f"'{v}'" for v in values) + f"])[{draw(salt, len(values), 1)}]"
@@ -530,8 +531,8 @@ def _synth_sql(seed: int = 42, date: str = "2024-12-01") -> str:
         "price": f"{draw(3, 50, 50)} || '万元'",
         "unit_price": f"{draw(4, 30_000)} || '元/平'",
         "focus": f"{draw(5, 1000)}::INTEGER",
-        "layout": f"{draw(6, 5, 1)} || '室' || {draw(61, 3, 1)} || '厅'",
-        "floor": f"{pick(7, synth.FLOOR_LEVELS)} || '/共' || {draw(71, 20, 10)} || '层'",
+        "layout": f"{draw(6, 5, 1)} || '室' || {draw(17, 3, 1)} || '厅'",
+        "floor": f"{pick(7, synth.FLOOR_LEVELS)} || '/共' || {draw(18, 20, 10)} || '层'",
         "orientation": pick(8, synth.ORIENTATIONS),
         "decoration": pick(9, synth.DECORATIONS),
         "area": f"{draw(10, 80, 50)} || '平米'",
@@ -540,7 +541,7 @@ def _synth_sql(seed: int = 42, date: str = "2024-12-01") -> str:
         "district": pick(13, synth.DISTRICT_SLOTS),
         "neighborhood": pick(14, synth.NEIGHBORHOOD_SLOTS),
         "elevator": pick(15, synth.ELEVATOR),
-        "elevator_ratio": f"{draw(16, 2, 1)} || '梯' || {draw(161, 6, 1)} || '户'",
+        "elevator_ratio": f"{draw(16, 2, 1)} || '梯' || {draw(19, 6, 1)} || '户'",
         "post_date": f"'{date}'",
         "update_date": f"'{date}'",
     }

@@ -1,8 +1,8 @@
 """Synthetic listings, one per input id, deterministic for a seed.
 
-Every random choice is the md5 of ``seed:id:column`` (its first twelve hex
-digits modulo n), a pure function of the row's id that other engines have too,
-so the output does not depend on partitioning or task retries (unlike a
+Every random choice is eight hex digits, modulo n, of the md5 of
+``seed:id:number``, one md5 for four choices: a pure function of the row's id
+that other engines have too, so the output does not depend on partitioning or task retries (unlike a
 stateful random generator), and generation runs fully in parallel.  Categorical columns draw uniformly from weighted slot lists, so
 a value listed k times is k times as likely.
 """
@@ -44,8 +44,8 @@ DEFAULT_ROWS = (200 * 1024 * 1024) // (2 * 1024)
 
 
 def _draw(seed: int, id_col: Column, salt: int, n: int) -> Column:
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), id_col.cast("string"), F.lit(str(salt))))
-    return F.conv(F.substring(digest, 1, 12), 16, 10).cast("long") % F.lit(n)
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), id_col.cast("string"), F.lit(str(salt // 4))))
+    return F.conv(F.substring(digest, 1 + 8 * (salt % 4), 8), 16, 10).cast("long") % F.lit(n)
 
 
 def _pick(seed: int, id_col: Column, salt: int, values: list[str]) -> Column:
@@ -75,8 +75,8 @@ def synth_listings(ids: DataFrame, id_col: str = "id", seed: int = 42,
         "price": F.concat(_num(seed, i, 3, 50, 50), F.lit("万元")),
         "unit_price": F.concat(_num(seed, i, 4, 30_000), F.lit("元/平")),
         "focus": _draw(seed, i, 5, 1000).cast("int"),
-        "layout": F.concat(_num(seed, i, 6, 5, 1), F.lit("室"), _num(seed, i, 61, 3, 1), F.lit("厅")),
-        "floor": F.concat(level, F.lit("/共"), _num(seed, i, 71, 20, 10), F.lit("层")),
+        "layout": F.concat(_num(seed, i, 6, 5, 1), F.lit("室"), _num(seed, i, 17, 3, 1), F.lit("厅")),
+        "floor": F.concat(level, F.lit("/共"), _num(seed, i, 18, 20, 10), F.lit("层")),
         "orientation": _pick(seed, i, 8, ORIENTATIONS),
         "decoration": _pick(seed, i, 9, DECORATIONS),
         "area": F.concat(_num(seed, i, 10, 80, 50), F.lit("平米")),
@@ -85,7 +85,7 @@ def synth_listings(ids: DataFrame, id_col: str = "id", seed: int = 42,
         "district": _pick(seed, i, 13, DISTRICT_SLOTS),
         "neighborhood": _pick(seed, i, 14, NEIGHBORHOOD_SLOTS),
         "elevator": _pick(seed, i, 15, ELEVATOR),
-        "elevator_ratio": F.concat(_num(seed, i, 16, 2, 1), F.lit("梯"), _num(seed, i, 161, 6, 1),
+        "elevator_ratio": F.concat(_num(seed, i, 16, 2, 1), F.lit("梯"), _num(seed, i, 19, 6, 1),
                                    F.lit("户")),
         "post_date": d,
         "update_date": d,
