@@ -10,8 +10,8 @@ collection has no equal sketch: it is missed with a chance of at most
 Steps (ids and sketches move, texts only where a table key was shared):
 
 1. sketch every whole text; equal shingle sets become one class,
-2. explode the keys of class representatives; neighbours in a table whose set
-   sizes allow a link join one candidate cluster (no pairs are emitted),
+2. combine the sketches that class representatives share into table keys;
+   those in a table join one candidate cluster (no pairs are emitted),
 3. texts of clustered representatives go to tasks by (cluster, size class,
    block pair); each verifies on full sets and returns links that connect,
 4. connected components of the verified links, spread to all class members.
@@ -158,16 +158,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = stored(linkable.groupBy(*same).agg(F.min(F.struct("doc_id", "left", "right")).alias("first"))
                      .select(*same, F.col("sig_a").alias("node"), F.col("first.doc_id").alias("rep"), "first.left", "first.right"), "classes")
 
-    # Table keys: (i, j) and both sketches.
-    sides = classes.select("node", F.col("n_shingles").alias("n"), F.posexplode("left").alias("i", "l"), "right")
-    keys = sides.select("node", "n", "i", "l", F.posexplode("right").alias("j", "r")).select("node", "n", F.xxhash64("i", "j", "l", "r").alias("key"))
-    line = Window.partitionBy("key").orderBy("n", "node")
-    near = (keys.withColumns({"before": F.lag("n").over(line), "after": F.lead("n").over(line)})
-            .withColumn("joins", F.coalesce(100 * F.col("before") >= percent * F.col("n"), F.lit(False)))
-            .withColumn("joined", F.coalesce(100 * F.col("n") >= percent * F.col("after"), F.lit(False)))
-            .filter("joins or joined"))
-    run = near.withColumn("run", F.sum(F.when(F.col("joins"), 0).otherwise(1)).over(line.rowsBetween(Window.unboundedPreceding, 0)))
-    star = run.withColumn("least", F.min("node").over(Window.partitionBy("key", "run"))).filter("node > least").select("node", "least").distinct()
+    # A table key is shared only where both its sketches are: sketches of one
+    # class alone, nearly all, are left out before they are combined.
+    mark = F.xxhash64("i", "sketch").bitwiseAND(F.lit(-2)).bitwiseOR(F.col("side")).alias("mark")
+    marks = (classes.select("node", F.posexplode(F.array("left", "right")).alias("side", "of"))
+             .select("node", "side", F.posexplode("of").alias("i", "sketch")).select("node", mark))
+    often = marks.groupBy("mark").agg(F.count("*").alias("classes")).filter("classes > 1").select("mark")
+    sides = stored(marks.join(often, "mark", "left_semi").groupBy("node").agg(F.collect_list("mark").alias("marks")), "marks")
+    keys = (sides.select("node", F.explode("marks").alias("l"), "marks").filter("l % 2 = 0")
+            .select("node", "l", F.explode("marks").alias("r")).filter("r % 2 <> 0").select("node", F.xxhash64("l", "r").alias("key")))
+    # Everyone in a table is tied to its least: combined before the shuffle, and
+    # a join, unlike a window, can have a hot table split over tasks.
+    first = keys.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most").select("key", "least")
+    star = keys.join(first, "key").filter("node > least").select("node", "least").distinct()
     clusters = components(star, "node", "least")
 
     # Size classes: linked sizes differ by less than a class, so a pair lies in
