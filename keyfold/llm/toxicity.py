@@ -56,12 +56,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Colum
     are fewer), chosen by a hash of the id among those where ``train`` holds.
 
     Rows with a null id, null text or a label other than 0 and 1 teach nothing
-    and are left out; other columns are ignored.
+    and are left out; rows that repeat an id, text and label count once; other
+    columns are ignored.
     """
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & train)
     n = known.count()
     known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < math.ceil(min(1.0, max_rows / max(n, 1)) * (1 << 30)))
-    return docs.select("doc_id", "text").filter("text is not null").join(known, "doc_id")
+    return docs.select("doc_id", "text").filter("text is not null").join(known, "doc_id").dropDuplicates(["doc_id", "text", "label"])
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,19 +173,29 @@ def _scorer(model: ToxicityModel, threshold: float):
     return score
 
 
-def _probe(model: ToxicityModel):
-    """Per text: label, words, segment scores' significance and every segment's score, to calibrate."""
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _chances(model: ToxicityModel, floor: float):
+    """Per text: label, words, segments of at least ``floor``, to calibrate."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             for i, j in slices(offsets):
                 own = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
-                n = np.bincount(word_hashes(*own, PUNCT)[1], minlength=j - i)
-                scores: list[list[float]] = [[] for _ in range(j - i)]
-                for t, _, found in _scan(model, *own):
-                    scores[t] = sorted((x for _, _, x in found), reverse=True)[:64]
-                yield pa.record_batch([batch.column("label")[i:j].cast(pa.int32()), pa.array(n.astype(np.int64)), pa.array(scores, pa.list_(pa.float64()))], names=["label", "n", "scores"])
-    return probe
+                n, found = np.bincount(word_hashes(*own, PUNCT)[1], minlength=j - i), np.zeros(j - i, np.int64)
+                for t, _, each in _scan(model, *own):
+                    found[t] = sum(x >= floor for _, _, x in each)
+                yield pa.record_batch([batch.column("label")[i:j].cast(pa.int32()), pa.array(n.astype(np.int64)), pa.array(found)], names=["label", "n", "found"])
+    return count
+
+
+def _weighed(model: ToxicityModel):
+    """Per text: label and evidence."""
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_bytes(batch.column("text"))
+            for i, j in slices(offsets):
+                best, total, _ = _evidence(model, data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                yield pa.record_batch([batch.column("label")[i:j].cast(pa.int32()), pa.array(best), pa.array(total)], names=["label", "best", "total"])
+    return weigh
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -217,7 +228,8 @@ def fit(sample: DataFrame, max_terms: int = 20_000, min_docs: int = 4, prior: fl
     rate of label 1 (one half without rows).
     """
     # Exact copies would make the words of one text look frequent.
-    sample = stored(sample.select("text", "label").dropDuplicates(["text"]), "labelled")
+    # A text with both labels has the more frequent one, 1 in a tie.
+    sample = stored(sample.groupBy("text").agg((2 * F.sum("label") >= F.count("label")).cast("int").alias("label")), "labelled")
     counted = sample.mapInArrow(_count, "token long, toxic long, clean long").groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     # Rare tokens and those never in a toxic text can't enter the lexicon; their mass stays in the totals.
     counted = stored(counted, "tokens")
@@ -243,15 +255,14 @@ def fit(sample: DataFrame, max_terms: int = 20_000, min_docs: int = 4, prior: fl
         lo, hi = (mid, hi) if value < 1 else (lo, mid)
     lam = min(max(lo, 0.05), 5.0)
     model = ToxicityModel(terms[order], scores[order], lam, 1.0, np.zeros(3))
-    seen = sample.mapInArrow(_probe(model), "label int, n long, scores array<double>").toPandas()
-    y, n = seen["label"].to_numpy(np.float64), seen["n"].to_numpy(np.float64)
     floor = float(scores.min()) if len(scores) else 1.0
-    chance = sum(sum(x >= floor for x in s) for s, label in zip(seen["scores"], y, strict=True) if not label)
-    k = (1 + chance) / (1 + n[y == 0].sum()) * math.exp(lam * floor)
+    clean_texts = sample.mapInArrow(_chances(model, floor), "label int, n long, found long").filter("label = 0")
+    words, chance = (int(x or 0) for x in clean_texts.agg(F.sum("n"), F.sum("found")).first())
+    k = (1 + chance) / (1 + words) * math.exp(lam * floor)
     model = ToxicityModel(model.terms, model.scores, lam, k, model.weights)
-    each = [[_significance(model, x, int(m)) for x in s] for s, m in zip(seen["scores"], n, strict=True)]
-    x = np.array([[max(s, default=0.0), math.log1p(sum(s))] for s in each]).reshape(-1, 2)
-    return ToxicityModel(model.terms, model.scores, lam, k, _logistic(x, y) if len(y) else np.zeros(3))
+    rows = sample.mapInArrow(_weighed(model), "label int, best double, total double").toPandas()
+    weights = _logistic(rows[["best", "total"]].to_numpy(np.float64), rows["label"].to_numpy(np.float64)) if len(rows) else np.zeros(3)
+    return ToxicityModel(model.terms, model.scores, lam, k, weights)
 
 
 def score(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5) -> DataFrame:
