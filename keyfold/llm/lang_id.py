@@ -122,12 +122,13 @@ def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 def fit(docs: DataFrame, train_col, max_rows: int = 4000, chars: int = 1500) -> ByteCNN | None:
     """From ``text, lang`` of about ``max_rows`` labelled rows where
     ``train_col`` holds, a run of at most ``chars`` characters of each (for
-    training alone); None without labelled rows."""
+    training alone), copies counted once; None without labelled rows."""
     known = docs.filter(F.col("lang").isNotNull() & train_col & (F.length("text") > 0))
     n = known.count()
     run = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - chars, F.lit(0)) + 1) + 1
     rows = (known.filter(F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 30)) < int(min(1.0, max_rows / max(n, 1)) * (1 << 30)))
-            .select(F.col("lang").cast("string").alias("lang"), F.substring(F.col("text"), run.cast("int"), F.lit(chars)).alias("text")).limit(4 * max_rows).toPandas())
+            .select(F.col("lang").cast("string").alias("lang"), F.substring(F.col("text"), run.cast("int"), F.lit(chars)).alias("text"))
+            .distinct().limit(4 * max_rows).toPandas())
     if not len(rows):
         return None
     rows = rows.sort_values(["lang", "text"], ignore_index=True)

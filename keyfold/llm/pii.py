@@ -376,11 +376,13 @@ def _found(model: Tagger, texts: list[str]) -> tuple[list[list[Span]], list[list
 
 def fit(docs: DataFrame, max_rows: int = 600, window_rows: int = 3000) -> Tagger:
     """Trained on windows of about ``max_rows`` texts chosen by a hash of the
-    text, a run of at most 20,000 characters of each (for training alone)."""
+    text, a run of at most 20,000 characters of each (for training alone),
+    copies counted once."""
     n = docs.count()
     run = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - 20_000, F.lit(0)) + 1) + 1
     texts = (docs.filter("text is not null").filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(min(1.0, max_rows / max(n, 1)) * (1 << 30)))
-             .select(F.substring(F.col("text"), run.cast("int"), F.lit(20_000)).alias("text")).limit(4 * max_rows).toPandas()["text"])
+             .select(F.substring(F.col("text"), run.cast("int"), F.lit(20_000)).alias("text"))
+             .distinct().limit(4 * max_rows).toPandas()["text"])
     return train(*labelled_windows(sorted(texts), window_rows))
 
 
