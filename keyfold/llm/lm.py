@@ -1,14 +1,16 @@
 """Language-model scoring: a log-bilinear model over exact corpus counts.
 
-The words of a text are one of ``classes`` frequent words each, or the class
-of all others.  A log-bilinear network predicts the class from the two words
-before: the context vector is the sum of the context words' vectors, each
-transformed by the matrix of its place, and a class's score is its vector's
-product with that plus its bias.  It is trained in numpy with noise-contrastive
-estimation on the class trigrams counted over all training texts; batched
-matrix products over all contexts give the normalisers, so probabilities add
-up to one.  A word of the class of others gets its share of the discounted
-counts there, and an unseen word the discounts' sum.
+Every word that the training texts have ``floor`` times is in the vocabulary,
+which grows with the corpus; words below it are one word together.  The context
+vector is the sum of the vectors of the two words before, each transformed by
+the matrix of its place.  Words lie in classes of neighbours by frequency:
+P(word | context) is a softmax over classes times a softmax over the words of
+the class, both of the context vector's products, so probabilities add up to
+one.  Both are trained in numpy with noise-contrastive estimation: a first pass
+on a sample fixes the space, then each task goes over its part of all training
+tokens, frequent words sampled and weighted, and the changes are averaged.  A
+word below the floor gets its share of the discounted counts of those, and an
+unseen word the discounts' sum.
 
 Exact counts of all words need one exchange.  Texts are cut in chunks of some
 megabytes; each chunk sends its distinct word hashes, split by ranges of the
@@ -82,9 +84,9 @@ def _requests(bits: int):
     return run
 
 
-def _answer(top: int):
+def _answer(floor: int):
     """``chunk, r, c``: the corpus counts of each chunk's words of one range;
-    and one row of chunk -1 with the range's sums and ``top`` most frequent words."""
+    and one row of chunk -1 with the range's sums and its words of ``floor`` or more."""
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         lists = table.column("h").combine_chunks()
@@ -93,8 +95,7 @@ def _answer(top: int):
         c = np.bincount(place, table.column("n").combine_chunks().flatten().to_numpy(), len(h)).astype(np.int64)
         seen = c[c > 0]
         sums = [len(seen), seen.sum(), (seen == 1).sum(), (seen == 2).sum()]
-        best = np.lexsort((h, -c))[:top]
-        best = best[c[best] > 0]
+        best = np.flatnonzero(c >= floor)
         ends = np.concatenate([[0], np.cumsum(sizes), [sizes.sum() + len(best)]]).astype(np.int32)
         rows = table.num_rows
         empty = [[]] * rows
@@ -104,17 +105,17 @@ def _answer(top: int):
     return run
 
 
-def _classes_of(uniq: np.ndarray, top: np.ndarray) -> np.ndarray:
-    """The class of each hash: its place in ``top`` (sorted), or ``len(top)``."""
+def _ids_of(uniq: np.ndarray, top: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The word number of each hash: that of its place in ``top`` (sorted), or ``len(top)``."""
     if not len(top):
         return np.zeros(len(uniq), np.int64)
     u = uniq.view(np.uint64)
     at = np.minimum(np.searchsorted(top, u), len(top) - 1)
-    return np.where(top[at] == u, at, len(top))
+    return np.where(top[at] == u, ids[at], len(top))
 
 
 def _contexts(cls: np.ndarray, n: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
-    """(class two before, class before) of each token; ``start`` before a text's first."""
+    """(word two before, word before) of each token; ``start`` before a text's first."""
     first = np.cumsum(n) - n
     one = np.roll(cls, 1)
     one[first] = start
@@ -123,120 +124,275 @@ def _contexts(cls: np.ndarray, n: np.ndarray, start: int) -> tuple[np.ndarray, n
     return two, one
 
 
-def _trigrams(top: np.ndarray):
-    k = len(top) + 1
+def _trigrams(batch: pa.RecordBatch, row: int, top: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(two before, one before, word) of a chunk's training tokens, as word numbers."""
+    n = _flat(batch, "n_tokens", row).astype(np.int64)
+    w = _ids_of(_flat(batch, "uniq", row), top, ids)[_flat(batch, "tok", row)]
+    two, one = _contexts(w, n, len(top) + 1)
+    learns = np.repeat(_flat(batch, "train", row).astype(bool), n)
+    return two[learns], one[learns], w[learns]
 
+
+def _sample(top: np.ndarray, ids: np.ndarray, rate: float):
+    """``two, one, w``: a part ``rate`` of the training trigrams."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                n = _flat(batch, "n_tokens", row).astype(np.int64)
-                cls = _classes_of(_flat(batch, "uniq", row), top)[_flat(batch, "tok", row)]
-                two, one = _contexts(cls, n, k)
-                code = ((two * (k + 1) + one) * k + cls)[np.repeat(_flat(batch, "train", row).astype(bool), n)]
-                code, times = np.unique(code, return_counts=True)
-                yield pa.record_batch([pa.array(code), pa.array(times.astype(np.int64))], names=["code", "n"])
+                grams = _trigrams(batch, row, top, ids)
+                rng = np.random.default_rng(batch.column("chunk")[row].as_py())
+                pick = rng.random(len(grams[0])) < rate
+                yield pa.record_batch([pa.array(g[pick].astype(np.int32)) for g in grams], names=["two", "one", "w"])
     return run
 
 
-def _class_lists(top: np.ndarray):
-    """``chunk, at, cls``: which of a chunk's distinct words have a class of their own."""
+def _word_lists(top: np.ndarray, ids: np.ndarray):
+    """``chunk, at, word``: which of a chunk's distinct words are in the vocabulary."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                cls = _classes_of(_flat(batch, "uniq", row), top)
-                at = np.flatnonzero(cls < len(top))
-                yield pa.record_batch([batch.column("chunk")[row:row + 1], _list(at.astype(np.int32), pa.int32()), _list(cls[at].astype(np.int32), pa.int32())], names=["chunk", "at", "cls"])
+                word = _ids_of(_flat(batch, "uniq", row), top, ids)
+                at = np.flatnonzero(word < len(top))
+                yield pa.record_batch([batch.column("chunk")[row:row + 1], _list(at.astype(np.int32), pa.int32()), _list(word[at].astype(np.int32), pa.int32())], names=["chunk", "at", "word"])
     return run
 
 
+def class_bounds(times: np.ndarray) -> np.ndarray:
+    """First words of the classes, and the number of words; the last word, all
+    words below the floor, is a class.  A word of probability p lies among about
+    1/sqrt(p): the least products a token, over classes and within one."""
+    p = times[:-1] / max(times.sum(), 1)
+    place = np.cumsum(np.sqrt(p)).astype(np.int64)
+    return np.concatenate([np.flatnonzero(np.diff(place, prepend=-1)), [len(p), len(times)]]) if len(p) else np.array([0, 1])
+
+
+def _grouped(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers of ``index`` and the sums of their rows of ``values``."""
+    order = np.argsort(index, kind="stable")
+    at = index[order]
+    starts = np.flatnonzero(np.diff(at, prepend=-1))
+    return at[starts], np.add.reduceat(values[order], starts)
+
+
+def _logistic(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
 @dataclass
 class LogBilinear:
-    words: np.ndarray  # (classes + 1) x d, the last is a text's start
+    words: np.ndarray  # (k + 1) x d, the last is a text's start
     places: np.ndarray  # 2 x d x d
-    targets: np.ndarray  # classes x d
-    bias: np.ndarray  # classes
+    targets: np.ndarray  # k x (d + 1), the last column is the bias
+    tops: np.ndarray  # classes x (d + 1)
+    bounds: np.ndarray  # classes + 1
+    times: np.ndarray  # k, training counts
+    squares: list[np.ndarray]  # Adagrad: a row of words, places, a row of targets and of tops
+
+    @classmethod
+    def start(cls, times: np.ndarray, d: int, seed: int) -> LogBilinear:
+        rng = np.random.default_rng(seed)
+        times = times + 0.5
+        bounds = class_bounds(times)
+        mass = np.add.reduceat(times, bounds[:-1])
+        k, c = len(times), len(mass)
+        draw = lambda n: rng.normal(0, 0.1, (n, d)).astype(np.float32)
+        bias = lambda x: np.log(x / times.sum()).astype(np.float32)[:, None]
+        return cls(draw(k + 1), (np.stack([np.eye(d), np.eye(d)]) * 0.5).astype(np.float32), np.hstack([draw(k), bias(times)]), np.hstack([draw(c), bias(mass)]), bounds, times,
+                   [np.full(n, 0.1, np.float32) for n in (k + 1, (2, d, d), k, c)])
+
+    def copy(self) -> LogBilinear:
+        return LogBilinear(self.words.copy(), self.places.copy(), self.targets.copy(), self.tops.copy(), self.bounds, self.times, [s.copy() for s in self.squares])
+
+    def learn(self, grams: tuple[np.ndarray, ...], weights: np.ndarray, rng: np.random.Generator, batch: int = 4096, class_noise: int = 24, noise: int = 5, rate: float = 0.1) -> None:
+        """One pass: classes against classes drawn by frequency, words against words of their class."""
+        d = self.words.shape[1]
+        sums = np.concatenate([[0.0], np.cumsum(self.times)])
+        edges, log_p = sums[self.bounds], np.log(self.times / sums[-1]).astype(np.float32)
+        mass = np.diff(edges)
+        top_p = np.log(mass / sums[-1]).astype(np.float32)
+        for lo in range(0, len(weights), batch):
+            two, one, w = (g[lo:lo + batch] for g in grams)
+            weight = weights[lo:lo + batch, None].astype(np.float32)
+            n, c = len(w), np.searchsorted(self.bounds, w, "right") - 1
+            xa, xb = self.words[two], self.words[one]
+            q = np.ones((n, d + 1), np.float32)
+            q[:, :d] = xa @ self.places[0] + xb @ self.places[1]
+            drawn = np.searchsorted(edges, rng.random(class_noise) * sums[-1], "right") - 1
+            drawn = np.minimum(drawn, len(mass) - 1)
+            own, others = self.tops[c], self.tops[drawn]
+            shift = math.log(class_noise)
+            g_own = (_logistic(np.einsum("nd,nd->n", q, own) - top_p[c] - shift)[:, None] - 1) * weight
+            g_others = _logistic(q @ others.T - top_p[drawn] - shift) * weight
+            dq = g_own * own + g_others @ others
+            tops = _grouped(np.concatenate([c, drawn]), np.concatenate([g_own * q, g_others.T @ q]))
+            # Within the class; a class of one word has nothing to learn.
+            many = np.flatnonzero(np.diff(self.bounds)[c] > 1)
+            targets = None
+            if len(many):
+                cm = c[many]
+                pick = np.searchsorted(sums, edges[cm][:, None] + rng.random((len(many), noise)) * mass[cm][:, None], "right") - 1
+                pick = np.clip(pick, self.bounds[cm][:, None], self.bounds[cm + 1][:, None] - 1)
+                which = np.concatenate([w[many][:, None], pick], 1)
+                rows = self.targets[which]
+                g = _logistic(np.einsum("nd,nkd->nk", q[many], rows) - (log_p[which] - top_p[cm][:, None]) - math.log(noise))
+                g[:, 0] -= 1
+                g *= weight[many]
+                dq[many] += np.einsum("nk,nkd->nd", g, rows)
+                targets = _grouped(which.ravel(), (g[:, :, None] * q[many][:, None, :]).reshape(-1, d + 1))
+            dq = dq[:, :d]
+            words = _grouped(np.concatenate([two, one]), np.concatenate([dq @ self.places[0].T, dq @ self.places[1].T]))
+            places = np.stack([xa.T @ dq, xb.T @ dq])
+            self.squares[1] += places * places
+            self.places -= 0.1 * rate * places / np.sqrt(self.squares[1])
+            for p, s, found in ((self.words, self.squares[0], words), (self.targets, self.squares[2], targets), (self.tops, self.squares[3], tops)):
+                if found is not None:
+                    at, grad = found
+                    s[at] += (grad * grad).mean(1)
+                    p[at] -= rate * grad / np.sqrt(s[at])[:, None]
+
+    def log_probability(self, grams: tuple[np.ndarray, ...], placed: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+        """log10 P(word | two before, one before) of each trigram, normalised; equal ones once."""
+        k, d = len(self.targets), self.words.shape[1]
+        before, after = placed or (self.words @ self.places[0], self.words @ self.places[1])
+        two, one, w = grams
+        seen, at = np.unique(two * (k + 1) + one, return_inverse=True)
+        pairs, back = np.unique(at * k + w, return_inverse=True)
+        at, w = pairs // k, pairs % k
+        q = np.ones((len(seen), d + 1), np.float32)
+        q[:, :d] = before[seen // (k + 1)] + after[seen % (k + 1)]
+        c = np.searchsorted(self.bounds, w, "right") - 1
+        out = np.empty(len(pairs), np.float32)
+        step = max(1, (1 << 18) // len(self.tops))
+        for i in range(0, len(seen), step):
+            z = q[i:i + step] @ self.tops.T
+            z -= z.max(1, keepdims=True)
+            a, b = np.searchsorted(at, (i, i + step))
+            mine = z[at[a:b] - i, c[a:b]]
+            out[a:b] = mine - np.log(np.exp(z, out=z).sum(1))[at[a:b] - i]
+        order = np.argsort(c, kind="stable")
+        edges = np.searchsorted(c[order], np.arange(len(self.bounds)))
+        for g in np.flatnonzero((np.diff(edges) > 0) & (np.diff(self.bounds) > 1)):
+            lo, hi = self.bounds[g], self.bounds[g + 1]
+            step = max(1, (1 << 18) // (hi - lo))
+            for i in range(edges[g], edges[g + 1], step):
+                rows = order[i:min(i + step, edges[g + 1])]
+                z = q[at[rows]] @ self.targets[lo:hi].T
+                z -= z.max(1, keepdims=True)
+                mine = z[np.arange(len(rows)), w[rows] - lo]
+                out[rows] += mine - np.log(np.exp(z, out=z).sum(1))
+        return (out / np.float32(math.log(10)))[back]
 
     def log_probabilities(self) -> np.ndarray:
-        """log10 P(class | two before, one before), all contexts, normalised."""
-        two, one = self.words @ self.places[0], self.words @ self.places[1]
-        out = np.empty((len(two), len(one), len(self.bias)), np.float32)
-        for a in range(len(two)):
-            z = (two[a] + one) @ self.targets.T + self.bias
-            top = z.max(1, keepdims=True)
-            out[a] = (z - top - np.log(np.exp(z - top).sum(1, keepdims=True))) / math.log(10)
-        return out
-
-
-def train(codes: np.ndarray, times: np.ndarray, k: int, d: int = 24, steps: int = 2500, batch: int = 1024, noise: int = 12, rate: float = 0.03, seed: int = 13) -> LogBilinear:
-    """Noise-contrastive estimation on trigram counts, noise by class frequency."""
+        """log10 P(word | two before, one before), all contexts (of a small vocabulary)."""
+        k = len(self.targets)
+        two, one, w = (x.ravel() for x in np.meshgrid(np.arange(k + 1), np.arange(k + 1), np.arange(k), indexing="ij"))
+        return self.log_probability((two, one, w)).reshape(k + 1, k + 1, k)
+
+
+def train(codes: np.ndarray, times: np.ndarray, k: int, d: int = 16, steps: int = 250, batch: int = 4096, seed: int = 13) -> LogBilinear:
+    """A model of the trigrams ``codes``, drawn in proportion to their ``times``."""
+    model = LogBilinear.start(np.bincount(codes % k, times, k), d, seed)
+    rng = np.random.default_rng(seed)
+    if len(codes):
+        drawn = rng.choice(codes, steps * batch, p=times / times.sum())
+        model.learn((drawn // k // (k + 1), drawn // k % (k + 1), drawn % k), np.ones(len(drawn)), rng, batch)
+    return model
+
+
+#: Words of which a task sends its changes in one row.
+_BLOCK = 1 << 15
+
+
+def _learner(model: LogBilinear, top: np.ndarray, ids: np.ndarray, often: float, seed: int):
+    """``part, block, rows, change``: how one task's training tokens change the
+    model.  A word of more than ``often`` tokens has part of them drawn, which
+    then count as many times as they stand for."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rng = np.random.default_rng(seed + TaskContext.get().partitionId())
+        mine = model.copy()
+        keep = np.minimum(1.0, np.sqrt(often / model.times))
+        learned = False
+        for batch in batches:
+            for row in range(batch.num_rows):
+                grams = _trigrams(batch, row, top, ids)
+                pick = np.flatnonzero(rng.random(len(grams[0])) < keep[grams[2]])
+                rng.shuffle(pick)
+                grams = tuple(g[pick] for g in grams)
+                mine.learn(grams, 1 / keep[grams[2]], rng)
+                learned |= len(pick) > 0
+        if learned:
+            for part, (new, old) in enumerate(((mine.words, model.words), (mine.targets, model.targets), (mine.tops, model.tops), (mine.places.reshape(-1, mine.places.shape[2]), model.places.reshape(-1, mine.places.shape[2])))):
+                for block in range(0, len(new), _BLOCK):
+                    change = new[block:block + _BLOCK] - old[block:block + _BLOCK]
+                    rows = np.flatnonzero(change.any(1))
+                    yield pa.record_batch([pa.array([part], pa.int32()), pa.array([block // _BLOCK], pa.int32()), _list(rows.astype(np.int32), pa.int32()), _list(change[rows].ravel(), pa.float32())], names=["part", "block", "rows", "change"])
+    return run
+
+
+def _average(table: pa.Table) -> pa.Table:
+    """The mean change of each row, over the tasks that changed it."""
+    lists = [(r.values.to_numpy(), c.values.to_numpy()) for r, c in zip(table.column("rows"), table.column("change"), strict=True)]
+    width = next((len(c) // len(r) for r, c in lists if len(r)), 1)
+    total, tasks = np.zeros((_BLOCK, width), np.float32), np.zeros(_BLOCK, np.int64)
+    for r, c in lists:
+        total[r] += c.reshape(-1, width)
+        tasks[r] += 1
+    rows = np.flatnonzero(tasks)
+    return pa.table({"part": table.column("part")[:1], "block": table.column("block")[:1], "rows": pa.chunked_array([_list(rows.astype(np.int32), pa.int32())]),
+                     "change": pa.chunked_array([_list((total[rows] / tasks[rows, None]).ravel(), pa.float32())])})
+
+
+def fit(chunks: DataFrame, top: np.ndarray, ids: np.ndarray, times: np.ndarray, d: int = 16, first: int = 1_000_000, seed: int = 13) -> LogBilinear:
+    """Trained on all training tokens of ``chunks``; about ``first`` of them fix the space."""
+    model = LogBilinear.start(times, d, seed)
+    texts = chunks.select("chunk", "uniq", "tok", "n_tokens", "train")
+    rows = texts.mapInArrow(_sample(top, ids, min(1.0, first / max(times.sum(), 1))), "two int, one int, w int").toPandas().sort_values(["two", "one", "w"])
     rng = np.random.default_rng(seed)
-    unigram = np.bincount(codes % k, times, k) + 0.5
-    unigram /= unigram.sum()
-    model = LogBilinear(rng.normal(0, 0.1, (k + 1, d)), np.stack([np.eye(d), np.eye(d)]) * 0.5, rng.normal(0, 0.1, (k, d)), np.log(unigram))
-    if not len(codes) or k < 2:
-        return model
-    params = [model.words, model.places, model.targets, model.bias]
-    first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    sums, noise_sums = np.cumsum(times) / times.sum(), np.cumsum(unigram)
-    offset = np.log(noise * unigram)
-    for step in range(1, steps + 1):
-        pick = codes[np.minimum(np.searchsorted(sums, rng.random(batch)), len(codes) - 1)]
-        w, one, two = pick % k, pick // k % (k + 1), pick // k // (k + 1)
-        drawn = np.minimum(np.searchsorted(noise_sums, rng.random(noise * 8)), k - 1)
-        drawn = drawn[rng.integers(0, len(drawn), noise)]
-        q = model.words[two] @ model.places[0] + model.words[one] @ model.places[1]
-        both = np.concatenate([np.einsum("bd,bd->b", q, model.targets[w])[:, None] + (model.bias[w] - offset[w])[:, None], q @ model.targets[drawn].T + model.bias[drawn] - offset[drawn]], 1)
-        d_both = 1 / (1 + np.exp(-np.clip(both, -30, 30)))
-        d_both[:, 0] -= 1
-        d_both /= batch
-        dq = d_both[:, :1] * model.targets[w] + d_both[:, 1:] @ model.targets[drawn]
-        grads = [np.zeros_like(p) for p in params]
-        np.add.at(grads[0], two, dq @ model.places[0].T)
-        np.add.at(grads[0], one, dq @ model.places[1].T)
-        grads[1][0], grads[1][1] = model.words[two].T @ dq, model.words[one].T @ dq
-        np.add.at(grads[2], w, d_both[:, :1] * q)
-        np.add.at(grads[2], drawn, d_both[:, 1:].T @ q)
-        np.add.at(grads[3], w, d_both[:, 0])
-        np.add.at(grads[3], drawn, d_both[:, 1:].sum(0))
-        now = rate * min(1.0, 2 * (1 - step / (steps + 1)))
-        for p, g, a, b in zip(params, grads, first, second, strict=True):
-            a += 0.1 * (g - a)
-            b += 0.001 * (g * g - b)
-            p -= now * (a / (1 - 0.9 ** step)) / (np.sqrt(b / (1 - 0.999 ** step)) + 1e-8)
+    order = rng.permutation(len(rows)) if len(rows) >= first // 2 else rng.integers(0, len(rows), min(first, 20 * len(rows)))  # a small table several times
+    model.learn(tuple(rows[c].to_numpy(np.int64)[order] for c in ("two", "one", "w")), np.ones(len(order)), rng)
+    tasks = chunks.sparkSession.sparkContext.defaultParallelism
+    schema = "part int, block int, rows array<int>, change array<float>"
+    changes = texts.coalesce(tasks).mapInArrow(_learner(model, top, ids, max(3e-5 * times.sum(), 100.0), seed), schema)
+    parts = [model.words, model.targets, model.tops, model.places.reshape(-1, d)]
+    for x in changes.groupBy("part", "block").applyInArrow(_average, schema).toArrow().to_batches():
+        for row in range(x.num_rows):
+            at = _flat(x, "rows", row) + x.column("block")[row].as_py() * _BLOCK
+            p = parts[x.column("part")[row].as_py()]
+            p[at] += _flat(x, "change", row).reshape(-1, p.shape[1])
+    model.squares = []  # of training alone
     return model
 
 
-def _scores(model: LogBilinear, k: int, total: int, types: int, rest: tuple[float, float, float]):
+def _scores(model: LogBilinear, total: int, types: int, rest: tuple[float, float, float]):
     """``doc_id, train, n_tokens, n_known, base_score, score`` of the chunks joined with their answers."""
     discount, rest_total, rest_types = rest
+    k = len(model.targets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = model.log_probabilities().reshape(-1)
+        placed = model.words @ model.places[0], model.words @ model.places[1]
         for batch in batches:
             for row in range(batch.num_rows):
                 parts = batch.column("answers")[row].values
                 order = np.argsort(parts.field("r").to_numpy(), kind="stable")
                 lists = parts.field("c")
                 c = np.concatenate([lists[int(x)].values.to_numpy() for x in order])
-                cls_of = np.full(len(c), k - 1, np.int64)
-                cls_of[_flat(batch, "at", row)] = _flat(batch, "cls", row)
+                word_of = np.full(len(c), k - 1, np.int64)
+                word_of[_flat(batch, "at", row)] = _flat(batch, "word", row)
                 base_of = np.log10((c + 1.0) / (total + types + 1))
-                # The share of its class: 1 for a class of one word.
+                # The share of the words below the floor: 1 for one of the vocabulary.
                 with np.errstate(divide="ignore"):
                     unseen = discount * rest_types / rest_total if rest_types else 1.0
                     own = np.where(c > 0, np.log10(np.maximum(c - discount, 1e-9) / max(rest_total, 1)), math.log10(unseen))
-                own[cls_of < k - 1] = 0.0
+                own[word_of < k - 1] = 0.0
                 tok, n = _flat(batch, "tok", row), _flat(batch, "n_tokens", row).astype(np.int64)
-                cls = cls_of[tok]
-                two, one = _contexts(cls, n, k)
-                score = table[(two * (k + 1) + one) * k + cls] + own[tok]
+                words = word_of[tok]
+                score = model.log_probability((*_contexts(words, n, k), words), placed) + own[tok]
                 first = np.cumsum(n) - n
                 yield pa.record_batch([batch.column("doc_ids")[row].values, batch.column("train")[row].values, pa.array(n), pa.array(np.add.reduceat((c > 0)[tok].astype(np.int64), first)),
                                        pa.array(np.add.reduceat(base_of[tok], first)), pa.array(np.add.reduceat(score, first))], names=["doc_id", "train", "n_tokens", "n_known", "base_score", "score"])
     return run
 
 
-def score(docs: DataFrame, train_col, classes: int = 128) -> DataFrame:
+def score(docs: DataFrame, train_col, floor: int = 5) -> DataFrame:
     """``doc_id, train, n_tokens, n_known, train_tokens, base_score, score``, a row per input row.
 
     Learns from the rows where ``train_col`` holds (null: it doesn't).  A null
@@ -249,22 +405,24 @@ def score(docs: DataFrame, train_col, classes: int = 128) -> DataFrame:
     entries = chunks.agg(F.sum(F.size("uniq").cast("long"))).first()[0] or 0
     bits = max(0, math.ceil(math.log2(max(entries, 1) / RANGE_ENTRIES)))
     answers = stored(chunks.select("chunk", "uniq", "cnt").mapInArrow(_requests(bits), "r long, chunk long, h array<long>, n array<int>")
-                     .groupBy("r").applyInArrow(_answer(classes), "chunk long, r long, c array<long>, sums array<long>, h array<long>"), "answers")
+                     .groupBy("r").applyInArrow(_answer(floor), "chunk long, r long, c array<long>, sums array<long>, h array<long>"), "answers")
     sums = answers.filter("chunk < 0")
     types, total, once, twice = (int(x or 0) for x in sums.agg(*[F.sum(F.get("sums", F.lit(i))) for i in range(4)]).first())
-    frequent = sums.select(F.explode(F.arrays_zip("h", "c")).alias("x")).select("x.h", "x.c").orderBy(F.desc("c"), "h").limit(classes - 1).collect()
-    top = np.sort(np.array([x.h for x in frequent], np.int64).view(np.uint64))
-    k = len(top) + 1
-    # The class of all others: its tokens, its types, and the discount that unseen words share.
-    rest_total, rest_types = total - sum(x.c for x in frequent), types - len(frequent)
+    frequent = sums.select(F.explode(F.arrays_zip("h", "c")).alias("x")).select("x.h", "x.c").toPandas()  # 16 bytes a word
+    h, c = frequent["h"].to_numpy(np.int64).view(np.uint64), frequent["c"].to_numpy(np.int64)
+    by_times = np.lexsort((h, -c))
+    ids = np.empty(len(h), np.int64)
+    ids[by_times] = np.arange(len(h))
+    place = np.argsort(h)
+    top, ids = h[place], ids[place]
+    # The words below the floor: their tokens, their types, and the discount that unseen words share.
+    rest_total, rest_types = total - int(c.sum()), types - len(h)
     discount = min(0.9, max(0.1, once / max(once + 2 * twice, 1))) if rest_types else 0.0
-    grams = (chunks.select("uniq", "tok", "n_tokens", "train").mapInArrow(_trigrams(top), "code long, n long")
-             .groupBy("code").agg(F.sum("n").alias("n")).toPandas().sort_values("code"))  # at most classes**3 rows
-    model = train(grams["code"].to_numpy(np.int64), grams["n"].to_numpy(float), k)
-    own = chunks.select("chunk", "uniq").mapInArrow(_class_lists(top), "chunk long, at array<int>, cls array<int>")
+    model = fit(chunks, top, ids, np.append(c[by_times], rest_total).astype(float))
+    own = chunks.select("chunk", "uniq").mapInArrow(_word_lists(top, ids), "chunk long, at array<int>, word array<int>")
     replies = answers.filter("chunk >= 0").groupBy("chunk").agg(F.collect_list(F.struct("r", "c")).alias("answers")).join(own, "chunk")
     rows = chunks.select("chunk", "doc_ids", "train", "n_tokens", "tok").join(replies, "chunk")
-    scored = rows.mapInArrow(_scores(model, k, total, types, (discount, rest_total, rest_types)), f"doc_id {kind}, train boolean, n_tokens long, n_known long, base_score double, score double")
+    scored = rows.mapInArrow(_scores(model, total, types, (discount, rest_total, rest_types)), f"doc_id {kind}, train boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.withColumn("train_tokens", F.lit(total).cast("long"))
 
 

@@ -238,3 +238,15 @@ def test_lm_base_scores_and_normalisation(edge_docs, no_docs, monkeypatch):
     import numpy as np
     model = lm.train(np.array([0, 5, 9, 14]), np.array([5.0, 1, 2, 3]), 3, steps=50)
     assert np.allclose((10.0 ** model.log_probabilities()).sum(-1), 1, atol=1e-5)
+
+
+def test_lm_predicts_words_beyond_the_most_frequent(spark):
+    # 400 words, equally frequent, each after the same one: a count share alone gives log10(1/400) a word.
+    r = random.Random(9)
+    rows = []
+    for i in range(400):
+        at = r.randrange(400)
+        rows.append((i, " ".join(f"w{(at + j) % 400}" for j in range(150))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = lm.lm_scores(docs).filter("held_out").collect()
+    assert sum(x.score for x in got) / sum(x.n_tokens for x in got) > -1.5
