@@ -51,3 +51,22 @@ def test_pipeline_stages(spark):
 
 def test_pipeline_runs(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_pipeline_near_dedup_from_four_fifths(spark):
+    # 200 different words give 196 shingles; a change in the middle takes 5 of them, one at an end 1.
+    words = [f"w{i}" for i in range(200)]
+
+    def text(changed):
+        return " ".join("x" + w if i in changed else w for i, w in enumerate(words))
+
+    def alike(a, b):
+        sets = [{tuple(t.split()[j:j + 5]) for j in range(196)} for t in (a, b)]
+        return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+    base, near, far = text(()), text((30, 70, 110, 150)), text((20, 50, 80, 110, 140))
+    assert 0.80 <= alike(base, near) < 0.85 and alike(base, far) < 0.80 and alike(near, far) < 0.80
+    docs = spark.createDataFrame([(1, base), (2, near), (3, far)], "doc_id long, text string")
+    kept = dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, SF)
+    assert sorted(x.doc_id for x in kept.collect()) == [1, 3]
+    assert near_dedup.near_duplicates(docs).filter("kept").count() == 3
