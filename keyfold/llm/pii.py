@@ -8,9 +8,10 @@ varied spellings.
 
 Texts are read whole.  Every span of the four kinds holds a digit, an ``@`` or
 a bracketed ``at``; windows of ``WINDOW`` characters every ``STEP`` that hold
-one are decoded, so each place is seen by two windows, and their spans are
-reconciled over the text: of overlapping ones the span farther from its
-window's edges stays.  Added spans must pass the kind's own checks and must
+one are decoded, so each span of at most ``WINDOW - STEP`` characters, the
+longest added e-mail, lies whole in one, and the spans are reconciled over the
+text: of overlapping ones the span farther from its window's edges stays, of
+equally far ones with the same start the longer.  Added spans must pass the kind's own checks and must
 not touch a base span.
 """
 
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
-WINDOW, STEP = 96, 48
+WINDOW, STEP = 96, 16
 _TAGS = 1 + 2 * len(KINDS)  # outside; begin and inside of each kind
 _GATE = re.compile(r"[0-9@]|[(\[]at[)\]]", re.IGNORECASE)
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -333,8 +334,8 @@ def model_spans(model: Tagger, texts: list[str], known: list[list[Span]]) -> lis
         last = -1
         for m in _GATE.finditer(text):
             top = m.start() // STEP
-            for w in (top - 1, top):
-                if w > last and w >= 0:
+            for w in range(max(top - WINDOW // STEP + 1, 0), top + 1):
+                if w > last:
                     asked.append((t, w))
                     last = w
     found: list[list[tuple[int, Span]]] = [[] for _ in texts]
@@ -352,7 +353,7 @@ def model_spans(model: Tagger, texts: list[str], known: list[list[Span]]) -> lis
     for text, spans, base in zip(texts, found, known, strict=True):
         taken = sorted((a, b) for _, a, b in base)
         added: list[Span] = []
-        for _, (kind, a, b) in sorted(spans, key=lambda s: (-s[0], s[1])):
+        for _, (kind, a, b) in sorted(spans, key=lambda s: (-s[0], *s[1][:2], -s[1][2])):
             while b > a and text[b - 1] in " .,;:\n\t":
                 b -= 1
             while a < b and text[a] in " .,;:\n\t":

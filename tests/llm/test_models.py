@@ -127,6 +127,24 @@ def test_tagger_gradients():
         assert (ends[0] - ends[1]) / 2e-4 == pytest.approx(g[i], abs=1e-3)
 
 
+def test_long_addresses_lie_whole_in_a_window():
+    class All:  # tags all of a window that isn't filler
+        def decode(self, xs):
+            tags = np.zeros(xs.shape, int)
+            for row, x in zip(tags, xs, strict=True):
+                at = np.flatnonzero(x > 1)
+                if len(at):
+                    row[at[0]:at[-1] + 1] = 2
+                    row[at[0]] = 1
+            return tags
+
+    address = "firstname.lastname (at) department.university (dot) edu"
+    for span in (address, "a" * (80 - len(address)) + address):
+        for offset in range(200):
+            text = "\u201c" * offset + span + "\u201c" * 200
+            assert pii.model_spans(All(), [text], [[]]) == [[(0, offset, offset + len(span))]]
+
+
 def test_pii_finds_and_redacts(spark, docs, edge_docs, no_docs):
     model = pii.fit(docs)
     r = random.Random(5)
