@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from keyfold.llm import chat, decontaminate, lang_id, lm, mixing, near_dedup, pii, quality, simhash, toxicity
+from keyfold.llm import chat, decontaminate, infill, lang_id, lm, mixing, near_dedup, packing, pii, quality, repair, simhash, toxicity
 from keyfold.llm._spark import table
 from keyfold.llm.decontaminate_sql import CONTAMINATION
 
@@ -52,6 +53,18 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(docs, pii.fit(docs))
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damaged(table(spark, sf_dir, "conversations")), live=F.col("live"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_fingerprints": op2_fingerprints,
@@ -63,6 +76,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_language": op9_language,
     "op10_pii": op10_pii,
+    "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -70,4 +86,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_decontamination": CONTAMINATION,
     "op6_chat_perspectives": chat.CHAT_SQL,
     "op8_near_dedup": near_dedup.NEAR_SQL,
+    "op12_fill_in_middle": infill.INFILL_SQL,
+    "op13_conversation_repair": repair.REPAIR_SQL,
 }
