@@ -71,7 +71,7 @@ def _kept(col: str, keep_line: bool, keep: Sequence[str]) -> list[str]:
 def parse_listings(lines: DataFrame, on_bad: str = "fail", strip_thousands: bool = False,
                    price_type: str = T.PRICE_TYPE, col: str = "value",
                    keep_line: bool = False, keep: Sequence[str] = (),
-                   csv_fast_path: bool = True) -> DataFrame:
+                   csv_fast_path: bool = True, fields: str | None = None) -> DataFrame:
     """Listing text lines -> typed listing rows.
 
     Columns: id, title, unit_price, focus, orientation, year_built, district,
@@ -80,6 +80,7 @@ def parse_listings(lines: DataFrame, on_bad: str = "fail", strip_thousands: bool
     The title keeps the reference guard: a line with a single field has a null
     title (skipped by the word count) instead of failing.
 
+    ``fields`` names a column for the number of fields the line has.
     ``csv_fast_path`` sends lines whose only quotes are field boundaries
     through Spark's CSV parser (about twice as fast as the split); results
     are identical either way.
@@ -104,7 +105,8 @@ def parse_listings(lines: DataFrame, on_bad: str = "fail", strip_thousands: bool
         .select(*keep, "_ok",
                 F.when(ok, F.from_csv(v, _LISTING_DDL, _CSV_OPTS)).alias("_csv"),
                 F.when(~ok, T.quote_split(v)).alias("_f")) \
-        .select(*keep, *[c.alias(n) for n, c in typed.items()])
+        .select(*keep, *[c.alias(n) for n, c in typed.items()],
+                *([F.when(ok, F.lit(len(LISTING_COLUMNS))).otherwise(F.size(f)).alias(fields)] if fields else []))
 
 
 def parse_listing_rows(rows: DataFrame, on_bad: str = "fail", strip_thousands: bool = True,
@@ -133,12 +135,13 @@ def parse_listing_rows(rows: DataFrame, on_bad: str = "fail", strip_thousands: b
 
 def parse_bookings(lines: DataFrame, on_bad: str = "fail", dialect: str = "plain",
                    price_type: str = T.PRICE_TYPE, col: str = "value",
-                   keep_line: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+                   keep_line: bool = False, keep: Sequence[str] = (), fields: str | None = None) -> DataFrame:
     """Booking text lines -> typed booking rows.
 
     ``dialect="plain"`` is the reference rule: remove every quote, then split
     on every comma (a quoted comma shifts the columns).  ``"quoted"`` splits on
     commas outside quotes first.  All fields are trimmed of control characters.
+    ``fields`` names a column for the number of fields the line has.
     """
     strict = _check(on_bad)
     if dialect not in ("plain", "quoted"):
@@ -163,7 +166,8 @@ def parse_bookings(lines: DataFrame, on_bad: str = "fail", dialect: str = "plain
     }
     keep = _kept(col, keep_line, keep)
     return body.select(*keep, split.alias("_f")) \
-        .select(*keep, *[c.alias(n) for n, c in typed.items()])
+        .select(*keep, *[c.alias(n) for n, c in typed.items()],
+                *([F.size(f).alias(fields)] if fields else []))
 
 
 def apply_on_bad(rows: DataFrame, needed: Sequence[str], on_bad: str) -> DataFrame:
@@ -183,3 +187,20 @@ def bad_rows(lines: DataFrame, kind: str, needed: Sequence[str], col: str = "val
     for n in needed:
         cond = cond | F.col(n).isNull()
     return typed.filter(cond).select(col)
+
+
+#: Why a line has no value for a field: it has too few fields, or what stands there can't be read.
+MISSING, UNREADABLE = "missing", "unreadable"
+
+
+def with_reasons(lines: DataFrame, kind: str, needed: Sequence[str], col: str = "value", **parse_opts) -> DataFrame:
+    """``needed`` typed columns, ``reasons`` and, for a line with any, the line itself.
+
+    ``reasons`` is an array of ``missing:<field>`` and ``unreadable:<field>``
+    for the needed fields without a value, in their order; empty for a good line.
+    """
+    parse, columns = (parse_listings, LISTING_COLUMNS) if kind == "listing" else (parse_bookings, BOOKING_COLUMNS)
+    typed = parse(lines, on_bad="null", col=col, keep_line=True, fields="_fields", **parse_opts)
+    why = [F.when(F.col(n).isNull(), F.when(F.col("_fields") <= columns.index(n), F.lit(f"{MISSING}:{n}")).otherwise(F.lit(f"{UNREADABLE}:{n}"))) for n in needed]
+    rows = typed.select(*needed, F.array_compact(F.array(*why)).alias("reasons"), F.col(col))
+    return rows.withColumn(col, F.when(F.size("reasons") > 0, F.col(col)))

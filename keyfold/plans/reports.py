@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keyfold.functions.text import round2
 from keyfold.operators.agg import (
     count_by, flag_count_by, mean_by, sum_count_by, sums_by, word_count,
 )
@@ -100,6 +101,51 @@ def monthly_avg_adr(bookings: DataFrame) -> DataFrame:
     return mean_by(b, "month", F.col("adr"), "avg_adr")
 
 
+# Grouping columns of the booking reports, and the columns each shows.
+_BOOKING_SETS = {
+    "hotel_statistics": (("hotel_type",), ("booking_count", "canceled_count", "actual_stay_count")),
+    "monthly_booking_counts": (("month", "hotel_type"), ("kept_count",)),
+    "country_statistics": (("country",), ("visitor_count",)),
+    "booking_method_statistics": (("hotel_type", "booking_method"), ("booking_count",)),
+    "monthly_avg_adr": (("month",), ("avg_adr",)),
+}
+_BOOKING_KEYS = ("hotel_type", "month", "country", "booking_method")
+
+
+def booking_reports(bookings: DataFrame) -> DataFrame:
+    """J6-J10 in one pass: every row goes to its group of each report (grouping
+    sets), so the lines are read, parsed and exchanged once.
+
+    Columns: ``report`` (the result table's name), the four key columns and the
+    reports' values; what a report doesn't have is null.  :func:`one_report`
+    takes a report's own table out of it.
+    """
+    b = bookings.withColumnsRenamed({"hotel": "hotel_type", "arrival_date_month": "month"})
+    canceled = F.when(F.col("is_canceled") == 1, F.lit(1)).otherwise(F.lit(0))
+    kept = F.when(F.col("is_canceled") == 0, F.lit(1)).otherwise(F.lit(0))
+    found = b.groupingSets([[F.col(k) for k in keys] for keys, _ in _BOOKING_SETS.values()], *[F.col(k) for k in _BOOKING_KEYS]).agg(
+        F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("booking_count"), F.sum(canceled).cast("bigint").alias("canceled_count"),
+        F.sum("nights").cast("bigint").alias("actual_stay_count"), F.sum(kept).cast("bigint").alias("kept_count"),
+        F.count(F.lit(1)).alias("visitor_count"), round2(F.try_divide(F.sum("adr").cast("double"), F.count("adr"))).alias("avg_adr"))
+    # The grouping id has a bit for each key column that a set leaves out, the first column's highest.
+    name, shown = F.lit(None).cast("string"), {}
+    for report, (keys, values) in _BOOKING_SETS.items():
+        number = sum(1 << (len(_BOOKING_KEYS) - 1 - i) for i, k in enumerate(_BOOKING_KEYS) if k not in keys)
+        name = F.when(F.col("_set") == number, F.lit(report)).otherwise(name)
+        for v in values:
+            shown.setdefault(v, []).append(report)
+    named = found.withColumn("report", name)
+    values = [F.when(F.col("report").isin(*reports), F.col(v)).alias(v) for v, reports in shown.items()]
+    return named.select("report", *_BOOKING_KEYS, *values)
+
+
+def one_report(reports: DataFrame, table: str) -> DataFrame:
+    """The result table of one report out of :func:`booking_reports`."""
+    keys, values = _BOOKING_SETS[table]
+    renamed = [F.col(v).alias("booking_count" if v == "kept_count" else v) for v in values]
+    return reports.filter(F.col("report") == table).select(*keys, *renamed)
+
+
 # ----------------------------------------------------------------- registry
 @dataclass(frozen=True)
 class Report:

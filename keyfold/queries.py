@@ -6,7 +6,8 @@ work grows with them.  Column names match the oracle SQL exactly.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,19 +15,26 @@ from pyspark.sql import functions as F
 from keyfold import fs
 from keyfold.functions.text import digits_or_zero, round2
 from keyfold.operators.agg import word_count
+from keyfold.operators.exact import exact_running_by, exact_sums
 from keyfold.operators.parse import bad_rows, parse_bookings, parse_listing_rows, parse_listings
+from keyfold.operators.partials import merged, partials
 from keyfold.operators.running import latest_by, running_by
-from keyfold.plans.reports import neighborhood_avg_price, run_report
+from keyfold.plans.checked import checked_report
+from keyfold.plans.reports import booking_reports, neighborhood_avg_price, run_report
 from keyfold.plans.running import latest_report, running_report
 from keyfold.schema import LISTING_COLUMNS, keys_of
 from keyfold.session import ensure_checkpoint_dir, fresh_path
+from keyfold.sinks.batches import read_upserted, upsert_sink
 from keyfold.sinks.files import FileTable, write_parquet
 from keyfold.sources.fixtures import (
-    ORDER_COLUMNS, fixture_lines, fixture_path, header_for, line_for, listing_rows, write_lines, write_with_headers,
+    ORDER_COLUMNS, fixture_lines, fixture_path, header_for, line_for, listing_rows, with_headers, write_lines, write_with_headers,
 )
+from keyfold.sources.jdbc import split_predicates
 from keyfold.sources import synth
 from keyfold.sources.synth import synth_listings
-from keyfold.sources.text import read_lines, stream_lines
+from keyfold.sources.text import FILE, read_lines, read_numbered_lines, stream_lines, with_place
+from keyfold.streaming.running import LINE, in_arrival_order, read_running, running_sink, start_running_stream
+from keyfold.streaming.state import carrying, state_totals
 from keyfold.streaming.upsert import run_report_stream, start_upsert_stream
 
 
@@ -333,6 +341,205 @@ def _k5(spark: SparkSession, sf_dir: str, buckets: int | None) -> DataFrame:
     return table.read()
 
 
+def _running_orders(spark: SparkSession, sf_dir: str, part: int) -> DataFrame:
+    """The listing lines of one of three arrivals, in files in the order of their ids."""
+    orders = _table(spark, sf_dir, "orders").select(*ORDER_COLUMNS).filter(F.col("o_orderkey") % 3 == part)
+    return (orders.repartitionByRange(4, "o_orderkey").sortWithinPartitions("o_orderkey")
+            .select(line_for("listing").alias("value")))
+
+
+def a9_stream_running_focus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 with A9: every line's orientation totals so far, on a stream.
+
+    Lines arrive in three parts; the stream stops after each and goes on from
+    its checkpoint.  A batch's lines count in the order of files and lines.
+    """
+    ensure_checkpoint_dir(spark)
+    src, ckpt, out = (fresh_path(spark, kind, "running-focus") for kind in ("stream-input", "streams", "running"))
+    sink = running_sink(out, "orientation", FILE, {"total_focus": F.col("focus").cast("bigint")}, count="count", tiebreak=[LINE],
+                        prepare=lambda b: parse_listings(in_arrival_order(b), keep=[FILE, LINE]).select("id", "orientation", "focus", FILE, LINE))
+    for part in range(3):
+        lines = _running_orders(spark, sf_dir, part)
+        with_headers(lines, header_for("listing")).write.text(f"{src}/part={part}")
+        placed = with_place(spark.readStream.text(f"{src}/*"))
+        query = start_running_stream(placed, sink, ckpt)
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise RuntimeError(f"running stream failed: {query.exception()}")
+    return read_running(spark, out).select(F.col("id").cast("bigint").alias("id"), "orientation", "total_focus", "count")
+
+
+def a10_stream_latest_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3 with A10: each user's last event by time, while events arrive out of order."""
+    ensure_checkpoint_dir(spark)
+    events = _table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    src, ckpt, out = (fresh_path(spark, kind, "latest") for kind in ("stream-input", "streams", "tables"))
+    for part in (1, 0, 2):  # every arrival has events of the whole time
+        events.filter(F.pmod(F.xxhash64("event_id"), F.lit(3)) == part).write.parquet(f"{src}/part={part}")
+        stream = spark.readStream.schema(events.schema).parquet(f"{src}/*")
+        latest = latest_by(stream, "user_id", ["ts", "event_id"], ["event_id", "value"])
+        query = start_upsert_stream(latest, upsert_sink(out, ["user_id"]), ckpt, available_now=True, state_partitions=_state_partitions(spark))
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise RuntimeError(f"latest stream failed: {query.exception()}")
+    return read_upserted(spark, out)
+
+
+@contextmanager
+def _file_splits(spark: SparkSession, size: int) -> Iterator[None]:
+    """Text files are read in splits of at most ``size`` bytes meanwhile."""
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def s1_line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line's number in its file, the same for small and large splits."""
+    ensure_checkpoint_dir(spark)
+    orders = _table(spark, sf_dir, "orders").select(*ORDER_COLUMNS).withColumn("part", F.floor(F.col("o_orderkey") / 10_000))
+    src = fresh_path(spark, "text", "numbered")
+    # One file a part: a part's 10,000 keys are in one task, in order.
+    (orders.repartition("part").sortWithinPartitions("part", "o_orderkey").select(line_for("listing").alias("value"), "part")
+     .write.partitionBy("part").text(src))
+    found = []
+    for size in (1 << 16, 128 << 20):
+        with _file_splits(spark, size):
+            lines = read_numbered_lines(spark, f"{src}/part=*")
+            ids = lines.select(F.regexp_extract(FILE, "part=([0-9]+)/", 1).cast("bigint").alias("part"), "line", F.regexp_extract("value", '^"([0-9]+)"', 1).cast("bigint").alias("id"))
+            found.append(spark.read.parquet(write_parquet(ids, fresh_path(spark, "results", "numbered"))))
+    small, large = found
+    return small.join(large.withColumnRenamed("line", "line_unsplit"), ["part", "id"], "full").select("part", "id", "line", "line_unsplit")
+
+
+_FINE = [(0, -60), (1, -40), (2, -20)]
+
+
+def _fine_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with doubles of very different sizes: whole cents times 2**-60, 2**-40 or 2**-20."""
+    scale = F.lit(0.0)
+    for rest, power in _FINE:
+        scale = F.when(F.col("event_id") % 3 == rest, F.lit(2.0 ** power)).otherwise(scale)
+    cents = F.round(F.col("value") * 100).cast("bigint").cast("double")
+    return _table(spark, sf_dir, "events").select("event_id", "event_type", "user_id", (cents * scale).alias("x"))
+
+
+def a5_exact_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5/A6 over doubles: exact sums, rounded once, whatever the order of rows."""
+    return exact_sums(_fine_events(spark, sf_dir), "event_type", F.col("x"), total="total")
+
+
+def a9_exact_running_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A9 over doubles: exact running sums per user, rounded once per row."""
+    run = exact_running_by(_fine_events(spark, sf_dir), "user_id", "event_id", F.col("x"), partitions=16)
+    return run.select("event_id", "user_id", "running_sum", "running_count")
+
+
+def j6_j10_one_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J6-J10 from one scan of the booking lines, by grouping sets."""
+    return booking_reports(parse_bookings(_lines(spark, sf_dir, "booking")))
+
+
+def _booking_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bookings as three deltas: one half, all as kept; the other half; then
+    the first half's cancelled ones taken back and put in again as cancelled."""
+    rows = parse_bookings(_table(spark, sf_dir, "orders").select(line_for("booking").alias("value"), F.col("o_orderkey").alias("key")), keep=["key"])
+    rows = rows.select(F.col("hotel").alias("hotel_type"), F.col("arrival_date_month").alias("month"), "is_canceled", "nights", "key")
+    first = F.col("key") % 2 == 0
+    kept = rows.withColumn("is_canceled", F.lit(0))
+    late = rows.filter(first & (F.col("is_canceled") == 1))
+    deltas = [kept.filter(first).withColumn("sign", F.lit(1)), rows.filter(~first).withColumn("sign", F.lit(1)),
+              late.withColumn("is_canceled", F.lit(0)).withColumn("sign", F.lit(-1)).unionByName(late.withColumn("sign", F.lit(1)))]
+    path = fresh_path(spark, "deltas", "bookings")
+    keys = ["hotel_type", "month"]
+    for n, delta in enumerate(deltas):
+        sums = {"canceled": (F.col("is_canceled") == 1).cast("bigint"), "kept": (F.col("is_canceled") == 0).cast("bigint"), "nights": F.col("nights").cast("bigint")}
+        partials(delta, keys, sums, sign=F.col("sign")).write.parquet(f"{path}/batch={n}")
+    return spark.read.parquet(path).drop("batch")
+
+
+def a1_merged_hotel_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J6 from stored partial results, retractions among them (A1, A3, A4)."""
+    ensure_checkpoint_dir(spark)
+    found = merged(_booking_deltas(spark, sf_dir).drop("month"), "hotel_type")
+    return found.select("hotel_type", F.col("rows").alias("booking_count"), F.col("canceled").alias("canceled_count"), F.col("nights").alias("actual_stay_count"))
+
+
+def a3_merged_monthly_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J7 from stored partial results: a month whose bookings were all cancelled later stays, with 0."""
+    ensure_checkpoint_dir(spark)
+    found = merged(_booking_deltas(spark, sf_dir), ["month", "hotel_type"])
+    return found.select("month", "hotel_type", F.col("kept").alias("booking_count"))
+
+
+def j4_stream_repartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4: a stream with 4 state partitions, taken on by one with 16."""
+    ensure_checkpoint_dir(spark)
+    table, keys, sums = "orientation_focus_count", ["orientation"], ["total_focus", "count"]
+    orders = _table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
+    src, out, first, second = (fresh_path(spark, kind, table) for kind in ("stream-input", "tables", "streams", "streams"))
+    half = F.pmod(F.col("o_orderkey"), F.lit(2)) == 0
+    for part, cond in (("a", half), ("b", ~half)):
+        write_lines(spark, orders, "listing", f"{src}/part={part}", where=cond)
+    sink = upsert_sink(f"{out}/first", keys)
+    run_report_stream(table, stream_lines(spark, f"{src}/part=a"), sink, first, state_partitions=4).awaitTermination()
+    totals = write_parquet(state_totals(spark, first, keys, {"total_focus": 0, "count": 1}), f"{out}/totals")
+    # The old stream's rows are where the new one's upserts start.
+    begin = upsert_sink(f"{out}/second", keys)
+    begin(read_upserted(spark, f"{out}/first"), -1)
+    carried = carrying(begin, totals, keys, sums)
+    run_report_stream(table, stream_lines(spark, f"{src}/part=b"), carried, second, state_partitions=16).awaitTermination()
+    return read_upserted(spark, f"{out}/second")
+
+
+def _defective_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing lines, some with a price that is no number, some cut off after three fields."""
+    orders = _table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
+    line, key = line_for("listing"), F.col("o_orderkey")
+    no_price = F.regexp_replace(line, F.lit('"[0-9.]+元/平"'), F.lit('"面议"'))
+    cut = F.substring_index(line, ",", 4)  # the title holds a comma
+    lines = orders.select(F.when(key % 13 == 0, cut).when(key % 11 == 0, no_price).otherwise(line).alias("value"))
+    ensure_checkpoint_dir(spark)
+    return read_lines(spark, write_with_headers(spark, lines, header_for("listing"), fresh_path(spark, "defective", "listing")))
+
+
+def p15_checked_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 of the readable lines, from the pass that also counts and keeps the rest."""
+    return checked_report("neighborhood_avg_price", _defective_lines(spark, sf_dir)).result
+
+
+def p15_reason_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many lines lack a value for which reason, counted in the report's own pass."""
+    found = checked_report("neighborhood_avg_price", _defective_lines(spark, sf_dir))
+    counts = [*found.reasons.items(), ("lines", found.lines), ("rejected", found.rejected)]
+    return spark.createDataFrame(counts, "reason string, lines long")
+
+
+def p15_rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejected lines as written, with all their reasons."""
+    found = checked_report("neighborhood_avg_price", _defective_lines(spark, sf_dir))
+    return found.rejects.select("value", F.array_join("reasons", ",").alias("reasons"))
+
+
+def s4_split_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many parts of a split plan hold each row, of a skewed, textual,
+    partly null column, and whether the largest part is at most twice the mean."""
+    key = F.col("o_orderkey")
+    code = F.when(key % 3 == 0, F.lit("it's hot")).when(key % 5 == 0, F.lit(None)).otherwise(F.concat(F.lit("K"), (F.col("o_custkey") * key).cast("string")))
+    rows = _table(spark, sf_dir, "orders").select("o_orderkey", code.alias("code"))
+    plan = split_predicates(rows, "code", 12, then="o_orderkey")
+    held = [F.coalesce(F.expr(p), F.lit(False)) for p in plan]
+    sizes = rows.agg(*[F.count_if(h).alias(f"p{i}") for i, h in enumerate(held)])
+    largest = F.greatest(*[F.col(f"p{i}") for i in range(len(plan))]) if len(plan) > 1 else F.col("p0")
+    filled = sum((F.col(f"p{i}") > 0).cast("int") for i in range(len(plan)))
+    balanced = sizes.select((largest * filled <= 2 * sum(F.col(f"p{i}") for i in range(len(plan)))).alias("balanced"))
+    counted = rows.select("o_orderkey", sum(h.cast("int") for h in held).alias("parts"))
+    return counted.join(F.broadcast(balanced))  # one row
+
+
 def s5_synth_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One synthetic listing per order key (deterministic for the seed)."""
     ids = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
@@ -379,6 +586,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "k5_upsert_merge_bucketed": k5_upsert_merge_bucketed,
     "a11_stream_word_count": a11_stream_word_count,
     "s5_synth_listings": s5_synth_listings,
+    "a9_stream_running_focus": a9_stream_running_focus,
+    "a10_stream_latest_value": a10_stream_latest_value,
+    "s1_line_numbers": s1_line_numbers,
+    "a5_exact_sums": a5_exact_sums,
+    "a9_exact_running_sums": a9_exact_running_sums,
+    "j6_j10_one_scan": j6_j10_one_scan,
+    "a1_merged_hotel_statistics": a1_merged_hotel_statistics,
+    "a3_merged_monthly_bookings": a3_merged_monthly_bookings,
+    "j4_stream_repartitioned": j4_stream_repartitioned,
+    "p15_checked_prices": p15_checked_prices,
+    "p15_reason_counts": p15_reason_counts,
+    "p15_rejected_lines": p15_rejected_lines,
+    "s4_split_plan": s4_split_plan,
 }
 
 _HOTEL = "CASE WHEN o_custkey % 2 = 0 THEN 'City Hotel' ELSE 'Resort Hotel' END"
@@ -549,3 +769,62 @@ def _synth_sql(seed: int = 42, date: str = "2024-12-01") -> str:
 
 
 ORACLE_SQL["s5_synth_listings"] = _synth_sql()
+
+ORACLE_SQL["a9_stream_running_focus"] = (
+    "SELECT id, orientation, CAST(sum(focus) OVER w AS BIGINT) AS total_focus, count(*) OVER w AS \"count\" FROM ("
+    "SELECT o_orderkey AS id, (['南','北','东','西','东南','西南','东北','西北'])[CAST(o_custkey % 8 + 1 AS INTEGER)] AS orientation, "
+    "CASE WHEN o_orderkey % 10 = 0 THEN 0 ELSE o_orderkey % 1000 END AS focus FROM orders) "
+    f"WINDOW w AS (PARTITION BY orientation ORDER BY id % 3, id {_SO_FAR})")
+ORACLE_SQL["a10_stream_latest_value"] = (
+    "SELECT user_id, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id "
+    "ORDER BY ts DESC NULLS LAST, event_id DESC) AS nth FROM events) WHERE nth = 1")
+ORACLE_SQL["s1_line_numbers"] = (
+    "SELECT part, id, line, line AS line_unsplit FROM (SELECT o_orderkey // 10000 AS part, o_orderkey AS id, "
+    "row_number() OVER (PARTITION BY o_orderkey // 10000 ORDER BY o_orderkey) AS line FROM orders)")
+# As whole units of 2**-60: exact in integers, rounded by the one cast to double.
+_UNITS = "CAST(round(value * 100) AS HUGEINT) * (CASE event_id % 3 WHEN 0 THEN 1 WHEN 1 THEN 1048576 ELSE 1099511627776 END)"
+_EXACT = "CAST(CAST(sum({u}) {over} AS BIGINT) AS DOUBLE) / 1152921504606846976.0"
+ORACLE_SQL["a5_exact_sums"] = (
+    f"SELECT event_type, {_EXACT.format(u=_UNITS, over='')} AS total, count(*) AS \"count\" FROM events GROUP BY 1")
+ORACLE_SQL["a9_exact_running_sums"] = (
+    f"SELECT event_id, user_id, {_EXACT.format(u=_UNITS, over='OVER w')} AS running_sum, count(*) OVER w AS running_count "
+    f"FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id {_SO_FAR})")
+_BOOKED = {
+    "hotel_type": f"({_HOTEL})", "month": "CAST(month(o_orderdate) AS INTEGER)",
+    "country": "'C' || (o_custkey % 25)", "booking_method": "o_orderpriority",
+    "booking_count": "count(*)", "canceled_count": "CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS BIGINT)",
+    "actual_stay_count": "CAST(sum(o_orderkey % 14) AS BIGINT)",
+    "kept_count": "CAST(sum(CASE WHEN o_orderstatus <> 'F' THEN 1 ELSE 0 END) AS BIGINT)",
+    "visitor_count": "count(*)", "avg_adr": _MEAN2.format(num=_MONEY_SUM.format(c="o_totalprice")),
+}
+
+
+def _booking_sql(report: str, keys: list[str], values: list[str]) -> str:
+    shown = ", ".join(f"{x if c in keys + values else 'NULL'} AS {c}" for c, x in _BOOKED.items())
+    return f"SELECT '{report}' AS report, {shown} FROM orders GROUP BY " + ", ".join(_BOOKED[k] for k in keys)
+
+
+ORACLE_SQL["j6_j10_one_scan"] = " UNION ALL ".join([
+    _booking_sql("hotel_statistics", ["hotel_type"], ["booking_count", "canceled_count", "actual_stay_count"]),
+    _booking_sql("monthly_booking_counts", ["month", "hotel_type"], ["kept_count"]),
+    _booking_sql("country_statistics", ["country"], ["visitor_count"]),
+    _booking_sql("booking_method_statistics", ["hotel_type", "booking_method"], ["booking_count"]),
+    _booking_sql("monthly_avg_adr", ["month"], ["avg_adr"]),
+])
+ORACLE_SQL["a1_merged_hotel_statistics"] = ORACLE_SQL["j6_hotel_statistics"]
+ORACLE_SQL["a3_merged_monthly_bookings"] = ORACLE_SQL["j7_monthly_booking_counts"]
+ORACLE_SQL["j4_stream_repartitioned"] = ORACLE_SQL["j4_orientation_focus"]
+ORACLE_SQL["p15_checked_prices"] = ORACLE_SQL["j2_neighborhood_avg_price"].replace(
+    "FROM orders", "FROM orders WHERE o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0")
+ORACLE_SQL["p15_reason_counts"] = (
+    "SELECT reason, lines FROM (SELECT 'missing:neighborhood' AS reason, count(*) AS lines FROM orders WHERE o_orderkey % 13 = 0 "
+    "UNION ALL SELECT 'missing:unit_price', count(*) FROM orders WHERE o_orderkey % 13 = 0 "
+    "UNION ALL SELECT 'unreadable:unit_price', count(*) FROM orders WHERE o_orderkey % 13 <> 0 AND o_orderkey % 11 = 0) WHERE lines > 0 "
+    "UNION ALL SELECT 'lines', count(*) FROM orders "
+    "UNION ALL SELECT 'rejected', count(*) FROM orders WHERE o_orderkey % 13 = 0 OR o_orderkey % 11 = 0")
+_DEFECTIVE = " || ',' || ".join(f"'\"' || ({_UNCLEAN.get(c, chr(39) + 'x' + chr(39))}) || '\"'" for c in LISTING_COLUMNS)
+ORACLE_SQL["p15_rejected_lines"] = (
+    "SELECT CASE WHEN o_orderkey % 13 = 0 THEN '\"' || o_orderkey || '\",\"' || o_orderpriority || '，st,' || o_orderstatus || '\",\"x\"' "
+    f"ELSE {_DEFECTIVE} END AS \"value\", CASE WHEN o_orderkey % 13 = 0 THEN 'missing:neighborhood,missing:unit_price' "
+    "ELSE 'unreadable:unit_price' END AS reasons FROM orders WHERE o_orderkey % 13 = 0 OR o_orderkey % 11 = 0")
+ORACLE_SQL["s4_split_plan"] = "SELECT o_orderkey, 1 AS parts, true AS balanced FROM orders"

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from keyfold.session import ensure_checkpoint_dir
@@ -50,3 +50,34 @@ def with_arrival_order(lines: DataFrame, col: str = "seq") -> DataFrame:
     """
     ensure_checkpoint_dir(lines.sparkSession)
     return lines.withColumn(col, F.monotonically_increasing_id()).checkpoint(eager=True)
+
+
+#: Columns that say where a line was read: its file and the start of its split.
+FILE, BLOCK = "_file", "_block"
+
+
+def with_place(lines: DataFrame) -> DataFrame:
+    """``lines`` (batch or stream, straight from a file source) with ``_file`` and ``_block``."""
+    return lines.select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK))
+
+
+def number_lines(placed: DataFrame, line: str = "line") -> DataFrame:
+    """Number the lines of :func:`with_place` within their file, from 1, in ``line``.
+
+    The numbers are the file's own, however it was split: lines are counted
+    per split, a split starts after the lines of the splits before it, and a
+    line's place within its split follows the scan.  Besides the rows there is
+    a row per split: a count of each, and the sums of those before it.  A file
+    that can't be split (compressed) is one split.
+    """
+    marked = placed.withColumn("_at", F.monotonically_increasing_id())
+    splits = marked.groupBy(FILE, BLOCK).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_lines"))
+    earlier = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.select(FILE, BLOCK, "_first", F.coalesce(F.sum("_lines").over(earlier), F.lit(0)).alias("_before"))
+    numbered = marked.join(starts, [FILE, BLOCK])
+    return numbered.withColumn(line, F.col("_before") + F.col("_at") - F.col("_first") + 1).drop("_at", "_first", "_before")
+
+
+def read_numbered_lines(spark: SparkSession, paths: str | Sequence[str], line: str = "line") -> DataFrame:
+    """``value``, ``_file``, ``_block`` and the line's number in its file."""
+    return number_lines(with_place(read_lines(spark, paths)), line)
