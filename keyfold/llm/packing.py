@@ -233,11 +233,19 @@ class _Encoder:
     """Token ids of whole texts, every distinct word tokenized once.
 
     The tokenizer drops white space and looks at nothing beyond it, so a text's
-    ids are those of its words in order.  Words are recognised by 64-bit hashes
-    of their lower-cased bytes (the tokenizer lower-cases as well); texts that
-    hold the mark of a special token go to the tokenizer whole.
+    ids are those of its words in order; it also parts a letter or digit from
+    the punctuation after it, so words are parted there as well and "so," is
+    "so" and ",".  Words are recognised by 64-bit hashes of their lower-cased
+    bytes (the tokenizer lower-cases as well); texts that hold the mark of a
+    special token go to the tokenizer whole.  New words of letters alone are
+    tokenized as one text: each ends with a token that ends a word.
     """
 
+    #: Bytes of letters and digits, and of punctuation that no letter or digit before it joins (an apostrophe may).
+    _ALNUM, _MARKS = np.zeros(256, bool), np.zeros(256, bool)
+    _ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+    _MARKS[[ord(c) for c in '.,;:!?")]}']] = True
+
     def __init__(self, path: str | None, most: int = 1 << 22):
         import os
 
@@ -249,6 +257,9 @@ class _Encoder:
 
             path = public_tokenizers.path("word_bpe_49k.json")
         self.tokenizer, self.most = Tokenizer.from_file(path), most
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
@@ -260,8 +271,27 @@ class _Encoder:
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         return np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum())), sizes
 
-    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
-        flat, sizes = self._batch(words)
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As :meth:`_batch`, of words of letters alone."""
+        flat = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        last = np.flatnonzero(self.ends[flat])
+        if len(last) != len(words):  # a tokenizer that marks the ends of words otherwise
+            return self._batch(words)
+        return flat, np.diff(last, prepend=-1)
+
+    @staticmethod
+    def _letters(data: np.ndarray) -> np.ndarray:
+        """Bytes of the letters A-Z, a-z and U+00C0 to U+00FF."""
+        letter = (data | 0x20) - np.uint8(0x61) < 26
+        lead = np.append(data[1:] >= 0x80, False) & (data == 0xC3)
+        trail = np.append(False, data[:-1] == 0xC3) & (data >= 0x80) & (data != 0x97) & (data != 0xB7)
+        return letter | lead | trail
+
+    def _learn(self, hashes: np.ndarray, words: list[str], plain: np.ndarray) -> None:
+        groups = [([w for w, x in zip(words, plain.tolist(), strict=True) if x is want], encode) for want, encode in ((True, self._words), (False, self._batch))]
+        done = [encode(some) for some, encode in groups if some]
+        flat, sizes = (np.concatenate(x) for x in zip(*done, strict=True))
+        hashes = np.concatenate([hashes[plain], hashes[~plain]])
         at = len(self.flat) + np.cumsum(sizes) - sizes
         order = np.argsort(hashes)
         where = np.searchsorted(self.known, hashes[order])
@@ -271,6 +301,8 @@ class _Encoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, ids of each), ``end`` after each text."""
+        parted = np.flatnonzero(self._ALNUM[data[:-1]] & self._MARKS[data[1:]]) + 1
+        data, offsets = np.insert(data, parted, 0x20), offsets + np.searchsorted(parted, offsets)
         h, of, first, stop = word_hashes(data, offsets)
         uniq, at, back = np.unique(h, return_index=True, return_inverse=True)
         if len(self.flat) > self.most:
@@ -281,8 +313,8 @@ class _Encoder:
         new[inside] = self.known[place[inside]] != uniq[inside]
         if new.any():
             a, b = first[at[new]], stop[at[new]]
-            raw = data.tobytes()
-            self._learn(uniq[new], [raw[i:j].decode() for i, j in zip(a.tolist(), b.tolist(), strict=True)])
+            raw, others = data.tobytes(), np.concatenate([[0], np.cumsum(~self._letters(data))])
+            self._learn(uniq[new], [raw[i:j].decode() for i, j in zip(a.tolist(), b.tolist(), strict=True)], others[a] == others[b])
             place = np.searchsorted(self.known, uniq)
         words = place[back]
         sizes = self.size[words]

@@ -10,7 +10,8 @@ from keyfold.llm import packing
 
 tokenizers = pytest.importorskip("tokenizers")
 public = pytest.importorskip("public_tokenizers")
-TEXTS = ["", " \n\t", "Hello, World's it's 12345 don't", "É é ﬁ Straße ΣΑΣ x y", "a<|endoftext|>b <|STARTOFTEXT|>", "x" * 5000, "中文 日本語\U0001F600", "́lead ̣́mark", "plain words " * 3000]
+TEXTS = ["", " \n\t", "Hello, World's it's 12345 don't", "É é ﬁ Straße ΣΑΣ x y", "a<|endoftext|>b <|STARTOFTEXT|>", "x" * 5000, "中文 日本語\U0001F600", "́lead ̣́mark", "plain words " * 3000,
+         "l'été, «oui», (a)b ) c, d’accord; 3.14, A.B.C.'s it's,'s x,'t 're. é, ñ× ÷a ß.ﬀ, a\u0301, e.\u0301f \u0301, ǅ, —, a—, ('ll)'d 1,2;3\u00a0,4"]
 
 
 def least_bins(sizes, capacity):
