@@ -25,7 +25,8 @@ from keyfold.operators.parse import apply_on_bad, parse_listing_rows
 from keyfold.plans.reports import REPORTS, run_report
 from keyfold.schema import LISTING_COLUMNS, keys_of
 from keyfold.session import ensure_checkpoint_dir
-from keyfold.sinks.files import FileTable, write_parquet
+from keyfold.sinks.batches import upsert, upsert_sink
+from keyfold.sinks.files import bucket_sink, upsert_buckets, write_parquet
 from keyfold.sinks.jdbc import append_jdbc, jdbc_batch_sink, upsert_jdbc
 from keyfold.sinks.kafka import write_kafka_lines
 from keyfold.sources.fixtures import header_for, write_with_headers
@@ -91,10 +92,10 @@ def _result(args, src: DataFrame) -> DataFrame:
     return run_report(args.report, src, args.on_bad, **opts)
 
 
-def _batch_sink(spark: SparkSession, args, checkpoint: str):
+def _batch_sink(args):
     keys = keys_of(args.report)
     if args.sink == "filetable":
-        return FileTable(spark, args.target, keys, buckets=args.buckets).as_batch_sink(checkpoint)
+        return bucket_sink(args.target, keys, args.buckets) if args.buckets else upsert_sink(args.target, keys)
     if args.sink == "jdbc":
         return jdbc_batch_sink(args.url, args.table or args.report, keys, dialect=args.dialect_sql,
                                properties=_jdbc_props(args))
@@ -124,7 +125,7 @@ def run_report_job(spark: SparkSession, args) -> object:
         if args.sink == "parquet":
             raise SystemExit("a stream upserts: use --sink filetable or jdbc")
         checkpoint = args.checkpoint or f"{args.target}/_checkpoint"
-        q = start_upsert_stream(result, _batch_sink(spark, args, checkpoint), checkpoint,
+        q = start_upsert_stream(result, _batch_sink(args), checkpoint,
                                 available_now=args.available_now,
                                 processing_time=None if args.available_now else args.trigger,
                                 state_partitions=args.state_partitions)
@@ -134,7 +135,10 @@ def run_report_job(spark: SparkSession, args) -> object:
     if args.sink == "parquet":
         write_parquet(result, args.target)
     elif args.sink == "filetable":
-        FileTable(spark, args.target, keys_of(args.report), buckets=args.buckets).upsert(result)
+        if args.buckets:
+            upsert_buckets(result, args.target, keys_of(args.report), args.buckets)
+        else:
+            upsert(result, args.target, keys_of(args.report))
     elif args.sink == "jdbc":
         upsert_jdbc(result, args.url, args.table or args.report, keys_of(args.report),
                     dialect=args.dialect_sql, properties=_jdbc_props(args))
@@ -182,7 +186,7 @@ def build_parser() -> argparse.ArgumentParser:
     r.add_argument("--dialect-sql", default="mysql", help="JDBC merge dialect")
     r.add_argument("--user")
     r.add_argument("--driver")
-    r.add_argument("--buckets", type=int)
+    r.add_argument("--buckets", type=int, help="filetable: partitions by a hash of the key; an upsert replaces the touched ones only")
     r.add_argument("--on-bad", default="fail", choices=["fail", "null", "quarantine"])
     r.add_argument("--dialect", default="plain", choices=["plain", "quoted"],
                    help="booking line dialect")

@@ -24,13 +24,12 @@ from keyfold.plans.reports import booking_reports, neighborhood_avg_price, run_r
 from keyfold.plans.running import latest_report, running_report
 from keyfold.schema import LISTING_COLUMNS, keys_of
 from keyfold.session import ensure_checkpoint_dir, fresh_path
-from keyfold.sinks.batches import read_upserted, upsert_sink
-from keyfold.sinks.files import FileTable, write_parquet
+from keyfold.sinks.batches import read_upserted, upsert, upsert_sink
+from keyfold.sinks.files import bucket_sink, read_buckets, upsert_buckets, write_parquet
 from keyfold.sources.fixtures import (
     ORDER_COLUMNS, fixture_lines, fixture_path, header_for, line_for, listing_rows, with_headers, write_lines, write_with_headers,
 )
 from keyfold.sources.jdbc import split_predicates
-from keyfold.sources import synth
 from keyfold.sources.synth import synth_listings
 from keyfold.sources.text import FILE, read_lines, read_numbered_lines, stream_lines, with_place
 from keyfold.streaming.running import LINE, in_arrival_order, read_running, running_sink, start_running_stream
@@ -220,9 +219,9 @@ def _state_partitions(spark: SparkSession) -> int:
 
 
 def _stream_into_table(spark: SparkSession, table: str, source: str, files_per_trigger: int,
-                       checkpoint: str, out: FileTable) -> None:
+                       checkpoint: str, out: str) -> None:
     lines = stream_lines(spark, source, max_files_per_trigger=files_per_trigger)
-    q = run_report_stream(table, lines, out.as_batch_sink(checkpoint), checkpoint, available_now=True,
+    q = run_report_stream(table, lines, upsert_sink(out, keys_of(table)), checkpoint, available_now=True,
                           state_partitions=_state_partitions(spark))
     q.awaitTermination()
     if q.exception() is not None:
@@ -231,15 +230,15 @@ def _stream_into_table(spark: SparkSession, table: str, source: str, files_per_t
 
 def _stream_report(table: str, kind: str) -> Callable[[SparkSession, str], DataFrame]:
     """Report as a stream over the rendered files (one file per micro-batch),
-    upserted batch by batch into a versioned file table; returns the table."""
+    upserted batch by batch into a table of files; returns the table."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_checkpoint_dir(spark)
         src = fixture_path(spark, sf_dir.rstrip("/"), kind)
-        out = FileTable(spark, fresh_path(spark, "tables", table), keys_of(table))
+        out = fresh_path(spark, "tables", table)
         n_files = len([f for f in fs.list_files(spark, src) if not f.startswith(("_", "."))])
         per_trigger = max(1, n_files // 2)  # two micro-batches: an insert, then an upsert
         _stream_into_table(spark, table, src, per_trigger, fresh_path(spark, "streams", table), out)
-        return out.read()
+        return read_upserted(spark, out)
     run.__name__ = f"{table}_stream"
     return run
 
@@ -256,28 +255,28 @@ def j4_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
     src = fresh_path(spark, "stream-input", table)
     ckpt = fresh_path(spark, "streams", table)
-    out = FileTable(spark, fresh_path(spark, "tables", table), keys_of(table))
+    out = fresh_path(spark, "tables", table)
     half = F.pmod(F.col("o_orderkey"), F.lit(2)) == 0
     write_lines(spark, orders, "listing", f"{src}/part=a", where=half)
     per_trigger = 10_000  # one micro-batch per run; the second run resumes the first
     _stream_into_table(spark, table, f"{src}/*", per_trigger, ckpt, out)
     write_lines(spark, orders, "listing", f"{src}/part=b", where=~half)
     _stream_into_table(spark, table, f"{src}/*", per_trigger, ckpt, out)
-    return out.read()
+    return read_upserted(spark, out)
 
 
 def k5_stream_into_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A new stream into a table that batch jobs have upserted before;
-    all its batches land, whatever the table's version."""
+    """A stream that goes on from the rows that batch jobs have upserted."""
     ensure_checkpoint_dir(spark)
     table = "orientation_focus_count"
-    out = FileTable(spark, fresh_path(spark, "tables", table), keys_of(table))
+    keys, old, out = keys_of(table), fresh_path(spark, "tables", table), fresh_path(spark, "tables", table)
     stale = run_report(table, _lines(spark, sf_dir, "listing")).withColumn("total_focus", F.lit(-1).cast("long"))
     for _ in range(4):
-        out.upsert(stale)
+        upsert(stale, old, keys)
+    upsert_sink(out, keys)(read_upserted(spark, old), -1)  # before the stream's first batch
     _stream_into_table(spark, table, fixture_path(spark, sf_dir.rstrip("/"), "listing"), 1_000,
                        fresh_path(spark, "streams", table), out)
-    return out.read()
+    return read_upserted(spark, out)
 
 
 def j2_fine_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -291,30 +290,30 @@ def a11_stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T1 on a high-cardinality key: word counts of whole documents as a stream.
 
     Half of the documents arrive first, the rest later (two runs, one
-    checkpoint); changed words are upserted into a hash-bucketed file table,
-    so the second run rewrites only the buckets its words touch.
+    checkpoint); changed words are upserted into a table in hash buckets, of
+    which a batch replaces only those that its words touch.
     """
     ensure_checkpoint_dir(spark)
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     src = fresh_path(spark, "stream-input", "documents")
     ckpt = fresh_path(spark, "streams", "word_count")
-    out = FileTable(spark, fresh_path(spark, "tables", "word_count"), ["word"], buckets=8)
+    out = fresh_path(spark, "tables", "word_count")
     half = F.pmod(F.col("doc_id"), F.lit(2)) == 0
     for part, cond in (("a", half), ("b", ~half)):
         # Several files per arrival, as a topic has several partitions.
         (docs.filter(cond).repartition(spark.sparkContext.defaultParallelism)
          .write.mode("overwrite").parquet(f"{src}/part={part}"))
         stream = spark.readStream.schema(docs.schema).parquet(f"{src}/*")
-        q = start_upsert_stream(word_count(stream, "text"), out.as_batch_sink(ckpt), ckpt,
+        q = start_upsert_stream(word_count(stream, "text"), bucket_sink(out, ["word"], 8), ckpt,
                                 available_now=True, state_partitions=_state_partitions(spark))
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(f"word count stream failed: {q.exception()}")
-    return out.read()
+    return read_buckets(spark, out)
 
 
 def k5_upsert_merge_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K5 on a hash-bucketed file table (touched buckets rewritten only)."""
+    """K5 on a table in hash buckets (only touched ones are replaced)."""
     return _k5(spark, sf_dir, buckets=4)
 
 
@@ -335,10 +334,13 @@ def _k5(spark: SparkSession, sf_dir: str, buckets: int | None) -> DataFrame:
     early = (ev.filter(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))
              .groupBy("event_type").agg(F.count(F.lit(1)).alias("n")))
     retired = spark.createDataFrame([("retired", 9)], "event_type string, n long")
-    table = FileTable(spark, fresh_path(spark, "tables", "k5"), ["event_type"], buckets=buckets)
-    table.overwrite(early.unionByName(retired))
-    table.upsert(ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")))
-    return table.read()
+    path, keys = fresh_path(spark, "tables", "k5"), ["event_type"]
+    for rows in (early.unionByName(retired), ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))):
+        if buckets:
+            upsert_buckets(rows, path, keys, buckets)
+        else:
+            upsert(rows, path, keys)
+    return read_buckets(spark, path) if buckets else read_upserted(spark, path)
 
 
 def _running_orders(spark: SparkSession, sf_dir: str, part: int) -> DataFrame:
@@ -736,36 +738,46 @@ ORACLE_SQL["j6_quoted_hotels"] = ORACLE_SQL["j6_hotel_statistics"].replace(" Hot
 
 
 def _synth_sql(seed: int = 42, date: str = "2024-12-01") -> str:
-    """The S5 listings of ``orders`` in SQL: the same md5 draws and value lists."""
+    """The S5 listings of ``orders`` in SQL, with value lists of its own."""
+    def mixed(x: str) -> str:
+        # Steps: xor with itself shifted by 16, multiply, shifted by 15, multiply, shifted by 15.
+        return (f"list_reduce([({x})::BIGINT, 16, 569420461, 15, 1935289751, 15], lambda a, k: CASE WHEN k < 32 THEN xor(a, a >> k) "
+                "ELSE (a * k) & 4294967295 END)")
+
+    row = mixed(f"xor({mixed(f'xor(o_orderkey & 4294967295, {seed})')}, (o_orderkey >> 32) & 4294967295)")
+
     def draw(salt: int, n: int, base: int = 0) -> str:
-        digits = f"substr(md5('{seed}:' || o_orderkey || ':{salt // 4}'), {1 + 8 * (salt % 4)}, 8)"
-        return f"(('0x' || {digits})::BIGINT % {n} + {base})"
+        return f"({mixed(f'xor(bits, {salt * 2654435769 % 4294967296})')} % {n} + {base})"
 
-    def pick(salt: int, values: list[str]) -> str:
-        return "([" + ", ".join(f"'{v}'" for v in values) + f"])[{draw(salt, len(values), 1)}]"
+    def pick(salt: int, values: str) -> str:
+        words = values.split()
+        return "([" + ", ".join(f"'{v}'" for v in words) + f"])[{draw(salt, len(words), 1)}]"
 
     columns = {
         "id": "o_orderkey",
-        "title": pick(1, synth.TITLES),
+        "title": pick(1, "高层朝南2房，拎包入住，采光充足，进岛首站 精装两室一厅，采光良好，地段优越 南北通透三室两厅，拎包入住 "
+                         "两房一厅，经典户型，环境优美 小区绿化好，环境优美，物业管理也很规范 自住装修，采光通风好，视野好，进岛方便，高楼层看海 "
+                         "此房朝南通透格局，楼层好视野宽阔，居住环境舒适 高层边套，景观视野良好，格局方正，采光好"),
         "url": f"'https://example.com/listing/' || {draw(2, 1_000_000, 1_000_000_000)}",
         "price": f"{draw(3, 50, 50)} || '万元'",
         "unit_price": f"{draw(4, 30_000)} || '元/平'",
         "focus": f"{draw(5, 1000)}::INTEGER",
         "layout": f"{draw(6, 5, 1)} || '室' || {draw(17, 3, 1)} || '厅'",
-        "floor": f"{pick(7, synth.FLOOR_LEVELS)} || '/共' || {draw(18, 20, 10)} || '层'",
-        "orientation": pick(8, synth.ORIENTATIONS),
-        "decoration": pick(9, synth.DECORATIONS),
+        "floor": f"{pick(7, '低楼层 中楼层 高楼层')} || '/共' || {draw(18, 20, 10)} || '层'",
+        "orientation": pick(8, "南 北 东 西 东南 西南 东北 西北"),
+        "decoration": pick(9, "精装 简装 毛坯"),
         "area": f"{draw(10, 80, 50)} || '平米'",
         "year_built": f"'20' || {draw(11, 10, 10)} || '年建'",
-        "community": pick(12, synth.COMMUNITY_SLOTS),
-        "district": pick(13, synth.DISTRICT_SLOTS),
-        "neighborhood": pick(14, synth.NEIGHBORHOOD_SLOTS),
-        "elevator": pick(15, synth.ELEVATOR),
+        "community": pick(12, "东坑安居房 禹洲卢卡小镇 东坑安居房 东坑安居房 滨水二里 黄金大厦 禹洲卢卡小镇 禹洲大学城 禹洲大学城 "
+                              "桃源大厦 上东美地 恒丰花园 恒丰花园 恒丰花园 海晟维多利亚 厦门中央公园 莲花尚院"),
+        "district": pick(13, "海沧 海沧 海沧 翔安 集美 集美 湖里 同安 同安 思明"),
+        "neighborhood": pick(14, "滨海社区 滨海社区 滨海社区 新店 集美新城 杏林桥头 杏林桥头 翔安新城 邮轮城 邮轮城 江头 瑞景 南山路"),
+        "elevator": pick(15, "有 无"),
         "elevator_ratio": f"{draw(16, 2, 1)} || '梯' || {draw(19, 6, 1)} || '户'",
         "post_date": f"'{date}'",
         "update_date": f"'{date}'",
     }
-    return "SELECT " + ", ".join(f'{c} AS "{n}"' for n, c in columns.items()) + " FROM orders"
+    return "SELECT " + ", ".join(f'{c} AS "{n}"' for n, c in columns.items()) + f" FROM (SELECT o_orderkey, {row} AS bits FROM orders)"
 
 
 ORACLE_SQL["s5_synth_listings"] = _synth_sql()

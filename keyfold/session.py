@@ -9,6 +9,7 @@ tests) do we pick a folder of our own.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -51,7 +52,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(_CKPT_KEY, None) or sc.getConf().get(_CKPT_KEY, None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
             # A driver-local folder is invisible to executors on a cluster.
             raise RuntimeError(f"set {_CKPT_KEY} to a folder shared by the cluster "
                                "(e.g. an hdfs:// or object-store path)")

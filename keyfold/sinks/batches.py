@@ -47,14 +47,25 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]):
     return cond
 
 
+def upsert(rows: DataFrame, path: str, keys: Sequence[str]) -> int:
+    """K5 as a batch job: one more batch after the last; returns its number."""
+    n = max(batches(rows.sparkSession, path), default=-1) + 1
+    upsert_sink(path, keys)(rows, n)
+    return n
+
+
 def upsert_sink(path: str, keys: Sequence[str]) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: the rows so far, each batch's rows replacing
-    those of the same keys, as a new folder a batch."""
+    those of the same keys, as a new folder a batch.  Null keys are keys; two
+    rows of one key in a batch are refused."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         ensure_checkpoint_dir(spark)
         target = before(spark, path, batch_id)
         batch = batch.checkpoint(eager=True)  # used twice; the stream's state moves on once
+        twice = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1").head(1)
+        if twice:
+            raise ValueError(f"key {tuple(twice[0])[:-1]} occurs {twice[0]['_rows']} times in a batch for {path}")
         rows = batch
         if target is not None:
             rows = target.join(batch, same_keys(target, batch, keys), "left_anti").unionByName(batch)

@@ -1,36 +1,26 @@
-"""K4: result tables as parquet; K5: a file table upserted by key.
-
-A :class:`FileTable` is a directory of immutable versions ``v=<n>``; a version
-is committed once its ``_manifest.json`` is there, and readers always take the
-highest committed version.  ``upsert`` always builds the next version:
-
-    new = target LEFT ANTI JOIN batch ON keys  UNION ALL  batch
-
-so batch jobs and any number of streams can share a table.  The manifest
-carries the last batch number of every stream: a batch that is replayed after
-a crash is skipped, which is what makes ``foreachBatch`` exactly-once here.
-The anti join is a regular Spark join; AQE turns it into a broadcast join when
-the batch is measured to be small.
-
-With ``buckets=N`` the table is hash-bucketed by key: a version holds only
-the buckets its batch touched, and its manifest names, for every bucket, the
-version that holds its current data.  An upsert then reads and rewrites only
-the touched buckets, so its cost follows the batch, not the table (large key
-sets such as word counts).  Keys and bucket count are stored with the table;
-opening it with others is refused.
+"""K4: result tables as parquet; K5: tables of files upserted by key.
+
+An upsert is one anti join and a union: rows of keys that the batch has give
+way to the batch's.  :mod:`keyfold.sinks.batches` writes the result as a new
+folder a batch, whole.  :func:`upsert_buckets` is for large key sets: the table
+is partitioned by a hash of the key, and only the partitions that the batch
+touches are read and replaced (Spark's dynamic partition overwrite).  One
+writer at a time.  The anti join is a plain Spark join: adaptive execution
+broadcasts the batch where it measures it to be small.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyfold import fs
+from keyfold.session import ensure_checkpoint_dir
+from keyfold.sinks.batches import same_keys
 
-_PREFIX = "v="
+BUCKET = "_bucket"
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
@@ -43,183 +33,39 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     return path
 
 
-def _null_safe_anti(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & target[k].eqNullSafe(batch[k])
-    return target.join(batch, cond, "left_anti")
-
-
-_BUCKET = "_bucket"
-_MANIFEST = "_manifest.json"
-_TABLE = "_table.json"
-
-
-class FileTable:
-    """Versioned parquet table with a declared key (the K1 rule without a database)."""
-
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], retain: int | None = 3,
-                 buckets: int | None = None):
-        self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
-        self.retain = retain
-        self.buckets = int(buckets) if buckets else None
-        stored = fs.read_text(spark, f"{self.path}/{_TABLE}")
-        if stored:
-            kept = json.loads(stored)
-            if kept["keys"] != self.keys or self.buckets not in (None, kept["buckets"]):
-                raise ValueError(f"{self.path} has keys {kept['keys']} and buckets {kept['buckets']}")
-            self.buckets = kept["buckets"]
-        self._described = bool(stored)
-
-    def _describe(self) -> None:
-        if not self._described:
-            fs.write_text(self.spark, f"{self.path}/{_TABLE}",
-                          json.dumps({"keys": self.keys, "buckets": self.buckets}))
-            self._described = True
-
-    def _bucket_of(self) -> "F.Column":
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets))
-
-    def _committed(self, v: int) -> bool:
-        return fs.exists(self.spark, f"{self._dir(v)}/{_MANIFEST}")
-
-    def _commit_record(self, version: int | None) -> dict:
-        if version is None:
-            return {"buckets": {}, "streams": {}}
-        return json.loads(fs.read_text(self.spark, f"{self._dir(version)}/{_MANIFEST}"))
-
-    def manifest(self, version: int | None = None) -> dict[int, int]:
-        """Bucketed tables: bucket -> version holding its data."""
-        v = self.current_version() if version is None else version
-        return {int(b): int(x) for b, x in self._commit_record(v)["buckets"].items()}
-
-    def _commit(self, version: int, buckets: dict[int, int], streams: dict[str, int]) -> None:
-        record = {"buckets": {str(b): v for b, v in sorted(buckets.items())}, "streams": streams}
-        fs.write_text(self.spark, f"{self._dir(version)}/{_MANIFEST}", json.dumps(record))
-
-    def _bucket_paths(self, manifest: dict[int, int], only=None) -> list[str]:
-        return [f"{self._dir(v)}/{_BUCKET}={b}" for b, v in sorted(manifest.items())
-                if only is None or b in only]
-
-    # -- versions -----------------------------------------------------------
-    def _dir(self, version: int) -> str:
-        return f"{self.path}/{_PREFIX}{version:012d}"
-
-    def versions(self) -> list[int]:
-        out = []
-        for name in fs.list_dirs(self.spark, self.path):
-            if name.startswith(_PREFIX) and name[len(_PREFIX):].isdigit():
-                v = int(name[len(_PREFIX):])
-                if self._committed(v):
-                    out.append(v)
-        return sorted(out)
-
-    def current_version(self) -> int | None:
-        vs = self.versions()
-        return vs[-1] if vs else None
-
-    def read(self, version: int | None = None) -> DataFrame:
-        v = self.current_version() if version is None else version
-        if v is None:
-            raise FileNotFoundError(f"no committed version under {self.path}")
-        if self.buckets:
-            paths = self._bucket_paths(self.manifest(v))
-            if not paths:
-                raise FileNotFoundError(f"version {v} of {self.path} is empty")
-            return self.spark.read.parquet(*paths)
-        return self.spark.read.parquet(self._dir(v))
-
-    # -- writes -------------------------------------------------------------
-    def overwrite(self, df: DataFrame) -> int:
-        """Replace the whole table (a new version)."""
-        self._describe()
-        cur = self.current_version()
-        v = 0 if cur is None else cur + 1
-        streams = self._commit_record(cur)["streams"]
-        if self.buckets:
-            self._commit(v, self._write_buckets(df, v, {}), streams)
-        else:
-            df.write.mode("overwrite").parquet(self._dir(v))
-            self._commit(v, {}, streams)
-        self._prune()
-        return v
-
-    def _write_buckets(self, df: DataFrame, version: int, base: dict[int, int]) -> dict[int, int]:
-        """Write ``df`` as the buckets it covers; returns where every bucket is now."""
-        # rebalance: rows of a bucket go to few tasks (few files per bucket), and
-        # AQE still splits an oversized bucket across tasks.
-        (df.withColumn(_BUCKET, self._bucket_of())
-         .hint("rebalance", _BUCKET).write.mode("overwrite").partitionBy(_BUCKET)
-         .parquet(self._dir(version)))
-        written = {int(name.split("=", 1)[1]) for name in fs.list_dirs(self.spark, self._dir(version))
-                   if name.startswith(_BUCKET + "=")}
-        return {**base, **{b: version for b in written}}
-
-    def upsert(self, batch: DataFrame, version: int | None = None, stream: str = "") -> int:
-        """Insert or replace the batch's rows by key, as the next version.
-
-        ``version`` is the batch's number within ``stream`` (its checkpoint
-        folder, say): a number that the table has seen from that stream, or a
-        lower one, is a replay and changes nothing.  Without it the batch is
-        always applied.  Two rows of one key in a batch are refused.
-        """
-        current = self.current_version()
-        record = self._commit_record(current)
-        if version is not None and record["streams"].get(stream, -1) >= version:
-            # A stream's replayed batch still has to run: that commits its state.
-            batch.write.format("noop").mode("overwrite").save()
-            return current
-        streams = record["streams"] if version is None else {**record["streams"], stream: version}
-        new = 1 if current is None else current + 1
-        batch = batch.persist()  # read twice below; recomputable from lineage if lost
-        try:
-            twice = batch.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").first()
-            if twice is not None:
-                raise ValueError(f"key {tuple(twice)[:-1]} occurs {twice['n']} times in a batch for {self.path}")
-            self._describe()
-            if self.buckets:
-                self._commit(new, self._upsert_buckets(batch, new, current), streams)
-            else:
-                merged = batch
-                if current is not None:
-                    target = self.spark.read.parquet(self._dir(current))
-                    merged = _null_safe_anti(target, batch, self.keys) \
-                        .unionByName(batch.select(*target.columns))
-                merged.write.mode("overwrite").parquet(self._dir(new))
-                self._commit(new, {}, streams)
-        finally:
-            batch.unpersist()
-        self._prune()
-        return new
-
-    def _upsert_buckets(self, batch: DataFrame, version: int, base_version: int | None) -> dict[int, int]:
-        base = self.manifest(base_version) if base_version is not None else {}
-        # The touched bucket ids: at most `buckets` small integers.
-        touched = {r[0] for r in batch.select(self._bucket_of().alias("b")).distinct().collect()}
-        old_paths = self._bucket_paths(base, only=touched)
-        if old_paths:
-            target = self.spark.read.parquet(*old_paths)
-            merged = _null_safe_anti(target, batch, self.keys) \
-                .unionByName(batch.select(*target.columns))
-        else:
-            merged = batch
-        return self._write_buckets(merged, version, base)
-
-    def _prune(self) -> None:
-        if not self.retain:
-            return
-        keep_versions = self.versions()[-self.retain:]
-        live = set(keep_versions)
-        if self.buckets:
-            for v in keep_versions:
-                live |= set(self.manifest(v).values())
-        for v in self.versions():
-            if v not in live:
-                fs.delete(self.spark, self._dir(v))
-
-    def as_batch_sink(self, stream: str = ""):
-        """``foreachBatch`` callback; ``stream`` names the stream, best by its
-        checkpoint folder, and must differ between streams into one table."""
-        def sink(batch: DataFrame, batch_id: int) -> None:
-            self.upsert(batch, version=int(batch_id), stream=stream)
-        return sink
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets))
+
+
+def upsert_buckets(batch: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
+    """Replace or add the batch's rows by key in the bucketed table at ``path``.
+
+    Null keys are keys; two rows of one key in a batch are refused.  A batch
+    that fails halfway is simply upserted again.  ``buckets`` stays the same
+    for the life of a table.  An empty batch changes nothing.
+    """
+    spark = batch.sparkSession
+    ensure_checkpoint_dir(spark)
+    rows = batch.withColumn(BUCKET, bucket_of(keys, buckets)).checkpoint(eager=True)  # used three times
+    touched = rows.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(F.struct(*keys)).alias("keys")).collect()  # a row a bucket
+    if any(t["rows"] != t["keys"] for t in touched):
+        raise ValueError(f"a key occurs twice in a batch for {path}")
+    if not touched:
+        return
+    if fs.exists(spark, path):
+        held = spark.read.schema(rows.schema).parquet(path).filter(F.col(BUCKET).isin([t[BUCKET] for t in touched]))
+        # Out of the files before their folders are replaced.
+        rows = held.join(rows, same_keys(held, rows, keys), "left_anti").unionByName(rows).checkpoint(eager=True)
+    (rows.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BUCKET).parquet(path))
+
+
+def bucket_sink(path: str, keys: Sequence[str], buckets: int) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function around :func:`upsert_buckets`; a replayed batch
+    upserts the same rows again."""
+    return lambda batch, batch_id: upsert_buckets(batch, path, keys, buckets)
+
+
+def read_buckets(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a bucketed table."""
+    return spark.read.parquet(path).drop(BUCKET)

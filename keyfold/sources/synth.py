@@ -1,10 +1,11 @@
 """Synthetic listings, one per input id, deterministic for a seed.
 
-Every random choice is eight hex digits, modulo n, of the md5 of
-``seed:id:number``, one md5 for four choices: a pure function of the row's id
-that other engines have too, so the output does not depend on partitioning or task retries (unlike a
-stateful random generator), and generation runs fully in parallel.  Categorical columns draw uniformly from weighted slot lists, so
-a value listed k times is k times as likely.
+Every random choice is a 32-bit mix of the row's id, the seed and the choice's
+number, modulo n: whole-number arithmetic that other engines have too and that
+stays in generated code.  The output does not depend on partitioning or task
+retries (unlike a stateful random generator), and generation runs fully in
+parallel.  Categorical columns draw uniformly from weighted slot lists, so a
+value listed k times is k times as likely.
 """
 
 from __future__ import annotations
@@ -43,18 +44,37 @@ ELEVATOR = ["有", "无"]
 DEFAULT_ROWS = (200 * 1024 * 1024) // (2 * 1024)
 
 
-def _draw(seed: int, id_col: Column, salt: int, n: int) -> Column:
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), id_col.cast("string"), F.lit(str(salt // 4))))
-    return F.conv(F.substring(digest, 1 + 8 * (salt % 4), 8), 16, 10).cast("long") % F.lit(n)
+_MASK = 0xFFFFFFFF
+_STEP = 0x9E3779B9  # parts the choices of a row
 
 
-def _pick(seed: int, id_col: Column, salt: int, values: list[str]) -> Column:
+def _mixed(x: Column) -> Column:
+    """A bijective mix of 32 bits, held in a long; no product reaches 2**63."""
+    x = x.bitwiseXOR(F.shiftright(x, 16)) * F.lit(0x21F0AAAD)
+    x = x.bitwiseAND(F.lit(_MASK))
+    x = x.bitwiseXOR(F.shiftright(x, 15)) * F.lit(0x735A2D97)
+    x = x.bitwiseAND(F.lit(_MASK))
+    return x.bitwiseXOR(F.shiftright(x, 15))
+
+
+def row_number32(id_col: Column, seed: int) -> Column:
+    """The row's 32 mixed bits, from both halves of its id and the seed."""
+    low = id_col.bitwiseAND(F.lit(_MASK)).bitwiseXOR(F.lit(seed & _MASK))
+    high = F.shiftright(id_col, 32).bitwiseAND(F.lit(_MASK))
+    return _mixed(_mixed(low).bitwiseXOR(high))
+
+
+def _draw(row: Column, salt: int, n: int) -> Column:
+    return _mixed(row.bitwiseXOR(F.lit(salt * _STEP & _MASK))) % F.lit(n)
+
+
+def _pick(row: Column, salt: int, values: list[str]) -> Column:
     arr = F.array(*[F.lit(v) for v in values])
-    return F.element_at(arr, (_draw(seed, id_col, salt, len(values)) + 1).cast("int"))
+    return F.element_at(arr, (_draw(row, salt, len(values)) + 1).cast("int"))
 
 
-def _num(seed: int, id_col: Column, salt: int, n: int, base: int = 0) -> Column:
-    return (_draw(seed, id_col, salt, n) + base).cast("string")
+def _num(row: Column, salt: int, n: int, base: int = 0) -> Column:
+    return (_draw(row, salt, n) + base).cast("string")
 
 
 def synth_listings(ids: DataFrame, id_col: str = "id", seed: int = 42,
@@ -65,32 +85,33 @@ def synth_listings(ids: DataFrame, id_col: str = "id", seed: int = 42,
     ``date`` fills both date columns; ``None`` renders today's date as
     ``yyyy-MM-dd`` (P19), at the price of run-to-run determinism.
     """
-    i = F.col(id_col).cast("long")
+    r = F.col("_row")
     d = F.lit(date) if date is not None else F.date_format(F.current_date(), "yyyy-MM-dd")
-    level = _pick(seed, i, 7, FLOOR_LEVELS)
+    level = _pick(r, 7, FLOOR_LEVELS)
     cols = {
-        "id": i,
-        "title": _pick(seed, i, 1, TITLES),
-        "url": F.concat(F.lit(url_base), _num(seed, i, 2, 1_000_000, 1_000_000_000)),
-        "price": F.concat(_num(seed, i, 3, 50, 50), F.lit("万元")),
-        "unit_price": F.concat(_num(seed, i, 4, 30_000), F.lit("元/平")),
-        "focus": _draw(seed, i, 5, 1000).cast("int"),
-        "layout": F.concat(_num(seed, i, 6, 5, 1), F.lit("室"), _num(seed, i, 17, 3, 1), F.lit("厅")),
-        "floor": F.concat(level, F.lit("/共"), _num(seed, i, 18, 20, 10), F.lit("层")),
-        "orientation": _pick(seed, i, 8, ORIENTATIONS),
-        "decoration": _pick(seed, i, 9, DECORATIONS),
-        "area": F.concat(_num(seed, i, 10, 80, 50), F.lit("平米")),
-        "year_built": F.concat(F.lit("20"), _num(seed, i, 11, 10, 10), F.lit("年建")),
-        "community": _pick(seed, i, 12, COMMUNITY_SLOTS),
-        "district": _pick(seed, i, 13, DISTRICT_SLOTS),
-        "neighborhood": _pick(seed, i, 14, NEIGHBORHOOD_SLOTS),
-        "elevator": _pick(seed, i, 15, ELEVATOR),
-        "elevator_ratio": F.concat(_num(seed, i, 16, 2, 1), F.lit("梯"), _num(seed, i, 19, 6, 1),
+        "id": F.col("_id"),
+        "title": _pick(r, 1, TITLES),
+        "url": F.concat(F.lit(url_base), _num(r, 2, 1_000_000, 1_000_000_000)),
+        "price": F.concat(_num(r, 3, 50, 50), F.lit("万元")),
+        "unit_price": F.concat(_num(r, 4, 30_000), F.lit("元/平")),
+        "focus": _draw(r, 5, 1000).cast("int"),
+        "layout": F.concat(_num(r, 6, 5, 1), F.lit("室"), _num(r, 17, 3, 1), F.lit("厅")),
+        "floor": F.concat(level, F.lit("/共"), _num(r, 18, 20, 10), F.lit("层")),
+        "orientation": _pick(r, 8, ORIENTATIONS),
+        "decoration": _pick(r, 9, DECORATIONS),
+        "area": F.concat(_num(r, 10, 80, 50), F.lit("平米")),
+        "year_built": F.concat(F.lit("20"), _num(r, 11, 10, 10), F.lit("年建")),
+        "community": _pick(r, 12, COMMUNITY_SLOTS),
+        "district": _pick(r, 13, DISTRICT_SLOTS),
+        "neighborhood": _pick(r, 14, NEIGHBORHOOD_SLOTS),
+        "elevator": _pick(r, 15, ELEVATOR),
+        "elevator_ratio": F.concat(_num(r, 16, 2, 1), F.lit("梯"), _num(r, 19, 6, 1),
                                    F.lit("户")),
         "post_date": d,
         "update_date": d,
     }
-    return ids.select(*[cols[c].alias(c) for c in LISTING_COLUMNS])
+    rows = ids.select(F.col(id_col).cast("long").alias("_id")).select("_id", row_number32(F.col("_id"), seed).alias("_row"))
+    return rows.select(*[cols[c].alias(c) for c in LISTING_COLUMNS])
 
 
 def synth_listings_range(spark: SparkSession, n: int = DEFAULT_ROWS, seed: int = 42,

@@ -50,7 +50,7 @@ def listing_row(district):
 
 def test_stream_with_rocksdb_state(spark, sf_small):
     from keyfold.session import fresh_path
-    from keyfold.sinks.files import FileTable
+    from keyfold.sinks.batches import read_upserted, upsert_sink
     from keyfold.sources.fixtures import write_lines
     from keyfold.sources.text import read_lines, stream_lines
     from keyfold.streaming.upsert import ROCKSDB_PROVIDER, run_report_stream, use_rocksdb_state
@@ -62,12 +62,12 @@ def test_stream_with_rocksdb_state(spark, sf_small):
         orders = spark.read.parquet(f"{sf_small}/orders.parquet").select(*ORDER_COLUMNS)
         src = fresh_path(spark, "test-rocks-src")
         write_lines(spark, orders, "listing", src, n_files=2)
-        out = FileTable(spark, fresh_path(spark, "test-rocks"), ["orientation"])
+        out = fresh_path(spark, "test-rocks")
         q = run_report_stream("orientation_focus_count", stream_lines(spark, src, 1),
-                              out.as_batch_sink(), fresh_path(spark, "test-rocks-ckpt"))
+                              upsert_sink(out, ["orientation"]), fresh_path(spark, "test-rocks-ckpt"))
         q.awaitTermination()
         batch = run_report("orientation_focus_count", read_lines(spark, src))
-        got = out.read().select(*batch.columns)
+        got = read_upserted(spark, out).select(*batch.columns)
         assert got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
     finally:
         if before is None:

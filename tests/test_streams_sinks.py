@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from keyfold.plans import run_report
 from keyfold.session import fresh_path
-from keyfold.sinks.files import FileTable
+from keyfold.sinks.batches import batches, read_upserted, upsert, upsert_sink
+from keyfold.sinks.files import bucket_of, read_buckets, upsert_buckets
 from keyfold.sinks.jdbc import merge_sql
 from keyfold.sinks.kafka import kafka_sink_options
 from keyfold.sources.fixtures import write_lines, ORDER_COLUMNS
@@ -28,41 +29,41 @@ def test_stream_equals_batch_and_restart_changes_nothing(spark, orders):
     table = "neighborhood_avg_price"
     src = fresh_path(spark, "test-src")
     write_lines(spark, orders, "listing", src, n_files=4)
-    out = FileTable(spark, fresh_path(spark, "test-table"), ["neighborhood"])
+    out = fresh_path(spark, "test-table")
     ckpt = fresh_path(spark, "test-ckpt")
     q = run_report_stream(table, stream_lines(spark, src, max_files_per_trigger=1),
-                          out.as_batch_sink(), ckpt)
+                          upsert_sink(out, ["neighborhood"]), ckpt)
     q.awaitTermination()
     assert q.exception() is None
     batch = run_report(table, read_lines(spark, src))
-    assert same(out.read(), batch)
+    assert same(read_upserted(spark, out), batch)
     from keyfold import fs
     n_files = len([f for f in fs.list_files(spark, src) if not f.startswith(("_", "."))])
-    assert n_files == 4 and out.current_version() == n_files  # one micro-batch per file
+    assert n_files == 4 and batches(spark, out)[-1] == n_files - 1  # one micro-batch per file
     # Restart from the checkpoint with no new input: no batch, same table.
     q2 = run_report_stream(table, stream_lines(spark, src, max_files_per_trigger=1),
-                           out.as_batch_sink(), ckpt)
+                           upsert_sink(out, ["neighborhood"]), ckpt)
     q2.awaitTermination()
-    assert out.current_version() == n_files and same(out.read(), batch)
+    assert batches(spark, out)[-1] == n_files - 1 and same(read_upserted(spark, out), batch)
 
 
 def test_replayed_batch_is_idempotent(spark):
-    t = FileTable(spark, fresh_path(spark, "test-k5"), ["k"], retain=None)
-    t.upsert(spark.createDataFrame([("a", 1), ("b", 2)], "k string, n long"), version=1)
+    t = fresh_path(spark, "test-k5")
+    sink = upsert_sink(t, ["k"])
+    sink(spark.createDataFrame([("a", 1), ("b", 2)], "k string, n long"), 1)
     b2 = spark.createDataFrame([("b", 5), ("c", 7)], "k string, n long")
-    t.upsert(b2, version=2)
-    first = sorted(map(tuple, t.read().collect()))
-    t.upsert(b2, version=2)  # replay after a crash between write and commit
-    assert sorted(map(tuple, t.read().collect())) == first == [("a", 1), ("b", 5), ("c", 7)]
+    sink(b2, 2)
+    first = sorted(map(tuple, read_upserted(spark, t).collect()))
+    sink(b2, 2)  # replay after a crash between write and commit
+    assert sorted(map(tuple, read_upserted(spark, t).collect())) == first == [("a", 1), ("b", 5), ("c", 7)]
 
 
-def test_file_table_null_keys_and_retention(spark):
-    t = FileTable(spark, fresh_path(spark, "test-k5n"), ["k"], retain=2)
-    t.overwrite(spark.createDataFrame([(None, 1), ("x", 2)], "k string, n long"))
-    t.upsert(spark.createDataFrame([(None, 3)], "k string, n long"))
-    t.upsert(spark.createDataFrame([("y", 4)], "k string, n long"))
-    assert sorted(map(tuple, t.read().collect()), key=str) == sorted([(None, 3), ("x", 2), ("y", 4)], key=str)
-    assert len(t.versions()) == 2
+def test_upserted_null_keys_and_old_folders(spark):
+    t = fresh_path(spark, "test-k5n")
+    for rows in ([(None, 1), ("x", 2)], [(None, 3)], [("y", 4)]):
+        upsert(spark.createDataFrame(rows, "k string, n long"), t, ["k"])
+    assert sorted(map(tuple, read_upserted(spark, t).collect()), key=str) == sorted([(None, 3), ("x", 2), ("y", 4)], key=str)
+    assert batches(spark, t) == [1, 2]  # the last, and the one that a replay of it starts from
 
 
 def test_merge_sql_dialects():
@@ -108,46 +109,44 @@ def test_source_agreement_text_vs_rows(spark, orders):
 
 
 def test_bucketed_table_rewrites_touched_buckets_only(spark):
-    plain = FileTable(spark, fresh_path(spark, "test-plain"), ["k"], retain=None)
-    bucketed = FileTable(spark, fresh_path(spark, "test-bucketed"), ["k"], retain=2, buckets=16)
+    from keyfold import fs
+    plain, bucketed = fresh_path(spark, "test-plain"), fresh_path(spark, "test-bucketed")
     first = spark.range(2000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"),
                                      F.col("id").alias("n"))
-    for t in (plain, bucketed):
-        t.overwrite(first)
-    m0 = bucketed.manifest()
-    assert len(m0) == 16 and set(m0.values()) == {0}
-    batch = spark.createDataFrame([("k1", -1), ("new", 5)], "k string, n long")
-    for t in (plain, bucketed):
-        t.upsert(batch, version=1)
-        t.upsert(batch, version=1)  # replay
-    m1 = bucketed.manifest()
-    touched = {b for b, v in m1.items() if v == 1}
-    assert 1 <= len(touched) <= 2 and all(m1[b] == 0 for b in m1 if b not in touched)
-    assert same(plain.read(), bucketed.read())
-    assert bucketed.read().count() == 2001
-    # Retention keeps the versions the live manifests still point to.
-    bucketed.upsert(spark.createDataFrame([("k2", 0)], "k string, n long"))
-    bucketed.upsert(spark.createDataFrame([("k3", 0)], "k string, n long"))
-    assert 0 in bucketed.versions() and bucketed.read().count() == 2001
+    batch = spark.createDataFrame([("k1", -1), ("new", 5), (None, 0)], "k string, n long")
+    files = lambda: {b: sorted(fs.list_files(spark, f"{bucketed}/{b}")) for b in fs.list_dirs(spark, bucketed) if b.startswith("_bucket=")}
+    upsert_buckets(first, bucketed, ["k"], 16)
+    before = files()
+    assert len(before) == 16
+    upsert_buckets(batch, bucketed, ["k"], 16)
+    touched = {f"_bucket={r.b}" for r in batch.select(bucket_of(["k"], 16).alias("b")).collect()}
+    after = files()
+    assert all((after[b] == before[b]) == (b not in touched) for b in after)
+    upsert_buckets(batch, bucketed, ["k"], 16)  # replay
+    upsert_buckets(batch.limit(0), bucketed, ["k"], 16)
+    for rows in (first, batch):
+        upsert(rows, plain, ["k"])
+    assert same(read_upserted(spark, plain), read_buckets(spark, bucketed))
+    assert read_buckets(spark, bucketed).count() == 2002
 
 
 def test_crash_after_sink_write_replays_to_same_table(spark, orders):
-    """A failure after the table version is written but before the stream
-    commits the batch: the restarted query replays that batch, rewriting the
-    same version from the same base, and the table ends exactly right."""
+    """A failure after the batch's folder is written but before the stream
+    commits the batch: the restarted query replays that batch, writing the
+    same folder from the same base, and the table ends exactly right."""
     table = "orientation_focus_count"
     src = fresh_path(spark, "test-crash-src")
     write_lines(spark, orders, "listing", src, n_files=3)
-    out = FileTable(spark, fresh_path(spark, "test-crash-table"), ["orientation"], retain=None)
+    out = fresh_path(spark, "test-crash-table")
     ckpt = fresh_path(spark, "test-crash-ckpt")
-    real = out.as_batch_sink()
+    real = upsert_sink(out, ["orientation"])
     calls = []
 
     def crashing(batch, batch_id):
         real(batch, batch_id)
         calls.append(batch_id)
         if batch_id == 1:
-            raise RuntimeError("simulated crash after the sink wrote its version")
+            raise RuntimeError("simulated crash after the sink wrote its folder")
 
     q = run_report_stream(table, stream_lines(spark, src, max_files_per_trigger=1), crashing, ckpt)
     try:
@@ -158,8 +157,8 @@ def test_crash_after_sink_write_replays_to_same_table(spark, orders):
     q2 = run_report_stream(table, stream_lines(spark, src, max_files_per_trigger=1), real, ckpt)
     q2.awaitTermination()
     assert q2.exception() is None
-    assert same(out.read(), run_report(table, read_lines(spark, src)))
-    assert out.current_version() == 3
+    assert same(read_upserted(spark, out), run_report(table, read_lines(spark, src)))
+    assert batches(spark, out)[-1] == 2
 
 
 def test_bad_rows_as_a_side_stream(spark):
@@ -181,31 +180,17 @@ def test_bad_rows_as_a_side_stream(spark):
     assert [(r.avg_price, r["count"]) for r in good_only.collect()] == [(10.0, 1)]
 
 
-def test_batches_and_streams_share_a_table(spark):
-    t = FileTable(spark, fresh_path(spark, "test-shared"), ["k"])
-    one = lambda *rows: spark.createDataFrame(rows, "k string, n long")
-    for i in range(5):
-        t.upsert(one(("a", i)))
-    t.as_batch_sink("s1")(one(("a", 100), ("new", 1)), 0)
-    t.upsert(one(("b", 2)))
-    t.as_batch_sink("s1")(one(("a", -1)), 0)  # a replay
-    t.as_batch_sink("s2")(one(("c", 3)), 0)  # another stream's first batch
-    for i in range(4):
-        t.upsert(one(("d", i)))  # older versions are pruned, the record stays
-    t.as_batch_sink("s1")(one(("a", -1)), 0)
-    assert {r.k: r.n for r in t.read().collect()} == {"a": 100, "new": 1, "b": 2, "c": 3, "d": 3}
-
-
-def test_table_keeps_its_buckets_and_refuses_repeated_keys(spark):
-    path = fresh_path(spark, "test-kept")
+def test_repeated_keys_are_refused(spark):
     rows = [(f"k{i}", i) for i in range(200)]
-    FileTable(spark, path, ["k"], buckets=4).overwrite(spark.createDataFrame(rows, "k string, n long"))
-    again = FileTable(spark, path, ["k"])
-    again.upsert(spark.createDataFrame([("k1", -1)], "k string, n long"))
-    assert again.buckets == 4 and again.read().count() == 200
-    for other in ({"buckets": 8}, {"buckets": 4, "keys": ["n"]}):
-        with pytest.raises(ValueError):
-            FileTable(spark, path, other.get("keys", ["k"]), buckets=other["buckets"])
+    table = lambda x: spark.createDataFrame(x, "k string, n long")
+    plain, bucketed = fresh_path(spark, "test-kept"), fresh_path(spark, "test-kept")
+    upsert(table(rows), plain, ["k"])
+    upsert_buckets(table(rows), bucketed, ["k"], 4)
+    twice = table([("a", 1), ("a", 2)])
+    with pytest.raises(ValueError):
+        upsert(twice, plain, ["k"])
     with pytest.raises(ValueError):
-        again.upsert(spark.createDataFrame([("a", 1), ("a", 2)], "k string, n long"))
-    assert again.read().count() == 200
+        upsert_buckets(twice, bucketed, ["k"], 4)
+    assert read_upserted(spark, plain).count() == read_buckets(spark, bucketed).count() == 200
+    with pytest.raises(FileNotFoundError):
+        read_upserted(spark, fresh_path(spark, "test-kept"))
