@@ -6,6 +6,9 @@
         --source kafka --bootstrap broker:9092 --topic listings \
         --max-offsets-per-trigger 1000000 --rocksdb --checkpoint hdfs:///streams/focus \
         --sink jdbc --url jdbc:mysql://db/rollups --table orientation_focus_count
+    python -m keyfold.jobs running --report neighborhood_avg_price --path hdfs:///in/listings \
+        --target hdfs:///out/running --checkpoint hdfs:///streams/running
+    python -m keyfold.jobs bookings --path hdfs:///in/bookings --target hdfs:///out/bookings
     python -m keyfold.jobs generate --rows 102400 --path hdfs:///in/listings
     python -m keyfold.jobs lines-to-kafka --path hdfs:///in/listings --bootstrap b:9092 --topic t
 
@@ -21,8 +24,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keyfold.operators.parse import apply_on_bad, parse_listing_rows
-from keyfold.plans.reports import REPORTS, run_report
+from keyfold.operators.parse import apply_on_bad, parse_bookings, parse_listing_rows
+from keyfold.plans.checked import checked_report
+from keyfold.plans.reports import REPORTS, booking_reports, run_report
+from keyfold.plans.running import running_report_sink
 from keyfold.schema import LISTING_COLUMNS, keys_of
 from keyfold.session import ensure_checkpoint_dir
 from keyfold.sinks.batches import upsert, upsert_sink
@@ -30,10 +35,11 @@ from keyfold.sinks.files import bucket_sink, upsert_buckets, write_parquet
 from keyfold.sinks.jdbc import append_jdbc, jdbc_batch_sink, upsert_jdbc
 from keyfold.sinks.kafka import write_kafka_lines
 from keyfold.sources.fixtures import header_for, write_with_headers
-from keyfold.sources.jdbc import read_jdbc
+from keyfold.sources.jdbc import read_jdbc, read_jdbc_split, split_predicates
 from keyfold.sources.kafka import read_kafka_lines
 from keyfold.sources.synth import synth_listings_range, to_listing_lines
-from keyfold.sources.text import read_lines, stream_lines
+from keyfold.sources.text import read_lines, stream_lines, with_place
+from keyfold.streaming.running import start_running_stream
 from keyfold.streaming.upsert import start_upsert_stream, use_rocksdb_state
 
 
@@ -63,6 +69,15 @@ def _jdbc_read(args) -> dict:
             "upper_bound": args.upper_bound, "num_partitions": args.num_partitions, **props}
 
 
+def _split_rows(spark: SparkSession, args) -> DataFrame:
+    """The listing table in parts planned from the values of ``--split-column``."""
+    cols = [c for c in dict.fromkeys([args.split_column, args.split_then]) if c]
+    props = _jdbc_props(args)
+    values = read_jdbc(spark, args.url, query=f"SELECT {', '.join(cols)} FROM {args.source_table}", **props)
+    plan = split_predicates(values.persist(), args.split_column, args.num_partitions, then=args.split_then)
+    return read_jdbc_split(spark, args.url, args.source_table, plan, props)
+
+
 def _source(spark: SparkSession, args, stream: bool) -> DataFrame:
     """Raw lines (``value``) or, for a JDBC listing table, typed listing rows."""
     if args.source == "text":
@@ -76,7 +91,8 @@ def _source(spark: SparkSession, args, stream: bool) -> DataFrame:
     if args.source == "jdbc":
         if stream:
             raise SystemExit("a JDBC table is a bounded source: drop --stream")
-        return parse_listing_rows(read_jdbc(spark, args.url, **_jdbc_read(args)), on_bad=args.on_bad)
+        rows = _split_rows(spark, args) if args.split_column else read_jdbc(spark, args.url, **_jdbc_read(args))
+        return parse_listing_rows(rows, on_bad=args.on_bad)
     raise SystemExit(f"unknown source {args.source}")
 
 
@@ -87,9 +103,13 @@ def _result(args, src: DataFrame) -> DataFrame:
             raise SystemExit("the JDBC source holds listings")
         cols = list(report.needed) or ["title"]
         return report.build(apply_on_bad(src.select(*cols), report.needed, args.on_bad))
-    opts = {"dialect": args.dialect} if report.kind == "booking" else {
-        "strip_thousands": args.strip_thousands}
-    return run_report(args.report, src, args.on_bad, **opts)
+    return run_report(args.report, src, args.on_bad, **_parse_opts(args))
+
+
+def _parse_opts(args) -> dict:
+    if REPORTS[args.report].kind == "booking":
+        return {"dialect": args.dialect}
+    return {"strip_thousands": args.strip_thousands}
 
 
 def _batch_sink(args):
@@ -117,9 +137,18 @@ def run_report_job(spark: SparkSession, args) -> object:
         raise SystemExit("a stream without --target needs --checkpoint")
     if args.partition_column and None in (args.lower_bound, args.upper_bound, args.num_partitions):
         raise SystemExit("--partition-column needs --lower-bound, --upper-bound and --num-partitions")
+    if args.split_column and (args.source != "jdbc" or args.num_partitions is None):
+        raise SystemExit("--split-column needs --source jdbc and --num-partitions")
+    if args.rejects and (args.stream or args.source == "jdbc" or args.on_bad != "quarantine"):
+        raise SystemExit("--rejects needs lines, a batch and --on-bad quarantine")
     ensure_checkpoint_dir(spark)
     if args.stream and args.rocksdb:
         use_rocksdb_state(spark)
+    if args.rejects:
+        found = checked_report(args.report, _source(spark, args, False), **_parse_opts(args))
+        write_parquet(found.rejects, args.rejects)
+        print(f"{found.lines} lines, {found.rejected} rejected: {found.reasons}")
+        return _store(args, found.result)
     result = _result(args, _source(spark, args, args.stream))
     if args.stream:
         if args.sink == "parquet":
@@ -132,6 +161,10 @@ def run_report_job(spark: SparkSession, args) -> object:
         if args.await_termination:
             q.awaitTermination()
         return q
+    return _store(args, result)
+
+
+def _store(args, result: DataFrame) -> None:
     if args.sink == "parquet":
         write_parquet(result, args.target)
     elif args.sink == "filetable":
@@ -142,7 +175,23 @@ def run_report_job(spark: SparkSession, args) -> object:
     elif args.sink == "jdbc":
         upsert_jdbc(result, args.url, args.table or args.report, keys_of(args.report),
                     dialect=args.dialect_sql, properties=_jdbc_props(args))
-    return None
+
+
+def running_job(spark: SparkSession, args):
+    """A report's running value for every line, as files arrive."""
+    ensure_checkpoint_dir(spark)
+    placed = with_place(stream_lines(spark, args.path, args.max_files_per_trigger))
+    sink = running_report_sink(args.report, args.target, args.on_bad, **_parse_opts(args))
+    query = start_running_stream(placed, sink, args.checkpoint, available_now=args.available_now, processing_time=args.trigger)
+    if args.available_now:
+        query.awaitTermination()
+    return query
+
+
+def bookings_job(spark: SparkSession, args) -> None:
+    """All booking reports from one scan, a folder each (``report=<table>``)."""
+    rows = parse_bookings(read_lines(spark, args.path), on_bad="fail", dialect=args.dialect)
+    write_parquet(booking_reports(rows), args.target, partition_by=["report"])
 
 
 def generate_job(spark: SparkSession, args) -> None:
@@ -201,6 +250,27 @@ def build_parser() -> argparse.ArgumentParser:
     r.add_argument("--await-termination", action="store_true", default=True)
     r.add_argument("--no-await", dest="await_termination", action="store_false")
 
+    r.add_argument("--split-column", help="JDBC: plan the parts from this column's values (skewed, text, null)")
+    r.add_argument("--split-then", help="JDBC: cuts values of --split-column that have too many rows")
+    r.add_argument("--rejects", help="folder for the lines that quarantine leaves out, with reasons")
+
+    n = sub.add_parser("running", help="a report's running value for every line, on a stream of files")
+    n.add_argument("--report", required=True, choices=sorted(REPORTS))
+    n.add_argument("--path", required=True)
+    n.add_argument("--target", required=True)
+    n.add_argument("--checkpoint", required=True)
+    n.add_argument("--on-bad", default="fail", choices=["fail", "null", "quarantine"])
+    n.add_argument("--dialect", default="plain", choices=["plain", "quoted"])
+    n.add_argument("--strip-thousands", action="store_true")
+    n.add_argument("--available-now", action="store_true")
+    n.add_argument("--trigger", default="10 seconds")
+    n.add_argument("--max-files-per-trigger", type=int)
+
+    b = sub.add_parser("bookings", help="all booking reports (J6-J10) from one scan")
+    b.add_argument("--path", required=True)
+    b.add_argument("--target", required=True)
+    b.add_argument("--dialect", default="plain", choices=["plain", "quoted"])
+
     g = sub.add_parser("generate", help="synthetic listings (S5) to text or JDBC")
     g.add_argument("--rows", type=int, default=(200 * 1024 * 1024) // (2 * 1024))
     g.add_argument("--seed", type=int, default=42)
@@ -224,6 +294,10 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None):
     spark = spark or SparkSession.builder.appName(f"keyfold-{args.command}").getOrCreate()
     if args.command == "report":
         return run_report_job(spark, args)
+    if args.command == "running":
+        return running_job(spark, args)
+    if args.command == "bookings":
+        return bookings_job(spark, args)
     if args.command == "generate":
         return generate_job(spark, args)
     return lines_to_kafka_job(spark, args)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyfold.functions.text import ctl_trim, round2, split_words
+from keyfold.operators.exact import exact_mean_by
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -69,14 +70,17 @@ def sum_count_by(df: DataFrame, keys, value: Column, total: str, count: str = "c
 
 
 def mean_by(df: DataFrame, keys, value: Column, name: str, count: str | None = None,
-            rounded: bool = True) -> DataFrame:
+            rounded: bool = True, exact: bool = False) -> DataFrame:
     """Mean per key, rounded to two decimals (A6, A7), and the row count.
 
     Exact-decimal inputs are summed exactly and converted to double once,
     before the division.  Every row that has a value is in the divisor,
     whatever the value; a null (a field that ``on_bad="null"`` could not
-    parse) is not, and a key with nulls alone has a null mean.
+    parse) is not, and a key with nulls alone has a null mean.  ``exact`` is
+    for doubles of a batch: their exact mean, whatever the order of rows.
     """
+    if exact:
+        return exact_mean_by(df, keys, value, name, count, rounded)
     mean = F.try_divide(F.sum(value).cast("double"), F.count(value))
     aggs = [(round2(mean) if rounded else mean).alias(name)]
     if count:

@@ -65,8 +65,8 @@ def running_by(df: DataFrame, keys, order: str, sums: Mapping[str, Column] | Non
     ``order`` may have any sortable type; nulls come first.  It (plus
     ``tiebreak``) should be unique within a key: tied rows are taken in the
     order of a hash of the row.  Integer and decimal sums are exact; the last
-    bits of a double sum depend on where the ranges are cut, so give decimals
-    where they matter.  Returns ``df``'s columns plus one column per entry of
+    bits of a double sum depend on where the ranges are cut; where they matter
+    give decimals, or see :func:`keyfold.operators.exact.exact_running_by`.  Returns ``df``'s columns plus one column per entry of
     ``sums`` and ``count``.
 
     ``partitions`` is the number of ranges; left out, it is the session's

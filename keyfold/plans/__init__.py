@@ -5,5 +5,5 @@ from keyfold.plans.reports import (  # noqa: F401
     district_stats, neighborhood_avg_price, year_avg_elevator_ratio,
     orientation_focus_count, title_word_count, hotel_statistics,
     monthly_booking_counts, country_statistics, booking_method_statistics,
-    monthly_avg_adr,
+    monthly_avg_adr, booking_reports, one_report,
 )

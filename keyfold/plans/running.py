@@ -12,11 +12,17 @@ a hot key (a district holding a third of all listings) over many tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyfold.functions.text import ctl_trim, round2, split_words
+from keyfold.operators.parse import apply_on_bad, parse_bookings, parse_listings
 from keyfold.operators.running import latest_by, running_by
+from keyfold.plans.reports import REPORTS
+from keyfold.sources.text import FILE
+from keyfold.streaming.running import LINE, in_arrival_order, read_running, running_sink
 
 
 def _ind(c: Column) -> Column:
@@ -65,6 +71,16 @@ def _value_columns(table: str) -> list[str]:
     return list(RESULT_TABLES[table][1])
 
 
+def _keyed(table: str, rows: DataFrame, keep: list[str]) -> tuple[DataFrame, list[str]]:
+    """Typed rows with the report's key columns (a row per word for the word
+    count), and the columns that order rows of one line."""
+    src = rows.withColumnsRenamed(_spec(table)[1])
+    if table != "word_count":
+        return src, []
+    words = src.filter(F.col("title").isNotNull()).select(*keep, F.posexplode(split_words(F.col("title"))).alias("_pos", "word"))
+    return words.filter(ctl_trim(F.col("word")) != ""), ["_pos"]
+
+
 def running_report(table: str, rows: DataFrame, order: str, **running_opts) -> DataFrame:
     """Per-row running values of report ``table`` over typed rows, in ``order``.
 
@@ -72,16 +88,8 @@ def running_report(table: str, rows: DataFrame, order: str, **running_opts) -> D
     or a line sequence number) and unique per row.  Columns: ``order``, the
     report's key columns, then its value columns.
     """
-    keys, renames, sums, count, finish = _spec(table)
-    src = rows
-    for a, b in renames.items():
-        src = src.withColumnRenamed(a, b)
-    tiebreak = []
-    if table == "word_count":
-        words = src.filter(F.col("title").isNotNull()).select(
-            order, F.posexplode(split_words(F.col("title"))).alias("_pos", "word"))
-        src = words.filter(ctl_trim(F.col("word")) != "")
-        tiebreak = ["_pos"]
+    keys, _, sums, count, finish = _spec(table)
+    src, tiebreak = _keyed(table, rows, [order])
     # Narrow the rows to what the running values need, then let running_by
     # compute them once (checkpointed): sampling and cutting are two passes.
     src = src.select(*dict.fromkeys([order, *keys, *tiebreak]),
@@ -104,3 +112,37 @@ def latest_report(running: DataFrame, table: str, order: str) -> DataFrame:
     by = [order, "count"] if table == "word_count" else order
     return latest_by(running, keys, by, _value_columns(table))
 
+
+
+# -- on a stream ------------------------------------------------------------------
+def running_report_sink(table: str, path: str, on_bad: str = "fail", **parse_opts) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function for placed lines (:func:`keyfold.sources.text.with_place`):
+    every line's running values of report ``table`` over all batches so far.
+
+    A batch's lines count in the order of their files and line numbers.  The
+    rows keep a listing's ``id``; :func:`read_running_report` reads them.
+    """
+    report = REPORTS[table]
+    keys, _, sums, count, _ = _spec(table)
+    own = ["id"] if report.kind == "listing" else []
+    place = [*own, FILE, LINE]
+
+    def prepare(batch: DataFrame) -> DataFrame:
+        parse = parse_listings if report.kind == "listing" else parse_bookings
+        needed = list(report.needed) or ["title"]
+        rows = parse(in_arrival_order(batch), on_bad=on_bad, keep=[FILE, LINE], **parse_opts)
+        rows = apply_on_bad(rows.select(*dict.fromkeys([*needed, *place])), report.needed, on_bad)
+        return _keyed(table, rows, place)[0]
+
+    return running_sink(path, keys, FILE, sums, count=count or "_rows", tiebreak=[LINE, *(["_pos"] if table == "word_count" else [])], prepare=prepare)
+
+
+def read_running_report(spark: SparkSession, table: str, path: str) -> DataFrame:
+    """The rows that :func:`running_report_sink` wrote: ``batch``, ``_file``,
+    ``_line`` (and a listing's ``id``), the report's keys and its values so far."""
+    keys, _, _, _, finish = _spec(table)
+    rows = read_running(spark, path)
+    for name, c in finish.items():
+        rows = rows.withColumn(name, c)
+    own = ["id"] if REPORTS[table].kind == "listing" else []
+    return rows.select("batch", FILE, LINE, *own, *keys, *_value_columns(table))

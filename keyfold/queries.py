@@ -21,7 +21,7 @@ from keyfold.operators.partials import merged, partials
 from keyfold.operators.running import latest_by, running_by
 from keyfold.plans.checked import checked_report
 from keyfold.plans.reports import booking_reports, neighborhood_avg_price, run_report
-from keyfold.plans.running import latest_report, running_report
+from keyfold.plans.running import latest_report, read_running_report, running_report, running_report_sink
 from keyfold.schema import LISTING_COLUMNS, keys_of
 from keyfold.session import ensure_checkpoint_dir, fresh_path
 from keyfold.sinks.batches import read_upserted, upsert, upsert_sink
@@ -32,7 +32,7 @@ from keyfold.sources.fixtures import (
 from keyfold.sources.jdbc import split_predicates
 from keyfold.sources.synth import synth_listings
 from keyfold.sources.text import FILE, read_lines, read_numbered_lines, stream_lines, with_place
-from keyfold.streaming.running import LINE, in_arrival_order, read_running, running_sink, start_running_stream
+from keyfold.streaming.running import LINE, start_running_stream
 from keyfold.streaming.state import carrying, state_totals
 from keyfold.streaming.upsert import run_report_stream, start_upsert_stream
 
@@ -350,25 +350,35 @@ def _running_orders(spark: SparkSession, sf_dir: str, part: int) -> DataFrame:
             .select(line_for("listing").alias("value")))
 
 
-def a9_stream_running_focus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T1 with A9: every line's orientation totals so far, on a stream.
-
-    Lines arrive in three parts; the stream stops after each and goes on from
-    its checkpoint.  A batch's lines count in the order of files and lines.
-    """
+def _running_stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """Lines arrive in three parts; the stream stops after each and goes on from
+    its checkpoint.  A batch's lines count in the order of files and lines."""
     ensure_checkpoint_dir(spark)
-    src, ckpt, out = (fresh_path(spark, kind, "running-focus") for kind in ("stream-input", "streams", "running"))
-    sink = running_sink(out, "orientation", FILE, {"total_focus": F.col("focus").cast("bigint")}, count="count", tiebreak=[LINE],
-                        prepare=lambda b: parse_listings(in_arrival_order(b), keep=[FILE, LINE]).select("id", "orientation", "focus", FILE, LINE))
+    src, ckpt, out = (fresh_path(spark, kind, f"running-{table}") for kind in ("stream-input", "streams", "running"))
     for part in range(3):
         lines = _running_orders(spark, sf_dir, part)
         with_headers(lines, header_for("listing")).write.text(f"{src}/part={part}")
         placed = with_place(spark.readStream.text(f"{src}/*"))
-        query = start_running_stream(placed, sink, ckpt)
+        query = start_running_stream(placed, running_report_sink(table, out), ckpt)
         query.awaitTermination()
         if query.exception() is not None:
-            raise RuntimeError(f"running stream failed: {query.exception()}")
-    return read_running(spark, out).select(F.col("id").cast("bigint").alias("id"), "orientation", "total_focus", "count")
+            raise RuntimeError(f"running stream {table} failed: {query.exception()}")
+    return read_running_report(spark, table, out).withColumn("id", F.col("id").cast("bigint")).drop("batch", FILE, LINE)
+
+
+def a9_stream_running_focus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 with A9 (J4): every line's orientation totals so far, on a stream."""
+    return _running_stream(spark, sf_dir, "orientation_focus_count")
+
+
+def a9_stream_running_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T2 with A9 (J2): every line's neighborhood mean and count so far, on a stream."""
+    return _running_stream(spark, sf_dir, "neighborhood_avg_price")
+
+
+def a9_stream_running_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 with A9 (J5): how often each title word has been seen so far, on a stream."""
+    return _running_stream(spark, sf_dir, "word_count")
 
 
 def a10_stream_latest_value(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -589,6 +599,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a11_stream_word_count": a11_stream_word_count,
     "s5_synth_listings": s5_synth_listings,
     "a9_stream_running_focus": a9_stream_running_focus,
+    "a9_stream_running_price": a9_stream_running_price,
+    "a9_stream_running_words": a9_stream_running_words,
     "a10_stream_latest_value": a10_stream_latest_value,
     "s1_line_numbers": s1_line_numbers,
     "a5_exact_sums": a5_exact_sums,
@@ -787,6 +799,9 @@ ORACLE_SQL["a9_stream_running_focus"] = (
     "SELECT o_orderkey AS id, (['南','北','东','西','东南','西南','东北','西北'])[CAST(o_custkey % 8 + 1 AS INTEGER)] AS orientation, "
     "CASE WHEN o_orderkey % 10 = 0 THEN 0 ELSE o_orderkey % 1000 END AS focus FROM orders) "
     f"WINDOW w AS (PARTITION BY orientation ORDER BY id % 3, id {_SO_FAR})")
+ORACLE_SQL["a9_stream_running_price"] = ORACLE_SQL["a9_running_neighborhood_price"].replace(
+    "ORDER BY o_orderkey", "ORDER BY o_orderkey % 3, o_orderkey")
+ORACLE_SQL["a9_stream_running_words"] = ORACLE_SQL["a9_running_title_words"].replace("ORDER BY id", "ORDER BY id % 3, id")
 ORACLE_SQL["a10_stream_latest_value"] = (
     "SELECT user_id, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id "
     "ORDER BY ts DESC NULLS LAST, event_id DESC) AS nth FROM events) WHERE nth = 1")

@@ -1,5 +1,7 @@
 """The job runner: report jobs over text (batch and stream) into file sinks."""
 
+from pyspark.sql import functions as F
+
 from keyfold.jobs import main
 from keyfold.plans import run_report
 from keyfold.session import fresh_path
@@ -109,3 +111,45 @@ def test_every_upsert_has_a_staging_table_of_its_own(spark, monkeypatch):
     assert first in calls[1][1] and calls[2][1] == f"DROP TABLE {first}"
     jdbc.upsert_jdbc(df, "jdbc:x", "t", ["k"], staging="mine")
     assert calls[6] == ("write", "mine") and len(calls) == 8
+
+
+def test_running_job_goes_on_after_a_stop(spark):
+    from keyfold.plans.running import latest_report, read_running_report
+    src, out, ckpt = (fresh_path(spark, "job-running", x) for x in "soc")
+    command = ["running", "--report", "neighborhood_avg_price", "--path", f"{src}/*", "--target", out, "--checkpoint", ckpt, "--available-now"]
+    for part, seed in (("a", "1"), ("b", "2")):
+        main(["generate", "--rows", "500", "--seed", seed, "--date", "2024-12-01", "--path", f"{src}/part={part}", "--files", "2"], spark)
+        assert main(command, spark).exception() is None
+    rows = read_running_report(spark, "neighborhood_avg_price", out).withColumn("at", F.struct("batch", "_file", "_line"))
+    assert rows.count() == 1000
+    assert same(latest_report(rows, "neighborhood_avg_price", "at"), run_report("neighborhood_avg_price", read_lines(spark, f"{src}/*")))
+
+
+def test_running_bookings_on_a_stream_end_with_the_report(spark):
+    from keyfold.plans.running import latest_report, read_running_report, running_report_sink
+    from keyfold.sources.text import with_place
+    from tests.conftest import booking_line
+    src, out = fresh_path(spark, "job-running-bookings"), fresh_path(spark, "job-running-bookings")
+    for table in ("monthly_avg_adr", "hotel_statistics", "monthly_booking_counts"):
+        for n in range(2):
+            lines = [booking_line(hotel=f'"H{i % 3}"', adr=f"{i}.25", is_canceled=str(i % 2), nights=str(n)) for i in range(20)]
+            spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("overwrite").text(f"{src}/{table}/{n}")
+            running_report_sink(table, f"{out}/{table}")(with_place(spark.read.text(f"{src}/{table}/{n}")), n)
+        rows = read_running_report(spark, table, f"{out}/{table}").withColumn("at", F.struct("batch", "_file", "_line"))
+        assert rows.count() == 40 and same(latest_report(rows, table, "at"), run_report(table, read_lines(spark, f"{src}/{table}/*")))
+
+
+def test_all_booking_reports_and_rejects(spark):
+    from keyfold.plans.reports import one_report
+    from tests.conftest import booking_line
+    src, out, bad = (fresh_path(spark, "job-one-scan", x) for x in "sob")
+    lines = [booking_line(hotel=f'"H{i % 3}"', country=f'"C{i % 2}"', adr=f"{i}.5") for i in range(30)]
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(src)
+    main(["bookings", "--path", src, "--target", out], spark)
+    for table in ("hotel_statistics", "country_statistics", "monthly_avg_adr"):
+        assert same(one_report(spark.read.parquet(out), table), run_report(table, read_lines(spark, src)))
+    spark.createDataFrame([(x,) for x in [*lines, booking_line(adr="free")]], "value string").write.mode("overwrite").text(src)
+    main(["report", "--report", "monthly_avg_adr", "--source", "text", "--path", src, "--sink", "parquet", "--target", f"{out}-adr",
+          "--on-bad", "quarantine", "--rejects", bad], spark)
+    assert [x.reasons for x in spark.read.parquet(bad).collect()] == [["unreadable:adr"]]
+    assert same(spark.read.parquet(f"{out}-adr"), run_report("monthly_avg_adr", read_lines(spark, src), on_bad="quarantine"))
