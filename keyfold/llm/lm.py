@@ -3,32 +3,38 @@
 Every word that the training texts have ``floor`` times is in the vocabulary,
 which grows with the corpus; words below it are one word together.  The context
 vector is the sum of the vectors of the two words before, each transformed by
-the matrix of its place.  Words lie in classes of neighbours by frequency:
+the matrix of its place.  Words lie in classes of about equal frequency:
 P(word | context) is a softmax over classes times a softmax over the words of
 the class, both of the context vector's products, so probabilities add up to
 one.  Both are trained in numpy with noise-contrastive estimation: a first pass
-on a sample fixes the space, then each task goes over its part of all training
-tokens, frequent words sampled and weighted, and the changes are averaged.  A
-word below the floor gets its share of the discounted counts of those, and an
-unseen word the discounts' sum.
+on a sample fixes the space, then every shard of the corpus goes over all its
+training tokens from there, frequent words sampled and weighted, and the
+shards' changes are averaged.  A word below the floor gets its share of the
+discounted counts of those, and an unseen word the discounts' sum.
 
 Exact counts of all words need one exchange.  Texts are cut in chunks of some
 megabytes; each chunk sends its distinct word hashes, split by ranges of the
 hash, with their training counts; each range adds up and answers every chunk.
 What is sent grows with the chunks' distinct words, a frequent word counts
 once a chunk, and no group has more than one entry a chunk and word.
+
+Vocabulary and parameters are tables of blocks in the shared folder.  They are
+made and averaged by tasks; the driver hands them on block by block as
+broadcasts and holds one block at a time.  A Python worker holds them whole:
+140 bytes a word, at most ``most_words`` words.  Texts are dealt to shards by a
+hash, so shards, and with them the scores, don't depend on the cluster.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark import Broadcast, TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyfold.llm._spark import crc_mod, stored
@@ -133,29 +139,123 @@ def _trigrams(batch: pa.RecordBatch, row: int, top: np.ndarray, ids: np.ndarray)
     return two[learns], one[learns], w[learns]
 
 
-def _sample(top: np.ndarray, ids: np.ndarray, rate: float):
-    """``two, one, w``: a part ``rate`` of the training trigrams."""
+# -- vocabulary -----------------------------------------------------------------
+def bucket(c: np.ndarray) -> np.ndarray:
+    """Counts to buckets of about equal counts: below 64 each its own, then 16 to a doubling."""
+    power = np.frexp(np.maximum(c, 1).astype(float))[1] - 1
+    return np.where(c < 64, c, 64 + (power - 6) * 16 + ((c >> np.maximum(power - 4, 0)) & 15))
+
+
+@dataclass
+class Classes:
+    """How words become classes and blocks, from how many words and tokens each bucket has."""
+
+    lowest: int  # least bucket of the vocabulary
+    first: np.ndarray  # per bucket: its first class
+    many: np.ndarray  # and its classes
+    block: np.ndarray  # per class
+
+    @classmethod
+    def planned(cls, words: dict[int, int], tokens: dict[int, int], total: int, most_words: int, block_words: int = 1 << 15) -> Classes:
+        kept, held = [], 0
+        for b in sorted(words, reverse=True):  # frequent words first
+            held += words[b]
+            if held > most_words:
+                break
+            kept.append(b)
+        size = max(words, default=0) + 1
+        first, many, sizes = np.zeros(size, np.int64), np.ones(size, np.int64), []
+        for b in kept:
+            # A word of probability p lies among about 1/sqrt(p): the least products a token, over classes and within one.
+            n = max(1, round(words[b] * math.sqrt(tokens[b] / words[b] / max(total, 1))))
+            first[b], many[b] = len(sizes), n
+            sizes += [words[b] / n] * n
+        return cls(kept[-1] if kept else size, first, many, (np.cumsum(sizes) // block_words).astype(np.int64))
+
+    def of(self, h: np.ndarray, c: np.ndarray) -> np.ndarray:
+        b = bucket(c)
+        return self.first[b] + (mix(h ^ np.uint64(0x5BD1E995)) % self.many[b].astype(np.uint64)).astype(np.int64)
+
+
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``bucket, words, tokens`` of each batch of ``h, c`` lists."""
+    for batch in batches:
+        c = batch.column("c").flatten().to_numpy()
+        b, at = np.unique(bucket(c), return_inverse=True)
+        yield pa.record_batch([pa.array(b.astype(np.int64)), pa.array(np.bincount(at, minlength=len(b)).astype(np.int64)), pa.array(np.bincount(at, c, len(b)).astype(np.int64))], names=["bucket", "words", "tokens"])
+
+
+def _placed(classes: Classes):
+    """``block, cls, h, c`` of the words in the vocabulary."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                grams = _trigrams(batch, row, top, ids)
-                rng = np.random.default_rng(batch.column("chunk")[row].as_py())
-                pick = rng.random(len(grams[0])) < rate
-                yield pa.record_batch([pa.array(g[pick].astype(np.int32)) for g in grams], names=["two", "one", "w"])
+            h, c = batch.column("h").flatten().to_numpy().view(np.uint64), batch.column("c").flatten().to_numpy()
+            inside = bucket(c) >= classes.lowest
+            cls = classes.of(h[inside], c[inside])
+            yield pa.record_batch([pa.array(classes.block[cls]), pa.array(cls), pa.array(h[inside].view(np.int64)), pa.array(c[inside])], names=["block", "cls", "h", "c"])
     return run
 
 
-def _word_lists(top: np.ndarray, ids: np.ndarray):
-    """``chunk, at, word``: which of a chunk's distinct words are in the vocabulary."""
+def _block_row(table: pa.Table) -> pa.Table:
+    """One row of bytes for a block of the vocabulary: ``block, part, data`` with classes, hashes and counts."""
+    cls, h, c = (table.column(x).to_numpy() for x in ("cls", "h", "c"))
+    order = np.lexsort((h.view(np.uint64), cls))
+    data = np.stack([cls[order], h[order], c[order]]).tobytes()
+    return pa.table({"block": table.column("block")[:1], "part": pa.array([VOCABULARY], pa.int32()), "data": pa.array([data], pa.binary())})
+
+
+#: What a block's bytes are: words of the vocabulary, context vectors, target vectors; the rest has block -1.
+VOCABULARY, WORDS, TARGETS, REST = range(4)
+_BLOCKS = "block long, part int, data binary"
+
+
+@dataclass
+class Shared:
+    """Blocks of bytes by (part, block), each a broadcast."""
+
+    blocks: dict[tuple[int, int], Broadcast] = field(default_factory=dict)
+
+    def add(self, spark: SparkSession, rows: DataFrame) -> Shared:
+        """With the blocks of ``block, part, data`` rows, brought over one at a time."""
+        found = dict(self.blocks)
+        for block, part in sorted(tuple(x) for x in rows.select("block", "part").collect()):  # 12 bytes each
+            data = rows.filter((F.col("block") == block) & (F.col("part") == part)).select("data").first()[0]
+            found[part, block] = spark.sparkContext.broadcast(bytes(data))
+        return Shared(found)
+
+    def arrays(self, part: int) -> list[bytes]:
+        return [self.blocks[key].value for key in sorted(self.blocks) if key[0] == part]
+
+
+class Vocabulary:
+    """Hashes, counts and classes of the words, by number."""
+
+    def __init__(self, shared: Shared, rest_tokens: float):
+        found = [np.frombuffer(x, np.int64).reshape(3, -1) for x in shared.arrays(VOCABULARY)]
+        self.sizes = [x.shape[1] for x in found]
+        cls, h, c = np.concatenate(found, 1) if found else np.zeros((3, 0), np.int64)
+        hashes = h.view(np.uint64)
+        self.ids = np.argsort(hashes)
+        self.top = hashes[self.ids]
+        self.times = np.append(c, rest_tokens).astype(float)
+        # Classes without words aren't counted; the words below the floor, together, are the last.
+        self.bounds = np.concatenate([np.flatnonzero(np.diff(cls, prepend=-1)), [len(c), len(c) + 1]])
+
+
+def _sample(shared: Shared, rest: float, rate: float):
+    """``two, one, w``: a part ``rate`` of the training trigrams."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = Vocabulary(shared, rest)
         for batch in batches:
             for row in range(batch.num_rows):
-                word = _ids_of(_flat(batch, "uniq", row), top, ids)
-                at = np.flatnonzero(word < len(top))
-                yield pa.record_batch([batch.column("chunk")[row:row + 1], _list(at.astype(np.int32), pa.int32()), _list(word[at].astype(np.int32), pa.int32())], names=["chunk", "at", "word"])
+                grams = _trigrams(batch, row, v.top, v.ids)
+                rng = np.random.default_rng(batch.column("chunk")[row].as_py())
+                pick = rng.random(len(grams[0])) < rate
+                yield pa.record_batch([pa.array(g[pick].astype(np.int32)) for g in grams], names=["two", "one", "w"])
     return run
 
 
+# -- the model --------------------------------------------------------------------
 def class_bounds(times: np.ndarray) -> np.ndarray:
     """First words of the classes, and the number of words; the last word, all
     words below the floor, is a class.  A word of probability p lies among about
@@ -188,10 +288,10 @@ class LogBilinear:
     squares: list[np.ndarray]  # Adagrad: a row of words, places, a row of targets and of tops
 
     @classmethod
-    def start(cls, times: np.ndarray, d: int, seed: int) -> LogBilinear:
+    def start(cls, times: np.ndarray, d: int, seed: int, bounds: np.ndarray | None = None) -> LogBilinear:
         rng = np.random.default_rng(seed)
         times = times + 0.5
-        bounds = class_bounds(times)
+        bounds = class_bounds(times) if bounds is None else bounds
         mass = np.add.reduceat(times, bounds[:-1])
         k, c = len(times), len(mass)
         draw = lambda n: rng.normal(0, 0.1, (n, d)).astype(np.float32)
@@ -298,76 +398,162 @@ def train(codes: np.ndarray, times: np.ndarray, k: int, d: int = 16, steps: int
     return model
 
 
-#: Words of which a task sends its changes in one row.
-_BLOCK = 1 << 15
+# -- its blocks, and learning by shards ---------------------------------------------
+def _parameters(model: LogBilinear) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of the words' vectors and of the targets, the state of training last in each, and all other numbers."""
+    words, places, targets, tops = model.squares
+    others = [model.tops, tops, model.places, places]
+    return np.hstack([model.words, words[:, None]]), np.hstack([model.targets, targets[:, None]]), np.concatenate([x.ravel() for x in others])
+
+
+def _rows_of(model: LogBilinear, sizes: list[int]) -> Iterator[tuple[int, int, bytes]]:
+    """(block, part, bytes) of all parameters."""
+    words, targets, others = _parameters(model)
+    lo = 0
+    for block, n in enumerate(sizes):
+        yield block, WORDS, words[lo:lo + n].tobytes()
+        yield block, TARGETS, targets[lo:lo + n].tobytes()
+        lo += n
+    yield -1, REST, b"".join(x.tobytes() for x in (words[lo:], targets[lo:], others))
+
+
+def _model(shared: Shared, v: Vocabulary, d: int) -> LogBilinear:
+    """The model of shared blocks."""
+    words, targets = ([np.frombuffer(x, np.float32) for x in shared.arrays(part)] for part in (WORDS, TARGETS))
+    c = len(v.bounds) - 1
+    sizes = [2 * (d + 1), d + 2, c * (d + 1), c, 2 * d * d, 2 * d * d]
+    last_words, last_target, tops, top_state, places, place_state = np.split(np.frombuffer(shared.arrays(REST)[0], np.float32), np.cumsum(sizes)[:-1])
+    words, targets = np.concatenate([*words, last_words]).reshape(-1, d + 1), np.concatenate([*targets, last_target]).reshape(-1, d + 2)
+    return LogBilinear(np.ascontiguousarray(words[:, :d]), places.reshape(2, d, d).copy(), np.ascontiguousarray(targets[:, :d + 1]), tops.reshape(c, d + 1).copy(), v.bounds, v.times + 0.5,
+                       [words[:, d].copy(), place_state.reshape(2, d, d).copy(), targets[:, d + 1].copy(), top_state.copy()])
+
+
+def _first(shared: Shared, rest: float, d: int, first: int, seed: int):
+    """The blocks of a model trained on a sample of trigrams, in one task (rows with ``w`` -1 say nothing)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = Vocabulary(shared, rest)
+        model = LogBilinear.start(v.times, d, seed, v.bounds)
+        rows = [np.stack([b.column(x).to_numpy() for x in ("two", "one", "w")]) for b in batches]
+        grams = np.concatenate(rows, 1).astype(np.int64) if rows else np.zeros((3, 0), np.int64)
+        grams = grams[:, grams[2] >= 0]
+        n, rng = grams.shape[1], np.random.default_rng(seed)
+        order = rng.permutation(n) if n >= first // 2 else rng.integers(0, max(n, 1), min(first, 20 * n))  # a small table several times
+        model.learn(tuple(grams[:, order]), np.ones(len(order)), rng)
+        for block, part, data in _rows_of(model, v.sizes):
+            yield pa.record_batch([pa.array([block], pa.int64()), pa.array([part], pa.int32()), pa.array([data], pa.binary())], names=["block", "part", "data"])
+    return run
+
+
+_CHANGES = "block long, part int, sub int, rows array<int>, tasks array<int>, change binary"
+
+
+def _changed(model: LogBilinear, base: LogBilinear, sizes: list[int], shard: int) -> Iterator[pa.RecordBatch]:
+    """A shard's changes by block, of the rows that it changed (half precision); the state of training stays as it was."""
+    model.squares = base.squares
+    new, old = _parameters(model), _parameters(base)
+    lo = 0
+    for block, n in enumerate(sizes):
+        for part in (WORDS, TARGETS):
+            change = new[part - WORDS][lo:lo + n] - old[part - WORDS][lo:lo + n]
+            rows = np.flatnonzero(change.any(1))
+            yield _change_row(block, part, shard, rows, change[rows])
+        lo += n
+    others = [(new[0][lo:] - old[0][lo:]).ravel(), (new[1][lo:] - old[1][lo:]).ravel(), new[2] - old[2]]
+    yield _change_row(-1, REST, shard, np.zeros(1, np.int64), np.concatenate(others))
+
+
+def _change_row(block: int, part: int, shard: int, rows: np.ndarray, change: np.ndarray) -> pa.RecordBatch:
+    ones = np.ones(len(rows), np.int32)
+    return pa.record_batch([pa.array([block], pa.int64()), pa.array([part], pa.int32()), pa.array([shard % 16], pa.int32()), _list(rows.astype(np.int32), pa.int32()), _list(ones, pa.int32()),
+                            pa.array([np.ascontiguousarray(change, np.float16).tobytes()], pa.binary())], names=["block", "part", "sub", "rows", "tasks", "change"])
 
 
-def _learner(model: LogBilinear, top: np.ndarray, ids: np.ndarray, often: float, seed: int):
-    """``part, block, rows, change``: how one task's training tokens change the
-    model.  A word of more than ``often`` tokens has part of them drawn, which
-    then count as many times as they stand for."""
+def _learner(words: Shared, rest: float, shared: Shared, d: int, often: float, seed: int):
+    """How each shard's training tokens change the model.  A word of more than
+    ``often`` tokens has part of them drawn, which then count as many times as
+    they stand for.  A shard's chunks lie in one file and come together."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rng = np.random.default_rng(seed + TaskContext.get().partitionId())
-        mine = model.copy()
-        keep = np.minimum(1.0, np.sqrt(often / model.times))
-        learned = False
+        v = Vocabulary(words, rest)
+        base = _model(shared, v, d)
+        keep = np.minimum(1.0, np.sqrt(often / base.times))
+        shard, mine, rng = None, None, None
         for batch in batches:
             for row in range(batch.num_rows):
-                grams = _trigrams(batch, row, top, ids)
+                now = batch.column("chunk")[row].as_py() >> 32
+                if now != shard:
+                    if mine is not None:
+                        yield from _changed(mine, base, v.sizes, shard)
+                    shard, mine, rng = now, base.copy(), np.random.default_rng([seed, now])
+                grams = _trigrams(batch, row, v.top, v.ids)
                 pick = np.flatnonzero(rng.random(len(grams[0])) < keep[grams[2]])
                 rng.shuffle(pick)
                 grams = tuple(g[pick] for g in grams)
                 mine.learn(grams, 1 / keep[grams[2]], rng)
-                learned |= len(pick) > 0
-        if learned:
-            for part, (new, old) in enumerate(((mine.words, model.words), (mine.targets, model.targets), (mine.tops, model.tops), (mine.places.reshape(-1, mine.places.shape[2]), model.places.reshape(-1, mine.places.shape[2])))):
-                for block in range(0, len(new), _BLOCK):
-                    change = new[block:block + _BLOCK] - old[block:block + _BLOCK]
-                    rows = np.flatnonzero(change.any(1))
-                    yield pa.record_batch([pa.array([part], pa.int32()), pa.array([block // _BLOCK], pa.int32()), _list(rows.astype(np.int32), pa.int32()), _list(change[rows].ravel(), pa.float32())], names=["part", "block", "rows", "change"])
+        if mine is not None:
+            yield from _changed(mine, base, v.sizes, shard)
     return run
 
 
-def _average(table: pa.Table) -> pa.Table:
-    """The mean change of each row, over the tasks that changed it."""
-    lists = [(r.values.to_numpy(), c.values.to_numpy()) for r, c in zip(table.column("rows"), table.column("change"), strict=True)]
-    width = next((len(c) // len(r) for r, c in lists if len(r)), 1)
-    total, tasks = np.zeros((_BLOCK, width), np.float32), np.zeros(_BLOCK, np.int64)
-    for r, c in lists:
-        total[r] += c.reshape(-1, width)
-        tasks[r] += 1
-    rows = np.flatnonzero(tasks)
-    return pa.table({"part": table.column("part")[:1], "block": table.column("block")[:1], "rows": pa.chunked_array([_list(rows.astype(np.int32), pa.int32())]),
-                     "change": pa.chunked_array([_list((total[rows] / tasks[rows, None]).ravel(), pa.float32())])})
+def _sums(table: pa.Table, kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows, how many shards changed them, sum of the changes) of one block's changes."""
+    rows = [x.values.to_numpy() for x in table.column("rows")]
+    tasks = [x.values.to_numpy() for x in table.column("tasks")]
+    changes = [np.frombuffer(x.as_py(), kind).astype(np.float32) for x in table.column("change")]
+    order = np.lexsort((table.column("at").to_numpy(),)) if "at" in table.column_names else range(len(rows))
+    seen = np.unique(np.concatenate(rows))
+    width = max((len(c) // max(len(r), 1) for r, c in zip(rows, changes, strict=True)), default=1)
+    total, count = np.zeros((len(seen), width), np.float32), np.zeros(len(seen), np.int32)
+    for i in order:
+        if len(rows[i]):
+            at = np.searchsorted(seen, rows[i])
+            total[at] += changes[i].reshape(-1, width)
+            count[at] += tasks[i]
+    return seen, count, total
+
+
+def _added(table: pa.Table) -> pa.Table:
+    """Some shards' changes of a block, added up."""
+    seen, count, total = _sums(table, np.float16)
+    return pa.table({"block": table.column("block")[:1], "part": table.column("part")[:1], "sub": table.column("sub")[:1], "rows": pa.chunked_array([_list(seen.astype(np.int32), pa.int32())]),
+                     "tasks": pa.chunked_array([_list(count, pa.int32())]), "change": pa.array([total.tobytes()], pa.binary())})
+
+
+def _averaged(shared: Shared, d: int):
+    """A block's new parameters: each row moved by the mean of the shards that changed it."""
+    def run(table: pa.Table) -> pa.Table:
+        block, part = table.column("block")[0].as_py(), table.column("part")[0].as_py()
+        seen, count, total = _sums(table.append_column("at", table.column("sub")), np.float32)
+        data = np.frombuffer(shared.blocks[part, block].value, np.float32).copy()
+        rows = data.reshape(1, -1) if part == REST else data.reshape(-1, d + 1 if part == WORDS else d + 2)
+        rows[seen] += total / np.maximum(count, 1)[:, None]
+        return pa.table({"block": table.column("block")[:1], "part": table.column("part")[:1], "data": pa.array([data.tobytes()], pa.binary())})
+    return run
 
 
-def fit(chunks: DataFrame, top: np.ndarray, ids: np.ndarray, times: np.ndarray, d: int = 16, first: int = 1_000_000, seed: int = 13) -> LogBilinear:
-    """Trained on all training tokens of ``chunks``; about ``first`` of them fix the space."""
-    model = LogBilinear.start(times, d, seed)
+def fit(chunks: DataFrame, words: Shared, rest: float, tokens: float, d: int = 16, first: int = 1_000_000, seed: int = 13) -> Shared:
+    """Blocks of a model trained on all training tokens of ``chunks``; about ``first`` of them fix the space."""
+    spark = chunks.sparkSession
     texts = chunks.select("chunk", "uniq", "tok", "n_tokens", "train")
-    rows = texts.mapInArrow(_sample(top, ids, min(1.0, first / max(times.sum(), 1))), "two int, one int, w int").toPandas().sort_values(["two", "one", "w"])
-    rng = np.random.default_rng(seed)
-    order = rng.permutation(len(rows)) if len(rows) >= first // 2 else rng.integers(0, len(rows), min(first, 20 * len(rows)))  # a small table several times
-    model.learn(tuple(rows[c].to_numpy(np.int64)[order] for c in ("two", "one", "w")), np.ones(len(order)), rng)
-    tasks = chunks.sparkSession.sparkContext.defaultParallelism
-    schema = "part int, block int, rows array<int>, change array<float>"
-    changes = texts.coalesce(tasks).mapInArrow(_learner(model, top, ids, max(3e-5 * times.sum(), 100.0), seed), schema)
-    parts = [model.words, model.targets, model.tops, model.places.reshape(-1, d)]
-    for x in changes.groupBy("part", "block").applyInArrow(_average, schema).toArrow().to_batches():
-        for row in range(x.num_rows):
-            at = _flat(x, "rows", row) + x.column("block")[row].as_py() * _BLOCK
-            p = parts[x.column("part")[row].as_py()]
-            p[at] += _flat(x, "change", row).reshape(-1, p.shape[1])
-    model.squares = []  # of training alone
-    return model
-
-
-def _scores(model: LogBilinear, total: int, types: int, rest: tuple[float, float, float]):
+    some = texts.mapInArrow(_sample(words, rest, min(1.0, first / max(tokens, 1))), "two int, one int, w int")
+    some = some.unionByName(spark.createDataFrame([(-1, -1, -1)], some.schema))
+    # A bounded sample, in an order of its own.
+    begun = some.repartition(1).sortWithinPartitions("two", "one", "w").mapInArrow(_first(words, rest, d, first, seed), _BLOCKS)
+    model = Shared().add(spark, stored(begun, "model"))
+    changes = texts.mapInArrow(_learner(words, rest, model, d, max(3e-5 * tokens, 100.0), seed), _CHANGES)
+    # In two steps, so that no group has every shard's changes.
+    changes = changes.groupBy("block", "part", "sub").applyInArrow(_added, _CHANGES)
+    learned = changes.groupBy("block", "part").applyInArrow(_averaged(model, d), _BLOCKS)
+    return model.add(spark, stored(learned, "model"))
+
+
+def _scores(vocabulary: Shared, shared: Shared, d: int, total: int, types: int, rest: tuple[float, float, float]):
     """``doc_id, train, n_tokens, n_known, base_score, score`` of the chunks joined with their answers."""
     discount, rest_total, rest_types = rest
-    k = len(model.targets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = Vocabulary(vocabulary, rest_total)
+        model = _model(shared, v, d)
+        k = len(model.targets)
         placed = model.words @ model.places[0], model.words @ model.places[1]
         for batch in batches:
             for row in range(batch.num_rows):
@@ -375,8 +561,7 @@ def _scores(model: LogBilinear, total: int, types: int, rest: tuple[float, float
                 order = np.argsort(parts.field("r").to_numpy(), kind="stable")
                 lists = parts.field("c")
                 c = np.concatenate([lists[int(x)].values.to_numpy() for x in order])
-                word_of = np.full(len(c), k - 1, np.int64)
-                word_of[_flat(batch, "at", row)] = _flat(batch, "word", row)
+                word_of = _ids_of(_flat(batch, "uniq", row), v.top, v.ids)  # k - 1 below the floor
                 base_of = np.log10((c + 1.0) / (total + types + 1))
                 # The share of the words below the floor: 1 for one of the vocabulary.
                 with np.errstate(divide="ignore"):
@@ -392,37 +577,43 @@ def _scores(model: LogBilinear, total: int, types: int, rest: tuple[float, float
     return run
 
 
-def score(docs: DataFrame, train_col, floor: int = 5) -> DataFrame:
+def score(docs: DataFrame, train_col, floor: int = 5, most_words: int = 8_000_000, shard_bytes: int = 32 << 20, d: int = 16) -> DataFrame:
     """``doc_id, train, n_tokens, n_known, train_tokens, base_score, score``, a row per input row.
 
     Learns from the rows where ``train_col`` holds (null: it doesn't).  A null
     text is empty and has the end token alone.  Repeated rows count and are
-    scored each; null ids are kept; other columns are ignored.
+    scored each; null ids are kept; other columns are ignored.  If more than
+    ``most_words`` words reach the floor, it rises for the rarest of them,
+    which then get their shares of the counts like those below it.
     """
+    spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.coalesce(train_col, F.lit(False)).alias("train"))
-    chunks = stored(texts.mapInArrow(_chunks, _CHUNK.format(kind=kind)), "chunks")
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # Dealt by a hash of the row, in its order: the same shards on any cluster.
+    dealt = (texts.withColumn("by", F.xxhash64("doc_id", "text")).repartition(max(1, math.ceil(size / shard_bytes)), "by")
+             .sortWithinPartitions("by").drop("by"))
+    chunks = stored(dealt.mapInArrow(_chunks, _CHUNK.format(kind=kind)), "chunks")
     entries = chunks.agg(F.sum(F.size("uniq").cast("long"))).first()[0] or 0
     bits = max(0, math.ceil(math.log2(max(entries, 1) / RANGE_ENTRIES)))
     answers = stored(chunks.select("chunk", "uniq", "cnt").mapInArrow(_requests(bits), "r long, chunk long, h array<long>, n array<int>")
                      .groupBy("r").applyInArrow(_answer(floor), "chunk long, r long, c array<long>, sums array<long>, h array<long>"), "answers")
     sums = answers.filter("chunk < 0")
     types, total, once, twice = (int(x or 0) for x in sums.agg(*[F.sum(F.get("sums", F.lit(i))) for i in range(4)]).first())
-    frequent = sums.select(F.explode(F.arrays_zip("h", "c")).alias("x")).select("x.h", "x.c").toPandas()  # 16 bytes a word
-    h, c = frequent["h"].to_numpy(np.int64).view(np.uint64), frequent["c"].to_numpy(np.int64)
-    by_times = np.lexsort((h, -c))
-    ids = np.empty(len(h), np.int64)
-    ids[by_times] = np.arange(len(h))
-    place = np.argsort(h)
-    top, ids = h[place], ids[place]
+    frequent = sums.select("h", "c")
+    buckets = (frequent.mapInArrow(_buckets, "bucket long, words long, tokens long").groupBy("bucket")
+               .agg(F.sum("words").alias("words"), F.sum("tokens").alias("tokens")).collect())  # a row a bucket, under 1,100 for any counts
+    classes = Classes.planned({x.bucket: x.words for x in buckets}, {x.bucket: x.tokens for x in buckets}, total, most_words)
+    placed = frequent.mapInArrow(_placed(classes), "block long, cls long, h long, c long")
+    words = Shared().add(spark, stored(placed.groupBy("block").applyInArrow(_block_row, _BLOCKS), "vocabulary"))
     # The words below the floor: their tokens, their types, and the discount that unseen words share.
-    rest_total, rest_types = total - int(c.sum()), types - len(h)
+    kept = [x for x in buckets if x.bucket >= classes.lowest]
+    rest_total, rest_types = total - sum(x.tokens for x in kept), types - sum(x.words for x in kept)
     discount = min(0.9, max(0.1, once / max(once + 2 * twice, 1))) if rest_types else 0.0
-    model = fit(chunks, top, ids, np.append(c[by_times], rest_total).astype(float))
-    own = chunks.select("chunk", "uniq").mapInArrow(_word_lists(top, ids), "chunk long, at array<int>, word array<int>")
-    replies = answers.filter("chunk >= 0").groupBy("chunk").agg(F.collect_list(F.struct("r", "c")).alias("answers")).join(own, "chunk")
-    rows = chunks.select("chunk", "doc_ids", "train", "n_tokens", "tok").join(replies, "chunk")
-    scored = rows.mapInArrow(_scores(model, total, types, (discount, rest_total, rest_types)), f"doc_id {kind}, train boolean, n_tokens long, n_known long, base_score double, score double")
+    model = fit(chunks, words, rest_total, total, d)
+    replies = answers.filter("chunk >= 0").groupBy("chunk").agg(F.collect_list(F.struct("r", "c")).alias("answers"))
+    rows = chunks.select("chunk", "doc_ids", "train", "n_tokens", "tok", "uniq").join(replies, "chunk")
+    scored = rows.mapInArrow(_scores(words, model, d, total, types, (discount, rest_total, rest_types)), f"doc_id {kind}, train boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.withColumn("train_tokens", F.lit(total).cast("long"))
 
 
