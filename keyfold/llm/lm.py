@@ -3,10 +3,11 @@
 Every word that the training texts have ``floor`` times is in the vocabulary,
 which grows with the corpus; words below it are one word together.  The context
 vector is the sum of the vectors of the two words before, each transformed by
-the matrix of its place.  Words lie in classes of about equal frequency:
-P(word | context) is a softmax over classes times a softmax over the words of
-the class, both of the context vector's products, so probabilities add up to
-one.  Both are trained in numpy with noise-contrastive estimation: a first pass
+the matrix of its place.  Words lie in classes of about equal frequency, and
+neighbouring classes in groups: P(word | context) is a softmax over groups,
+times one over the classes of the group, times one over the words of the class,
+all of the context vector's products, so probabilities add up to one.  A word
+of probability p has about p**(-1/3) choices at each.  All are trained in numpy with noise-contrastive estimation: a first pass
 on a sample fixes the space, then every shard of the corpus goes over all its
 training tokens from there, frequent words sampled and weighted, and the
 shards' changes are averaged.  A word below the floor gets its share of the
@@ -19,8 +20,8 @@ What is sent grows with the chunks' distinct words, a frequent word counts
 once a chunk, and no group has more than one entry a chunk and word.
 
 Vocabulary and parameters are tables of blocks in the shared folder.  They are
-made and averaged by tasks; the driver hands them on block by block as
-broadcasts and holds one block at a time.  A Python worker holds them whole:
+made and averaged by tasks; the driver hands them on as broadcasts, some blocks
+(about 16 MB) at a time, and keeps none.  A Python worker holds them whole:
 140 bytes a word, at most ``most_words`` words.  Texts are dealt to shards by a
 hash, so shards, and with them the scores, don't depend on the cluster.
 """
@@ -42,7 +43,7 @@ from keyfold.llm._words import mix, slices, text_bytes, word_hashes
 
 #: The token after a text's last word (no word hashes to it but by chance).
 END = mix(np.array([0x1234567], np.uint64))[0]
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: Distinct words of one range that all chunks send together.
 RANGE_ENTRIES = 3_000_000
 _CHUNK = "chunk long, doc_ids array<{kind}>, train array<boolean>, n_tokens array<int>, tok array<int>, uniq array<long>, cnt array<int>"
@@ -166,8 +167,7 @@ class Classes:
         size = max(words, default=0) + 1
         first, many, sizes = np.zeros(size, np.int64), np.ones(size, np.int64), []
         for b in kept:
-            # A word of probability p lies among about 1/sqrt(p): the least products a token, over classes and within one.
-            n = max(1, round(words[b] * math.sqrt(tokens[b] / words[b] / max(total, 1))))
+            n = max(1, round(words[b] * (tokens[b] / words[b] / max(total, 1)) ** (1 / 3)))
             first[b], many[b] = len(sizes), n
             sizes += [words[b] / n] * n
         return cls(kept[-1] if kept else size, first, many, (np.cumsum(sizes) // block_words).astype(np.int64))
@@ -216,11 +216,23 @@ class Shared:
     blocks: dict[tuple[int, int], Broadcast] = field(default_factory=dict)
 
     def add(self, spark: SparkSession, rows: DataFrame) -> Shared:
-        """With the blocks of ``block, part, data`` rows, brought over one at a time."""
-        found = dict(self.blocks)
-        for block, part in sorted(tuple(x) for x in rows.select("block", "part").collect()):  # 12 bytes each
-            data = rows.filter((F.col("block") == block) & (F.col("part") == part)).select("data").first()[0]
-            found[part, block] = spark.sparkContext.broadcast(bytes(data))
+        """With the blocks of ``block, part, data`` rows, brought over about 16 MB at a time."""
+        found, held, size = dict(self.blocks), [], 0
+        keys = rows.select("block", "part", F.octet_length("data").alias("size")).collect()  # 16 bytes a block
+
+        def bring() -> None:
+            wanted = F.struct("block", "part").isin([F.struct(F.lit(b).cast("long"), F.lit(p).cast("int")) for b, p in held])
+            for row in rows.filter(wanted).collect():
+                found[row.part, row.block] = spark.sparkContext.broadcast(bytes(row.data))
+
+        for key in sorted(keys, key=lambda x: (x.block, x.part)):
+            held.append((key.block, key.part))
+            size += key.size
+            if size >= 16 << 20:
+                bring()
+                held, size = [], 0
+        if held:
+            bring()
         return Shared(found)
 
     def arrays(self, part: int) -> list[bytes]:
@@ -256,13 +268,17 @@ def _sample(shared: Shared, rest: float, rate: float):
 
 
 # -- the model --------------------------------------------------------------------
+def _cuts(sizes: np.ndarray) -> np.ndarray:
+    """First entries of runs whose ``sizes`` add up to about 1, and their number."""
+    place = np.cumsum(sizes).astype(np.int64)
+    return np.append(np.flatnonzero(np.diff(place, prepend=-1)), len(sizes))
+
+
 def class_bounds(times: np.ndarray) -> np.ndarray:
-    """First words of the classes, and the number of words; the last word, all
-    words below the floor, is a class.  A word of probability p lies among about
-    1/sqrt(p): the least products a token, over classes and within one."""
+    """First words of the classes of words by falling counts, and their number;
+    the last word, all words below the floor, is a class."""
     p = times[:-1] / max(times.sum(), 1)
-    place = np.cumsum(np.sqrt(p)).astype(np.int64)
-    return np.concatenate([np.flatnonzero(np.diff(place, prepend=-1)), [len(p), len(times)]]) if len(p) else np.array([0, 1])
+    return np.append(_cuts(np.cbrt(p)), len(times)) if len(p) else np.array([0, 1])
 
 
 def _grouped(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -277,15 +293,38 @@ def _logistic(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def group_bounds(mass: np.ndarray) -> np.ndarray:
+    """First classes of the groups, and their number."""
+    return _cuts(np.sqrt(mass / mass.sum()))
+
+
+def _within(q: np.ndarray, at: np.ndarray, chosen: np.ndarray, edges: np.ndarray, table: np.ndarray, out: np.ndarray) -> None:
+    """Adds ln P(chosen | its run) to ``out``: a softmax over the run between ``edges`` that it lies in."""
+    run = np.searchsorted(edges, chosen, "right") - 1
+    order = np.argsort(run, kind="stable")
+    cuts = np.searchsorted(run[order], np.arange(len(edges)))
+    for r in np.flatnonzero((np.diff(cuts) > 0) & (np.diff(edges) > 1)):
+        lo, hi = edges[r], edges[r + 1]
+        step = max(1, (1 << 18) // (hi - lo))
+        for i in range(cuts[r], cuts[r + 1], step):
+            rows = order[i:min(i + step, cuts[r + 1])]
+            z = q[at[rows]] @ table[lo:hi].T
+            z -= z.max(1, keepdims=True)
+            mine = z[np.arange(len(rows)), chosen[rows] - lo]
+            out[rows] += mine - np.log(np.exp(z, out=z).sum(1))
+
+
 @dataclass
 class LogBilinear:
     words: np.ndarray  # (k + 1) x d, the last is a text's start
     places: np.ndarray  # 2 x d x d
     targets: np.ndarray  # k x (d + 1), the last column is the bias
-    tops: np.ndarray  # classes x (d + 1)
-    bounds: np.ndarray  # classes + 1
+    classes: np.ndarray  # classes x (d + 1)
+    groups: np.ndarray  # groups x (d + 1)
+    bounds: np.ndarray  # first words of the classes, and k
+    over: np.ndarray  # first classes of the groups, and their number
     times: np.ndarray  # k, training counts
-    squares: list[np.ndarray]  # Adagrad: a row of words, places, a row of targets and of tops
+    squares: list[np.ndarray]  # Adagrad: a row of words, places, a row of targets, classes and groups
 
     @classmethod
     def start(cls, times: np.ndarray, d: int, seed: int, bounds: np.ndarray | None = None) -> LogBilinear:
@@ -293,59 +332,64 @@ class LogBilinear:
         times = times + 0.5
         bounds = class_bounds(times) if bounds is None else bounds
         mass = np.add.reduceat(times, bounds[:-1])
-        k, c = len(times), len(mass)
+        over = group_bounds(mass)
+        above = np.add.reduceat(mass, over[:-1])
+        k, c, g = len(times), len(mass), len(above)
         draw = lambda n: rng.normal(0, 0.1, (n, d)).astype(np.float32)
         bias = lambda x: np.log(x / times.sum()).astype(np.float32)[:, None]
-        return cls(draw(k + 1), (np.stack([np.eye(d), np.eye(d)]) * 0.5).astype(np.float32), np.hstack([draw(k), bias(times)]), np.hstack([draw(c), bias(mass)]), bounds, times,
-                   [np.full(n, 0.1, np.float32) for n in (k + 1, (2, d, d), k, c)])
+        return cls(draw(k + 1), (np.stack([np.eye(d), np.eye(d)]) * 0.5).astype(np.float32), np.hstack([draw(k), bias(times)]), np.hstack([draw(c), bias(mass)]), np.hstack([draw(g), bias(above)]),
+                   bounds, over, times, [np.full(n, 0.1, np.float32) for n in (k + 1, (2, d, d), k, c, g)])
 
     def copy(self) -> LogBilinear:
-        return LogBilinear(self.words.copy(), self.places.copy(), self.targets.copy(), self.tops.copy(), self.bounds, self.times, [s.copy() for s in self.squares])
+        return LogBilinear(self.words.copy(), self.places.copy(), self.targets.copy(), self.classes.copy(), self.groups.copy(), self.bounds, self.over, self.times, [s.copy() for s in self.squares])
 
-    def learn(self, grams: tuple[np.ndarray, ...], weights: np.ndarray, rng: np.random.Generator, batch: int = 4096, class_noise: int = 24, noise: int = 5, rate: float = 0.1) -> None:
-        """One pass: classes against classes drawn by frequency, words against words of their class."""
+    def learn(self, grams: tuple[np.ndarray, ...], weights: np.ndarray, rng: np.random.Generator, batch: int = 4096, group_noise: int = 16, noise: int = 4, rate: float = 0.1) -> None:
+        """One pass: groups against groups drawn by frequency, classes against
+        some of their group, words against some of their class."""
         d = self.words.shape[1]
         sums = np.concatenate([[0.0], np.cumsum(self.times)])
-        edges, log_p = sums[self.bounds], np.log(self.times / sums[-1]).astype(np.float32)
-        mass = np.diff(edges)
-        top_p = np.log(mass / sums[-1]).astype(np.float32)
+        group_sums = sums[self.bounds][self.over]
+        group_p = np.log(np.diff(group_sums) / sums[-1]).astype(np.float32)
         for lo in range(0, len(weights), batch):
             two, one, w = (g[lo:lo + batch] for g in grams)
             weight = weights[lo:lo + batch, None].astype(np.float32)
             n, c = len(w), np.searchsorted(self.bounds, w, "right") - 1
+            g = np.searchsorted(self.over, c, "right") - 1
             xa, xb = self.words[two], self.words[one]
             q = np.ones((n, d + 1), np.float32)
             q[:, :d] = xa @ self.places[0] + xb @ self.places[1]
-            drawn = np.searchsorted(edges, rng.random(class_noise) * sums[-1], "right") - 1
-            drawn = np.minimum(drawn, len(mass) - 1)
-            own, others = self.tops[c], self.tops[drawn]
-            shift = math.log(class_noise)
-            g_own = (_logistic(np.einsum("nd,nd->n", q, own) - top_p[c] - shift)[:, None] - 1) * weight
-            g_others = _logistic(q @ others.T - top_p[drawn] - shift) * weight
+            drawn = np.minimum(np.searchsorted(group_sums, rng.random(group_noise) * sums[-1], "right") - 1, len(self.groups) - 1)
+            own, others = self.groups[g], self.groups[drawn]
+            shift = math.log(group_noise)
+            g_own = (_logistic(np.einsum("nd,nd->n", q, own) - group_p[g] - shift)[:, None] - 1) * weight
+            g_others = _logistic(q @ others.T - group_p[drawn] - shift) * weight
             dq = g_own * own + g_others @ others
-            tops = _grouped(np.concatenate([c, drawn]), np.concatenate([g_own * q, g_others.T @ q]))
-            # Within the class; a class of one word has nothing to learn.
-            many = np.flatnonzero(np.diff(self.bounds)[c] > 1)
-            targets = None
-            if len(many):
-                cm = c[many]
-                pick = np.searchsorted(sums, edges[cm][:, None] + rng.random((len(many), noise)) * mass[cm][:, None], "right") - 1
-                pick = np.clip(pick, self.bounds[cm][:, None], self.bounds[cm + 1][:, None] - 1)
-                which = np.concatenate([w[many][:, None], pick], 1)
-                rows = self.targets[which]
-                g = _logistic(np.einsum("nd,nkd->nk", q[many], rows) - (log_p[which] - top_p[cm][:, None]) - math.log(noise))
-                g[:, 0] -= 1
-                g *= weight[many]
-                dq[many] += np.einsum("nk,nkd->nd", g, rows)
-                targets = _grouped(which.ravel(), (g[:, :, None] * q[many][:, None, :]).reshape(-1, d + 1))
+            found = [_grouped(np.concatenate([g, drawn]), np.concatenate([g_own * q, g_others.T @ q]))]
+            for chosen, parent, edges, table in ((c, g, self.over, self.classes), (w, c, self.bounds, self.targets)):
+                # Children of one parent are about equally frequent: noise is drawn evenly.  A parent of one child has nothing to learn.
+                many = np.flatnonzero(np.diff(edges)[parent] > 1)
+                if not len(many):
+                    found.append(None)
+                    continue
+                up = parent[many]
+                low, size = edges[up], edges[up + 1] - edges[up]
+                which = np.empty((len(many), 1 + noise), np.int64)
+                which[:, 0] = chosen[many]
+                which[:, 1:] = low[:, None] + (rng.random((len(many), noise), np.float32) * size[:, None]).astype(np.int64)
+                rows, mine = table[which], q[many]
+                grad = _logistic(np.matmul(rows, mine[:, :, None])[:, :, 0] + np.log(size / noise).astype(np.float32)[:, None])
+                grad[:, 0] -= 1
+                grad *= weight[many]
+                dq[many] += np.matmul(grad[:, None, :], rows)[:, 0]
+                found.append(_grouped(which.ravel(), (grad[:, :, None] * mine[:, None, :]).reshape(-1, d + 1)))
             dq = dq[:, :d]
             words = _grouped(np.concatenate([two, one]), np.concatenate([dq @ self.places[0].T, dq @ self.places[1].T]))
             places = np.stack([xa.T @ dq, xb.T @ dq])
             self.squares[1] += places * places
             self.places -= 0.1 * rate * places / np.sqrt(self.squares[1])
-            for p, s, found in ((self.words, self.squares[0], words), (self.targets, self.squares[2], targets), (self.tops, self.squares[3], tops)):
-                if found is not None:
-                    at, grad = found
+            for p, s, change in ((self.words, self.squares[0], words), (self.groups, self.squares[4], found[0]), (self.classes, self.squares[3], found[1]), (self.targets, self.squares[2], found[2])):
+                if change is not None:
+                    at, grad = change
                     s[at] += (grad * grad).mean(1)
                     p[at] -= rate * grad / np.sqrt(s[at])[:, None]
 
@@ -360,25 +404,10 @@ class LogBilinear:
         q = np.ones((len(seen), d + 1), np.float32)
         q[:, :d] = before[seen // (k + 1)] + after[seen % (k + 1)]
         c = np.searchsorted(self.bounds, w, "right") - 1
-        out = np.empty(len(pairs), np.float32)
-        step = max(1, (1 << 18) // len(self.tops))
-        for i in range(0, len(seen), step):
-            z = q[i:i + step] @ self.tops.T
-            z -= z.max(1, keepdims=True)
-            a, b = np.searchsorted(at, (i, i + step))
-            mine = z[at[a:b] - i, c[a:b]]
-            out[a:b] = mine - np.log(np.exp(z, out=z).sum(1))[at[a:b] - i]
-        order = np.argsort(c, kind="stable")
-        edges = np.searchsorted(c[order], np.arange(len(self.bounds)))
-        for g in np.flatnonzero((np.diff(edges) > 0) & (np.diff(self.bounds) > 1)):
-            lo, hi = self.bounds[g], self.bounds[g + 1]
-            step = max(1, (1 << 18) // (hi - lo))
-            for i in range(edges[g], edges[g + 1], step):
-                rows = order[i:min(i + step, edges[g + 1])]
-                z = q[at[rows]] @ self.targets[lo:hi].T
-                z -= z.max(1, keepdims=True)
-                mine = z[np.arange(len(rows)), w[rows] - lo]
-                out[rows] += mine - np.log(np.exp(z, out=z).sum(1))
+        g = np.searchsorted(self.over, c, "right") - 1
+        out = np.zeros(len(pairs), np.float32)
+        for chosen, edges, table in ((g, np.array([0, len(self.groups)]), self.groups), (c, self.over, self.classes), (w, self.bounds, self.targets)):
+            _within(q, at, chosen, edges, table, out)
         return (out / np.float32(math.log(10)))[back]
 
     def log_probabilities(self) -> np.ndarray:
@@ -401,8 +430,8 @@ def train(codes: np.ndarray, times: np.ndarray, k: int, d: int = 16, steps: int
 # -- its blocks, and learning by shards ---------------------------------------------
 def _parameters(model: LogBilinear) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows of the words' vectors and of the targets, the state of training last in each, and all other numbers."""
-    words, places, targets, tops = model.squares
-    others = [model.tops, tops, model.places, places]
+    words, places, targets, classes, groups = model.squares
+    others = [model.classes, classes, model.groups, groups, model.places, places]
     return np.hstack([model.words, words[:, None]]), np.hstack([model.targets, targets[:, None]]), np.concatenate([x.ravel() for x in others])
 
 
@@ -420,12 +449,14 @@ def _rows_of(model: LogBilinear, sizes: list[int]) -> Iterator[tuple[int, int, b
 def _model(shared: Shared, v: Vocabulary, d: int) -> LogBilinear:
     """The model of shared blocks."""
     words, targets = ([np.frombuffer(x, np.float32) for x in shared.arrays(part)] for part in (WORDS, TARGETS))
-    c = len(v.bounds) - 1
-    sizes = [2 * (d + 1), d + 2, c * (d + 1), c, 2 * d * d, 2 * d * d]
-    last_words, last_target, tops, top_state, places, place_state = np.split(np.frombuffer(shared.arrays(REST)[0], np.float32), np.cumsum(sizes)[:-1])
+    times = v.times + 0.5
+    over = group_bounds(np.add.reduceat(times, v.bounds[:-1]))
+    c, g = len(v.bounds) - 1, len(over) - 1
+    sizes = [2 * (d + 1), d + 2, c * (d + 1), c, g * (d + 1), g, 2 * d * d, 2 * d * d]
+    last_words, last_target, classes, class_state, groups, group_state, places, place_state = np.split(np.frombuffer(shared.arrays(REST)[0], np.float32), np.cumsum(sizes)[:-1])
     words, targets = np.concatenate([*words, last_words]).reshape(-1, d + 1), np.concatenate([*targets, last_target]).reshape(-1, d + 2)
-    return LogBilinear(np.ascontiguousarray(words[:, :d]), places.reshape(2, d, d).copy(), np.ascontiguousarray(targets[:, :d + 1]), tops.reshape(c, d + 1).copy(), v.bounds, v.times + 0.5,
-                       [words[:, d].copy(), place_state.reshape(2, d, d).copy(), targets[:, d + 1].copy(), top_state.copy()])
+    return LogBilinear(np.ascontiguousarray(words[:, :d]), places.reshape(2, d, d).copy(), np.ascontiguousarray(targets[:, :d + 1]), classes.reshape(c, d + 1).copy(), groups.reshape(g, d + 1).copy(),
+                       v.bounds, over, times, [words[:, d].copy(), place_state.reshape(2, d, d).copy(), targets[:, d + 1].copy(), class_state.copy(), group_state.copy()])
 
 
 def _first(shared: Shared, rest: float, d: int, first: int, seed: int):
@@ -539,7 +570,7 @@ def fit(chunks: DataFrame, words: Shared, rest: float, tokens: float, d: int = 1
     # A bounded sample, in an order of its own.
     begun = some.repartition(1).sortWithinPartitions("two", "one", "w").mapInArrow(_first(words, rest, d, first, seed), _BLOCKS)
     model = Shared().add(spark, stored(begun, "model"))
-    changes = texts.mapInArrow(_learner(words, rest, model, d, max(3e-5 * tokens, 100.0), seed), _CHANGES)
+    changes = texts.mapInArrow(_learner(words, rest, model, d, max(3e-6 * tokens, 100.0), seed), _CHANGES)
     # In two steps, so that no group has every shard's changes.
     changes = changes.groupBy("block", "part", "sub").applyInArrow(_added, _CHANGES)
     learned = changes.groupBy("block", "part").applyInArrow(_averaged(model, d), _BLOCKS)
