@@ -38,3 +38,22 @@ def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only.  Most words have no capital: only those that any
     lower-casing changes take the slower character map."""
     return F.when(F.lower(c) == c, c).otherwise(F.translate(c, UPPER, LOWER))
+
+
+def bounded_sample(rows: DataFrame, hashed: list[str], max_rows: int, max_bytes: int, by: str | None = None) -> DataFrame:
+    """About ``max_rows`` rows, whole, whose ``text`` is about ``max_bytes``
+    together, chosen by a hash of the columns ``hashed``.
+
+    With ``by``, its values share both bounds equally, so a value with few rows
+    keeps all of them.  A text larger than its share can't be in the sample.
+    """
+    value = F.col(by) if by else F.lit(None).cast("string")
+    sized = rows.withColumns({"_by": value.cast("string"), "_size": F.octet_length("text")})
+    values = sized.select("_by").distinct().count() if by else 1
+    share = max_bytes / max(values, 1)
+    fitting = sized.filter(F.col("_size") <= share)
+    per = fitting.groupBy("_by").agg(F.count("*").alias("n"), F.sum("_size").alias("size"))
+    rate = F.least(F.lit(1.0), max_rows / max(values, 1) / F.col("n"), share / F.greatest("size", F.lit(1)))
+    rates = per.select(F.col("_by").alias("_value"), F.ceil(rate * (1 << 30)).alias("_most"))
+    chosen = fitting.join(rates, F.col("_by").eqNullSafe(F.col("_value"))).filter(F.pmod(F.xxhash64(*hashed), F.lit(1 << 30)) < F.col("_most"))
+    return chosen.select(*rows.columns)

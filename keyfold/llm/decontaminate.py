@@ -187,5 +187,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` (with ``doc_id`` and ``text``), all columns, without contaminated rows."""
-    bad = contamination(docs, items, with_version=True).filter("contaminated").select(F.col("doc_id").alias("_bad_id"), F.col("version").alias("_bad_version")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_bad_version")), "left_anti")
+    bad = contamination(docs, items, with_version=True).filter("contaminated").select("doc_id", "version").distinct()
+    # Aliases: the documents may have columns of these names.
+    same = F.col("own.doc_id").eqNullSafe(F.col("bad.doc_id")) & (F.xxhash64(F.col("own.text").cast("string")) == F.col("bad.version"))
+    return docs.alias("own").join(bad.alias("bad"), same, "left_anti")

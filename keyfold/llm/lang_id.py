@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyfold.llm._spark import crc_mod
+from keyfold.llm._spark import bounded_sample, crc_mod
 from keyfold.llm._words import text_bytes
 
 LENGTH = 128
@@ -119,16 +119,14 @@ def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return np.where(inside, data[np.minimum(at, max(len(data) - 1, 0))], 0) if len(of) else np.zeros((0, LENGTH), np.uint8), of, length
 
 
-def fit(docs: DataFrame, train_col, max_rows: int = 4000, chars: int = 1500) -> ByteCNN | None:
-    """From ``text, lang`` of about ``max_rows`` labelled rows where
-    ``train_col`` holds, a run of at most ``chars`` characters of each (for
-    training alone), copies counted once; None without labelled rows."""
-    known = docs.filter(F.col("lang").isNotNull() & train_col & (F.length("text") > 0))
-    n = known.count()
-    run = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - chars, F.lit(0)) + 1) + 1
-    rows = (known.filter(F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 30)) < int(min(1.0, max_rows / max(n, 1)) * (1 << 30)))
-            .select(F.col("lang").cast("string").alias("lang"), F.substring(F.col("text"), run.cast("int"), F.lit(chars)).alias("text"))
-            .distinct().limit(4 * max_rows).toPandas())
+def fit(docs: DataFrame, train_col, max_rows: int = 4000, max_bytes: int = 16 << 20) -> ByteCNN | None:
+    """From ``text, lang`` of a bounded sample of the labelled rows where
+    ``train_col`` holds, whole texts, copies counted once; None without any.
+
+    Languages share the bounds equally: one with few rows keeps them all.
+    """
+    known = docs.filter(F.col("lang").isNotNull() & train_col & (F.length("text") > 0)).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    rows = bounded_sample(known, ["text", "lang"], max_rows, max_bytes, by="lang").distinct().toPandas()
     if not len(rows):
         return None
     rows = rows.sort_values(["lang", "text"], ignore_index=True)

@@ -7,9 +7,10 @@ source its part.  A shard takes all its blocks ``quota // blocks`` times, and
 a run of the rest from a seeded block on; documents stand in a seeded order,
 so a run is a random choice that leaves nearly all documents whole.
 
-Sizes: per-source and per-shard rows only leave the executors (sources are
-checked against ``max_sources``; a source has at most ``max_shards`` shards).
-A hot source is spread over its shards; no task holds a source.
+A source has as many shards as its words and rows need; they get their seats in
+two steps, by groups of shards and within a group, so no task holds a source or
+all its shards.  A row a source goes to the driver (checked against
+``max_sources``).
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from pyspark.sql import functions as F
 from keyfold.llm._spark import stored
 
 _SPACES = r"[\x20\x09-\x0D]+"
+#: Shards that get their seats together.
+GROUP = 1024
 
 
 def targets(sizes: Sequence[int], weights: Sequence[float], limit: float = 3.0) -> np.ndarray:
@@ -73,7 +76,7 @@ def sainte_lague(votes: Sequence[float], seats: int, most: Sequence[int]) -> np.
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *, weights: Sequence[float] = (1, 2, 3),
-        limit: int = 3, seed: int = 7, shard_words: int = 500_000, max_shards: int = 4096, max_block: int = 1024,
+        limit: int = 3, seed: int = 7, shard_words: int = 500_000, shard_rows: int = 20_000, max_block: int = 1024,
         max_sources: int = 100_000, keep: Sequence[str] = ()) -> DataFrame:
     """``doc_id, size, source_size, target, taken, passes, first, words``, a row per input row.
 
@@ -93,7 +96,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                       F.xxhash64(F.lit(seed), id_col, text_col).alias("order"), *[F.col(c).alias(f"kept_{c}") for c in keep])
     base = stored(own.select("doc_id", "source", "size", "order"), "sizes")
 
-    sums = base.groupBy("source").agg(F.sum("size").alias("source_size")).limit(max_sources + 1).toPandas()
+    sums = base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows")).limit(max_sources + 1).toPandas()
     if len(sums) > max_sources:
         raise ValueError(f"more than {max_sources} sources; group them first")
     named = sorted((x for x in sums["source"] if not pd.isna(x)))
@@ -104,7 +107,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     goal = targets(total, [weights[i % len(weights)] for i in range(len(sums))], limit)
     some = total[total > 0]
     block = int(max(1, min(max_block, some.min() // 256))) if len(some) else 1
-    shards = np.clip(-(-total // shard_words), 1, max_shards)
+    shards = np.maximum(-(-total // shard_words), -(-sums["rows"].astype("int64").to_numpy() // shard_rows))
     seats = int(round(goal.sum() / block))
     quota = sainte_lague(goal, seats, limit * (-(-total // block)))
     plan = pd.DataFrame({"rank": np.arange(len(sums)), "source": [None if pd.isna(x) else x for x in sums["source"]], "source_size": total,
@@ -118,15 +121,18 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         return (rows.join(plan.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
                 .withColumn("shard", F.pmod(F.col("order"), F.col("shards"))))
 
-    def deal(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        """The blocks of one source, at most ``max_shards`` rows, by shard."""
+    def deal(part: pd.DataFrame) -> pd.DataFrame:
+        """The seats of ``quota`` by shard (or group of shards)."""
         part = part.sort_values("shard", ignore_index=True)
         got = sainte_lague(part["words"], int(part["quota"].iloc[0]), limit * part["blocks"])
         return part[["rank", "shard", "words", "blocks"]].assign(got=got)
 
+    shape = "rank long, shard long, words long, blocks long, got long"
     sized = (sharded(base).groupBy("rank", "shard", "quota").agg(F.sum("size").alias("words"))
-             .withColumn("blocks", F.ceil(F.col("words") / block).cast("long")))
-    dealt = stored(sized.groupBy("rank").applyInPandas(deal, "rank long, shard long, words long, blocks long, got long"), "shards")
+             .withColumn("blocks", F.ceil(F.col("words") / block).cast("long")).withColumn("group", F.floor(F.col("shard") / GROUP)))
+    groups = sized.groupBy("rank", F.col("group").alias("shard"), "quota").agg(F.sum("words").alias("words"), F.sum("blocks").alias("blocks"))
+    groups = stored(groups.groupBy("rank").applyInPandas(deal, shape), "groups").select("rank", F.col("shard").alias("group"), F.col("got").alias("quota"))
+    dealt = stored(sized.drop("quota").join(groups, ["rank", "group"]).groupBy("rank", "group").applyInPandas(deal, shape), "shards")
 
     line = Window.partitionBy("rank", "shard").orderBy("order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     # Kept columns (texts, say) are read again rather than stored twice.

@@ -210,10 +210,11 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     of the rows that repeat an id and its text.
     """
     near = stored(near_duplicates(docs, **options), "near")
-    ids = near.groupBy("doc_id").agg(F.count("*").alias("_near_rows"), F.bool_or("kept").alias("_near_any")).withColumnRenamed("doc_id", "_near_id")
-    same = F.col("doc_id").eqNullSafe(F.col("_near_id"))
-    once = docs.join(ids.filter("_near_rows > 1 or not _near_any"), same, "left_anti")
-    return once.unionByName(docs.join(ids.filter("_near_rows > 1 and _near_any"), same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    ids = near.groupBy("doc_id").agg(F.count("*").alias("rows"), F.bool_or("kept").alias("any"))
+    # Aliases: the documents may have columns of these names.
+    same, own = F.col("own.doc_id").eqNullSafe(F.col("found.doc_id")), docs.alias("own")
+    once = own.join(ids.filter("rows > 1 or not any").alias("found"), same, "left_anti")
+    return once.unionByName(own.join(ids.filter("rows > 1 and any").alias("found"), same, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 #: DuckDB SQL for the rows of ``near_duplicates`` on documents with unique ids.

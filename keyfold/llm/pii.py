@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keyfold.llm._spark import bounded_sample
+
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, STEP = 96, 16
 _TAGS = 1 + 2 * len(KINDS)  # outside; begin and inside of each kind
@@ -375,15 +377,11 @@ def _found(model: Tagger, texts: list[str]) -> tuple[list[list[Span]], list[list
     return base, model_spans(model, texts, base)
 
 
-def fit(docs: DataFrame, max_rows: int = 600, window_rows: int = 3000) -> Tagger:
-    """Trained on windows of about ``max_rows`` texts chosen by a hash of the
-    text, a run of at most 20,000 characters of each (for training alone),
-    copies counted once."""
-    n = docs.count()
-    run = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - 20_000, F.lit(0)) + 1) + 1
-    texts = (docs.filter("text is not null").filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(min(1.0, max_rows / max(n, 1)) * (1 << 30)))
-             .select(F.substring(F.col("text"), run.cast("int"), F.lit(20_000)).alias("text"))
-             .distinct().limit(4 * max_rows).toPandas()["text"])
+def fit(docs: DataFrame, max_rows: int = 600, window_rows: int = 3000, max_bytes: int = 8 << 20) -> Tagger:
+    """Trained on windows of a bounded sample of the texts, whole, copies
+    counted once: about ``max_rows`` of about ``max_bytes`` together."""
+    known = docs.select(F.col("text").cast("string").alias("text")).filter("text is not null")
+    texts = bounded_sample(known, ["text"], max_rows, max_bytes).distinct().toPandas()["text"]
     return train(*labelled_windows(sorted(texts), window_rows))
 
 

@@ -5,9 +5,10 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from keyfold.llm import lang_id, pii, quality, toxicity
-from keyfold.llm._spark import crc_mod
+from keyfold.llm._spark import bounded_sample, crc_mod
 
 from .conftest import edge_rows, sentence
 
@@ -92,6 +93,28 @@ def test_language(docs, edge_docs, no_docs):
     assert lang_id.languages(no_docs).count() == 0
 
 
+def test_rare_languages_are_learned(spark):
+    r = random.Random(4)
+    letters = {"aa": "abcde", "bb": "fghij", "rare": "uvwxyz"}
+    word = lambda lang: "".join(r.choice(letters[lang]) for _ in range(6))
+    rows = [(i, " ".join(word(lang) for _ in range(30)), lang) for i in range(10_000) for lang in ["rare" if i in (4000, 8000) else r.choice(["aa", "bb"])]]
+    rows += [(10_001, "abc " * 2_000_000, "aa"), (10_002, None, "rare"), (10_003, "x", None)]  # a text larger than its share of the sample
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lang_id.fit(docs, F.lit(True), max_rows=300, max_bytes=600_000)
+    assert model.languages == ["aa", "bb", "rare"]
+    asked = spark.createDataFrame([(k, " ".join(word(lang) for _ in range(20))) for k, lang in enumerate(letters)], "doc_id long, text string")
+    assert [x.lang_pred for x in sorted(lang_id.predict(asked, model).collect(), key=lambda x: x.doc_id)] == list(letters)
+
+
+def test_bounded_samples_are_whole_texts(spark):
+    rows = [(f"text {i} " * 10, "ab"[i % 50 == 0]) for i in range(5000)]
+    df = spark.createDataFrame(rows, "text string, kind string")
+    got = bounded_sample(df, ["text"], 200, 10**6, by="kind").collect()
+    assert {x.text for x in got} <= {t for t, _ in rows} and sum(x.kind == "b" for x in got) > 60 and 150 < len(got) < 300
+    assert sum(len(x.text) for x in bounded_sample(df, ["text"], 10**6, 30_000).collect()) < 40_000
+    assert bounded_sample(df, ["text"], 10**6, 10**9, by="kind").count() == 5000 and bounded_sample(df.limit(0), ["text"], 5, 5).count() == 0
+
+
 def slow_spans(t):
     digits = lambda s: re.sub("[^0-9]", "", s)
     out = [(0, m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
@@ -156,6 +179,8 @@ def test_pii_finds_and_redacts(spark, docs, edge_docs, no_docs):
     assert key[1:3] == (1, 1)
     found = {text[int(a):int(b)] for _, a, b in (s.split(":") for s in spans.split(","))}
     assert {"+1 (415) 555-2671", "4111111111111111"} <= found
+    # What the patterns can't find, the model does: a spelled-out address, a number without its country.
+    assert {"john.doe (at) mail.example.com", "(415) 555-2671"} <= found and key[3] >= 2
     hidden = pii.redact(rows, model)
     assert hidden.columns == rows.columns
     out = {x.doc_id: x.text for x in hidden.collect()}

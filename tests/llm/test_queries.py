@@ -5,6 +5,7 @@ from itertools import combinations
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -74,6 +75,28 @@ def test_pipeline_stages(spark):
     assert five.filter("taken <= 0").count() == 0
 
 
+def test_pipeline_stages_on_edge_rows(spark, edge_docs, no_docs):
+    from tests.llm.conftest import edge_rows
+    names = ["_near_id", "_near_rows", "_near_any", "_bad_id", "_bad_version", "taken", "passes"]
+    odd = edge_docs.select("*", *[F.lit("clash").alias(c) for c in names])
+    stages = dict(corpus_pipeline.STAGES)
+    for docs in (odd, no_docs):
+        for name, stage in stages.items():
+            got = stage(spark, docs, SF)
+            rows = got.collect()
+            if docs is no_docs:
+                assert rows == []
+            if name != "mixing":
+                assert got.schema == docs.schema
+            elif docs is odd:
+                assert {"text", "lang", "source", "n_chars", "doc_taken", "doc_size", "version"} <= set(got.columns)
+                assert {x.doc_passes for x in rows} <= {"clash"} and all(x.taken > 0 for x in rows)
+    ids = lambda df: [x.doc_id for x in df.collect()]
+    kept = ids(stages["near_dedup"](spark, odd, SF))
+    assert len(kept) == len(edge_rows()) - 4 and 1 in kept and 2 not in kept and 3 not in kept  # a near copy, an upper-case copy, 13 (twice the text of 1)
+    assert len(ids(stages["pii"](spark, odd, SF))) == len(edge_rows())
+
+
 def test_pipeline_runs(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
 
