@@ -30,9 +30,12 @@ def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with how much of each: ``passes``
-    times the whole text and ``words`` words more from word ``first`` on."""
-    return mixing.mix(docs, keep=["text", "lang", "source"]).filter("taken > 0")
+    """The documents that the mix takes, all columns, with how much of each:
+    ``passes`` times the whole text and ``words`` words more from word ``first``
+    on.  A document column named like one of the mix's becomes ``doc_<name>``."""
+    own = {"size", "source_size", "target", "taken", "passes", "first", "words"}
+    docs = docs.withColumnsRenamed({c: f"doc_{c}" for c in docs.columns if c in own})
+    return mixing.mix(docs, keep=[c for c in docs.columns if c != "doc_id"]).filter("taken > 0")
 
 
 STAGES = [
@@ -48,6 +51,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of ``sf_dir``, each written and read again.
+
+    Null, empty, long and repeated texts, null ids, further columns and an empty
+    table go through with the results that the stages' operators state.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
