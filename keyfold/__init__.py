@@ -7,9 +7,12 @@ from column functions (``keyfold.functions``) and keyed aggregations
 result is upserted by key into JDBC or file tables (``keyfold.sinks``).
 
 Entry points: ``keyfold.plans.run_report`` (lines -> result table),
-``keyfold.plans.running.running_report`` (per-row running form),
-``keyfold.streaming.run_report_stream`` (continuous upsert), and the job
-runner ``python -m keyfold`` (report / generate / lines-to-kafka).
+``keyfold.plans.running.running_report`` (per-row running form, on a stream
+``running_report_sink``), ``keyfold.plans.reports.booking_reports`` (five
+reports from one scan), ``keyfold.plans.checked.checked_report`` (a report, its
+rejected lines and why), ``keyfold.streaming.run_report_stream`` (continuous
+upsert), and the job runner ``python -m keyfold`` (report / running / bookings
+/ generate / lines-to-kafka).
 """
 
 __version__ = "0.1.0"
