@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,13 +49,13 @@ def bounded_sample(rows: DataFrame, hashed: list[str], max_rows: int, max_bytes:
     With ``by``, its values share both bounds equally, so a value with few rows
     keeps all of them.  A text larger than its share can't be in the sample.
     """
-    value = F.col(by) if by else F.lit(None).cast("string")
-    sized = rows.withColumns({"_by": value.cast("string"), "_size": F.octet_length("text")})
-    values = sized.select("_by").distinct().count() if by else 1
+    value = F.col(by).cast("string") if by else F.lit("")
+    sized = rows.select(value.alias("value"), F.octet_length("text").alias("size"))
+    values = sized.select("value").distinct().count() if by else 1
     share = max_bytes / max(values, 1)
-    fitting = sized.filter(F.col("_size") <= share)
-    per = fitting.groupBy("_by").agg(F.count("*").alias("n"), F.sum("_size").alias("size"))
-    rate = F.least(F.lit(1.0), max_rows / max(values, 1) / F.col("n"), share / F.greatest("size", F.lit(1)))
-    rates = per.select(F.col("_by").alias("_value"), F.ceil(rate * (1 << 30)).alias("_most"))
-    chosen = fitting.join(rates, F.col("_by").eqNullSafe(F.col("_value"))).filter(F.pmod(F.xxhash64(*hashed), F.lit(1 << 30)) < F.col("_most"))
-    return chosen.select(*rows.columns)
+    per = sized.filter(F.col("size") <= share).groupBy("value").agg(F.count("*").alias("n"), F.sum("size").alias("size")).collect()  # a row a value
+    most = {x["value"]: math.ceil(min(1.0, max_rows / values / x["n"], share / max(x["size"], 1)) * (1 << 30)) for x in per}
+    # As a literal, not a join: the texts stay where they are.
+    known = F.create_map(*[F.lit(x) for v, n in most.items() if v is not None for x in (v, n)]) if set(most) - {None} else F.create_map().cast("map<string,int>")
+    rate = F.when(value.isNull(), F.lit(most.get(None, 0))).otherwise(F.coalesce(F.try_element_at(known, value), F.lit(0)))
+    return rows.filter((F.octet_length("text") <= share) & (F.pmod(F.xxhash64(*hashed), F.lit(1 << 30)) < rate))
