@@ -40,13 +40,15 @@ def pieces(value: Column) -> Column:
     shift = F.when(low, F.lit(640 // BITS)).otherwise(F.lit(0))
     # The highest bin: log2 may be off by a little, so it is taken a little higher, and four pieces reach below the last bit.
     top = F.least(F.floor((F.log2(F.abs(scaled)) + 0.5) / BITS), F.lit(HIGHEST)).cast("int")
-    found, rest = [], scaled
-    for j in range(4):
-        # No unit is below the last bit of a double here, but bins of the lowest values may lie below LOWEST: they are empty.
-        unit = F.pow(F.lit(2.0), (top - j) * BITS)
-        whole = F.when(unit > 0, F.signum(rest) * F.floor(F.abs(rest) / unit)).otherwise(0.0)
-        found.append(F.struct((top - j - shift).alias("bin"), whole.cast("decimal(11,0)").alias("units")))
-        rest = rest - whole * unit
+
+    def units(j: int) -> Column:
+        """Whole units of the j-th bin from the top (exact: a power of two parts them, and a double's fraction is one)."""
+        count = scaled / F.pow(F.lit(2.0), (top - j) * BITS)
+        return count - count % F.lit(1.0)
+
+    # A piece is what the bin above leaves out; each is taken from the value itself, so the expression stays flat.
+    whole = [units(0), *[units(j) - units(j - 1) * F.lit(2.0 ** BITS) for j in (1, 2, 3)]]
+    found = [F.struct((top - j - shift).alias("bin"), w.cast("decimal(11,0)").alias("units")) for j, w in enumerate(whole)]
     one = F.lit(1).cast("decimal(11,0)")
     odd = lambda b: F.array(F.struct(F.lit(b).alias("bin"), one.alias("units"))).cast(_PIECES)
     numbers = F.filter(F.array(*found).cast(_PIECES), lambda x: x["units"] != 0)
