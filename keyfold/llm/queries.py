@@ -33,7 +33,7 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.perspectives(table(spark, sf_dir, "conversations"))
+    return chat.perspectives(table(spark, sf_dir, "conversations"), turns=None)
 
 
 def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op2_fingerprints": simhash.PRINTS_SQL,
     "op3_decontamination": CONTAMINATION,
-    "op6_chat_perspectives": chat.CHAT_SQL,
+    "op6_chat_perspectives": chat.WHOLE_SQL,
     "op8_near_dedup": near_dedup.NEAR_SQL,
     "op12_fill_in_middle": infill.INFILL_SQL,
     "op13_conversation_repair": repair.REPAIR_SQL,

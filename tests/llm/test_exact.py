@@ -226,6 +226,46 @@ def test_chat_as_by_force_and_as_sql(spark):
     assert chat.perspectives(conv.limit(0)).count() == 0
 
 
+def test_chat_renders_long_dialogues_whole_for_every_participant(spark, tmp_path):
+    import duckdb
+    from keyfold.llm.queries import op6_chat_perspectives
+    r = random.Random(8)
+    rows = [(1, 0, "system", "s"), (1, 1, "late<", "speaks in the first turns only")]
+    rows += [(1, i, "system" if i == 150 else r.choice(["ann", "bob"]), f"turn {i} <| é") for i in range(2, 300)]
+    rows += [(2, 0, "system", "alone"), (None, None, "ann", None), (None, 3, None, "x"), (3, 1, "ann", "y" * 50), (3, 1, "ann", "y" * 50)]
+    rows += [(4, i, "system" if 60 <= i < 140 else "ann", "") for i in range(141)]  # a stretch of system turns
+    conv = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    conv.write.parquet(f"{tmp_path}/conversations.parquet")
+    got = sorted(map(tuple, op6_chat_perspectives(spark, str(tmp_path)).collect()), key=str)
+    unknown = [(c, t, "unknown" if role is None else role, x or "") for c, t, role, x in rows]
+    whole = {}
+    for c, speaker in {(c, role) for c, _, role, _ in unknown if role != "system"}:
+        own = sorted((x for x in unknown if x[0] == c), key=lambda x: (x[1] is not None, x[1] or 0))
+        text, spans, trained = "", [], 0
+        for _, _, role, said in own:
+            text += "<|system|>\n" if role == "system" else "<|assistant|>\n" if role == speaker else f"<|user name={role.replace('<', '_')}|>\n"
+            body = said.replace("<|", "<||") + chat.END
+            if role == speaker:
+                spans.append(f"{len(text)}:{len(text) + len(body)}")
+                trained += len(body)
+            text += body
+        whole[c, speaker] = (len(own), 0, trained, text, ",".join(spans))
+    assert {(x[0], x[2]): x[3:] for x in got} == whole and len(got) == len(whole) and {x[1] for x in got} == {0}
+    with duckdb.connect() as c:
+        c.execute(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
+        assert sorted(c.execute(chat.WHOLE_SQL).fetchall(), key=str) == got
+    # Rows of some hundred characters: the same renderings, put together by part.
+    parts = sorted(map(tuple, chat.perspectives(conv, turns=None, part_chars=500).collect()), key=lambda x: (str(x[0]), x[2], x[1]))
+    again, before = {}, Counter()
+    for c, _, speaker, n_turns, n_context, n_trained, text, spans in parts:
+        n, _, trained, sofar, marks = again.get((c, speaker), (0, 0, 0, "", ""))
+        assert n_context == n and len(text) < 1200
+        moved = [":".join(str(int(y) + len(sofar)) for y in x.split(":")) for x in spans.split(",") if x]
+        again[c, speaker] = (n + n_turns, 0, trained + n_trained, sofar + text, ",".join([x for x in [marks] if x] + moved))
+        before[c] += 1
+    assert again == whole and before[1] > 30
+
+
 def test_sainte_lague_against_one_seat_at_a_time():
     r = random.Random(1)
     for _ in range(300):
