@@ -17,16 +17,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, rows_a_file: int = 0) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back.
 
     Cuts the lineage with files that every executor sees, so a lost executor
-    costs only its running tasks.
+    costs only its running tasks.  Large rows are better in files of
+    ``rows_a_file``: a reader holds some thousand rows of a file at once.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = fresh_path(spark, "llm", name)
-    df.write.parquet(path)
+    writer = df.write.option("maxRecordsPerFile", rows_a_file) if rows_a_file else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -22,7 +22,8 @@ once a chunk, and no group has more than one entry a chunk and word.
 Vocabulary and parameters are tables of blocks in the shared folder.  They are
 made and averaged by tasks; the driver hands them on as broadcasts, some blocks
 (about 16 MB) at a time, and keeps none.  A Python worker holds them whole:
-140 bytes a word, at most ``most_words`` words.  Texts are dealt to shards by a
+140 bytes a word, at most ``most_words`` words; one that learns has a second
+copy that it changes, one that scores takes rows from where they are.  Texts are dealt to shards by a
 hash, so shards, and with them the scores, don't depend on the cluster.
 """
 
@@ -46,7 +47,8 @@ END = mix(np.array([0x1234567], np.uint64))[0]
 CHUNK_BYTES = 4 << 20
 #: Distinct words of one range that all chunks send together.
 RANGE_ENTRIES = 3_000_000
-_CHUNK = "chunk long, doc_ids array<{kind}>, train array<boolean>, n_tokens array<int>, tok array<int>, uniq array<long>, cnt array<int>"
+#: A chunk's lists of numbers are bytes: ``tok`` and ``cnt`` packed, ``uniq`` as 64 bits.
+_CHUNK = "chunk long, doc_ids array<{kind}>, train array<boolean>, n_tokens array<int>, tok binary, uniq binary, n_uniq long, cnt binary"
 
 
 def _list(values: np.ndarray, kind: pa.DataType) -> pa.Array:
@@ -55,6 +57,24 @@ def _list(values: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 as bytes: how many, 16 bits each, then the larger ones."""
+    small = np.minimum(values, 0xFFFF).astype(np.uint16)
+    return np.int64(len(values)).tobytes() + small.tobytes() + values[small == 0xFFFF].astype(np.int64).tobytes()
+
+
+def _unpacked(data, kind=np.int64) -> np.ndarray:
+    n = int(np.frombuffer(data, np.int64, 1)[0])
+    small = np.frombuffer(data, np.uint16, n, 8)
+    values = small.astype(kind)
+    values[small == 0xFFFF] = np.frombuffer(bytes(memoryview(data)[8 + 2 * n:]), np.int64)
+    return values
+
+
+def _bytes(*values: bytes) -> pa.Array:
+    return pa.array(values, pa.binary())
+
+
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 32
     for batch in batches:
@@ -66,10 +86,14 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             h = np.insert(h, np.cumsum(words), END)
             n = words + 1
             uniq, tok = np.unique(h, return_inverse=True)
-            counts = np.bincount(tok, np.repeat(train[i:j], n), len(uniq))
+            counts = np.bincount(tok, np.repeat(train[i:j], n), len(uniq)).astype(np.int64)
+            # Frequent words first: their numbers are short.
+            order = np.argsort(-np.bincount(tok, minlength=len(uniq)), kind="stable")
+            number_of = np.empty(len(uniq), np.int32)
+            number_of[order] = np.arange(len(uniq), dtype=np.int32)
             yield pa.record_batch([pa.array([number], pa.int64()), _list(batch.column("doc_id")[i:j], None), _list(train[i:j], pa.bool_()), _list(n, pa.int32()),
-                                   _list(tok.astype(np.int32), pa.int32()), _list(uniq.view(np.int64), pa.int64()), _list(counts.astype(np.int32), pa.int32())],
-                                  names=["chunk", "doc_ids", "train", "n_tokens", "tok", "uniq", "cnt"])
+                                   _bytes(_packed(number_of[tok])), _bytes(uniq[order].tobytes()), pa.array([len(uniq)], pa.int64()), _bytes(_packed(counts[order]))],
+                                  names=["chunk", "doc_ids", "train", "n_tokens", "tok", "uniq", "n_uniq", "cnt"])
             number += 1
 
 
@@ -77,17 +101,24 @@ def _flat(batch: pa.RecordBatch, name: str, row: int) -> np.ndarray:
     return batch.column(name)[row].values.to_numpy(zero_copy_only=False)
 
 
+def _words_of(batch: pa.RecordBatch, row: int) -> np.ndarray:
+    """The hashes of a chunk's distinct words."""
+    return np.frombuffer(batch.column("uniq")[row].as_buffer(), np.uint64)
+
+
 def _requests(bits: int):
     """``r, chunk, h, n``: a chunk's distinct words by the top ``bits`` of their hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                h, n = _flat(batch, "uniq", row), _flat(batch, "cnt", row)
-                r = (h.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
-                at = np.concatenate([np.flatnonzero(np.diff(r, prepend=-1)), [len(r)]]).astype(np.int32)
+                h, n = _words_of(batch, row), _unpacked(batch.column("cnt")[row].as_buffer())
+                order = np.argsort(h)
+                h, n = h[order], n[order]
+                r = (h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
+                at = np.concatenate([np.flatnonzero(np.diff(r, prepend=-1)), [len(r)]])
                 k = len(at) - 1
                 yield pa.record_batch([pa.array(r[at[:-1]]), pa.array(np.full(k, batch.column("chunk")[row].as_py(), np.int64)),
-                                       pa.ListArray.from_arrays(pa.array(at), pa.array(h)), pa.ListArray.from_arrays(pa.array(at), pa.array(n.astype(np.int32)))], names=["r", "chunk", "h", "n"])
+                                       _bytes(*(h[i:j].tobytes() for i, j in zip(at, at[1:], strict=False))), _bytes(*(_packed(n[i:j]) for i, j in zip(at, at[1:], strict=False)))], names=["r", "chunk", "h", "n"])
     return run
 
 
@@ -95,20 +126,18 @@ def _answer(floor: int):
     """``chunk, r, c``: the corpus counts of each chunk's words of one range;
     and one row of chunk -1 with the range's sums and its words of ``floor`` or more."""
     def run(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        lists = table.column("h").combine_chunks()
-        sizes = np.diff(lists.offsets.to_numpy())
-        h, place = np.unique(lists.flatten().to_numpy().view(np.uint64), return_inverse=True)
-        c = np.bincount(place, table.column("n").combine_chunks().flatten().to_numpy(), len(h)).astype(np.int64)
+        sent = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("h")]
+        ends = np.cumsum([0, *map(len, sent)])
+        h, place = np.unique(np.concatenate(sent), return_inverse=True)
+        c = np.bincount(place, np.concatenate([_unpacked(x.as_buffer()) for x in table.column("n")]), len(h)).astype(np.int64)
         seen = c[c > 0]
         sums = [len(seen), seen.sum(), (seen == 1).sum(), (seen == 2).sum()]
         best = np.flatnonzero(c >= floor)
-        ends = np.concatenate([[0], np.cumsum(sizes), [sizes.sum() + len(best)]]).astype(np.int32)
         rows = table.num_rows
         empty = [[]] * rows
         return pa.table({"chunk": pa.array(np.append(table.column("chunk").to_numpy(), -1)), "r": pa.array(np.append(table.column("r").to_numpy(), table.column("r")[0].as_py())),
-                         "c": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([c[place], c[best]]))),
-                         "sums": pa.array([*empty, [int(x) for x in sums]], pa.list_(pa.int64())), "h": pa.array([*empty, h[best].view(np.int64)], pa.list_(pa.int64()))})
+                         "c": _bytes(*(_packed(c[place[i:j]]) for i, j in zip(ends, ends[1:], strict=False)), _packed(c[best])),
+                         "sums": pa.array([*empty, [int(x) for x in sums]], pa.list_(pa.int64())), "h": _bytes(*[b""] * rows, h[best].tobytes())})
     return run
 
 
@@ -116,9 +145,8 @@ def _ids_of(uniq: np.ndarray, top: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """The word number of each hash: that of its place in ``top`` (sorted), or ``len(top)``."""
     if not len(top):
         return np.zeros(len(uniq), np.int64)
-    u = uniq.view(np.uint64)
-    at = np.minimum(np.searchsorted(top, u), len(top) - 1)
-    return np.where(top[at] == u, ids[at], len(top))
+    at = np.minimum(np.searchsorted(top, uniq), len(top) - 1)
+    return np.where(top[at] == uniq, ids[at], len(top))
 
 
 def _contexts(cls: np.ndarray, n: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
@@ -134,7 +162,7 @@ def _contexts(cls: np.ndarray, n: np.ndarray, start: int) -> tuple[np.ndarray, n
 def _trigrams(batch: pa.RecordBatch, row: int, top: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, ...]:
     """(two before, one before, word) of a chunk's training tokens, as word numbers."""
     n = _flat(batch, "n_tokens", row).astype(np.int64)
-    w = _ids_of(_flat(batch, "uniq", row), top, ids)[_flat(batch, "tok", row)]
+    w = _ids_of(_words_of(batch, row), top, ids).astype(np.int32)[_unpacked(batch.column("tok")[row].as_buffer(), np.int32)]
     two, one = _contexts(w, n, len(top) + 1)
     learns = np.repeat(_flat(batch, "train", row).astype(bool), n)
     return two[learns], one[learns], w[learns]
@@ -180,7 +208,7 @@ class Classes:
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``bucket, words, tokens`` of each batch of ``h, c`` lists."""
     for batch in batches:
-        c = batch.column("c").flatten().to_numpy()
+        c = np.concatenate([_unpacked(x.as_buffer()) for x in batch.column("c")])
         b, at = np.unique(bucket(c), return_inverse=True)
         yield pa.record_batch([pa.array(b.astype(np.int64)), pa.array(np.bincount(at, minlength=len(b)).astype(np.int64)), pa.array(np.bincount(at, c, len(b)).astype(np.int64))], names=["bucket", "words", "tokens"])
 
@@ -189,7 +217,8 @@ def _placed(classes: Classes):
     """``block, cls, h, c`` of the words in the vocabulary."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h, c = batch.column("h").flatten().to_numpy().view(np.uint64), batch.column("c").flatten().to_numpy()
+            h = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("h")])
+            c = np.concatenate([_unpacked(x.as_buffer()) for x in batch.column("c")])
             inside = bucket(c) >= classes.lowest
             cls = classes.of(h[inside], c[inside])
             yield pa.record_batch([pa.array(classes.block[cls]), pa.array(cls), pa.array(h[inside].view(np.int64)), pa.array(c[inside])], names=["block", "cls", "h", "c"])
@@ -207,6 +236,8 @@ def _block_row(table: pa.Table) -> pa.Table:
 #: What a block's bytes are: words of the vocabulary, context vectors, target vectors; the rest has block -1.
 VOCABULARY, WORDS, TARGETS, REST = range(4)
 _BLOCKS = "block long, part int, data binary"
+#: Blocks (of about 2 MB) that a file has at most.
+BLOCK_ROWS = 4
 
 
 @dataclass
@@ -222,7 +253,8 @@ class Shared:
 
         def bring() -> None:
             wanted = F.struct("block", "part").isin([F.struct(F.lit(b).cast("long"), F.lit(p).cast("int")) for b, p in held])
-            for row in rows.filter(wanted).collect():
+            # By the range of blocks, files of others aren't read.
+            for row in rows.filter(F.col("block").between(held[0][0], held[-1][0]) & wanted).collect():
                 found[row.part, row.block] = spark.sparkContext.broadcast(bytes(row.data))
 
         for key in sorted(keys, key=lambda x: (x.block, x.part)):
@@ -281,12 +313,23 @@ def class_bounds(times: np.ndarray) -> np.ndarray:
     return np.append(_cuts(np.cbrt(p)), len(times)) if len(p) else np.array([0, 1])
 
 
+def _order(index: np.ndarray) -> np.ndarray:
+    """A stable order; that of numbers of 16 bits is found faster."""
+    return np.argsort(index.astype(np.uint16) if len(index) and index.max() < 1 << 16 else index, kind="stable")
+
+
 def _grouped(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct numbers of ``index`` and the sums of their rows of ``values``."""
-    order = np.argsort(index, kind="stable")
+    order = _order(index)
     at = index[order]
-    starts = np.flatnonzero(np.diff(at, prepend=-1))
-    return at[starts], np.add.reduceat(values[order], starts)
+    new = np.diff(at, prepend=-1) != 0
+    starts = np.flatnonzero(new)
+    if 4 * len(starts) < len(index):
+        return at[starts], np.add.reduceat(values.take(order, 0), starts)
+    # Most numbers are there once: only the others' rows are added.
+    sums, more = values.take(order[starts], 0), np.flatnonzero(~new)
+    np.add.at(sums, np.cumsum(new)[more] - 1, values.take(order[more], 0))
+    return at[starts], sums
 
 
 def _logistic(z: np.ndarray) -> np.ndarray:
@@ -298,20 +341,43 @@ def group_bounds(mass: np.ndarray) -> np.ndarray:
     return _cuts(np.sqrt(mass / mass.sum()))
 
 
-def _within(q: np.ndarray, at: np.ndarray, chosen: np.ndarray, edges: np.ndarray, table: np.ndarray, out: np.ndarray) -> None:
+def _run_of(edges: np.ndarray) -> np.ndarray:
+    """The run between ``edges`` that each number lies in."""
+    return np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+
+
+def _within(q: np.ndarray, at: np.ndarray, chosen: np.ndarray, run: np.ndarray, edges: np.ndarray, table, out: np.ndarray) -> None:
     """Adds ln P(chosen | its run) to ``out``: a softmax over the run between ``edges`` that it lies in."""
-    run = np.searchsorted(edges, chosen, "right") - 1
-    order = np.argsort(run, kind="stable")
+    order = _order(run)
     cuts = np.searchsorted(run[order], np.arange(len(edges)))
     for r in np.flatnonzero((np.diff(cuts) > 0) & (np.diff(edges) > 1)):
         lo, hi = edges[r], edges[r + 1]
-        step = max(1, (1 << 18) // (hi - lo))
+        step, rows_in, ones = max(1, (1 << 18) // (hi - lo)), table[lo:hi].T, np.ones(hi - lo, np.float32)
         for i in range(cuts[r], cuts[r + 1], step):
             rows = order[i:min(i + step, cuts[r + 1])]
-            z = q[at[rows]] @ table[lo:hi].T
-            z -= z.max(1, keepdims=True)
+            z = q.take(at[rows], 0) @ rows_in
+            if z.max() > 60 or z.min() < -60:  # exp would leave its range
+                z -= z.max(1, keepdims=True)
             mine = z[np.arange(len(rows)), chosen[rows] - lo]
-            out[rows] += mine - np.log(np.exp(z, out=z).sum(1))
+            out[rows] += mine - np.log(np.exp(z, out=z) @ ones)
+
+
+class Blocks:
+    """Rows that lie in blocks, as one table of which slices of a block and rising rows are taken."""
+
+    def __init__(self, parts: list[np.ndarray]):
+        self.parts = parts
+        self.first = np.cumsum([0, *map(len, parts)])
+
+    def __len__(self) -> int:
+        return int(self.first[-1])
+
+    def __getitem__(self, rows):
+        if isinstance(rows, slice):
+            b = np.searchsorted(self.first, rows.start, "right") - 1
+            return self.parts[b][rows.start - self.first[b]:rows.stop - self.first[b]]
+        cuts = np.searchsorted(rows, self.first)
+        return np.concatenate([x[rows[i:j] - lo] for x, i, j, lo in zip(self.parts, cuts, cuts[1:], self.first, strict=False)])
 
 
 @dataclass
@@ -325,6 +391,16 @@ class LogBilinear:
     over: np.ndarray  # first classes of the groups, and their number
     times: np.ndarray  # k, training counts
     squares: list[np.ndarray]  # Adagrad: a row of words, places, a row of targets, classes and groups
+    rows: tuple[np.ndarray, ...]  # what all these are views of: words' rows, targets' rows, the state of training last in each, and all other numbers
+
+    @classmethod
+    def of_rows(cls, words: np.ndarray, targets: np.ndarray, others: np.ndarray, bounds: np.ndarray, over: np.ndarray, times: np.ndarray) -> LogBilinear:
+        """All parameters as views of the arrays given."""
+        d, c, g = words.shape[1] - 1, len(bounds) - 1, len(over) - 1
+        sizes = [c * (d + 1), c, g * (d + 1), g, 2 * d * d, 2 * d * d]
+        classes, class_state, groups, group_state, places, place_state = np.split(others, np.cumsum(sizes)[:-1])
+        return cls(words[:, :d], places.reshape(2, d, d), targets[:, :d + 1], classes.reshape(c, d + 1), groups.reshape(g, d + 1), bounds, over, times,
+                   [words[:, d], place_state.reshape(2, d, d), targets[:, d + 1], class_state, group_state], (words, targets, others))
 
     @classmethod
     def start(cls, times: np.ndarray, d: int, seed: int, bounds: np.ndarray | None = None) -> LogBilinear:
@@ -335,27 +411,40 @@ class LogBilinear:
         over = group_bounds(mass)
         above = np.add.reduceat(mass, over[:-1])
         k, c, g = len(times), len(mass), len(above)
-        draw = lambda n: rng.normal(0, 0.1, (n, d)).astype(np.float32)
-        bias = lambda x: np.log(x / times.sum()).astype(np.float32)[:, None]
-        return cls(draw(k + 1), (np.stack([np.eye(d), np.eye(d)]) * 0.5).astype(np.float32), np.hstack([draw(k), bias(times)]), np.hstack([draw(c), bias(mass)]), np.hstack([draw(g), bias(above)]),
-                   bounds, over, times, [np.full(n, 0.1, np.float32) for n in (k + 1, (2, d, d), k, c, g)])
-
-    def copy(self) -> LogBilinear:
-        return LogBilinear(self.words.copy(), self.places.copy(), self.targets.copy(), self.classes.copy(), self.groups.copy(), self.bounds, self.over, self.times, [s.copy() for s in self.squares])
+        words, targets = np.empty((k + 1, d + 1), np.float32), np.empty((k, d + 2), np.float32)
+        model = cls.of_rows(words, targets, np.empty((c + g) * (d + 2) + 4 * d * d, np.float32), bounds, over, times)
+        for table in (model.words, model.targets, model.classes, model.groups):
+            for lo in range(0, len(table), 1 << 14):  # drawn at double precision
+                part = table[lo:lo + (1 << 14), :d]
+                part[:] = rng.normal(0, 0.1, part.shape)
+        for table, x in ((model.targets, times), (model.classes, mass), (model.groups, above)):
+            table[:, d] = np.log(x / times.sum())
+        model.places[:] = np.eye(d) * 0.5
+        for x in model.squares:
+            x[:] = 0.1
+        return model
+
+    def states(self) -> list[slice]:
+        """Where the state of training lies in the third array of ``rows``."""
+        ends = np.cumsum([x.size for x in (self.classes, self.squares[3], self.groups, self.squares[4], self.places, self.squares[1])])
+        return [slice(ends[i], ends[i + 1]) for i in (0, 2, 4)]
 
     def learn(self, grams: tuple[np.ndarray, ...], weights: np.ndarray, rng: np.random.Generator, batch: int = 4096, group_noise: int = 16, noise: int = 4, rate: float = 0.1) -> None:
         """One pass: groups against groups drawn by frequency, classes against
         some of their group, words against some of their class."""
-        d = self.words.shape[1]
+        d = self.places.shape[1]
+        words_rows, target_rows, _ = self.rows
+        class_of, group_of = _run_of(self.bounds), _run_of(self.over)
         sums = np.concatenate([[0.0], np.cumsum(self.times)])
         group_sums = sums[self.bounds][self.over]
         group_p = np.log(np.diff(group_sums) / sums[-1]).astype(np.float32)
         for lo in range(0, len(weights), batch):
             two, one, w = (g[lo:lo + batch] for g in grams)
             weight = weights[lo:lo + batch, None].astype(np.float32)
-            n, c = len(w), np.searchsorted(self.bounds, w, "right") - 1
-            g = np.searchsorted(self.over, c, "right") - 1
-            xa, xb = self.words[two], self.words[one]
+            n, c = len(w), class_of[w]
+            g = group_of[c]
+            # Whole rows, with the state, are faster to take.
+            xa, xb = words_rows.take(two, 0)[:, :d], words_rows.take(one, 0)[:, :d]
             q = np.ones((n, d + 1), np.float32)
             q[:, :d] = xa @ self.places[0] + xb @ self.places[1]
             drawn = np.minimum(np.searchsorted(group_sums, rng.random(group_noise) * sums[-1], "right") - 1, len(self.groups) - 1)
@@ -365,7 +454,7 @@ class LogBilinear:
             g_others = _logistic(q @ others.T - group_p[drawn] - shift) * weight
             dq = g_own * own + g_others @ others
             found = [_grouped(np.concatenate([g, drawn]), np.concatenate([g_own * q, g_others.T @ q]))]
-            for chosen, parent, edges, table in ((c, g, self.over, self.classes), (w, c, self.bounds, self.targets)):
+            for chosen, parent, edges, table in ((c, g, self.over, self.classes), (w, c, self.bounds, target_rows)):
                 # Children of one parent are about equally frequent: noise is drawn evenly.  A parent of one child has nothing to learn.
                 many = np.flatnonzero(np.diff(edges)[parent] > 1)
                 if not len(many):
@@ -376,38 +465,50 @@ class LogBilinear:
                 which = np.empty((len(many), 1 + noise), np.int64)
                 which[:, 0] = chosen[many]
                 which[:, 1:] = low[:, None] + (rng.random((len(many), noise), np.float32) * size[:, None]).astype(np.int64)
-                rows, mine = table[which], q[many]
-                grad = _logistic(np.matmul(rows, mine[:, :, None])[:, :, 0] + np.log(size / noise).astype(np.float32)[:, None])
+                rows, mine = table.take(which, 0)[:, :, :d + 1], q[many]
+                grad = _logistic(np.einsum("nkd,nd->nk", rows, mine) + np.log(size / noise).astype(np.float32)[:, None])
                 grad[:, 0] -= 1
                 grad *= weight[many]
-                dq[many] += np.matmul(grad[:, None, :], rows)[:, 0]
-                found.append(_grouped(which.ravel(), (grad[:, :, None] * mine[:, None, :]).reshape(-1, d + 1)))
+                dq[many] += np.einsum("nk,nkd->nd", grad, rows)
+                found.append(_grouped(which.ravel(), np.einsum("nk,nd->nkd", grad, mine).reshape(-1, d + 1)))
             dq = dq[:, :d]
             words = _grouped(np.concatenate([two, one]), np.concatenate([dq @ self.places[0].T, dq @ self.places[1].T]))
             places = np.stack([xa.T @ dq, xb.T @ dq])
             self.squares[1] += places * places
             self.places -= 0.1 * rate * places / np.sqrt(self.squares[1])
-            for p, s, change in ((self.words, self.squares[0], words), (self.groups, self.squares[4], found[0]), (self.classes, self.squares[3], found[1]), (self.targets, self.squares[2], found[2])):
+            for p, s, change in ((self.groups, self.squares[4], found[0]), (self.classes, self.squares[3], found[1])):
                 if change is not None:
                     at, grad = change
-                    s[at] += (grad * grad).mean(1)
+                    s[at] += np.einsum("nd,nd->n", grad, grad) / grad.shape[1]
                     p[at] -= rate * grad / np.sqrt(s[at])[:, None]
+            for table, change in ((words_rows, words), (target_rows, found[2])):
+                if change is not None:
+                    at, grad = change
+                    rows = table.take(at, 0)
+                    rows[:, -1] += np.einsum("nd,nd->n", grad, grad) / grad.shape[1]
+                    rows[:, :-1] -= rate * grad / np.sqrt(rows[:, -1:])
+                    table[at] = rows
 
-    def log_probability(self, grams: tuple[np.ndarray, ...], placed: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    def log_probability(self, grams: tuple[np.ndarray, ...]) -> np.ndarray:
         """log10 P(word | two before, one before) of each trigram, normalised; equal ones once."""
-        k, d = len(self.targets), self.words.shape[1]
-        before, after = placed or (self.words @ self.places[0], self.words @ self.places[1])
+        k, d = len(self.targets), self.places.shape[1]
         two, one, w = grams
         seen, at = np.unique(two * (k + 1) + one, return_inverse=True)
         pairs, back = np.unique(at * k + w, return_inverse=True)
-        at, w = pairs // k, pairs % k
+        at, w = np.divmod(pairs, k)
+        two, one = np.divmod(seen, k + 1)
+        there = np.zeros(k + 1, bool)
+        there[two] = there[one] = True
+        row_of, words = np.cumsum(there, dtype=np.int32) - 1, self.words[np.flatnonzero(there)]
         q = np.ones((len(seen), d + 1), np.float32)
-        q[:, :d] = before[seen // (k + 1)] + after[seen % (k + 1)]
-        c = np.searchsorted(self.bounds, w, "right") - 1
-        g = np.searchsorted(self.over, c, "right") - 1
-        out = np.zeros(len(pairs), np.float32)
-        for chosen, edges, table in ((g, np.array([0, len(self.groups)]), self.groups), (c, self.over, self.classes), (w, self.bounds, self.targets)):
-            _within(q, at, chosen, edges, table, out)
+        q[:, :d] = (words @ self.places[0]).take(row_of[two], 0)
+        q[:, :d] += (words @ self.places[1]).take(row_of[one], 0)
+        del seen, two, one, pairs, row_of
+        c = _run_of(self.bounds)[w]
+        g = _run_of(self.over)[c]
+        out = np.zeros(len(w), np.float32)
+        for chosen, run, edges, table in ((g, np.zeros(len(g), np.int64), np.array([0, len(self.groups)]), self.groups), (c, g, self.over, self.classes), (w, c, self.bounds, self.targets)):
+            _within(q, at, chosen, run, edges, table, out)
         return (out / np.float32(math.log(10)))[back]
 
     def log_probabilities(self) -> np.ndarray:
@@ -428,16 +529,9 @@ def train(codes: np.ndarray, times: np.ndarray, k: int, d: int = 16, steps: int
 
 
 # -- its blocks, and learning by shards ---------------------------------------------
-def _parameters(model: LogBilinear) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows of the words' vectors and of the targets, the state of training last in each, and all other numbers."""
-    words, places, targets, classes, groups = model.squares
-    others = [model.classes, classes, model.groups, groups, model.places, places]
-    return np.hstack([model.words, words[:, None]]), np.hstack([model.targets, targets[:, None]]), np.concatenate([x.ravel() for x in others])
-
-
 def _rows_of(model: LogBilinear, sizes: list[int]) -> Iterator[tuple[int, int, bytes]]:
     """(block, part, bytes) of all parameters."""
-    words, targets, others = _parameters(model)
+    words, targets, others = model.rows
     lo = 0
     for block, n in enumerate(sizes):
         yield block, WORDS, words[lo:lo + n].tobytes()
@@ -446,17 +540,45 @@ def _rows_of(model: LogBilinear, sizes: list[int]) -> Iterator[tuple[int, int, b
     yield -1, REST, b"".join(x.tobytes() for x in (words[lo:], targets[lo:], others))
 
 
+def _blocks_of(shared: Shared, v: Vocabulary, d: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(block, first word, words' rows, targets' rows), not copied."""
+    lo = 0
+    for block, (n, words, targets) in enumerate(zip(v.sizes, shared.arrays(WORDS), shared.arrays(TARGETS), strict=True)):
+        yield block, lo, np.frombuffer(words, np.float32).reshape(n, d + 1), np.frombuffer(targets, np.float32).reshape(n, d + 2)
+        lo += n
+
+
+def _last(shared: Shared, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The last rows of the words and of the targets, and all other numbers, not copied."""
+    words, targets, others = np.split(np.frombuffer(shared.arrays(REST)[0], np.float32), [2 * (d + 1), 3 * d + 4])
+    return words.reshape(2, d + 1), targets.reshape(1, d + 2), others
+
+
 def _model(shared: Shared, v: Vocabulary, d: int) -> LogBilinear:
-    """The model of shared blocks."""
-    words, targets = ([np.frombuffer(x, np.float32) for x in shared.arrays(part)] for part in (WORDS, TARGETS))
+    """The model of shared blocks, in arrays of its own."""
+    k = sum(v.sizes)
+    last = _last(shared, d)
+    words, targets = np.empty((k + 2, d + 1), np.float32), np.empty((k + 1, d + 2), np.float32)
+    for _, lo, w, t in _blocks_of(shared, v, d):
+        words[lo:lo + len(w)], targets[lo:lo + len(t)] = w, t
+    words[k:], targets[k:], others = last[0], last[1], last[2].copy()
+    return LogBilinear.of_rows(words, targets, others, v.bounds, *_groups_of(v))
+
+
+def _groups_of(v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """The groups' bounds and the smoothed counts."""
     times = v.times + 0.5
-    over = group_bounds(np.add.reduceat(times, v.bounds[:-1]))
-    c, g = len(v.bounds) - 1, len(over) - 1
-    sizes = [2 * (d + 1), d + 2, c * (d + 1), c, g * (d + 1), g, 2 * d * d, 2 * d * d]
-    last_words, last_target, classes, class_state, groups, group_state, places, place_state = np.split(np.frombuffer(shared.arrays(REST)[0], np.float32), np.cumsum(sizes)[:-1])
-    words, targets = np.concatenate([*words, last_words]).reshape(-1, d + 1), np.concatenate([*targets, last_target]).reshape(-1, d + 2)
-    return LogBilinear(np.ascontiguousarray(words[:, :d]), places.reshape(2, d, d).copy(), np.ascontiguousarray(targets[:, :d + 1]), classes.reshape(c, d + 1).copy(), groups.reshape(g, d + 1).copy(),
-                       v.bounds, over, times, [words[:, d].copy(), place_state.reshape(2, d, d).copy(), targets[:, d + 1].copy(), class_state.copy(), group_state.copy()])
+    return group_bounds(np.add.reduceat(times, v.bounds[:-1])), times
+
+
+def _fitted(shared: Shared, v: Vocabulary, d: int) -> LogBilinear:
+    """The model of shared blocks, for scoring: words and targets stay where they are."""
+    *last, others = _last(shared, d)
+    model = LogBilinear.of_rows(*last, others, v.bounds, *_groups_of(v))
+    found = list(_blocks_of(shared, v, d))
+    model.words = Blocks([*(x[:, :d] for _, _, x, _ in found), model.words])
+    model.targets = Blocks([*(x[:, :d + 1] for *_, x in found), model.targets])
+    return model
 
 
 def _first(shared: Shared, rest: float, d: int, first: int, seed: int):
@@ -478,19 +600,21 @@ def _first(shared: Shared, rest: float, d: int, first: int, seed: int):
 _CHANGES = "block long, part int, sub int, rows array<int>, tasks array<int>, change binary"
 
 
-def _changed(model: LogBilinear, base: LogBilinear, sizes: list[int], shard: int) -> Iterator[pa.RecordBatch]:
+def _changed(model: LogBilinear, shared: Shared, v: Vocabulary, d: int, shard: int) -> Iterator[pa.RecordBatch]:
     """A shard's changes by block, of the rows that it changed (half precision); the state of training stays as it was."""
-    model.squares = base.squares
-    new, old = _parameters(model), _parameters(base)
-    lo = 0
-    for block, n in enumerate(sizes):
-        for part in (WORDS, TARGETS):
-            change = new[part - WORDS][lo:lo + n] - old[part - WORDS][lo:lo + n]
+    words, targets, others = model.rows
+    for block, lo, *old in _blocks_of(shared, v, d):
+        for part, new, was in zip((WORDS, TARGETS), (words, targets), old, strict=True):
+            change = new[lo:lo + len(was)] - was
+            change[:, -1] = 0
             rows = np.flatnonzero(change.any(1))
             yield _change_row(block, part, shard, rows, change[rows])
-        lo += n
-    others = [(new[0][lo:] - old[0][lo:]).ravel(), (new[1][lo:] - old[1][lo:]).ravel(), new[2] - old[2]]
-    yield _change_row(-1, REST, shard, np.zeros(1, np.int64), np.concatenate(others))
+    last = _last(shared, d)
+    rest = [words[-2:] - last[0], targets[-1:] - last[1], others - last[2]]
+    rest[0][:, -1] = rest[1][:, -1] = 0
+    for x in model.states():
+        rest[2][x] = 0
+    yield _change_row(-1, REST, shard, np.zeros(1, np.int64), np.concatenate([x.ravel() for x in rest]))
 
 
 def _change_row(block: int, part: int, shard: int, rows: np.ndarray, change: np.ndarray) -> pa.RecordBatch:
@@ -505,23 +629,23 @@ def _learner(words: Shared, rest: float, shared: Shared, d: int, often: float, s
     they stand for.  A shard's chunks lie in one file and come together."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = Vocabulary(words, rest)
-        base = _model(shared, v, d)
-        keep = np.minimum(1.0, np.sqrt(often / base.times))
+        keep = np.minimum(1.0, np.sqrt(often / (v.times + 0.5)))
         shard, mine, rng = None, None, None
         for batch in batches:
             for row in range(batch.num_rows):
                 now = batch.column("chunk")[row].as_py() >> 32
                 if now != shard:
                     if mine is not None:
-                        yield from _changed(mine, base, v.sizes, shard)
-                    shard, mine, rng = now, base.copy(), np.random.default_rng([seed, now])
+                        yield from _changed(mine, shared, v, d, shard)
+                        mine = None
+                    shard, mine, rng = now, _model(shared, v, d), np.random.default_rng([seed, now])
                 grams = _trigrams(batch, row, v.top, v.ids)
                 pick = np.flatnonzero(rng.random(len(grams[0])) < keep[grams[2]])
                 rng.shuffle(pick)
                 grams = tuple(g[pick] for g in grams)
                 mine.learn(grams, 1 / keep[grams[2]], rng)
         if mine is not None:
-            yield from _changed(mine, base, v.sizes, shard)
+            yield from _changed(mine, shared, v, d, shard)
     return run
 
 
@@ -569,12 +693,18 @@ def fit(chunks: DataFrame, words: Shared, rest: float, tokens: float, d: int = 1
     some = some.unionByName(spark.createDataFrame([(-1, -1, -1)], some.schema))
     # A bounded sample, in an order of its own.
     begun = some.repartition(1).sortWithinPartitions("two", "one", "w").mapInArrow(_first(words, rest, d, first, seed), _BLOCKS)
-    model = Shared().add(spark, stored(begun, "model"))
+    model = Shared().add(spark, stored(begun, "model", BLOCK_ROWS))
     changes = texts.mapInArrow(_learner(words, rest, model, d, max(3e-6 * tokens, 100.0), seed), _CHANGES)
     # In two steps, so that no group has every shard's changes.
     changes = changes.groupBy("block", "part", "sub").applyInArrow(_added, _CHANGES)
     learned = changes.groupBy("block", "part").applyInArrow(_averaged(model, d), _BLOCKS)
-    return model.add(spark, stored(learned, "model"))
+    found = Shared().add(spark, stored(learned, "model", BLOCK_ROWS))
+    for key, block in model.blocks.items():
+        if key in found.blocks:
+            block.unpersist()
+        else:  # nothing changed it
+            found.blocks[key] = block
+    return found
 
 
 def _scores(vocabulary: Shared, shared: Shared, d: int, total: int, types: int, rest: tuple[float, float, float]):
@@ -583,25 +713,25 @@ def _scores(vocabulary: Shared, shared: Shared, d: int, total: int, types: int,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = Vocabulary(vocabulary, rest_total)
-        model = _model(shared, v, d)
+        model = _fitted(shared, v, d)
         k = len(model.targets)
-        placed = model.words @ model.places[0], model.words @ model.places[1]
         for batch in batches:
             for row in range(batch.num_rows):
                 parts = batch.column("answers")[row].values
                 order = np.argsort(parts.field("r").to_numpy(), kind="stable")
-                lists = parts.field("c")
-                c = np.concatenate([lists[int(x)].values.to_numpy() for x in order])
-                word_of = _ids_of(_flat(batch, "uniq", row), v.top, v.ids)  # k - 1 below the floor
+                lists, uniq = parts.field("c"), _words_of(batch, row)
+                c = np.empty(len(uniq), np.int64)
+                c[np.argsort(uniq)] = np.concatenate([_unpacked(lists[int(x)].as_buffer()) for x in order])
+                word_of = _ids_of(uniq, v.top, v.ids)  # k - 1 below the floor
                 base_of = np.log10((c + 1.0) / (total + types + 1))
                 # The share of the words below the floor: 1 for one of the vocabulary.
                 with np.errstate(divide="ignore"):
                     unseen = discount * rest_types / rest_total if rest_types else 1.0
                     own = np.where(c > 0, np.log10(np.maximum(c - discount, 1e-9) / max(rest_total, 1)), math.log10(unseen))
                 own[word_of < k - 1] = 0.0
-                tok, n = _flat(batch, "tok", row), _flat(batch, "n_tokens", row).astype(np.int64)
+                tok, n = _unpacked(batch.column("tok")[row].as_buffer(), np.int32), _flat(batch, "n_tokens", row).astype(np.int64)
                 words = word_of[tok]
-                score = model.log_probability((*_contexts(words, n, k), words), placed) + own[tok]
+                score = model.log_probability((*_contexts(words, n, k), words)) + own[tok]
                 first = np.cumsum(n) - n
                 yield pa.record_batch([batch.column("doc_ids")[row].values, batch.column("train")[row].values, pa.array(n), pa.array(np.add.reduceat((c > 0)[tok].astype(np.int64), first)),
                                        pa.array(np.add.reduceat(base_of[tok], first)), pa.array(np.add.reduceat(score, first))], names=["doc_id", "train", "n_tokens", "n_known", "base_score", "score"])
@@ -625,10 +755,10 @@ def score(docs: DataFrame, train_col, floor: int = 5, most_words: int = 8_000_00
     dealt = (texts.withColumn("by", F.xxhash64("doc_id", "text")).repartition(max(1, math.ceil(size / shard_bytes)), "by")
              .sortWithinPartitions("by").drop("by"))
     chunks = stored(dealt.mapInArrow(_chunks, _CHUNK.format(kind=kind)), "chunks")
-    entries = chunks.agg(F.sum(F.size("uniq").cast("long"))).first()[0] or 0
+    entries = chunks.agg(F.sum("n_uniq")).first()[0] or 0
     bits = max(0, math.ceil(math.log2(max(entries, 1) / RANGE_ENTRIES)))
-    answers = stored(chunks.select("chunk", "uniq", "cnt").mapInArrow(_requests(bits), "r long, chunk long, h array<long>, n array<int>")
-                     .groupBy("r").applyInArrow(_answer(floor), "chunk long, r long, c array<long>, sums array<long>, h array<long>"), "answers")
+    answers = stored(chunks.select("chunk", "uniq", "cnt").mapInArrow(_requests(bits), "r long, chunk long, h binary, n binary")
+                     .groupBy("r").applyInArrow(_answer(floor), "chunk long, r long, c binary, sums array<long>, h binary"), "answers")
     sums = answers.filter("chunk < 0")
     types, total, once, twice = (int(x or 0) for x in sums.agg(*[F.sum(F.get("sums", F.lit(i))) for i in range(4)]).first())
     frequent = sums.select("h", "c")
@@ -636,7 +766,7 @@ def score(docs: DataFrame, train_col, floor: int = 5, most_words: int = 8_000_00
                .agg(F.sum("words").alias("words"), F.sum("tokens").alias("tokens")).collect())  # a row a bucket, under 1,100 for any counts
     classes = Classes.planned({x.bucket: x.words for x in buckets}, {x.bucket: x.tokens for x in buckets}, total, most_words)
     placed = frequent.mapInArrow(_placed(classes), "block long, cls long, h long, c long")
-    words = Shared().add(spark, stored(placed.groupBy("block").applyInArrow(_block_row, _BLOCKS), "vocabulary"))
+    words = Shared().add(spark, stored(placed.groupBy("block").applyInArrow(_block_row, _BLOCKS), "vocabulary", BLOCK_ROWS))
     # The words below the floor: their tokens, their types, and the discount that unseen words share.
     kept = [x for x in buckets if x.bucket >= classes.lowest]
     rest_total, rest_types = total - sum(x.tokens for x in kept), types - sum(x.words for x in kept)

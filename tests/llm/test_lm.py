@@ -2,10 +2,13 @@
 
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from keyfold.llm import lm
@@ -78,3 +81,35 @@ def test_beats_a_discounted_unigram_on_known_words(spark, sf):
     assert set(got) == set(unigram)
     gain = (sum(got.values()) - sum(unigram.values())) / tokens
     assert gain > 0.05, gain
+
+
+def test_a_learning_worker_holds_one_copy_beside_the_blocks(monkeypatch):
+    words, d, rng = 200_000, 16, np.random.default_rng(2)
+    monkeypatch.setattr(lm, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    held = lambda x: SimpleNamespace(value=x)
+    n = 1 << 15
+    vocabulary = lm.Shared({(lm.VOCABULARY, i): held(np.stack([np.arange(lo, min(lo + n, words)) // 100, rng.integers(0, 1 << 62, min(n, words - lo)), np.full(min(n, words - lo), 9)]).tobytes())
+                            for i, lo in enumerate(range(0, words, n))})
+    none = pa.record_batch([pa.array([-1], pa.int32())] * 3, names=["two", "one", "w"])
+    rows = [x.to_pylist()[0] for x in lm._first(vocabulary, 100.0, d, 1000, 1)(iter([none]))]
+    model = lm.Shared({(x["part"], x["block"]): held(x["data"]) for x in rows})
+    batch = pa.record_batch([pa.array([1, 2]), pa.array(["one two one", "three"]), pa.array([True, True])], names=["doc_id", "text", "train"])
+    chunks = list(lm._chunks(iter([batch])))
+    tracemalloc.start()
+    assert sum(x.num_rows for x in lm._learner(vocabulary, 100.0, model, d, 100.0, 1)(iter(chunks))) == 2 * len(vocabulary.blocks) + 1
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 350 * words, peak / words
+
+
+def test_numbers_packed_in_16_bits():
+    values = np.array([0, 1, 65534, 65535, 65536, 1 << 40, 7])
+    assert (lm._unpacked(lm._packed(values)) == values).all() and len(lm._unpacked(lm._packed(values[:0]))) == 0
+
+
+def test_equal_numbers_are_added_up():
+    rng = np.random.default_rng(3)
+    for most in (3, 50, 100_000, 10_000_000):
+        index, values = rng.integers(0, most, 500), rng.random((500, 4))
+        at, sums = lm._grouped(index, values)
+        assert at.tolist() == sorted(set(index.tolist())) and np.allclose(sums, [values[index == i].sum(0) for i in at])
