@@ -326,9 +326,14 @@ def _grouped(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndar
     starts = np.flatnonzero(new)
     if 4 * len(starts) < len(index):
         return at[starts], np.add.reduceat(values.take(order, 0), starts)
-    # Most numbers are there once: only the others' rows are added.
-    sums, more = values.take(order[starts], 0), np.flatnonzero(~new)
-    np.add.at(sums, np.cumsum(new)[more] - 1, values.take(order[more], 0))
+    # Most numbers are there once: only the others' rows are added, in the same order as above.
+    sums, size = values.take(order[starts], 0), np.diff(starts, append=len(order))
+    which = np.cumsum(new) - 1
+    more = np.flatnonzero(~new & (size < 3)[which])
+    np.add.at(sums, which[more], values.take(order[more], 0))
+    many = np.flatnonzero(size >= 3)
+    if len(many):
+        sums[many] = np.add.reduceat(values.take(order[(size >= 3)[which]], 0), np.cumsum(size[many]) - size[many])
     return at[starts], sums
 
 
@@ -352,14 +357,13 @@ def _within(q: np.ndarray, at: np.ndarray, chosen: np.ndarray, run: np.ndarray,
     cuts = np.searchsorted(run[order], np.arange(len(edges)))
     for r in np.flatnonzero((np.diff(cuts) > 0) & (np.diff(edges) > 1)):
         lo, hi = edges[r], edges[r + 1]
-        step, rows_in, ones = max(1, (1 << 18) // (hi - lo)), table[lo:hi].T, np.ones(hi - lo, np.float32)
+        step, own = max(1, (1 << 18) // (hi - lo)), table[lo:hi].T
         for i in range(cuts[r], cuts[r + 1], step):
             rows = order[i:min(i + step, cuts[r + 1])]
-            z = q.take(at[rows], 0) @ rows_in
-            if z.max() > 60 or z.min() < -60:  # exp would leave its range
-                z -= z.max(1, keepdims=True)
+            z = q.take(at[rows], 0) @ own
+            z -= z.max(1, keepdims=True)
             mine = z[np.arange(len(rows)), chosen[rows] - lo]
-            out[rows] += mine - np.log(np.exp(z, out=z) @ ones)
+            out[rows] += mine - np.log(np.exp(z, out=z).sum(1))
 
 
 class Blocks:
@@ -444,7 +448,7 @@ class LogBilinear:
             n, c = len(w), class_of[w]
             g = group_of[c]
             # Whole rows, with the state, are faster to take.
-            xa, xb = words_rows.take(two, 0)[:, :d], words_rows.take(one, 0)[:, :d]
+            xa, xb = (np.ascontiguousarray(words_rows.take(x, 0)[:, :d]) for x in (two, one))
             q = np.ones((n, d + 1), np.float32)
             q[:, :d] = xa @ self.places[0] + xb @ self.places[1]
             drawn = np.minimum(np.searchsorted(group_sums, rng.random(group_noise) * sums[-1], "right") - 1, len(self.groups) - 1)
@@ -465,11 +469,11 @@ class LogBilinear:
                 which = np.empty((len(many), 1 + noise), np.int64)
                 which[:, 0] = chosen[many]
                 which[:, 1:] = low[:, None] + (rng.random((len(many), noise), np.float32) * size[:, None]).astype(np.int64)
-                rows, mine = table.take(which, 0)[:, :, :d + 1], q[many]
-                grad = _logistic(np.einsum("nkd,nd->nk", rows, mine) + np.log(size / noise).astype(np.float32)[:, None])
+                rows, mine = np.ascontiguousarray(table.take(which, 0)[:, :, :d + 1]), q[many]
+                grad = _logistic(np.matmul(rows, mine[:, :, None])[:, :, 0] + np.log(size / noise).astype(np.float32)[:, None])
                 grad[:, 0] -= 1
                 grad *= weight[many]
-                dq[many] += np.einsum("nk,nkd->nd", grad, rows)
+                dq[many] += np.matmul(grad[:, None, :], rows)[:, 0]
                 found.append(_grouped(which.ravel(), np.einsum("nk,nd->nkd", grad, mine).reshape(-1, d + 1)))
             dq = dq[:, :d]
             words = _grouped(np.concatenate([two, one]), np.concatenate([dq @ self.places[0].T, dq @ self.places[1].T]))
@@ -479,13 +483,13 @@ class LogBilinear:
             for p, s, change in ((self.groups, self.squares[4], found[0]), (self.classes, self.squares[3], found[1])):
                 if change is not None:
                     at, grad = change
-                    s[at] += np.einsum("nd,nd->n", grad, grad) / grad.shape[1]
+                    s[at] += (grad * grad).mean(1)
                     p[at] -= rate * grad / np.sqrt(s[at])[:, None]
             for table, change in ((words_rows, words), (target_rows, found[2])):
                 if change is not None:
                     at, grad = change
                     rows = table.take(at, 0)
-                    rows[:, -1] += np.einsum("nd,nd->n", grad, grad) / grad.shape[1]
+                    rows[:, -1] += (grad * grad).mean(1)
                     rows[:, :-1] -= rate * grad / np.sqrt(rows[:, -1:])
                     table[at] = rows
 
