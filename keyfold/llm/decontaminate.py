@@ -24,6 +24,8 @@ from keyfold.llm._spark import ascii_lower, stored
 _SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Phrase tables of at most so many rows are broadcast (some 200 bytes each).
 BROADCAST_ROWS = 200_000
+#: Tables of keys of rows (an id and a hash, some 80 bytes each in memory) of at most so many.
+BROADCAST_KEYS = 1_000_000
 
 
 def _words(text: Column) -> Column:
@@ -31,8 +33,8 @@ def _words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), _SEPARATORS), "")
 
 
-def _bounded(small: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(small) if rows <= BROADCAST_ROWS else small
+def _bounded(small: DataFrame, rows: int, most: int | None = None) -> DataFrame:
+    return F.broadcast(small) if rows <= (BROADCAST_ROWS if most is None else most) else small
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -186,8 +188,12 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` (with ``doc_id`` and ``text``), all columns, without contaminated rows."""
-    bad = contamination(docs, items, with_version=True).filter("contaminated").select("doc_id", "version").distinct()
+    """``docs`` (with ``doc_id`` and ``text``), all columns, without contaminated rows.
+
+    Texts stay where they are while at most ``BROADCAST_KEYS`` keys are contaminated.
+    """
+    bad = stored(contamination(docs, items, with_version=True).filter("contaminated").select("doc_id", "version").distinct(), "contaminated")
+    bad = _bounded(bad, bad.count(), BROADCAST_KEYS)
     # Aliases: the documents may have columns of these names.
     same = F.col("own.doc_id").eqNullSafe(F.col("bad.doc_id")) & (F.xxhash64(F.col("own.text").cast("string")) == F.col("bad.version"))
     return docs.alias("own").join(bad.alias("bad"), same, "left_anti")

@@ -124,6 +124,24 @@ def test_contamination_edges(spark, edge_docs, no_docs):
     assert kept.count() == sum(not x[5] for x in got)
 
 
+def test_contaminated_rows_go_without_an_exchange_of_texts(spark, edge_docs, monkeypatch):
+    texts = [t for _, t in edge_rows()]
+    bench = spark.createDataFrame([(1, " ".join(texts[0].split()[10:40])), (2, "ONE, two")], "item_id long, text string")
+    monkeypatch.setattr(decontaminate, "BROADCAST_KEYS", 0)
+    want = sorted(map(tuple, decontaminate.without_contaminated(edge_docs, bench).collect()), key=str)
+    monkeypatch.undo()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with sides too large for it
+    try:
+        kept = decontaminate.without_contaminated(edge_docs.localCheckpoint(), bench)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert 0 < len(want) < edge_docs.count()
+    assert sorted(map(tuple, kept.collect()), key=str) == want
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "red green x x blue"), (2, "blue x x x x x x red green"), (3, "green blue red"), (4, None)], "doc_id long, text string")
     phrases = spark.createDataFrame([(1, ["red", "green", "blue"])], "phrase long, words array<string>")
