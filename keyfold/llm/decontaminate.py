@@ -108,6 +108,9 @@ def phrase_matches(docs: DataFrame, phrases: DataFrame, id_col: str = "doc_id",
 
     # The comparison with the text, for texts that have candidates.
     here = found.groupBy("doc_id", "version").agg(F.collect_list(F.struct("phrase", "start", "len")).alias("found"))
+    keys = stored(found.select(F.col("doc_id").alias("kd"), F.col("version").alias("kv")).distinct(), "keys")
+    if (n_keys := keys.count()) <= BROADCAST_KEYS:  # others' texts stay where they are
+        keyed = keyed.join(_bounded(keys, n_keys, BROADCAST_KEYS), F.col("doc_id").eqNullSafe(F.col("kd")) & (F.col("version") == F.col("kv")), "left_semi")
     rows = keyed.join(here.withColumnRenamed("doc_id", "d").withColumnRenamed("version", "v"),
                       F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("version") == F.col("v"))).dropDuplicates(["doc_id", "version"])
     each = (rows.select("doc_id", "version", "found", F.transform(_words(F.col("text")), ascii_lower).alias("w"))

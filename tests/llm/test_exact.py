@@ -124,6 +124,19 @@ def test_contamination_edges(spark, edge_docs, no_docs):
     assert kept.count() == sum(not x[5] for x in got)
 
 
+def test_only_texts_with_candidates_are_exchanged(spark, edge_docs, monkeypatch):
+    texts = [t for _, t in edge_rows()]
+    phrases = spark.createDataFrame([(1, texts[0].lower().split()[10:23]), (2, ["one", "two"]), (3, texts[9].split()[500:513])], "phrase long, words array<string>")
+    found = {}
+    for most in (0, decontaminate.BROADCAST_KEYS):
+        monkeypatch.setattr(decontaminate, "BROADCAST_KEYS", most)
+        out = decontaminate.phrase_matches(edge_docs, phrases)
+        found[most] = (sorted(map(tuple, out.collect()), key=str), "LeftSemi, BuildRight" in out._jdf.queryExecution().executedPlan().toString())
+    (want, before), (got, after) = found.values()
+    assert got == want and len({x[0] for x in got}) == 3 and None in {x[1] for x in got}
+    assert after and not before
+
+
 def test_contaminated_rows_go_without_an_exchange_of_texts(spark, edge_docs, monkeypatch):
     texts = [t for _, t in edge_rows()]
     bench = spark.createDataFrame([(1, " ".join(texts[0].split()[10:40])), (2, "ONE, two")], "item_id long, text string")
