@@ -17,7 +17,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str, rows_a_file: int = 0) -> DataFrame:
+def stored(df: DataFrame, name: str, rows_a_file: int = 0, compression: str | None = None) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back.
 
     Cuts the lineage with files that every executor sees, so a lost executor
@@ -28,7 +28,7 @@ def stored(df: DataFrame, name: str, rows_a_file: int = 0) -> DataFrame:
     ensure_checkpoint_dir(spark)
     path = fresh_path(spark, "llm", name)
     writer = df.write.option("maxRecordsPerFile", rows_a_file) if rows_a_file else df.write
-    writer.parquet(path)
+    writer.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -21,21 +21,28 @@ once a chunk, and no group has more than one entry a chunk and word.
 
 Vocabulary and parameters are tables of blocks in the shared folder.  They are
 made and averaged by tasks; the driver hands them on as broadcasts, some blocks
-(about 16 MB) at a time, and keeps none.  A Python worker holds them whole:
-140 bytes a word, at most ``most_words`` words; one that learns has a second
-copy that it changes, one that scores takes rows from where they are.  Texts are dealt to shards by a
+(about 4 MB) at a time, and keeps none.  A Python worker reads them
+from there: one that learns fills a copy that it changes, 140 bytes a word, and
+compares it at the end, block by block; one that scores takes rows from where
+they are.  There are at most ``most_words`` words.  Where
+that is much of an executor's memory, such a task takes more of its cores, so
+that fewer run at once.  A shard's changes are sent once: each task averages
+those of some rows of a block, of fewer rows the more shards there are.  Texts are dealt to shards by a
 hash, so shards, and with them the scores, don't depend on the cluster.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast, TaskContext
+from pyspark import Broadcast, SparkConf, TaskContext
+from pyspark.resource import ResourceProfile, ResourceProfileBuilder, TaskResourceRequests
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +58,48 @@ RANGE_ENTRIES = 3_000_000
 _CHUNK = "chunk long, doc_ids array<{kind}>, train array<boolean>, n_tokens array<int>, tok binary, uniq binary, n_uniq long, cnt binary"
 
 
+#: Shuffle files of a run go when it ends, not when the driver collects its garbage.
+TIDY = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+#: Rows of megabytes go to Python a few at a time.
+FEW = {"spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
+
+
+@contextmanager
+def _with(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Settings for the runs herein."""
+    was = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in was.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+#: A Python worker that holds the model: its memory without words, and a word's.
+WORKER_BYTES, WORD_BYTES = 150 << 20, 280
+
+
+def cores_a_task(conf: SparkConf, words: int) -> int:
+    """How many of an executor's cores a task that holds ``words`` words should
+    take, so that such workers together have about a quarter of its heap's
+    size beside it; 1 where the cores aren't known."""
+    cluster = re.fullmatch(r"local-cluster\[\s*\d+\s*,\s*(\d+)\s*,\s*\d+\s*\]", conf.get("spark.master", ""))
+    cores = 1 if conf.get("spark.master", "").startswith("local[") else int(cluster[1] if cluster else conf.get("spark.executor.cores", "1"))
+    number, unit = re.match(r"(\d+)\s*([a-z]?)", conf.get("spark.executor.memory", "1g").lower()).groups()
+    heap = int(number) << {"k": 10, "m": 20, "g": 30, "t": 40}.get(unit, 0)
+    usual = int(conf.get("spark.task.cpus", "1"))
+    return min(max(usual, math.ceil((WORKER_BYTES + WORD_BYTES * words) * cores * 4 / heap)), max(cores, usual))
+
+
+def _roomy(spark: SparkSession, words: int) -> ResourceProfile | None:
+    """The profile of such tasks; none where the usual one will do."""
+    conf = spark.sparkContext.getConf()
+    cores = cores_a_task(conf, words)
+    return ResourceProfileBuilder().require(TaskResourceRequests().cpus(cores)).build if cores > int(conf.get("spark.task.cpus", "1")) else None
+
+
 def _list(values: np.ndarray, kind: pa.DataType) -> pa.Array:
     """One row that is the list of all values."""
     values = values if isinstance(values, pa.Array) else pa.array(values, kind)
@@ -185,7 +234,7 @@ class Classes:
     block: np.ndarray  # per class
 
     @classmethod
-    def planned(cls, words: dict[int, int], tokens: dict[int, int], total: int, most_words: int, block_words: int = 1 << 15) -> Classes:
+    def planned(cls, words: dict[int, int], tokens: dict[int, int], total: int, most_words: int, block_words: int = 1 << 13) -> Classes:
         kept, held = [], 0
         for b in sorted(words, reverse=True):  # frequent words first
             held += words[b]
@@ -236,8 +285,15 @@ def _block_row(table: pa.Table) -> pa.Table:
 #: What a block's bytes are: words of the vocabulary, context vectors, target vectors; the rest has block -1.
 VOCABULARY, WORDS, TARGETS, REST = range(4)
 _BLOCKS = "block long, part int, data binary"
-#: Blocks (of about 2 MB) that a file has at most.
-BLOCK_ROWS = 4
+#: Blocks (of about 0.6 MB) that a file has at most.
+BLOCK_ROWS = 8
+
+
+def _read(block: Broadcast) -> bytes:
+    """A broadcast's bytes, read from its file and not kept: a worker keeps what
+    ``value`` returns while it waits for further tasks, and after."""
+    path = getattr(block, "_path", None)
+    return block.value if path is None or hasattr(block, "_value") else block.load_from_path(path)
 
 
 @dataclass
@@ -247,7 +303,7 @@ class Shared:
     blocks: dict[tuple[int, int], Broadcast] = field(default_factory=dict)
 
     def add(self, spark: SparkSession, rows: DataFrame) -> Shared:
-        """With the blocks of ``block, part, data`` rows, brought over about 16 MB at a time."""
+        """With the blocks of ``block, part, data`` rows, brought over about 4 MB at a time."""
         found, held, size = dict(self.blocks), [], 0
         keys = rows.select("block", "part", F.octet_length("data").alias("size")).collect()  # 16 bytes a block
 
@@ -260,15 +316,15 @@ class Shared:
         for key in sorted(keys, key=lambda x: (x.block, x.part)):
             held.append((key.block, key.part))
             size += key.size
-            if size >= 16 << 20:
+            if size >= 4 << 20:
                 bring()
                 held, size = [], 0
         if held:
             bring()
         return Shared(found)
 
-    def arrays(self, part: int) -> list[bytes]:
-        return [self.blocks[key].value for key in sorted(self.blocks) if key[0] == part]
+    def arrays(self, part: int) -> Iterator[bytes]:
+        return (_read(self.blocks[key]) for key in sorted(self.blocks) if key[0] == part)
 
 
 class Vocabulary:
@@ -279,7 +335,7 @@ class Vocabulary:
         self.sizes = [x.shape[1] for x in found]
         cls, h, c = np.concatenate(found, 1) if found else np.zeros((3, 0), np.int64)
         hashes = h.view(np.uint64)
-        self.ids = np.argsort(hashes)
+        self.ids = np.argsort(hashes).astype(np.int32)
         self.top = hashes[self.ids]
         self.times = np.append(c, rest_tokens).astype(float)
         # Classes without words aren't counted; the words below the floor, together, are the last.
@@ -554,7 +610,7 @@ def _blocks_of(shared: Shared, v: Vocabulary, d: int) -> Iterator[tuple[int, int
 
 def _last(shared: Shared, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The last rows of the words and of the targets, and all other numbers, not copied."""
-    words, targets, others = np.split(np.frombuffer(shared.arrays(REST)[0], np.float32), [2 * (d + 1), 3 * d + 4])
+    words, targets, others = np.split(np.frombuffer(next(shared.arrays(REST)), np.float32), [2 * (d + 1), 3 * d + 4])
     return words.reshape(2, d + 1), targets.reshape(1, d + 2), others
 
 
@@ -601,33 +657,44 @@ def _first(shared: Shared, rest: float, d: int, first: int, seed: int):
     return run
 
 
-_CHANGES = "block long, part int, sub int, rows array<int>, tasks array<int>, change binary"
+_CHANGES = "block long, part int, piece int, shard long, rows binary, change binary"
+#: Shards whose changes of one whole block a task averages; with more, it does so for a piece of the block.
+SHARDS_A_BLOCK = 32
 
 
-def _changed(model: LogBilinear, shared: Shared, v: Vocabulary, d: int, shard: int) -> Iterator[pa.RecordBatch]:
+def _changed(model: LogBilinear, shared: Shared, v: Vocabulary, d: int, shard: int, pieces: int) -> Iterator[pa.RecordBatch]:
     """A shard's changes by block, of the rows that it changed (half precision); the state of training stays as it was."""
     words, targets, others = model.rows
     for block, lo, *old in _blocks_of(shared, v, d):
         for part, new, was in zip((WORDS, TARGETS), (words, targets), old, strict=True):
-            change = new[lo:lo + len(was)] - was
-            change[:, -1] = 0
-            rows = np.flatnonzero(change.any(1))
-            yield _change_row(block, part, shard, rows, change[rows])
+            yield from _change_rows(block, part, shard, new[lo:lo + len(was), :-1] - was[:, :-1], pieces)
     last = _last(shared, d)
     rest = [words[-2:] - last[0], targets[-1:] - last[1], others - last[2]]
     rest[0][:, -1] = rest[1][:, -1] = 0
     for x in model.states():
         rest[2][x] = 0
-    yield _change_row(-1, REST, shard, np.zeros(1, np.int64), np.concatenate([x.ravel() for x in rest]))
+    yield from _change_rows(-1, REST, shard, np.concatenate([x.ravel() for x in rest]).reshape(1, -1), pieces)
+
+
+def _edges(shape: tuple[int, int], pieces: int) -> np.ndarray:
+    """Where pieces of about equal size of a block begin, and its end: rows, or the columns of one row."""
+    return np.linspace(0, max(shape) if shape[0] == 1 else shape[0], pieces + 1).astype(np.int64)
+
+
+def _piece(table: np.ndarray, piece: int, pieces: int) -> np.ndarray:
+    lo, hi = _edges(table.shape, pieces)[piece:piece + 2]
+    return table[:, lo:hi] if len(table) == 1 else table[lo:hi]
 
 
-def _change_row(block: int, part: int, shard: int, rows: np.ndarray, change: np.ndarray) -> pa.RecordBatch:
-    ones = np.ones(len(rows), np.int32)
-    return pa.record_batch([pa.array([block], pa.int64()), pa.array([part], pa.int32()), pa.array([shard % 16], pa.int32()), _list(rows.astype(np.int32), pa.int32()), _list(ones, pa.int32()),
-                            pa.array([np.ascontiguousarray(change, np.float16).tobytes()], pa.binary())], names=["block", "part", "sub", "rows", "tasks", "change"])
+def _change_rows(block: int, part: int, shard: int, change: np.ndarray, pieces: int) -> Iterator[pa.RecordBatch]:
+    for piece in range(pieces):
+        own = _piece(change, piece, pieces)
+        rows = np.zeros(1, np.int32) if part == REST else np.flatnonzero(own.any(1)).astype(np.int32)
+        yield pa.record_batch([pa.array([block], pa.int64()), pa.array([part], pa.int32()), pa.array([piece], pa.int32()), pa.array([shard], pa.int64()),
+                               _bytes(rows.tobytes()), _bytes(np.ascontiguousarray(own[rows], np.float16).tobytes())], names=["block", "part", "piece", "shard", "rows", "change"])
 
 
-def _learner(words: Shared, rest: float, shared: Shared, d: int, often: float, seed: int):
+def _learner(words: Shared, rest: float, shared: Shared, d: int, often: float, seed: int, pieces: int = 1):
     """How each shard's training tokens change the model.  A word of more than
     ``often`` tokens has part of them drawn, which then count as many times as
     they stand for.  A shard's chunks lie in one file and come together."""
@@ -640,7 +707,7 @@ def _learner(words: Shared, rest: float, shared: Shared, d: int, often: float, s
                 now = batch.column("chunk")[row].as_py() >> 32
                 if now != shard:
                     if mine is not None:
-                        yield from _changed(mine, shared, v, d, shard)
+                        yield from _changed(mine, shared, v, d, shard, pieces)
                         mine = None
                     shard, mine, rng = now, _model(shared, v, d), np.random.default_rng([seed, now])
                 grams = _trigrams(batch, row, v.top, v.ids)
@@ -649,48 +716,35 @@ def _learner(words: Shared, rest: float, shared: Shared, d: int, often: float, s
                 grams = tuple(g[pick] for g in grams)
                 mine.learn(grams, 1 / keep[grams[2]], rng)
         if mine is not None:
-            yield from _changed(mine, shared, v, d, shard)
+            yield from _changed(mine, shared, v, d, shard, pieces)
     return run
 
 
-def _sums(table: pa.Table, kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(rows, how many shards changed them, sum of the changes) of one block's changes."""
-    rows = [x.values.to_numpy() for x in table.column("rows")]
-    tasks = [x.values.to_numpy() for x in table.column("tasks")]
-    changes = [np.frombuffer(x.as_py(), kind).astype(np.float32) for x in table.column("change")]
-    order = np.lexsort((table.column("at").to_numpy(),)) if "at" in table.column_names else range(len(rows))
-    seen = np.unique(np.concatenate(rows))
-    width = max((len(c) // max(len(r), 1) for r, c in zip(rows, changes, strict=True)), default=1)
-    total, count = np.zeros((len(seen), width), np.float32), np.zeros(len(seen), np.int32)
-    for i in order:
-        if len(rows[i]):
-            at = np.searchsorted(seen, rows[i])
-            total[at] += changes[i].reshape(-1, width)
-            count[at] += tasks[i]
-    return seen, count, total
-
-
-def _added(table: pa.Table) -> pa.Table:
-    """Some shards' changes of a block, added up."""
-    seen, count, total = _sums(table, np.float16)
-    return pa.table({"block": table.column("block")[:1], "part": table.column("part")[:1], "sub": table.column("sub")[:1], "rows": pa.chunked_array([_list(seen.astype(np.int32), pa.int32())]),
-                     "tasks": pa.chunked_array([_list(count, pa.int32())]), "change": pa.array([total.tobytes()], pa.binary())})
-
-
-def _averaged(shared: Shared, d: int):
-    """A block's new parameters: each row moved by the mean of the shards that changed it."""
+def _averaged(shared: Shared, d: int, pieces: int):
+    """New parameters of a piece of a block: each row moved by the mean of the shards that changed it."""
     def run(table: pa.Table) -> pa.Table:
-        block, part = table.column("block")[0].as_py(), table.column("part")[0].as_py()
-        seen, count, total = _sums(table.append_column("at", table.column("sub")), np.float32)
-        data = np.frombuffer(shared.blocks[part, block].value, np.float32).copy()
-        rows = data.reshape(1, -1) if part == REST else data.reshape(-1, d + 1 if part == WORDS else d + 2)
-        rows[seen] += total / np.maximum(count, 1)[:, None]
-        return pa.table({"block": table.column("block")[:1], "part": table.column("part")[:1], "data": pa.array([data.tobytes()], pa.binary())})
+        block, part, piece = (table.column(x)[0].as_py() for x in ("block", "part", "piece"))
+        was = np.frombuffer(_read(shared.blocks[part, block]), np.float32)
+        data = _piece(was.reshape(1, -1) if part == REST else was.reshape(-1, d + 1 if part == WORDS else d + 2), piece, pieces).copy()
+        moved = data if part == REST else data[:, :-1]  # all but the state of training
+        total, count = np.zeros(moved.shape, np.float32), np.zeros(len(data), np.int32)
+        for i in np.argsort(table.column("shard").to_numpy(), kind="stable"):
+            rows = np.frombuffer(table.column("rows")[int(i)].as_buffer(), np.int32)
+            total[rows] += np.frombuffer(table.column("change")[int(i)].as_buffer(), np.float16).reshape(len(rows), moved.shape[1])
+            count[rows] += 1
+        moved += total / np.maximum(count, 1)[:, None]
+        return pa.table({"block": table.column("block")[:1], "part": table.column("part")[:1], "piece": table.column("piece")[:1], "data": _bytes(data.tobytes())})
     return run
 
 
-def fit(chunks: DataFrame, words: Shared, rest: float, tokens: float, d: int = 16, first: int = 1_000_000, seed: int = 13) -> Shared:
-    """Blocks of a model trained on all training tokens of ``chunks``; about ``first`` of them fix the space."""
+def _whole(table: pa.Table) -> pa.Table:
+    """A block of its pieces."""
+    order = np.argsort(table.column("piece").to_numpy())
+    return pa.table({"block": table.column("block")[:1], "part": table.column("part")[:1], "data": _bytes(b"".join(table.column("data")[int(i)].as_py() for i in order))})
+
+
+def fit(chunks: DataFrame, words: Shared, rest: float, tokens: float, known: int, shards: int, d: int = 16, first: int = 1_000_000, seed: int = 13) -> Shared:
+    """Blocks of a model trained on all training tokens of ``chunks``, which are of so many ``shards``; about ``first`` tokens fix the space."""
     spark = chunks.sparkSession
     texts = chunks.select("chunk", "uniq", "tok", "n_tokens", "train")
     some = texts.mapInArrow(_sample(words, rest, min(1.0, first / max(tokens, 1))), "two int, one int, w int")
@@ -698,17 +752,16 @@ def fit(chunks: DataFrame, words: Shared, rest: float, tokens: float, d: int = 1
     # A bounded sample, in an order of its own.
     begun = some.repartition(1).sortWithinPartitions("two", "one", "w").mapInArrow(_first(words, rest, d, first, seed), _BLOCKS)
     model = Shared().add(spark, stored(begun, "model", BLOCK_ROWS))
-    changes = texts.mapInArrow(_learner(words, rest, model, d, max(3e-6 * tokens, 100.0), seed), _CHANGES)
-    # In two steps, so that no group has every shard's changes.
-    changes = changes.groupBy("block", "part", "sub").applyInArrow(_added, _CHANGES)
-    learned = changes.groupBy("block", "part").applyInArrow(_averaged(model, d), _BLOCKS)
-    found = Shared().add(spark, stored(learned, "model", BLOCK_ROWS))
-    for key, block in model.blocks.items():
-        if key in found.blocks:
-            block.unpersist()
-        else:  # nothing changed it
-            found.blocks[key] = block
-    return found
+    pieces = math.ceil(shards / SHARDS_A_BLOCK)
+    changes = texts.mapInArrow(_learner(words, rest, model, d, max(3e-6 * tokens, 100.0), seed, pieces), _CHANGES, profile=_roomy(spark, known))
+    learned = changes.groupBy("block", "part", "piece").applyInArrow(_averaged(model, d, pieces), "block long, part int, piece int, data binary")
+    if pieces > 1:
+        learned = learned.groupBy("block", "part").applyInArrow(_whole, _BLOCKS)
+    learned = stored(learned.select("block", "part", "data"), "model", BLOCK_ROWS)
+    changed = {(x.part, x.block) for x in learned.select("part", "block").collect()}  # 16 bytes a block
+    for key in changed:
+        model.blocks[key].destroy()
+    return Shared({key: block for key, block in model.blocks.items() if key not in changed}).add(spark, learned)
 
 
 def _scores(vocabulary: Shared, shared: Shared, d: int, total: int, types: int, rest: tuple[float, float, float]):
@@ -755,10 +808,18 @@ def score(docs: DataFrame, train_col, floor: int = 5, most_words: int = 8_000_00
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.coalesce(train_col, F.lit(False)).alias("train"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(1, math.ceil(size / shard_bytes))
     # Dealt by a hash of the row, in its order: the same shards on any cluster.
-    dealt = (texts.withColumn("by", F.xxhash64("doc_id", "text")).repartition(max(1, math.ceil(size / shard_bytes)), "by")
+    dealt = (texts.withColumn("by", F.xxhash64("doc_id", "text")).repartition(shards, "by")
              .sortWithinPartitions("by").drop("by"))
-    chunks = stored(dealt.mapInArrow(_chunks, _CHUNK.format(kind=kind)), "chunks")
+    with _with(spark, TIDY):
+        chunks = stored(dealt.mapInArrow(_chunks, _CHUNK.format(kind=kind)), "chunks", compression="zstd")
+    with _with(spark, TIDY | FEW):
+        return _of_chunks(chunks, kind, shards, floor, most_words, d)
+
+
+def _of_chunks(chunks: DataFrame, kind: str, shards: int, floor: int, most_words: int, d: int) -> DataFrame:
+    spark = chunks.sparkSession
     entries = chunks.agg(F.sum("n_uniq")).first()[0] or 0
     bits = max(0, math.ceil(math.log2(max(entries, 1) / RANGE_ENTRIES)))
     answers = stored(chunks.select("chunk", "uniq", "cnt").mapInArrow(_requests(bits), "r long, chunk long, h binary, n binary")
@@ -773,13 +834,14 @@ def score(docs: DataFrame, train_col, floor: int = 5, most_words: int = 8_000_00
     words = Shared().add(spark, stored(placed.groupBy("block").applyInArrow(_block_row, _BLOCKS), "vocabulary", BLOCK_ROWS))
     # The words below the floor: their tokens, their types, and the discount that unseen words share.
     kept = [x for x in buckets if x.bucket >= classes.lowest]
-    rest_total, rest_types = total - sum(x.tokens for x in kept), types - sum(x.words for x in kept)
+    known = sum(x.words for x in kept)
+    rest_total, rest_types = total - sum(x.tokens for x in kept), types - known
     discount = min(0.9, max(0.1, once / max(once + 2 * twice, 1))) if rest_types else 0.0
-    model = fit(chunks, words, rest_total, total, d)
+    model = fit(chunks, words, rest_total, total, known, shards, d)
     replies = answers.filter("chunk >= 0").groupBy("chunk").agg(F.collect_list(F.struct("r", "c")).alias("answers"))
     rows = chunks.select("chunk", "doc_ids", "train", "n_tokens", "tok", "uniq").join(replies, "chunk")
-    scored = rows.mapInArrow(_scores(words, model, d, total, types, (discount, rest_total, rest_types)), f"doc_id {kind}, train boolean, n_tokens long, n_known long, base_score double, score double")
-    return scored.withColumn("train_tokens", F.lit(total).cast("long"))
+    scored = rows.mapInArrow(_scores(words, model, d, total, types, (discount, rest_total, rest_types)), f"doc_id {kind}, train boolean, n_tokens long, n_known long, base_score double, score double", profile=_roomy(spark, known))
+    return stored(scored, "scores").withColumn("train_tokens", F.lit(total).cast("long"))
 
 
 def lm_scores(docs: DataFrame) -> DataFrame:

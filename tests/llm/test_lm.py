@@ -10,6 +10,7 @@ from types import SimpleNamespace
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import SparkConf
 
 from keyfold.llm import lm
 
@@ -113,3 +114,48 @@ def test_equal_numbers_are_added_up():
         index, values = rng.integers(0, most, 500), rng.random((500, 4))
         at, sums = lm._grouped(index, values)
         assert at.tolist() == sorted(set(index.tolist())) and np.allclose(sums, [values[index == i].sum(0) for i in at])
+
+
+def test_broadcasts_are_read_anew_and_not_kept(spark):
+    shared = lm.Shared().add(spark, spark.createDataFrame([(i, lm.VOCABULARY, bytes([i]) * 5) for i in range(3)], lm._BLOCKS))
+
+    def run(batches):
+        list(batches)
+        found = b"".join(shared.arrays(lm.VOCABULARY))
+        yield pa.record_batch([pa.array([found]), pa.array([sum(hasattr(x, "_value") for x in shared.blocks.values())])], names=["found", "kept"])
+
+    rows = spark.range(0, 2, 1, 1).mapInArrow(run, "found binary, kept long").collect()
+    assert [(bytes(x.found), x.kept) for x in rows] == [(bytes([0] * 5 + [1] * 5 + [2] * 5), 0)]
+
+
+@pytest.mark.parametrize("part, shape", [(lm.WORDS, (10, 5)), (lm.TARGETS, (10, 6)), (lm.REST, (1, 23))])
+def test_changes_are_averaged_by_pieces(part, shape):
+    rng = np.random.default_rng(5)
+    was = rng.random(shape, np.float32)
+    changes = [rng.integers(-4, 5, shape).astype(np.float32) * (rng.random((shape[0], 1)) < 0.5) for _ in range(7)]
+    block = -1 if part == lm.REST else 0
+    shared = lm.Shared({(part, block): SimpleNamespace(value=was.tobytes())})
+    width = shape[1] if part == lm.REST else shape[1] - 1
+    count = np.maximum(1, [7] if part == lm.REST else sum(x[:, :width].any(1).astype(int) for x in changes))[:, None]
+    expected = was.copy()
+    expected[:, :width] += sum(x[:, :width] for x in changes) / count
+    for pieces in (1, 3):
+        sent = [row for i in rng.permutation(7) for row in lm._change_rows(block, part, int(i), changes[i][:, :width], pieces)]
+        done = [lm._averaged(shared, 4, pieces)(pa.Table.from_batches([x for x in sent if x.column("piece")[0].as_py() == p])) for p in rng.permutation(pieces)]
+        whole = lm._whole(pa.concat_tables(done))
+        assert np.allclose(np.frombuffer(whole.column("data")[0].as_py(), np.float32).reshape(shape), expected, atol=1e-6)
+
+
+def test_a_task_with_a_large_model_takes_more_cores():
+    conf = lambda **x: SparkConf(loadDefaults=False).setAll([("spark." + k.replace("_", "."), v) for k, v in x.items()])
+    tool = conf(master="local-cluster[3,2,3000]", executor_memory="1800m")
+    assert [lm.cores_a_task(tool, n) for n in (0, 100_000, 731_000, 8_000_000)] == [1, 1, 2, 2]
+    assert lm.cores_a_task(conf(master="yarn", executor_memory="16g", executor_cores="8"), 731_000) == 1
+    assert lm.cores_a_task(conf(master="yarn", executor_memory="16g", executor_cores="8"), 8_000_000) > 3
+    assert lm.cores_a_task(conf(master="local[4]", executor_memory="1g"), 8_000_000) == 1
+
+
+def test_settings_are_restored(spark, small_docs):
+    before = {key: spark.conf.get(key, None) for key in lm.TIDY | lm.FEW}
+    lm.lm_scores(small_docs.limit(20)).count()
+    assert {key: spark.conf.get(key, None) for key in before} == before
