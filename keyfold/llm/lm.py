@@ -46,6 +46,7 @@ from pyspark.resource import ResourceProfile, ResourceProfileBuilder, TaskResour
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keyfold import fs
 from keyfold.llm._spark import crc_mod, stored
 from keyfold.llm._words import mix, slices, text_bytes, word_hashes
 
@@ -323,6 +324,13 @@ class Shared:
             bring()
         return Shared(found)
 
+    def taken(self, spark: SparkSession, rows: DataFrame) -> Shared:
+        """``add`` of stored rows, whose files then go: the broadcasts have them."""
+        found = self.add(spark, rows)
+        for folder in {x.rpartition("/")[0] for x in rows.inputFiles()}:
+            fs.delete(spark, folder)
+        return found
+
     def arrays(self, part: int) -> Iterator[bytes]:
         return (_read(self.blocks[key]) for key in sorted(self.blocks) if key[0] == part)
 
@@ -751,7 +759,7 @@ def fit(chunks: DataFrame, words: Shared, rest: float, tokens: float, known: int
     some = some.unionByName(spark.createDataFrame([(-1, -1, -1)], some.schema))
     # A bounded sample, in an order of its own.
     begun = some.repartition(1).sortWithinPartitions("two", "one", "w").mapInArrow(_first(words, rest, d, first, seed), _BLOCKS)
-    model = Shared().add(spark, stored(begun, "model", BLOCK_ROWS))
+    model = Shared().taken(spark, stored(begun, "model", BLOCK_ROWS))
     pieces = math.ceil(shards / SHARDS_A_BLOCK)
     changes = texts.mapInArrow(_learner(words, rest, model, d, max(3e-6 * tokens, 100.0), seed, pieces), _CHANGES, profile=_roomy(spark, known))
     learned = changes.groupBy("block", "part", "piece").applyInArrow(_averaged(model, d, pieces), "block long, part int, piece int, data binary")
@@ -761,7 +769,7 @@ def fit(chunks: DataFrame, words: Shared, rest: float, tokens: float, known: int
     changed = {(x.part, x.block) for x in learned.select("part", "block").collect()}  # 16 bytes a block
     for key in changed:
         model.blocks[key].destroy()
-    return Shared({key: block for key, block in model.blocks.items() if key not in changed}).add(spark, learned)
+    return Shared({key: block for key, block in model.blocks.items() if key not in changed}).taken(spark, learned)
 
 
 def _scores(vocabulary: Shared, shared: Shared, d: int, total: int, types: int, rest: tuple[float, float, float]):
@@ -831,7 +839,7 @@ def _of_chunks(chunks: DataFrame, kind: str, shards: int, floor: int, most_words
                .agg(F.sum("words").alias("words"), F.sum("tokens").alias("tokens")).collect())  # a row a bucket, under 1,100 for any counts
     classes = Classes.planned({x.bucket: x.words for x in buckets}, {x.bucket: x.tokens for x in buckets}, total, most_words)
     placed = frequent.mapInArrow(_placed(classes), "block long, cls long, h long, c long")
-    words = Shared().add(spark, stored(placed.groupBy("block").applyInArrow(_block_row, _BLOCKS), "vocabulary", BLOCK_ROWS))
+    words = Shared().taken(spark, stored(placed.groupBy("block").applyInArrow(_block_row, _BLOCKS), "vocabulary", BLOCK_ROWS))
     # The words below the floor: their tokens, their types, and the discount that unseen words share.
     kept = [x for x in buckets if x.bucket >= classes.lowest]
     known = sum(x.words for x in kept)

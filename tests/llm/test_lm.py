@@ -159,3 +159,12 @@ def test_settings_are_restored(spark, small_docs):
     before = {key: spark.conf.get(key, None) for key in lm.TIDY | lm.FEW}
     lm.lm_scores(small_docs.limit(20)).count()
     assert {key: spark.conf.get(key, None) for key in before} == before
+
+
+def test_files_of_broadcast_blocks_go(spark):
+    rows = lm.stored(spark.createDataFrame([(i, lm.WORDS, bytes([i])) for i in range(3)], lm._BLOCKS), "model", 1)
+    folder = rows.inputFiles()[0].rpartition("/")[0]
+    assert lm.fs.exists(spark, folder)
+    shared = lm.Shared().taken(spark, rows)
+    assert {key: x.value for key, x in shared.blocks.items()} == {(lm.WORDS, i): bytes([i]) for i in range(3)}
+    assert not lm.fs.exists(spark, folder)
