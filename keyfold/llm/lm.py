@@ -20,29 +20,33 @@ What is sent grows with the chunks' distinct words, a frequent word counts
 once a chunk, and no group has more than one entry a chunk and word.
 
 Vocabulary and parameters are tables of blocks in the shared folder.  They are
-made and averaged by tasks; the driver hands them on as broadcasts, some blocks
-(about 4 MB) at a time, and keeps none.  A Python worker reads them
-from there: one that learns fills a copy that it changes, 140 bytes a word, and
-compares it at the end, block by block; one that scores takes rows from where
-they are.  There are at most ``most_words`` words.  Where
-that is much of an executor's memory, such a task takes more of its cores, so
-that fewer run at once.  A shard's changes are sent once: each task averages
+made and averaged by tasks; the driver hands them on as broadcasts, three files of
+some blocks (about 4 MB) at a time, and keeps none.  A Python worker maps the
+broadcasts' files, so a machine's workers share their pages and no task loads
+the model: one that scores takes rows from where they are, and one that learns
+first draws its shard's noise words, copies the rows that the shard will change,
+about 200 bytes each, and compares them at the end.  So a worker's memory grows
+with its shard and not with the vocabulary, but for some bytes a word that say
+which rows it has, and tasks of the model run on every core.  There are at
+most ``most_words`` words.  A shard's changes are sent once: each task averages
 those of some rows of a block, of fewer rows the more shards there are.  Texts are dealt to shards by a
 hash, so shards, and with them the scores, don't depend on the cluster.
 """
 
 from __future__ import annotations
 
+import bisect
 import math
+import mmap
 import re
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast, SparkConf, TaskContext
-from pyspark.resource import ResourceProfile, ResourceProfileBuilder, TaskResourceRequests
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,7 +89,8 @@ WORKER_BYTES, WORD_BYTES = 150 << 20, 280
 def cores_a_task(conf: SparkConf, words: int) -> int:
     """How many of an executor's cores a task that holds ``words`` words should
     take, so that such workers together have about a quarter of its heap's
-    size beside it; 1 where the cores aren't known."""
+    size beside it; 1 where the cores aren't known.  No task of this module
+    holds all words any more, so each takes the usual one."""
     cluster = re.fullmatch(r"local-cluster\[\s*\d+\s*,\s*(\d+)\s*,\s*\d+\s*\]", conf.get("spark.master", ""))
     cores = 1 if conf.get("spark.master", "").startswith("local[") else int(cluster[1] if cluster else conf.get("spark.executor.cores", "1"))
     number, unit = re.match(r"(\d+)\s*([a-z]?)", conf.get("spark.executor.memory", "1g").lower()).groups()
@@ -94,13 +99,6 @@ def cores_a_task(conf: SparkConf, words: int) -> int:
     return min(max(usual, math.ceil((WORKER_BYTES + WORD_BYTES * words) * cores * 4 / heap)), max(cores, usual))
 
 
-def _roomy(spark: SparkSession, words: int) -> ResourceProfile | None:
-    """The profile of such tasks; none where the usual one will do."""
-    conf = spark.sparkContext.getConf()
-    cores = cores_a_task(conf, words)
-    return ResourceProfileBuilder().require(TaskResourceRequests().cpus(cores)).build if cores > int(conf.get("spark.task.cpus", "1")) else None
-
-
 def _list(values: np.ndarray, kind: pa.DataType) -> pa.Array:
     """One row that is the list of all values."""
     values = values if isinstance(values, pa.Array) else pa.array(values, kind)
@@ -191,14 +189,6 @@ def _answer(floor: int):
     return run
 
 
-def _ids_of(uniq: np.ndarray, top: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """The word number of each hash: that of its place in ``top`` (sorted), or ``len(top)``."""
-    if not len(top):
-        return np.zeros(len(uniq), np.int64)
-    at = np.minimum(np.searchsorted(top, uniq), len(top) - 1)
-    return np.where(top[at] == uniq, ids[at], len(top))
-
-
 def _contexts(cls: np.ndarray, n: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
     """(word two before, word before) of each token; ``start`` before a text's first."""
     first = np.cumsum(n) - n
@@ -209,13 +199,14 @@ def _contexts(cls: np.ndarray, n: np.ndarray, start: int) -> tuple[np.ndarray, n
     return two, one
 
 
-def _trigrams(batch: pa.RecordBatch, row: int, top: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(two before, one before, word) of a chunk's training tokens, as word numbers."""
+def _trigrams(batch: pa.RecordBatch, row: int, v: Vocabulary) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
+    """(two before, one before, word) of a chunk's training tokens, as word numbers, and the words' smoothed counts."""
     n = _flat(batch, "n_tokens", row).astype(np.int64)
-    w = _ids_of(_words_of(batch, row), top, ids).astype(np.int32)[_unpacked(batch.column("tok")[row].as_buffer(), np.int32)]
-    two, one = _contexts(w, n, len(top) + 1)
+    ids, tok = v.ids_of(_words_of(batch, row)), _unpacked(batch.column("tok")[row].as_buffer(), np.int32)
+    w = ids.astype(np.int32)[tok]
+    two, one = _contexts(w, n, v.words + 1)
     learns = np.repeat(_flat(batch, "train", row).astype(bool), n)
-    return two[learns], one[learns], w[learns]
+    return (two[learns], one[learns], w[learns]), v.times_of(ids)[tok[learns]]
 
 
 # -- vocabulary -----------------------------------------------------------------
@@ -283,18 +274,54 @@ def _block_row(table: pa.Table) -> pa.Table:
     return pa.table({"block": table.column("block")[:1], "part": pa.array([VOCABULARY], pa.int32()), "data": pa.array([data], pa.binary())})
 
 
-#: What a block's bytes are: words of the vocabulary, context vectors, target vectors; the rest has block -1.
-VOCABULARY, WORDS, TARGETS, REST = range(4)
+def _by_hash(first: dict[int, int], bits: int):
+    """``r, h, id``: a block's hashes and word numbers by the top ``bits`` of the hash; ``first`` has each block's first number."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                h = np.frombuffer(batch.column("data")[row].as_buffer(), np.int64).reshape(3, -1)[1].view(np.uint64)
+                order = np.argsort(h)
+                h, ids = h[order], (first[batch.column("block")[row].as_py()] + order).astype(np.int32)
+                r = (h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
+                at = np.concatenate([np.flatnonzero(np.diff(r, prepend=-1)), [len(r)]])
+                yield pa.record_batch([pa.array(r[at[:-1]]), _bytes(*(h[i:j].tobytes() for i, j in zip(at, at[1:], strict=False))),
+                                       _bytes(*(ids[i:j].tobytes() for i, j in zip(at, at[1:], strict=False)))], names=["r", "h", "id"])
+    return run
+
+
+def _lookup_row(table: pa.Table) -> pa.Table:
+    """One row of bytes for a range of hashes: these in order, then their word numbers."""
+    h, ids = (np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table.column(name)]) for name, kind in (("h", np.uint64), ("id", np.int32)))
+    order = np.argsort(h)
+    return pa.table({"block": table.column("r")[:1], "part": pa.array([LOOKUP], pa.int32()), "data": _bytes(h[order].tobytes() + ids[order].tobytes())})
+
+
+#: What a block's bytes are: words of the vocabulary, context vectors, target vectors; the rest has block -1; word numbers by hash, a range a block.
+VOCABULARY, WORDS, TARGETS, REST, LOOKUP = range(5)
 _BLOCKS = "block long, part int, data binary"
-#: Blocks (of about 0.6 MB) that a file has at most.
-BLOCK_ROWS = 8
+#: Blocks (of about 0.6 MB) that a file has at most, and files that the driver hands on at once.
+BLOCK_ROWS, FILES_AT_ONCE = 8, 3
+
 
+#: How a pickled ``bytes`` value begins, up to its length.
+_PICKLED = re.compile(rb"\x80.(?:\x95.{8})?(?:C(.)|B(.{4})|\x8e(.{8}))", re.DOTALL)
 
-def _read(block: Broadcast) -> bytes:
-    """A broadcast's bytes, read from its file and not kept: a worker keeps what
-    ``value`` returns while it waits for further tasks, and after."""
+
+def _read(block: Broadcast):
+    """A broadcast's bytes.  A worker maps them from its file: they take none of
+    its memory, and it keeps nothing while it waits for further tasks, and after."""
     path = getattr(block, "_path", None)
-    return block.value if path is None or hasattr(block, "_value") else block.load_from_path(path)
+    if path is None or hasattr(block, "_value"):
+        return block.value
+    with open(path, "rb") as file:
+        begin = _PICKLED.match(head := file.read(32))
+        n = int.from_bytes(begin[begin.lastindex], "little") if begin else 0
+        # After the value only some bytes that end the file, the last of them a full stop.
+        if n and 0 < (size := file.seek(0, 2)) - begin.end() - n < 32 and head:
+            mapped = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
+            if mapped[size - 1] == 0x2E:
+                return memoryview(mapped)[begin.end():begin.end() + n]
+    return block.load_from_path(path)
 
 
 @dataclass
@@ -304,24 +331,18 @@ class Shared:
     blocks: dict[tuple[int, int], Broadcast] = field(default_factory=dict)
 
     def add(self, spark: SparkSession, rows: DataFrame) -> Shared:
-        """With the blocks of ``block, part, data`` rows, brought over about 4 MB at a time."""
-        found, held, size = dict(self.blocks), [], 0
-        keys = rows.select("block", "part", F.octet_length("data").alias("size")).collect()  # 16 bytes a block
-
-        def bring() -> None:
-            wanted = F.struct("block", "part").isin([F.struct(F.lit(b).cast("long"), F.lit(p).cast("int")) for b, p in held])
-            # By the range of blocks, files of others aren't read.
-            for row in rows.filter(F.col("block").between(held[0][0], held[-1][0]) & wanted).collect():
-                found[row.part, row.block] = spark.sparkContext.broadcast(bytes(row.data))
-
-        for key in sorted(keys, key=lambda x: (x.block, x.part)):
-            held.append((key.block, key.part))
-            size += key.size
-            if size >= 4 << 20:
-                bring()
-                held, size = [], 0
-        if held:
-            bring()
+        """With the blocks of ``block, part, data`` rows; of stored rows, some files (of about 4 MB) are brought over at a time."""
+        found = dict(self.blocks)
+
+        def bring(some: DataFrame) -> None:
+            for row in some.select("block", "part", "data").toArrow().to_pylist():
+                found[row["part"], row["block"]] = spark.sparkContext.broadcast(row["data"])
+
+        files = sorted(rows.inputFiles())
+        # A file takes little but waiting.
+        with ThreadPoolExecutor(FILES_AT_ONCE) as pool:
+            for _ in pool.map(bring, [spark.read.schema(rows.schema).parquet(x) for x in files] if files else [rows]):
+                pass
         return Shared(found)
 
     def taken(self, spark: SparkSession, rows: DataFrame) -> Shared:
@@ -331,23 +352,54 @@ class Shared:
             fs.delete(spark, folder)
         return found
 
-    def arrays(self, part: int) -> Iterator[bytes]:
+    def arrays(self, part: int) -> Iterator[bytes | memoryview]:
         return (_read(self.blocks[key]) for key in sorted(self.blocks) if key[0] == part)
 
 
 class Vocabulary:
-    """Hashes, counts and classes of the words, by number."""
+    """Hashes, counts and classes of the words, by number; where its blocks are."""
 
     def __init__(self, shared: Shared, rest_tokens: float):
         found = [np.frombuffer(x, np.int64).reshape(3, -1) for x in shared.arrays(VOCABULARY)]
         self.sizes = [x.shape[1] for x in found]
-        cls, h, c = np.concatenate(found, 1) if found else np.zeros((3, 0), np.int64)
-        hashes = h.view(np.uint64)
-        self.ids = np.argsort(hashes).astype(np.int32)
-        self.top = hashes[self.ids]
-        self.times = np.append(c, rest_tokens).astype(float)
+        self.words = sum(self.sizes)
         # Classes without words aren't counted; the words below the floor, together, are the last.
-        self.bounds = np.concatenate([np.flatnonzero(np.diff(cls, prepend=-1)), [len(c), len(c) + 1]])
+        bounds, mass, lo, last = [], [0.0], 0, -1
+        for cls, _, c in found:
+            first = np.flatnonzero(np.diff(cls, prepend=last))
+            bounds.append(first + lo)
+            if cls[0] == last:  # a class that began in the block before
+                mass[-1] += (c[:first[0] if len(first) else None] + 0.5).sum()
+            mass += list(np.add.reduceat(c + 0.5, first)) if len(first) else []
+            lo, last = lo + len(cls), cls[-1]
+        self.bounds = np.concatenate([*bounds, [lo, lo + 1]]).astype(np.int64)
+        #: How often words of each class are there, and of each word, smoothed.
+        self.mass = np.array([*mass[1:], rest_tokens + 0.5])
+        self.counts = Blocks([*(x[2] for x in found), np.array([rest_tokens])])
+        self.lookup = []
+        for x in shared.arrays(LOOKUP):
+            n = len(x) // 12
+            self.lookup.append((np.frombuffer(x, np.uint64, n), np.frombuffer(x, np.int32, n, 8 * n)))
+        if found and not self.lookup:
+            h = np.concatenate([x[1] for x in found]).view(np.uint64)
+            ids = np.argsort(h).astype(np.int32)
+            self.lookup = [(h[ids], ids)]
+
+    def ids_of(self, h: np.ndarray) -> np.ndarray:
+        """The word number of each hash, ``words`` of one that isn't in the vocabulary."""
+        out, order = np.full(len(h), self.words, np.int64), np.argsort(h)
+        h = h[order]
+        for hashes, ids in self.lookup:
+            i, j = np.searchsorted(h, hashes[0]), np.searchsorted(h, hashes[-1], "right")
+            at = np.searchsorted(hashes, h[i:j])
+            there = np.flatnonzero(hashes[at] == h[i:j])
+            out[order[i:j][there]] = ids[at[there]]
+        return out
+
+    def times_of(self, ids: np.ndarray) -> np.ndarray:
+        """The smoothed count of each word."""
+        some, at = np.unique(ids, return_inverse=True)
+        return (self.counts[some].astype(float) + 0.5)[at]
 
 
 def _sample(shared: Shared, rest: float, rate: float):
@@ -356,13 +408,28 @@ def _sample(shared: Shared, rest: float, rate: float):
         v = Vocabulary(shared, rest)
         for batch in batches:
             for row in range(batch.num_rows):
-                grams = _trigrams(batch, row, v.top, v.ids)
+                grams, _ = _trigrams(batch, row, v)
                 rng = np.random.default_rng(batch.column("chunk")[row].as_py())
                 pick = rng.random(len(grams[0])) < rate
                 yield pa.record_batch([pa.array(g[pick].astype(np.int32)) for g in grams], names=["two", "one", "w"])
     return run
 
 
+#: Words of one range of hashes.
+LOOKUP_WORDS = 1 << 16
+
+
+def _vocabulary(blocks: DataFrame) -> Shared:
+    """The stored blocks of the vocabulary, and word numbers by hash."""
+    spark, first, words = blocks.sparkSession, {}, 0
+    for x in blocks.select("block", (F.octet_length("data") / 24).cast("long").alias("n")).sort("block").collect():  # 16 bytes a block
+        first[x.block] = words
+        words += x.n
+    bits = max(0, math.ceil(math.log2(max(words, 1) / LOOKUP_WORDS)))
+    lookup = blocks.mapInArrow(_by_hash(first, bits), "r long, h binary, id binary").groupBy("r").applyInArrow(_lookup_row, _BLOCKS)
+    return Shared().taken(spark, stored(lookup, "lookup", BLOCK_ROWS)).taken(spark, blocks)
+
+
 # -- the model --------------------------------------------------------------------
 def _cuts(sizes: np.ndarray) -> np.ndarray:
     """First entries of runs whose ``sizes`` add up to about 1, and their number."""
@@ -378,8 +445,13 @@ def class_bounds(times: np.ndarray) -> np.ndarray:
 
 
 def _order(index: np.ndarray) -> np.ndarray:
-    """A stable order; that of numbers of 16 bits is found faster."""
-    return np.argsort(index.astype(np.uint16) if len(index) and index.max() < 1 << 16 else index, kind="stable")
+    """A stable order of numbers of up to 43 bits; that of numbers of 16 bits is found faster."""
+    if not len(index) or index.max() < 1 << 16:
+        return np.argsort(index.astype(np.uint16), kind="stable")
+    if len(index) > 1 << 20:
+        return np.argsort(index, kind="stable")
+    # Numbers with their places sort faster than places by numbers.
+    return np.sort((index.astype(np.int64) << 20) | np.arange(len(index))) & ((1 << 20) - 1)
 
 
 def _grouped(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -410,24 +482,34 @@ def group_bounds(mass: np.ndarray) -> np.ndarray:
     return _cuts(np.sqrt(mass / mass.sum()))
 
 
-def _run_of(edges: np.ndarray) -> np.ndarray:
+def _run_of(edges: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     """The run between ``edges`` that each number lies in."""
-    return np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+    return np.searchsorted(edges, numbers, "right") - 1
 
 
 def _within(q: np.ndarray, at: np.ndarray, chosen: np.ndarray, run: np.ndarray, edges: np.ndarray, table, out: np.ndarray) -> None:
     """Adds ln P(chosen | its run) to ``out``: a softmax over the run between ``edges`` that it lies in."""
     order = _order(run)
     cuts = np.searchsorted(run[order], np.arange(len(edges)))
-    for r in np.flatnonzero((np.diff(cuts) > 0) & (np.diff(edges) > 1)):
-        lo, hi = edges[r], edges[r + 1]
-        step, own = max(1, (1 << 18) // (hi - lo)), table[lo:hi].T
-        for i in range(cuts[r], cuts[r + 1], step):
-            rows = order[i:min(i + step, cuts[r + 1])]
-            z = q.take(at[rows], 0) @ own
-            z -= z.max(1, keepdims=True)
-            mine = z[np.arange(len(rows)), chosen[rows] - lo]
-            out[rows] += mine - np.log(np.exp(z, out=z).sum(1))
+    at, place = at[order], (chosen - edges[run])[order]
+    mine, total = np.zeros(len(at), np.float32), np.ones(len(at), np.float32)
+    size, ones, count = np.diff(edges), np.ones(np.diff(edges).max(), np.float32), np.arange(len(at))
+    runs = np.flatnonzero((np.diff(cuts) > 0) & (size > 1))
+    # The loop is short: there are thousands of runs.
+    for first, last, lo, n in zip(*(x.tolist() for x in (cuts[runs], cuts[runs + 1], edges[runs], size[runs])), strict=True):
+        step, own = max(1, (1 << 17) // n), table[lo:lo + n].T
+        for i in range(first, last, step):
+            j = min(i + step, last)
+            z = q.take(at[i:j], 0) @ own
+            mine[i:j] = z[count[:j - i], place[i:j]]
+            with np.errstate(over="ignore"):
+                np.dot(np.exp(z, out=z), ones[:n], out=total[i:j])
+    # Where sums aren't of a float's range, the largest product is taken from all.
+    for i in np.flatnonzero(~((total > 1e-30) & (total < 1e30))):
+        lo = edges[run[order[i]]]
+        z = table[lo:edges[run[order[i]] + 1]] @ q[at[i]]
+        mine[i], total[i] = z[place[i]] - z.max(), np.exp(z - z.max()).sum()
+    out[order] += mine - np.log(total)
 
 
 class Blocks:
@@ -436,14 +518,15 @@ class Blocks:
     def __init__(self, parts: list[np.ndarray]):
         self.parts = parts
         self.first = np.cumsum([0, *map(len, parts)])
+        self.starts = self.first.tolist()
 
     def __len__(self) -> int:
         return int(self.first[-1])
 
     def __getitem__(self, rows):
         if isinstance(rows, slice):
-            b = np.searchsorted(self.first, rows.start, "right") - 1
-            return self.parts[b][rows.start - self.first[b]:rows.stop - self.first[b]]
+            b = bisect.bisect_right(self.starts, rows.start) - 1
+            return self.parts[b][rows.start - self.starts[b]:rows.stop - self.starts[b]]
         cuts = np.searchsorted(rows, self.first)
         return np.concatenate([x[rows[i:j] - lo] for x, i, j, lo in zip(self.parts, cuts, cuts[1:], self.first, strict=False)])
 
@@ -457,84 +540,79 @@ class LogBilinear:
     groups: np.ndarray  # groups x (d + 1)
     bounds: np.ndarray  # first words of the classes, and k
     over: np.ndarray  # first classes of the groups, and their number
-    times: np.ndarray  # k, training counts
+    mass: np.ndarray  # training counts of the classes
     squares: list[np.ndarray]  # Adagrad: a row of words, places, a row of targets, classes and groups
     rows: tuple[np.ndarray, ...]  # what all these are views of: words' rows, targets' rows, the state of training last in each, and all other numbers
 
     @classmethod
-    def of_rows(cls, words: np.ndarray, targets: np.ndarray, others: np.ndarray, bounds: np.ndarray, over: np.ndarray, times: np.ndarray) -> LogBilinear:
-        """All parameters as views of the arrays given."""
+    def of_rows(cls, words: np.ndarray, targets: np.ndarray, others: np.ndarray, bounds: np.ndarray, over: np.ndarray, mass: np.ndarray) -> LogBilinear:
+        """All parameters as views of the arrays given, which may have some words' and targets' rows only."""
         d, c, g = words.shape[1] - 1, len(bounds) - 1, len(over) - 1
         sizes = [c * (d + 1), c, g * (d + 1), g, 2 * d * d, 2 * d * d]
         classes, class_state, groups, group_state, places, place_state = np.split(others, np.cumsum(sizes)[:-1])
-        return cls(words[:, :d], places.reshape(2, d, d), targets[:, :d + 1], classes.reshape(c, d + 1), groups.reshape(g, d + 1), bounds, over, times,
+        return cls(words[:, :d], places.reshape(2, d, d), targets[:, :d + 1], classes.reshape(c, d + 1), groups.reshape(g, d + 1), bounds, over, mass,
                    [words[:, d], place_state.reshape(2, d, d), targets[:, d + 1], class_state, group_state], (words, targets, others))
 
     @classmethod
-    def start(cls, times: np.ndarray, d: int, seed: int, bounds: np.ndarray | None = None) -> LogBilinear:
-        rng = np.random.default_rng(seed)
-        times = times + 0.5
-        bounds = class_bounds(times) if bounds is None else bounds
-        mass = np.add.reduceat(times, bounds[:-1])
-        over = group_bounds(mass)
-        above = np.add.reduceat(mass, over[:-1])
-        k, c, g = len(times), len(mass), len(above)
-        words, targets = np.empty((k + 1, d + 1), np.float32), np.empty((k, d + 2), np.float32)
-        model = cls.of_rows(words, targets, np.empty((c + g) * (d + 2) + 4 * d * d, np.float32), bounds, over, times)
-        for table in (model.words, model.targets, model.classes, model.groups):
-            for lo in range(0, len(table), 1 << 14):  # drawn at double precision
-                part = table[lo:lo + (1 << 14), :d]
-                part[:] = rng.normal(0, 0.1, part.shape)
-        for table, x in ((model.targets, times), (model.classes, mass), (model.groups, above)):
-            table[:, d] = np.log(x / times.sum())
-        model.places[:] = np.eye(d) * 0.5
-        for x in model.squares:
-            x[:] = 0.1
-        return model
+    def start(cls, times: np.ndarray, d: int, seed: int) -> LogBilinear:
+        bounds = class_bounds(times + 0.5)
+        mass = np.add.reduceat(times + 0.5, bounds[:-1])
+        everything = {WORDS: np.ones(len(times) + 1, bool), TARGETS: np.ones(len(times), bool)}
+        return cls.of_some(_started(times, mass, group_bounds(mass), d, seed), everything, d, bounds, group_bounds(mass), mass)
+
+    @classmethod
+    def of_some(cls, parts: Iterator[tuple[int, int, np.ndarray]], seen: dict[int, np.ndarray], d: int, bounds: np.ndarray, over: np.ndarray, mass: np.ndarray) -> LogBilinear:
+        """Of the rows of words and targets that are ``seen``, in order; ``parts`` are (part, first row, rows)."""
+        held = {part: np.empty((np.count_nonzero(seen[part]), d + width), np.float32) for part, width in ((WORDS, 1), (TARGETS, 2))}
+        at = dict.fromkeys(held, 0)
+        for part, lo, rows in parts:
+            if part == REST:
+                others = rows.copy()
+                continue
+            wanted = np.flatnonzero(seen[part][lo:lo + len(rows)])
+            held[part][at[part]:at[part] + len(wanted)] = rows[wanted]
+            at[part] += len(wanted)
+        return cls.of_rows(held[WORDS], held[TARGETS], others, bounds, over, mass)
 
     def states(self) -> list[slice]:
         """Where the state of training lies in the third array of ``rows``."""
         ends = np.cumsum([x.size for x in (self.classes, self.squares[3], self.groups, self.squares[4], self.places, self.squares[1])])
         return [slice(ends[i], ends[i + 1]) for i in (0, 2, 4)]
 
-    def learn(self, grams: tuple[np.ndarray, ...], weights: np.ndarray, rng: np.random.Generator, batch: int = 4096, group_noise: int = 16, noise: int = 4, rate: float = 0.1) -> None:
+    def learn(self, grams: tuple[np.ndarray, ...], weights: np.ndarray, rng: np.random.Generator, numbers: dict[int, np.ndarray] | None = None, rate: float = 0.1) -> None:
         """One pass: groups against groups drawn by frequency, classes against
-        some of their group, words against some of their class."""
+        some of their group, words against some of their class.  ``numbers``:
+        the rows that words have among those held here."""
         d = self.places.shape[1]
         words_rows, target_rows, _ = self.rows
-        class_of, group_of = _run_of(self.bounds), _run_of(self.over)
-        sums = np.concatenate([[0.0], np.cumsum(self.times)])
-        group_sums = sums[self.bounds][self.over]
-        group_p = np.log(np.diff(group_sums) / sums[-1]).astype(np.float32)
-        for lo in range(0, len(weights), batch):
-            two, one, w = (g[lo:lo + batch] for g in grams)
-            weight = weights[lo:lo + batch, None].astype(np.float32)
-            n, c = len(w), class_of[w]
-            g = group_of[c]
+        sums = np.concatenate([[0.0], np.cumsum(self.mass)])[self.over]
+        group_p = np.log(np.diff(sums) / sums[-1]).astype(np.float32)
+        lo = 0
+        for two, one, g, drawn, levels in _drawn(self.bounds, self.over, self.mass, grams, rng):
+            n = len(g)
+            weight = weights[lo:lo + n, None].astype(np.float32, copy=False)
+            lo += n
+            if numbers is not None:
+                two, one = numbers[WORDS][two], numbers[WORDS][one]
             # Whole rows, with the state, are faster to take.
             xa, xb = (np.ascontiguousarray(words_rows.take(x, 0)[:, :d]) for x in (two, one))
             q = np.ones((n, d + 1), np.float32)
             q[:, :d] = xa @ self.places[0] + xb @ self.places[1]
-            drawn = np.minimum(np.searchsorted(group_sums, rng.random(group_noise) * sums[-1], "right") - 1, len(self.groups) - 1)
             own, others = self.groups[g], self.groups[drawn]
-            shift = math.log(group_noise)
+            shift = math.log(len(drawn))
             g_own = (_logistic(np.einsum("nd,nd->n", q, own) - group_p[g] - shift)[:, None] - 1) * weight
             g_others = _logistic(q @ others.T - group_p[drawn] - shift) * weight
             dq = g_own * own + g_others @ others
             found = [_grouped(np.concatenate([g, drawn]), np.concatenate([g_own * q, g_others.T @ q]))]
-            for chosen, parent, edges, table in ((c, g, self.over, self.classes), (w, c, self.bounds, target_rows)):
-                # Children of one parent are about equally frequent: noise is drawn evenly.  A parent of one child has nothing to learn.
-                many = np.flatnonzero(np.diff(edges)[parent] > 1)
-                if not len(many):
+            for level, table in zip(levels, (self.classes, target_rows), strict=True):
+                if level is None:
                     found.append(None)
                     continue
-                up = parent[many]
-                low, size = edges[up], edges[up + 1] - edges[up]
-                which = np.empty((len(many), 1 + noise), np.int64)
-                which[:, 0] = chosen[many]
-                which[:, 1:] = low[:, None] + (rng.random((len(many), noise), np.float32) * size[:, None]).astype(np.int64)
+                many, which, size = level
+                if table is target_rows and numbers is not None:
+                    which = numbers[TARGETS][which]
                 rows, mine = np.ascontiguousarray(table.take(which, 0)[:, :, :d + 1]), q[many]
-                grad = _logistic(np.matmul(rows, mine[:, :, None])[:, :, 0] + np.log(size / noise).astype(np.float32)[:, None])
+                grad = _logistic(np.matmul(rows, mine[:, :, None])[:, :, 0] + np.log(size / (which.shape[1] - 1)).astype(np.float32)[:, None])
                 grad[:, 0] -= 1
                 grad *= weight[many]
                 dq[many] += np.matmul(grad[:, None, :], rows)[:, 0]
@@ -560,20 +638,21 @@ class LogBilinear:
     def log_probability(self, grams: tuple[np.ndarray, ...]) -> np.ndarray:
         """log10 P(word | two before, one before) of each trigram, normalised; equal ones once."""
         k, d = len(self.targets), self.places.shape[1]
-        two, one, w = grams
+        two, one, w = (x.astype(np.int64) for x in grams)  # a context's number has more than 32 bits
         seen, at = np.unique(two * (k + 1) + one, return_inverse=True)
         pairs, back = np.unique(at * k + w, return_inverse=True)
         at, w = np.divmod(pairs, k)
         two, one = np.divmod(seen, k + 1)
         there = np.zeros(k + 1, bool)
-        there[two] = there[one] = True
-        row_of, words = np.cumsum(there, dtype=np.int32) - 1, self.words[np.flatnonzero(there)]
+        there[two] = there[one] = there[w] = True
+        row_of, here = np.cumsum(there, dtype=np.int32) - 1, np.flatnonzero(there)
+        words = self.words[here]
         q = np.ones((len(seen), d + 1), np.float32)
         q[:, :d] = (words @ self.places[0]).take(row_of[two], 0)
         q[:, :d] += (words @ self.places[1]).take(row_of[one], 0)
-        del seen, two, one, pairs, row_of
-        c = _run_of(self.bounds)[w]
-        g = _run_of(self.over)[c]
+        c = _run_of(self.bounds, here)[row_of[w]]
+        del seen, two, one, pairs, row_of, there
+        g = _run_of(self.over, c)
         out = np.zeros(len(w), np.float32)
         for chosen, run, edges, table in ((g, np.zeros(len(g), np.int64), np.array([0, len(self.groups)]), self.groups), (c, g, self.over, self.classes), (w, c, self.bounds, self.targets)):
             _within(q, at, chosen, run, edges, table, out)
@@ -586,26 +665,67 @@ class LogBilinear:
         return self.log_probability((two, one, w)).reshape(k + 1, k + 1, k)
 
 
+def _drawn(bounds: np.ndarray, over: np.ndarray, mass: np.ndarray, grams: tuple[np.ndarray, ...], rng: np.random.Generator, batch: int = 4096, group_noise: int = 16, noise: int = 4) -> Iterator[tuple]:
+    """For each batch: words two and one before, groups, noise groups, and at
+    the levels of classes and of words (those that have a choice, they and their
+    noise, the choices there); no row of the model is needed for it."""
+    sums = np.concatenate([[0.0], np.cumsum(mass)])[over]
+    choices = {id(x): np.diff(x) for x in (over, bounds)}
+    for lo in range(0, len(grams[0]), batch):
+        two, one, w = (g[lo:lo + batch] for g in grams)
+        c = _run_of(bounds, w)
+        g = _run_of(over, c)
+        drawn = np.minimum(np.searchsorted(sums, rng.random(group_noise) * sums[-1], "right") - 1, len(over) - 2)
+        levels = []
+        for chosen, parent, edges in ((c, g, over), (w, c, bounds)):
+            # Children of one parent are about equally frequent: noise is drawn evenly.  A parent of one child has nothing to learn.
+            size = choices[id(edges)][parent]
+            many = np.flatnonzero(size > 1)
+            if not len(many):
+                levels.append(None)
+                continue
+            size = size[many]
+            which = np.empty((len(many), 1 + noise), np.int64)
+            which[:, 0] = chosen[many]
+            which[:, 1:] = edges[parent[many], None] + (rng.random((len(many), noise), np.float32) * size[:, None]).astype(np.int64)
+            levels.append((many, which, size))
+        yield two, one, g, drawn, levels
+
+
 def train(codes: np.ndarray, times: np.ndarray, k: int, d: int = 16, steps: int = 250, batch: int = 4096, seed: int = 13) -> LogBilinear:
     """A model of the trigrams ``codes``, drawn in proportion to their ``times``."""
     model = LogBilinear.start(np.bincount(codes % k, times, k), d, seed)
     rng = np.random.default_rng(seed)
     if len(codes):
         drawn = rng.choice(codes, steps * batch, p=times / times.sum())
-        model.learn((drawn // k // (k + 1), drawn // k % (k + 1), drawn % k), np.ones(len(drawn)), rng, batch)
+        model.learn((drawn // k // (k + 1), drawn // k % (k + 1), drawn % k), np.ones(len(drawn)), rng)
     return model
 
 
 # -- its blocks, and learning by shards ---------------------------------------------
-def _rows_of(model: LogBilinear, sizes: list[int]) -> Iterator[tuple[int, int, bytes]]:
-    """(block, part, bytes) of all parameters."""
-    words, targets, others = model.rows
-    lo = 0
-    for block, n in enumerate(sizes):
-        yield block, WORDS, words[lo:lo + n].tobytes()
-        yield block, TARGETS, targets[lo:lo + n].tobytes()
-        lo += n
-    yield -1, REST, b"".join(x.tobytes() for x in (words[lo:], targets[lo:], others))
+#: Rows that are drawn at once.
+DRAWN_ROWS = 1 << 14
+
+
+def _started(times, mass: np.ndarray, over: np.ndarray, d: int, seed: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(part, first row, rows) of a new model for words so often there: some rows of
+    words, then of targets, at a time, and all other numbers; drawn at double precision."""
+    k, rng, total = len(times), np.random.default_rng(seed), mass.sum()
+    for part, n, width in ((WORDS, k + 1, d + 1), (TARGETS, k, d + 2)):
+        for lo in range(0, n, DRAWN_ROWS):
+            rows = np.full((min(DRAWN_ROWS, n - lo), width), 0.1, np.float32)  # the state of training is last
+            rows[:, :d] = rng.normal(0, 0.1, (len(rows), d))
+            if part == TARGETS:
+                rows[:, d] = np.log((times[np.arange(lo, lo + len(rows))] + 0.5) / total)
+            yield part, lo, rows
+    rest = []
+    for x in (mass, np.add.reduceat(mass, over[:-1])):
+        table = np.empty((len(x), d + 1), np.float32)
+        for lo in range(0, len(x), DRAWN_ROWS):
+            table[lo:lo + DRAWN_ROWS, :d] = rng.normal(0, 0.1, (min(DRAWN_ROWS, len(x) - lo), d))
+        table[:, d] = np.log(x / total)
+        rest += [table, np.full(len(x), 0.1)]
+    yield REST, 0, np.concatenate([x.ravel() for x in (*rest, np.eye(d) * 0.5, np.eye(d) * 0.5, np.full(2 * d * d, 0.1))]).astype(np.float32)
 
 
 def _blocks_of(shared: Shared, v: Vocabulary, d: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -622,27 +742,41 @@ def _last(shared: Shared, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return words.reshape(2, d + 1), targets.reshape(1, d + 2), others
 
 
-def _model(shared: Shared, v: Vocabulary, d: int) -> LogBilinear:
-    """The model of shared blocks, in arrays of its own."""
-    k = sum(v.sizes)
-    last = _last(shared, d)
-    words, targets = np.empty((k + 2, d + 1), np.float32), np.empty((k + 1, d + 2), np.float32)
-    for _, lo, w, t in _blocks_of(shared, v, d):
-        words[lo:lo + len(w)], targets[lo:lo + len(t)] = w, t
-    words[k:], targets[k:], others = last[0], last[1], last[2].copy()
-    return LogBilinear.of_rows(words, targets, others, v.bounds, *_groups_of(v))
+def _parts_of(shared: Shared, v: Vocabulary, d: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(part, first row, rows) of shared blocks, not copied; the last rows are in the rest."""
+    for _, lo, words, targets in _blocks_of(shared, v, d):
+        yield WORDS, lo, words
+        yield TARGETS, lo, targets
+    yield from zip((WORDS, TARGETS, REST), (v.words, v.words, 0), _last(shared, d), strict=True)
+
+
+def _seen(v: Vocabulary) -> dict[int, np.ndarray]:
+    """Which rows of words and of targets a task needs: at first the last, which aren't in blocks."""
+    seen = {WORDS: np.zeros(v.words + 2, bool), TARGETS: np.zeros(v.words + 1, bool)}
+    seen[WORDS][-2:] = seen[TARGETS][-1:] = True
+    return seen
 
 
-def _groups_of(v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """The groups' bounds and the smoothed counts."""
-    times = v.times + 0.5
-    return group_bounds(np.add.reduceat(times, v.bounds[:-1])), times
+def _see(seen: dict[int, np.ndarray], v: Vocabulary, over: np.ndarray, grams: tuple[np.ndarray, ...], rng: np.random.Generator) -> None:
+    """Adds the rows that learning from ``grams`` needs; moves ``rng`` on as that does."""
+    for two, one, _, _, (_, level) in _drawn(v.bounds, over, v.mass, grams, rng):
+        seen[WORDS][two] = seen[WORDS][one] = True
+        if level is not None:
+            seen[TARGETS][level[1]] = True
+
+
+def _numbers(seen: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    """The rows that words have among those seen."""
+    found = {part: np.cumsum(x, dtype=np.int32) for part, x in seen.items()}
+    for x in found.values():
+        x -= 1
+    return found
 
 
 def _fitted(shared: Shared, v: Vocabulary, d: int) -> LogBilinear:
     """The model of shared blocks, for scoring: words and targets stay where they are."""
     *last, others = _last(shared, d)
-    model = LogBilinear.of_rows(*last, others, v.bounds, *_groups_of(v))
+    model = LogBilinear.of_rows(*last, others, v.bounds, group_bounds(v.mass), v.mass)
     found = list(_blocks_of(shared, v, d))
     model.words = Blocks([*(x[:, :d] for _, _, x, _ in found), model.words])
     model.targets = Blocks([*(x[:, :d + 1] for *_, x in found), model.targets])
@@ -650,18 +784,45 @@ def _fitted(shared: Shared, v: Vocabulary, d: int) -> LogBilinear:
 
 
 def _first(shared: Shared, rest: float, d: int, first: int, seed: int):
-    """The blocks of a model trained on a sample of trigrams, in one task (rows with ``w`` -1 say nothing)."""
+    """The blocks of a model trained on a sample of trigrams, in one task (rows with ``w`` -1 say nothing).
+    It holds the rows that these need; the others are drawn anew and sent on."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = Vocabulary(shared, rest)
-        model = LogBilinear.start(v.times, d, seed, v.bounds)
         rows = [np.stack([b.column(x).to_numpy() for x in ("two", "one", "w")]) for b in batches]
         grams = np.concatenate(rows, 1).astype(np.int64) if rows else np.zeros((3, 0), np.int64)
         grams = grams[:, grams[2] >= 0]
         n, rng = grams.shape[1], np.random.default_rng(seed)
         order = rng.permutation(n) if n >= first // 2 else rng.integers(0, max(n, 1), min(first, 20 * n))  # a small table several times
-        model.learn(tuple(grams[:, order]), np.ones(len(order)), rng)
-        for block, part, data in _rows_of(model, v.sizes):
-            yield pa.record_batch([pa.array([block], pa.int64()), pa.array([part], pa.int32()), pa.array([data], pa.binary())], names=["block", "part", "data"])
+        grams, over, seen, state = tuple(grams[:, order]), group_bounds(v.mass), _seen(v), rng.bit_generator.state
+        _see(seen, v, over, grams, rng)
+        rng.bit_generator.state = state
+        model = LogBilinear.of_some(_started(v.counts, v.mass, over, d, seed), seen, d, v.bounds, over, v.mass)
+        model.learn(grams, np.ones(len(order)), rng, _numbers(seen))
+
+        def blocks() -> Iterator[tuple[int, int, np.ndarray]]:
+            held, ends = dict(zip((WORDS, TARGETS), model.rows, strict=False)), np.cumsum([0, *v.sizes])
+            at, block, waiting, rest = dict.fromkeys(held, 0), dict.fromkeys(held, 0), {x: [] for x in held}, []
+            for part, lo, rows in _started(v.counts, v.mass, over, d, seed):
+                if part == REST:
+                    break
+                mine = np.flatnonzero(seen[part][lo:lo + len(rows)])
+                rows[mine] = held[part][at[part]:at[part] + len(mine)]
+                at[part] += len(mine)
+                while len(rows) and block[part] < len(v.sizes):
+                    have = sum(map(len, waiting[part]))
+                    take = ends[block[part] + 1] - ends[block[part]] - have
+                    waiting[part].append(rows[:take])
+                    if len(rows) < take:
+                        rows = rows[:0]
+                        continue
+                    yield block[part], part, np.concatenate(waiting[part])
+                    rows, waiting[part] = rows[take:], []
+                    block[part] += 1
+                rest.append(rows.flatten())  # beyond the blocks
+            yield -1, REST, np.concatenate([*rest, model.rows[2]])
+
+        for block, part, data in blocks():
+            yield pa.record_batch([pa.array([block], pa.int64()), pa.array([part], pa.int32()), pa.array([data.tobytes()], pa.binary())], names=["block", "part", "data"])
     return run
 
 
@@ -670,12 +831,16 @@ _CHANGES = "block long, part int, piece int, shard long, rows binary, change bin
 SHARDS_A_BLOCK = 32
 
 
-def _changed(model: LogBilinear, shared: Shared, v: Vocabulary, d: int, shard: int, pieces: int) -> Iterator[pa.RecordBatch]:
+def _changed(model: LogBilinear, seen: dict[int, np.ndarray], shared: Shared, v: Vocabulary, d: int, shard: int, pieces: int) -> Iterator[pa.RecordBatch]:
     """A shard's changes by block, of the rows that it changed (half precision); the state of training stays as it was."""
     words, targets, others = model.rows
+    at = {WORDS: 0, TARGETS: 0}
     for block, lo, *old in _blocks_of(shared, v, d):
         for part, new, was in zip((WORDS, TARGETS), (words, targets), old, strict=True):
-            yield from _change_rows(block, part, shard, new[lo:lo + len(was), :-1] - was[:, :-1], pieces)
+            rows = np.flatnonzero(seen[part][lo:lo + len(was)])
+            mine = new[at[part]:at[part] + len(rows)]
+            at[part] += len(rows)
+            yield from _change_rows(block, part, shard, mine[:, :-1] - was[rows, :-1], pieces, rows, len(was))
     last = _last(shared, d)
     rest = [words[-2:] - last[0], targets[-1:] - last[1], others - last[2]]
     rest[0][:, -1] = rest[1][:, -1] = 0
@@ -694,37 +859,54 @@ def _piece(table: np.ndarray, piece: int, pieces: int) -> np.ndarray:
     return table[:, lo:hi] if len(table) == 1 else table[lo:hi]
 
 
-def _change_rows(block: int, part: int, shard: int, change: np.ndarray, pieces: int) -> Iterator[pa.RecordBatch]:
+def _change_rows(block: int, part: int, shard: int, change: np.ndarray, pieces: int, at: np.ndarray | None = None, n: int = 0) -> Iterator[pa.RecordBatch]:
+    """``change`` by pieces of a block: of the block's rows, or of its rows ``at``, rising, of ``n``."""
+    at = np.arange(len(change)) if at is None else at
+    edges = _edges((n or len(change), change.shape[1]), pieces)
+    cuts = np.searchsorted(at, edges)
     for piece in range(pieces):
-        own = _piece(change, piece, pieces)
-        rows = np.zeros(1, np.int32) if part == REST else np.flatnonzero(own.any(1)).astype(np.int32)
+        own = _piece(change, piece, pieces) if part == REST else change[cuts[piece]:cuts[piece + 1]]
+        moved = np.zeros(1, np.int64) if part == REST else np.flatnonzero(own.any(1))
+        rows = moved if part == REST else at[cuts[piece] + moved] - edges[piece]
         yield pa.record_batch([pa.array([block], pa.int64()), pa.array([part], pa.int32()), pa.array([piece], pa.int32()), pa.array([shard], pa.int64()),
-                               _bytes(rows.tobytes()), _bytes(np.ascontiguousarray(own[rows], np.float16).tobytes())], names=["block", "part", "piece", "shard", "rows", "change"])
+                               _bytes(rows.astype(np.int32).tobytes()), _bytes(np.ascontiguousarray(own[moved], np.float16).tobytes())], names=["block", "part", "piece", "shard", "rows", "change"])
 
 
 def _learner(words: Shared, rest: float, shared: Shared, d: int, often: float, seed: int, pieces: int = 1):
     """How each shard's training tokens change the model.  A word of more than
     ``often`` tokens has part of them drawn, which then count as many times as
-    they stand for.  A shard's chunks lie in one file and come together."""
+    they stand for.  A shard's chunks lie in one file and come together: first
+    the rows that all of them need are found, then the model of these learns."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = Vocabulary(words, rest)
-        keep = np.minimum(1.0, np.sqrt(often / (v.times + 0.5)))
-        shard, mine, rng = None, None, None
+        over = group_bounds(v.mass)
+        shard, held, seen, rng = None, [], None, None
+
+        def learned() -> Iterator[pa.RecordBatch]:
+            mine, numbers = LogBilinear.of_some(_parts_of(shared, v, d), seen, d, v.bounds, over, v.mass), _numbers(seen)
+            for grams, weights, state in held:
+                rng.bit_generator.state = state
+                mine.learn(grams, weights, rng, numbers)
+            held.clear()
+            del numbers
+            yield from _changed(mine, seen, shared, v, d, shard, pieces)
+
         for batch in batches:
             for row in range(batch.num_rows):
                 now = batch.column("chunk")[row].as_py() >> 32
                 if now != shard:
-                    if mine is not None:
-                        yield from _changed(mine, shared, v, d, shard, pieces)
-                        mine = None
-                    shard, mine, rng = now, _model(shared, v, d), np.random.default_rng([seed, now])
-                grams = _trigrams(batch, row, v.top, v.ids)
-                pick = np.flatnonzero(rng.random(len(grams[0])) < keep[grams[2]])
+                    if held:
+                        yield from learned()
+                    shard, seen, rng = now, _seen(v), np.random.default_rng([seed, now])
+                grams, times = _trigrams(batch, row, v)
+                keep = np.minimum(1.0, np.sqrt(often / times))
+                pick = np.flatnonzero(rng.random(len(grams[0])) < keep)
                 rng.shuffle(pick)
                 grams = tuple(g[pick] for g in grams)
-                mine.learn(grams, 1 / keep[grams[2]], rng)
-        if mine is not None:
-            yield from _changed(mine, shared, v, d, shard, pieces)
+                held.append((grams, (1 / keep[pick]).astype(np.float32), rng.bit_generator.state))
+                _see(seen, v, over, grams, rng)
+        if held:
+            yield from learned()
     return run
 
 
@@ -751,7 +933,7 @@ def _whole(table: pa.Table) -> pa.Table:
     return pa.table({"block": table.column("block")[:1], "part": table.column("part")[:1], "data": _bytes(b"".join(table.column("data")[int(i)].as_py() for i in order))})
 
 
-def fit(chunks: DataFrame, words: Shared, rest: float, tokens: float, known: int, shards: int, d: int = 16, first: int = 1_000_000, seed: int = 13) -> Shared:
+def fit(chunks: DataFrame, words: Shared, rest: float, tokens: float, shards: int, d: int = 16, first: int = 1_000_000, seed: int = 13) -> Shared:
     """Blocks of a model trained on all training tokens of ``chunks``, which are of so many ``shards``; about ``first`` tokens fix the space."""
     spark = chunks.sparkSession
     texts = chunks.select("chunk", "uniq", "tok", "n_tokens", "train")
@@ -761,7 +943,7 @@ def fit(chunks: DataFrame, words: Shared, rest: float, tokens: float, known: int
     begun = some.repartition(1).sortWithinPartitions("two", "one", "w").mapInArrow(_first(words, rest, d, first, seed), _BLOCKS)
     model = Shared().taken(spark, stored(begun, "model", BLOCK_ROWS))
     pieces = math.ceil(shards / SHARDS_A_BLOCK)
-    changes = texts.mapInArrow(_learner(words, rest, model, d, max(3e-6 * tokens, 100.0), seed, pieces), _CHANGES, profile=_roomy(spark, known))
+    changes = texts.mapInArrow(_learner(words, rest, model, d, max(3e-6 * tokens, 100.0), seed, pieces), _CHANGES)
     learned = changes.groupBy("block", "part", "piece").applyInArrow(_averaged(model, d, pieces), "block long, part int, piece int, data binary")
     if pieces > 1:
         learned = learned.groupBy("block", "part").applyInArrow(_whole, _BLOCKS)
@@ -787,7 +969,7 @@ def _scores(vocabulary: Shared, shared: Shared, d: int, total: int, types: int,
                 lists, uniq = parts.field("c"), _words_of(batch, row)
                 c = np.empty(len(uniq), np.int64)
                 c[np.argsort(uniq)] = np.concatenate([_unpacked(lists[int(x)].as_buffer()) for x in order])
-                word_of = _ids_of(uniq, v.top, v.ids)  # k - 1 below the floor
+                word_of = v.ids_of(uniq)  # k - 1 below the floor
                 base_of = np.log10((c + 1.0) / (total + types + 1))
                 # The share of the words below the floor: 1 for one of the vocabulary.
                 with np.errstate(divide="ignore"):
@@ -839,16 +1021,16 @@ def _of_chunks(chunks: DataFrame, kind: str, shards: int, floor: int, most_words
                .agg(F.sum("words").alias("words"), F.sum("tokens").alias("tokens")).collect())  # a row a bucket, under 1,100 for any counts
     classes = Classes.planned({x.bucket: x.words for x in buckets}, {x.bucket: x.tokens for x in buckets}, total, most_words)
     placed = frequent.mapInArrow(_placed(classes), "block long, cls long, h long, c long")
-    words = Shared().taken(spark, stored(placed.groupBy("block").applyInArrow(_block_row, _BLOCKS), "vocabulary", BLOCK_ROWS))
+    words = _vocabulary(stored(placed.groupBy("block").applyInArrow(_block_row, _BLOCKS), "vocabulary", BLOCK_ROWS))
     # The words below the floor: their tokens, their types, and the discount that unseen words share.
     kept = [x for x in buckets if x.bucket >= classes.lowest]
     known = sum(x.words for x in kept)
     rest_total, rest_types = total - sum(x.tokens for x in kept), types - known
     discount = min(0.9, max(0.1, once / max(once + 2 * twice, 1))) if rest_types else 0.0
-    model = fit(chunks, words, rest_total, total, known, shards, d)
+    model = fit(chunks, words, rest_total, total, shards, d)
     replies = answers.filter("chunk >= 0").groupBy("chunk").agg(F.collect_list(F.struct("r", "c")).alias("answers"))
     rows = chunks.select("chunk", "doc_ids", "train", "n_tokens", "tok", "uniq").join(replies, "chunk")
-    scored = rows.mapInArrow(_scores(words, model, d, total, types, (discount, rest_total, rest_types)), f"doc_id {kind}, train boolean, n_tokens long, n_known long, base_score double, score double", profile=_roomy(spark, known))
+    scored = rows.mapInArrow(_scores(words, model, d, total, types, (discount, rest_total, rest_types)), f"doc_id {kind}, train boolean, n_tokens long, n_known long, base_score double, score double")
     return stored(scored, "scores").withColumn("train_tokens", F.lit(total).cast("long"))
 
 

@@ -168,3 +168,101 @@ def test_files_of_broadcast_blocks_go(spark):
     shared = lm.Shared().taken(spark, rows)
     assert {key: x.value for key, x in shared.blocks.items()} == {(lm.WORDS, i): bytes([i]) for i in range(3)}
     assert not lm.fs.exists(spark, folder)
+
+
+def held(x):
+    return SimpleNamespace(value=x)
+
+
+def vocabulary_of(words, n=1 << 13):
+    """Blocks of a vocabulary of words that are 9 times there each, and its word numbers by hash."""
+    h = np.random.default_rng(2).integers(0, 1 << 62, words)
+    blocks = [np.stack([np.arange(lo, hi) // 100, h[lo:hi], np.full(hi - lo, 9)]) for lo in range(0, words, n) for hi in [min(lo + n, words)]]
+    rows = pa.record_batch([pa.array(range(len(blocks))), pa.array([x.tobytes() for x in blocks])], names=["block", "data"])
+    sent = pa.Table.from_batches(lm._by_hash({i: i * n for i in range(len(blocks))}, 4)(iter([rows])))
+    lookup = [lm._lookup_row(sent.filter(pa.compute.equal(sent["r"], r))).to_pylist()[0] for r in sent["r"].unique()]
+    return lm.Shared({(lm.VOCABULARY, i): held(x.tobytes()) for i, x in enumerate(blocks)} | {(x["part"], x["block"]): held(x["data"]) for x in lookup}), h.view(np.uint64)
+
+
+def test_words_are_found_by_ranges_of_hashes():
+    shared, h = vocabulary_of(20_000)
+    v = lm.Vocabulary(shared, 100.0)
+    asked = np.concatenate([h[::-7], h[:5] + np.uint64(1), h[:3], np.array([0, 2**64 - 1], np.uint64)])
+    expected = [*range(19_999, -1, -7), *[20_000] * 5, 0, 1, 2, 20_000, 20_000]
+    assert len(v.lookup) > 1 and v.ids_of(asked).tolist() == expected and v.ids_of(asked[:0]).tolist() == []
+    assert v.times_of(np.array([20_000, 3, 3])).tolist() == [100.5, 9.5, 9.5]
+    whole = lm.Vocabulary(lm.Shared({key: x for key, x in shared.blocks.items() if key[0] != lm.LOOKUP}), 100.0)
+    assert whole.ids_of(asked).tolist() == expected
+    sums = np.add.reduceat(np.append(np.full(20_000, 9.5), 100.5), v.bounds[:-1])
+    assert v.bounds.tolist() == [*range(0, 20_001, 100), 20_001] and v.mass.tolist() == sums.tolist()
+
+
+def test_a_learning_worker_holds_the_rows_of_its_shard_only(monkeypatch):
+    words, d = 300_000, 16
+    monkeypatch.setattr(lm, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    vocabulary, _ = vocabulary_of(words)
+    none = pa.record_batch([pa.array([-1], pa.int32())] * 3, names=["two", "one", "w"])
+    batch = pa.record_batch([pa.array([1, 2]), pa.array(["one two one", "three"]), pa.array([True, True])], names=["doc_id", "text", "train"])
+    chunks = list(lm._chunks(iter([batch])))
+    model = {}
+
+    def begin():
+        for x in lm._first(vocabulary, 100.0, d, 1000, 1)(iter([none])):
+            row = x.to_pylist()[0]
+            model[row["part"], row["block"]] = held(row["data"])
+
+    def learn():
+        assert sum(x.num_rows for x in lm._learner(vocabulary, 100.0, lm.Shared(model), d, 100.0, 1)(iter(chunks))) == len(model)
+
+    for run, kept in ((begin, 140), (learn, 0)):  # bytes a word: what the test itself keeps
+        tracemalloc.start()
+        run()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < (kept + 60) * words, (run.__name__, peak / words)
+
+
+def test_contexts_of_many_words_are_told_apart():
+    k, rng = 70_000, np.random.default_rng(4)  # k * k has more than 32 bits
+    model = lm.LogBilinear.start(rng.pareto(1.0, k) * 5, 4, 1)
+    model.words[:] *= 5
+    grams = tuple(rng.integers(0, k, 3000, np.int32) for _ in range(3))
+    two, one, w = grams
+    q = np.append(model.words[two] @ model.places[0] + model.words[one] @ model.places[1], np.ones((3000, 1)), 1)
+    expected = np.zeros(3000)
+    c = np.searchsorted(model.bounds, w, "right") - 1
+    g = np.searchsorted(model.over, c, "right") - 1
+    for i in range(3000):
+        for table, lo, hi, chosen in ((model.groups, 0, len(model.groups), g[i]), (model.classes, *model.over[g[i]:g[i] + 2], c[i]), (model.targets, *model.bounds[c[i]:c[i] + 2], w[i])):
+            z = table[lo:hi].astype(float) @ q[i]
+            expected[i] += z[chosen - lo] - np.log(np.exp(z).sum())
+    assert abs(model.log_probability(grams) - expected / math.log(10)).max() < 1e-4
+
+
+def test_products_beyond_the_range_of_a_float():
+    model = lm.LogBilinear.start(np.full(50, 9.0), 4, 1)
+    model.targets[:, -1] += 200.0
+    model.targets[7, -1] += 300.0
+    whole = 10.0 ** model.log_probabilities().astype(float)
+    assert abs(whole.sum(2) - 1).max() < 1e-4
+
+
+def test_workers_map_broadcasts(spark):
+    shared = lm.Shared().add(spark, spark.createDataFrame([(0, lm.WORDS, b"x" * 100_000), (1, lm.WORDS, b"y" * 300), (2, lm.WORDS, b"z" * 9)], lm._BLOCKS))
+
+    def run(batches):
+        list(batches)
+        for x in shared.arrays(lm.WORDS):
+            yield pa.record_batch([pa.array([bytes(x)]), pa.array([type(x).__name__])], names=["data", "kind"])
+
+    rows = spark.range(0, 1, 1, 1).mapInArrow(run, "data binary, kind string").collect()
+    assert [(bytes(x.data), x.kind) for x in rows] == [(b"x" * 100_000, "memoryview"), (b"y" * 300, "memoryview"), (b"z" * 9, "memoryview")]
+
+
+def test_tasks_of_the_model_take_one_core(small_docs, monkeypatch):
+    kind, profiles = type(small_docs), []
+    was = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, f, schema, *a, **b: profiles.append(b.get("profile")) or was(self, f, schema, *a, **b))
+    monkeypatch.setattr(lm, "cores_a_task", lambda conf, words: 2)  # however many words there are
+    assert lm.lm_scores(small_docs).count() == small_docs.count()
+    assert len(profiles) > 5 and set(profiles) == {None}
