@@ -29,7 +29,8 @@ about 200 bytes each, and compares them at the end.  So a worker's memory grows
 with its shard and not with the vocabulary, but for some bytes a word that say
 which rows it has, and tasks of the model run on every core.  There are at
 most ``most_words`` words.  A shard's changes are sent once: each task averages
-those of some rows of a block, of fewer rows the more shards there are.  Texts are dealt to shards by a
+those of some rows of a block, of fewer rows the more shards there are; of many
+shards, some learn at a time and only the sums of their changes are kept.  Texts are dealt to shards by a
 hash, so shards, and with them the scores, don't depend on the cluster.
 """
 
@@ -43,6 +44,7 @@ from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -324,6 +326,12 @@ def _read(block: Broadcast):
     return block.load_from_path(path)
 
 
+def _remove(rows: DataFrame) -> None:
+    """Deletes the files of stored rows."""
+    for folder in {x.rpartition("/")[0] for x in rows.inputFiles()}:
+        fs.delete(rows.sparkSession, folder)
+
+
 @dataclass
 class Shared:
     """Blocks of bytes by (part, block), each a broadcast."""
@@ -348,8 +356,7 @@ class Shared:
     def taken(self, spark: SparkSession, rows: DataFrame) -> Shared:
         """``add`` of stored rows, whose files then go: the broadcasts have them."""
         found = self.add(spark, rows)
-        for folder in {x.rpartition("/")[0] for x in rows.inputFiles()}:
-            fs.delete(spark, folder)
+        _remove(rows)
         return found
 
     def arrays(self, part: int) -> Iterator[bytes | memoryview]:
@@ -829,6 +836,8 @@ def _first(shared: Shared, rest: float, d: int, first: int, seed: int):
 _CHANGES = "block long, part int, piece int, shard long, rows binary, change binary"
 #: Shards whose changes of one whole block a task averages; with more, it does so for a piece of the block.
 SHARDS_A_BLOCK = 32
+#: Shards that learn before their changes are added up, so that not all changes are on disk at once.
+SHARDS_AT_ONCE = 96
 
 
 def _changed(model: LogBilinear, seen: dict[int, np.ndarray], shared: Shared, v: Vocabulary, d: int, shard: int, pieces: int) -> Iterator[pa.RecordBatch]:
@@ -878,6 +887,9 @@ def _learner(words: Shared, rest: float, shared: Shared, d: int, often: float, s
     they stand for.  A shard's chunks lie in one file and come together: first
     the rows that all of them need are found, then the model of these learns."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin = next(batches := iter(batches), None)
+        if begin is None:  # a file of shards that learn at another time
+            return
         v = Vocabulary(words, rest)
         over = group_bounds(v.mass)
         shard, held, seen, rng = None, [], None, None
@@ -891,7 +903,7 @@ def _learner(words: Shared, rest: float, shared: Shared, d: int, often: float, s
             del numbers
             yield from _changed(mine, seen, shared, v, d, shard, pieces)
 
-        for batch in batches:
+        for batch in chain([begin], batches):
             for row in range(batch.num_rows):
                 now = batch.column("chunk")[row].as_py() >> 32
                 if now != shard:
@@ -910,18 +922,49 @@ def _learner(words: Shared, rest: float, shared: Shared, d: int, often: float, s
     return run
 
 
+def _added(table: pa.Table, shape: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The sums of the changes of a piece's rows, by shards in order, and how many shards changed each row."""
+    total, count = np.zeros(shape, np.float32), np.zeros(shape[0], np.int32)
+    shards = table.column("shard").to_numpy()
+    for i in np.argsort(shards, kind="stable"):
+        rows, change = (np.frombuffer(table.column(name)[int(i)].as_buffer(), kind) for name, kind in (("rows", np.int32), ("change", np.float16 if shards[i] >= 0 else np.float32)))
+        if shards[i] >= 0:
+            total[rows] += change.reshape(len(rows), shape[1])
+            count[rows] += 1
+        else:  # the sums of shards before, and their numbers
+            total[rows] = change[:len(rows) * shape[1]].reshape(len(rows), shape[1])
+            count[rows] = change[len(rows) * shape[1]:].view(np.int32)
+    return total, count
+
+
+def _key(table: pa.Table) -> tuple[int, int, int]:
+    return tuple(table.column(x)[0].as_py() for x in ("block", "part", "piece"))
+
+
+def _piece_of(shared: Shared, d: int, pieces: int, block: int, part: int, piece: int) -> np.ndarray:
+    was = np.frombuffer(_read(shared.blocks[part, block]), np.float32)
+    return _piece(was.reshape(1, -1) if part == REST else was.reshape(-1, d + 1 if part == WORDS else d + 2), piece, pieces)
+
+
+def _summed(shared: Shared, d: int, pieces: int):
+    """The sums of the changes so far of a piece of a block, as the change of a shard -1."""
+    def run(table: pa.Table) -> pa.Table:
+        block, part, piece = _key(table)
+        n, width = _piece_of(shared, d, pieces, block, part, piece).shape
+        total, count = _added(table, (n, width - (part != REST)))
+        rows = np.flatnonzero(count)
+        return pa.table({"block": table.column("block")[:1], "part": table.column("part")[:1], "piece": table.column("piece")[:1], "shard": pa.array([-1], pa.int64()),
+                         "rows": _bytes(rows.astype(np.int32).tobytes()), "change": _bytes(total[rows].tobytes() + count[rows].tobytes())})
+    return run
+
+
 def _averaged(shared: Shared, d: int, pieces: int):
     """New parameters of a piece of a block: each row moved by the mean of the shards that changed it."""
     def run(table: pa.Table) -> pa.Table:
-        block, part, piece = (table.column(x)[0].as_py() for x in ("block", "part", "piece"))
-        was = np.frombuffer(_read(shared.blocks[part, block]), np.float32)
-        data = _piece(was.reshape(1, -1) if part == REST else was.reshape(-1, d + 1 if part == WORDS else d + 2), piece, pieces).copy()
+        block, part, piece = _key(table)
+        data = _piece_of(shared, d, pieces, block, part, piece).copy()
         moved = data if part == REST else data[:, :-1]  # all but the state of training
-        total, count = np.zeros(moved.shape, np.float32), np.zeros(len(data), np.int32)
-        for i in np.argsort(table.column("shard").to_numpy(), kind="stable"):
-            rows = np.frombuffer(table.column("rows")[int(i)].as_buffer(), np.int32)
-            total[rows] += np.frombuffer(table.column("change")[int(i)].as_buffer(), np.float16).reshape(len(rows), moved.shape[1])
-            count[rows] += 1
+        total, count = _added(table, moved.shape)
         moved += total / np.maximum(count, 1)[:, None]
         return pa.table({"block": table.column("block")[:1], "part": table.column("part")[:1], "piece": table.column("piece")[:1], "data": _bytes(data.tobytes())})
     return run
@@ -943,11 +986,23 @@ def fit(chunks: DataFrame, words: Shared, rest: float, tokens: float, shards: in
     begun = some.repartition(1).sortWithinPartitions("two", "one", "w").mapInArrow(_first(words, rest, d, first, seed), _BLOCKS)
     model = Shared().taken(spark, stored(begun, "model", BLOCK_ROWS))
     pieces = math.ceil(shards / SHARDS_A_BLOCK)
-    changes = texts.mapInArrow(_learner(words, rest, model, d, max(3e-6 * tokens, 100.0), seed, pieces), _CHANGES)
-    learned = changes.groupBy("block", "part", "piece").applyInArrow(_averaged(model, d, pieces), "block long, part int, piece int, data binary")
+    learner, before = _learner(words, rest, model, d, max(3e-6 * tokens, 100.0), seed, pieces), None
+    for lo in range(0, shards, SHARDS_AT_ONCE):
+        hi = lo + SHARDS_AT_ONCE
+        some = texts.filter(F.col("chunk") >= lo << 32) if lo else texts
+        some = some.filter(F.col("chunk") < hi << 32) if hi < shards else some
+        changes = some.mapInArrow(learner, _CHANGES)
+        changes = (changes.unionByName(before) if before is not None else changes).groupBy("block", "part", "piece")
+        if hi < shards:
+            was, before = before, stored(changes.applyInArrow(_summed(model, d, pieces), _CHANGES), "changes", BLOCK_ROWS * pieces)
+            if was is not None:
+                _remove(was)
+    learned = changes.applyInArrow(_averaged(model, d, pieces), "block long, part int, piece int, data binary")
     if pieces > 1:
         learned = learned.groupBy("block", "part").applyInArrow(_whole, _BLOCKS)
     learned = stored(learned.select("block", "part", "data"), "model", BLOCK_ROWS)
+    if before is not None:
+        _remove(before)
     changed = {(x.part, x.block) for x in learned.select("part", "block").collect()}  # 16 bytes a block
     for key in changed:
         model.blocks[key].destroy()

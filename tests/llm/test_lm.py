@@ -266,3 +266,15 @@ def test_tasks_of_the_model_take_one_core(small_docs, monkeypatch):
     monkeypatch.setattr(lm, "cores_a_task", lambda conf, words: 2)  # however many words there are
     assert lm.lm_scores(small_docs).count() == small_docs.count()
     assert len(profiles) > 5 and set(profiles) == {None}
+
+
+def test_sums_of_some_shards_changes_are_kept(small_docs, monkeypatch):
+    held_out, names = lm.crc_mod("doc_id", 7) == 2, []
+    was = lm.stored
+    monkeypatch.setattr(lm, "stored", lambda df, name, *a, **b: names.append(name) or was(df, name, *a, **b))
+    monkeypatch.setattr(lm, "SHARDS_A_BLOCK", 3)  # several pieces
+    runs = []
+    for some in (96, 2):
+        monkeypatch.setattr(lm, "SHARDS_AT_ONCE", some)
+        runs.append(sorted((x.doc_id, x.score) for x in lm.score(small_docs, ~held_out, shard_bytes=60_000).collect()))
+    assert names.count("changes") >= 2 and runs[0] == runs[1]
